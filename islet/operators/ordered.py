@@ -6,8 +6,10 @@ here instead cuts the order into contiguous *blocks*:
 1. ``repartitionByRange(n, *order)`` + ``sortWithinPartitions`` — Spark
    samples the keys, range-partitions them (binary search per row) and sorts
    each partition.  The explicit partition count means AQE never coalesces
-   this exchange, so ``spark_partition_id()`` is a stable block number and
+   this exchange, so ``spark_partition_id()`` is the block number and
    ``monotonically_increasing_id()`` gives the row's position inside it.
+   The blocked rows are checkpointed once (see ``range_blocks``) so every
+   later reader sees the same cut.
 2. A per-block summary (one row per block: count, last value, ...) is built
    with a partial aggregate, so it is tiny and its size is bounded by the
    block count.  Prefix sums / carries over it run on that tiny table.
@@ -26,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from islet.session import ensure_checkpoint_dir
+
 BLK = "_blk"
 POS = "_pos"
 MAX_BLOCKS = 1 << 20  # hard bound on the summary tables we broadcast
@@ -50,7 +54,12 @@ def range_blocks(df: DataFrame, order, n_blocks: int | None = None) -> DataFrame
          .sortWithinPartitions(*order)
          .withColumn(BLK, F.spark_partition_id())
          .withColumn(POS, F.monotonically_increasing_id() - F.shiftleft(F.col(BLK).cast("long"), 33)))
-    return b
+    # Every operator reads the blocks twice (per-block summary + rows).  Spark
+    # samples range bounds per exchange instance, so two exchanges could cut
+    # different blocks; checkpointing to the shared folder fixes one cut for
+    # all readers and survives executor loss.
+    ensure_checkpoint_dir(df.sparkSession)
+    return b.checkpoint(eager=True)
 
 
 def _block_offsets(blocked: DataFrame) -> DataFrame:
