@@ -208,8 +208,8 @@ SELECT bin, COUNT(*) AS count, ROUND(MIN(lo) + (MIN(hi) - MIN(lo)) * bin / 20, 6
     "crosstab": """SELECT o_orderpriority, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS "F",
   COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS "O", COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS "P"
 FROM orders GROUP BY o_orderpriority""",
-    "crosstab_norm": """SELECT o_orderpriority, o_orderstatus, COUNT(*) AS n,
-  ROUND(COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY o_orderstatus), 6) AS share FROM orders GROUP BY ALL""",
+    "crosstab_norm": """WITH c AS (SELECT o_orderpriority, o_orderstatus, COUNT(*) AS n FROM orders GROUP BY ALL)
+SELECT o_orderpriority, o_orderstatus, n, ROUND(n / SUM(n) OVER (PARTITION BY o_orderstatus), 6) AS share FROM c""",
     "crosstab_margins": """SELECT CASE WHEN GROUPING(o_orderpriority) = 1 THEN 'All' ELSE o_orderpriority END AS o_orderpriority,
   CASE WHEN GROUPING(o_orderstatus) = 1 THEN 'All' ELSE o_orderstatus END AS o_orderstatus, COUNT(*) AS n
 FROM orders GROUP BY CUBE (o_orderpriority, o_orderstatus)""",
