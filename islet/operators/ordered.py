@@ -23,12 +23,13 @@ result is deterministic.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from islet.session import ensure_checkpoint_dir
+from islet.session import shared_path
 
 BLK = "_blk"
 POS = "_pos"
@@ -56,10 +57,14 @@ def range_blocks(df: DataFrame, order, n_blocks: int | None = None) -> DataFrame
          .withColumn(POS, F.monotonically_increasing_id() - F.shiftleft(F.col(BLK).cast("long"), 33)))
     # Every operator reads the blocks twice (per-block summary + rows).  Spark
     # samples range bounds per exchange instance, so two exchanges could cut
-    # different blocks; checkpointing to the shared folder fixes one cut for
-    # all readers and survives executor loss.
-    ensure_checkpoint_dir(df.sparkSession)
-    return b.checkpoint(eager=True)
+    # different blocks.  The blocked rows are written once as a table in the
+    # shared checkpoint folder (spark.checkpoint.dir): every reader sees the
+    # same cut, the lineage is cut (survives executor loss), and readers get
+    # parquet column pruning.
+    spark = df.sparkSession
+    path = shared_path(spark, f"islet-blocks-{uuid.uuid4().hex}")
+    b.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _block_offsets(blocked: DataFrame) -> DataFrame:

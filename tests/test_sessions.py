@@ -70,3 +70,15 @@ def test_hist_and_topk(spark, events):
     top = S.topk_islands_rows(isl, ["user_id"], k=3)
     sizes = top.groupBy("user_id", "island_id").agg(F.count("*").alias("n"), F.first("sessions_combined").alias("s"))
     assert sizes.count() == 3 and all(r.n == r.s for r in sizes.collect())
+
+
+def test_skew_guard_picks_blocks_for_hot_key(spark, events):
+    # user 0 holds a third of the rows: with a low threshold the guard must
+    # switch to blocks, and the result must still equal the plain window
+    assert S.plan_blocks(events, ["user_id"], hot_min_rows=100) is not None
+    assert S.plan_blocks(events, ["user_id"], hot_min_rows=10**9) is None
+    want = _plain(events, ["user_id"], "ts", "dur", 360, ["event_id"])
+    got = S.with_islands(events, ["user_id"], "ts", duration="dur", gap=360, tie="event_id", hot_min_rows=100)
+    a = sorted((r.event_id, r.isl) for r in want.collect())
+    b = sorted((r.event_id, r.island_id) for r in got.collect())
+    assert a == b
