@@ -45,21 +45,27 @@ def baseline_rmse(split: DataFrame, target: str, keys: Sequence[str] = (), model
 
 @dataclass
 class Gram:
+    """Sums over a segment of the *shifted* data x - cx, y - cy (the shift is
+    a first-pass mean, so the products stay small and sums do not cancel)."""
     n: float
     sx: np.ndarray
     sy: float
     xx: np.ndarray
     xy: np.ndarray
     yy: float
+    cx: np.ndarray = field(default=None)
+    cy: float = 0.0
 
     def __add__(self, o: "Gram") -> "Gram":
-        return Gram(self.n + o.n, self.sx + o.sx, self.sy + o.sy, self.xx + o.xx, self.xy + o.xy, self.yy + o.yy)
+        return Gram(self.n + o.n, self.sx + o.sx, self.sy + o.sy, self.xx + o.xx, self.xy + o.xy, self.yy + o.yy,
+                    self.cx if self.cx is not None else o.cx, self.cy or o.cy)
 
 
-def gram_aggs(features: Sequence[str], label_expr) -> list:
+def gram_aggs(features: Sequence[str], label_expr, cx: Sequence[float] | None = None, cy: float = 0.0) -> list:
     p = len(features)
-    x = [F.col(f).cast("double") for f in features]
-    y = label_expr
+    cx = list(cx) if cx is not None else [0.0] * p
+    x = [F.col(f).cast("double") - F.lit(float(cx[i])) for i, f in enumerate(features)]
+    y = label_expr - F.lit(float(cy))
     aggs = [F.count(F.lit(1)).alias("g_n"), F.sum(y).alias("g_sy"), F.sum(y * y).alias("g_yy")]
     aggs += [F.sum(x[i]).alias(f"g_sx_{i}") for i in range(p)]
     aggs += [F.sum(x[i] * y).alias(f"g_xy_{i}") for i in range(p)]
@@ -67,7 +73,7 @@ def gram_aggs(features: Sequence[str], label_expr) -> list:
     return aggs
 
 
-def gram_from_row(r, p: int) -> Gram:
+def gram_from_row(r, p: int, cx=None, cy: float = 0.0) -> Gram:
     def v(k):
         return float(r[k] or 0.0)
     xx = np.zeros((p, p))
@@ -75,29 +81,39 @@ def gram_from_row(r, p: int) -> Gram:
         for j in range(i, p):
             xx[i, j] = xx[j, i] = v(f"g_xx_{i}_{j}")
     return Gram(v("g_n"), np.array([v(f"g_sx_{i}") for i in range(p)]), v("g_sy"), xx,
-                np.array([v(f"g_xy_{i}") for i in range(p)]), v("g_yy"))
+                np.array([v(f"g_xy_{i}") for i in range(p)]), v("g_yy"),
+                np.array(cx if cx is not None else [0.0] * p, dtype=float), cy)
 
 
 def grams_by(df: DataFrame, by: str, features: Sequence[str], label: str, log: bool = False) -> dict:
-    """One aggregate -> {segment: Gram}; rows with a NULL feature/label dropped."""
+    """Two small aggregates -> {segment: Gram}: the means (the shift), then
+    the shifted sums per segment; rows with a NULL feature/label dropped."""
     y = F.log(F.col(label)) if log else F.col(label).cast("double")
     clean = df.dropna(subset=[*features, label])
-    rows = clean.groupBy(by).agg(*gram_aggs(features, y)).collect()  # one row per segment
-    return {r[by]: gram_from_row(r, len(features)) for r in rows}
+    m = clean.agg(*[F.avg(F.col(f).cast("double")).alias(f"m{i}") for i, f in enumerate(features)],
+                  F.avg(y).alias("my")).first()
+    cx = [float(m[f"m{i}"] or 0.0) for i in range(len(features))]
+    cy = float(m["my"] or 0.0)
+    rows = clean.groupBy(by).agg(*gram_aggs(features, y, cx, cy)).collect()  # one row per segment
+    return {r[by]: gram_from_row(r, len(features), cx, cy) for r in rows}
 
 
 def ridge_solve(g: Gram, alpha: float) -> tuple[float, np.ndarray]:
-    """Ridge with an unpenalised intercept: centre, solve (Sxx + aI) w = Sxy."""
+    """Ridge with an unpenalised intercept: centre, solve (Sxx + aI) w = Sxy;
+    the intercept is mapped back from the shifted frame."""
     xm = g.sx / g.n
     ym = g.sy / g.n
     sxx = g.xx - g.n * np.outer(xm, xm)
     sxy = g.xy - g.n * xm * ym
     w = np.linalg.solve(sxx + alpha * np.eye(len(xm)), sxy)
-    return float(ym - xm @ w), w
+    cx = g.cx if g.cx is not None else np.zeros(len(xm))
+    return float(ym - xm @ w + g.cy - cx @ w), w
 
 
 def sse(g: Gram, b: float, w: np.ndarray) -> float:
     """Sum of squared errors of y ~ b + x'w on a segment, from its Gram."""
+    cx = g.cx if g.cx is not None else np.zeros(len(w))
+    b = b - g.cy + cx @ w  # the same line in the shifted frame
     return float(g.yy - 2 * (b * g.sy + w @ g.xy) + b * b * g.n + 2 * b * (w @ g.sx) + w @ g.xx @ w)
 
 
@@ -141,7 +157,9 @@ def tune_ridge(df: DataFrame, order: Sequence[str], features: Sequence[str], lab
     bounds = inner_fold_bounds(n, k)
     cuts = [bounds[0][0]] + [hi for _, hi in bounds[:-1]]
     segs = grams_by(x.withColumn("_seg", _segment_expr("_i", cuts)), "_seg", features, label, log)
-    empty = Gram(0.0, np.zeros(len(features)), 0.0, np.zeros((len(features),) * 2), np.zeros(len(features)), 0.0)
+    any_g = next(iter(segs.values()))
+    p = len(features)
+    empty = Gram(0.0, np.zeros(p), 0.0, np.zeros((p, p)), np.zeros(p), 0.0, any_g.cx, any_g.cy)
     head = segs.get(0, empty)
     tests = [segs.get(j + 1, empty) for j in range(k)]
     cv = inner_cv(tests, head, alphas)
@@ -254,3 +272,27 @@ def evaluate(scored: DataFrame, pred: str, label: str, by: str | None = None) ->
     keys = [by] if by else []
     return scored.groupBy(*keys).agg(F.count(d).alias("n"), F.sqrt(F.avg(d * d)).alias("rmse"),
                                      F.avg(d).alias("bias"), F.stddev_pop(d).alias("std"))
+
+
+def tune_trees(df: DataFrame, order: Sequence[str], features: Sequence[str], label: str, grid: Sequence[dict],
+               kind: str = "forest", k: int = 3, n_blocks: int | None = None) -> dict:
+    """ML9 / ML10: grid search with the inner time-series split (expanding
+    train, next segment as test; ``CrossValidator`` shuffles, so the fold
+    loop is explicit), refit of the best point on all rows.  Every fit is a
+    distributed MLlib job; the grid and folds are small driver loops."""
+    x = indexed(df.dropna(subset=[*features, label]), order, "_i", n_blocks)
+    n = x.select("n").first()[0]
+    fit = fit_forest if kind == "forest" else fit_gbt
+    rows = []
+    for params in grid:
+        for fold, (lo, hi) in enumerate(inner_fold_bounds(n, k)):
+            m = fit(x.filter(F.col("_i") < lo), features, label, **params)
+            te = x.filter((F.col("_i") >= lo) & (F.col("_i") < hi))
+            rows.append({"params": params, "fold": fold, "rmse": tree_rmse(m, te, features, label)})
+    means = {}
+    for r in rows:
+        means.setdefault(json.dumps(r["params"], sort_keys=True), []).append(r["rmse"])
+    best_key = min(means, key=lambda s: float(np.mean(means[s])))
+    best = json.loads(best_key)
+    return {"best_params": best, "cv_rmse": float(np.mean(means[best_key])), "results": rows,
+            "model": fit(x, features, label, **best)}

@@ -250,3 +250,47 @@ def run_checks(checks: Sequence[DataFrame]) -> DataFrame:
     for c in checks[1:]:
         out = out.unionByName(c)
     return out.withColumn("passed", F.col("n_failures") == 0)
+
+
+# -- sorts and top-k (O1, O2, O4-O6) --
+
+def top_k(df: DataFrame, keys: Sequence, k: int) -> DataFrame:
+    """O2: ORDER BY keys LIMIT k (mixed asc / desc Columns allowed); planned
+    as TakeOrderedAndProject: each task keeps its own k, then one merge."""
+    return df.orderBy(*keys).limit(k)
+
+
+def n_largest(df: DataFrame, col: str, k: int, tie: Sequence[str] = ()) -> DataFrame:
+    """The k rows with the largest ``col`` (ties by ``tie``)."""
+    return top_k(df, [F.col(col).desc(), *[F.col(t) for t in tie]], k)
+
+
+def sort_abs(df: DataFrame, col: str, descending: bool = True) -> DataFrame:
+    """Sort by absolute value (output ordering only)."""
+    a = F.abs(F.col(col))
+    return df.orderBy(a.desc() if descending else a.asc())
+
+
+def sort_category(df: DataFrame, col: str, order: Sequence[str]) -> DataFrame:
+    """Sort by a custom level order; unknown levels last."""
+    pos = F.array_position(F.array(*[F.lit(v) for v in order]), F.col(col))
+    return df.orderBy(F.when(pos == 0, F.lit(len(order) + 1)).otherwise(pos))
+
+
+# -- log audit (Q5) --
+
+def audit(df: DataFrame, date: str, duration: str, keys: Sequence[str], seq: str,
+          long_minutes: int = 240, n_blocks: int | None = None) -> DataFrame:
+    """Q5: the log's quality audit as one long table (check, n):
+    remaining NULL dates, zero and over-long durations, duplicated rows
+    (groups of identical keys with more than one row) and dates that go
+    backwards in arrival order."""
+    from islet.operators.ordered import order_violations
+    base = df.agg(F.count_if(F.col(date).isNull()).alias("null_dates"),
+                  F.count_if(F.col(duration) == 0).alias("zero_duration"),
+                  F.count_if(F.col(duration) > long_minutes).alias("over_long"))
+    dups = duplicate_groups(df, list(keys)).agg(F.count(F.lit(1)).alias("duplicate_groups"))
+    back = order_violations(df, [seq], date, n_blocks=n_blocks).agg(F.count(F.lit(1)).alias("out_of_order"))
+    one = attach_scalar(attach_scalar(base, dups), back)
+    names = ["null_dates", "zero_duration", "over_long", "duplicate_groups", "out_of_order"]
+    return one.unpivot([], names, "check", "n")

@@ -552,10 +552,79 @@ def q_regime_view(spark, sf):
     return r.withColumn("mean", r6(F.col("mean")))
 
 
+# ------------------------------------------------- more profile / sorts / QA
+
+def q_top_k(spark, sf):
+    li = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return profile.n_largest(li, "l_extendedprice", 10, tie=["l_orderkey", "l_linenumber"])
+
+
+def q_audit(spark, sf):
+    e = T(spark, sf, "events").select("event_id", "user_id", "event_type", F.to_date("ts").alias("d"),
+                                      F.floor("value").cast("long").alias("dur"))
+    return profile.audit(e, "d", "dur", ["user_id", "event_type", "d", "dur"], "event_id")
+
+
+def q_group_means(spark, sf):
+    g = profile.group_means(T(spark, sf, "lineitem"), "l_returnflag", ["l_quantity", "l_discount", "l_tax"])
+    return g.select("l_returnflag", *[r6(F.col(c)).alias(c) for c in g.columns if c != "l_returnflag"])
+
+
+def q_summary_with_without(spark, sf):
+    s = profile.summary_with_without(T(spark, sf, "orders"), "o_totalprice", F.col("o_totalprice") > 400000)
+    return s.select(*[r6(F.col(c)).alias(c) for c in ("mean_all", "std_all", "mean_without", "std_without")],
+                    "n_outliers")
+
+
+def q_sparse_levels(spark, sf):
+    return stats.sparse_levels(T(spark, sf, "part"), "p_brand", k=50)
+
+
+def q_bias_std(spark, sf):
+    b = stats.bias_std(_scored(spark, sf), "resid_m1", by="era")
+    return b.select("era", r6(F.col("bias")).alias("bias"), r6(F.col("std")).alias("std"))
+
+
+def q_share_where(spark, sf):
+    s = profile.share_where(T(spark, sf, "orders"), "o_orderpriority", F.col("o_orderstatus") == "F")
+    return s.withColumn("pct", r6(F.col("pct")))
+
+
+def q_n_unique(spark, sf):
+    return rollup.n_unique(T(spark, sf, "events"), ["event_type"], "user_id", "n_users")
+
+
+def q_describe(spark, sf):
+    d = profile.describe(T(spark, sf, "orders"), "o_totalprice")
+    return d.select("count", *[r6(F.col(c)).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+
+
+def q_evaluate(spark, sf):
+    s = validate.time_split(_orders_features(spark, sf), ORDER_KEY, frac_test=0.25).filter(F.col("role") == "test")
+    s = s.withColumn("pred", S.linear_score(M1["coefficients"], M1["intercept"]))
+    e = models.evaluate(s, "pred", "y", by="o_orderpriority")
+    return e.select("o_orderpriority", "n", *[r6(F.col(c)).alias(c) for c in ("rmse", "bias", "std")])
+
+
+def q_distinct_values(spark, sf):
+    return clean.distinct_values(T(spark, sf, "orders"), "o_orderpriority")
+
+
+def q_drop_incomplete(spark, sf):
+    kept, dropped = clean.drop_incomplete(_docs_labels(spark, sf), ["quality", "toxic"])
+    return joins.attach_scalar(kept.agg(F.count(F.lit(1)).alias("n_kept")), dropped)
+
+
+def q_forest_grid(spark, sf):
+    grid = [{"n_trees": 20, "depth": d, "min_leaf": m} for d in (2, 3) for m in (2, 5)]
+    t = models.tune_trees(_orders_features(spark, sf), ORDER_KEY, FEATS, "y", grid, kind="forest")
+    return models.search_landscape(spark, t["results"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
 
 # queries with no SQL equivalent (iterative fits, approximations) -> rows-only check
 ROWS_ONLY = {"qq_points", "ridge_multi", "alpha_curve", "compare_models", "forest", "boosted",
-             "search_landscape", "importances"}
+             "search_landscape", "importances", "forest_grid"}

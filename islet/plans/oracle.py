@@ -327,4 +327,36 @@ SELECT era, f_tier, n, ROUND(n * 1.0 / SUM(n) OVER (PARTITION BY era) * 100, 6)
   CASE WHEN CAST(o_orderdate AS DATE) >= DATE '{SHIFT_DATE}' THEN 'after' ELSE 'before' END AS regime FROM orders)
 SELECT o_orderstatus, regime, ROUND(AVG(o_totalprice), 6) AS mean, COUNT(*) AS n,
   (SELECT MIN(idx) FROM i WHERE regime = 'after') AS shift_index FROM i GROUP BY o_orderstatus, regime""",
+    "top_k": """SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 10""",
+    "audit": """WITH e AS (SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS d, CAST(FLOOR(value) AS BIGINT) AS dur FROM events),
+o AS (SELECT d, LAG(d) OVER (ORDER BY event_id) AS p FROM e WHERE d IS NOT NULL)
+SELECT * FROM (VALUES
+  ('null_dates', (SELECT COUNT(*) FROM e WHERE d IS NULL)),
+  ('zero_duration', (SELECT COUNT(*) FROM e WHERE dur = 0)),
+  ('over_long', (SELECT COUNT(*) FROM e WHERE dur > 240)),
+  ('duplicate_groups', (SELECT COUNT(*) FROM (SELECT 1 FROM e GROUP BY user_id, event_type, d, dur HAVING COUNT(*) >= 2))),
+  ('out_of_order', (SELECT COUNT(*) FROM o WHERE d < p))) AS t("check", n)""",
+    "group_means": """SELECT l_returnflag, ROUND(AVG(l_quantity), 6) AS mean_l_quantity, ROUND(AVG(l_discount), 6) AS mean_l_discount,
+  ROUND(AVG(l_tax), 6) AS mean_l_tax FROM lineitem GROUP BY l_returnflag""",
+    "summary_with_without": """SELECT ROUND(AVG(o_totalprice), 6) AS mean_all, ROUND(STDDEV_SAMP(o_totalprice), 6) AS std_all,
+  ROUND(AVG(o_totalprice) FILTER (WHERE NOT (o_totalprice > 400000)), 6) AS mean_without,
+  ROUND(STDDEV_SAMP(o_totalprice) FILTER (WHERE NOT (o_totalprice > 400000)), 6) AS std_without,
+  COUNT(*) FILTER (WHERE o_totalprice > 400000) AS n_outliers FROM orders""",
+    "sparse_levels": "SELECT p_brand, COUNT(*) AS n, COUNT(*) < 50 AS sparse FROM part GROUP BY p_brand",
+    "bias_std": f"""WITH {SCORED} SELECT era, ROUND(AVG(resid_m1), 6) AS bias, ROUND(STDDEV_POP(resid_m1), 6) AS std FROM sc GROUP BY era""",
+    "share_where": """SELECT o_orderpriority, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS n_true, COUNT(*) AS n,
+  ROUND(AVG(CAST(o_orderstatus = 'F' AS INTEGER)) * 100, 6) AS pct FROM orders GROUP BY o_orderpriority""",
+    "n_unique": "SELECT event_type, COUNT(DISTINCT user_id) AS n_users FROM events GROUP BY event_type",
+    "describe": """SELECT COUNT(o_totalprice) AS count, ROUND(AVG(o_totalprice), 6) AS mean, ROUND(STDDEV_SAMP(o_totalprice), 6) AS std,
+  ROUND(MIN(o_totalprice), 6) AS min, ROUND(quantile_cont(o_totalprice, 0.25), 6) AS q25,
+  ROUND(quantile_cont(o_totalprice, 0.5), 6) AS q50, ROUND(quantile_cont(o_totalprice, 0.75), 6) AS q75,
+  ROUND(MAX(o_totalprice), 6) AS max FROM orders""",
+    "evaluate": f"""WITH {FEAT}, i AS (SELECT *, ROW_NUMBER() OVER ({ORD}) - 1 AS idx, COUNT(*) OVER () AS n FROM f),
+t AS (SELECT *, y - ({_lin(M1)}) AS d FROM i WHERE idx >= n - FLOOR(n * 0.25))
+SELECT o_orderpriority, COUNT(d) AS n, ROUND(SQRT(AVG(d * d)), 6) AS rmse, ROUND(AVG(d), 6) AS bias,
+  ROUND(STDDEV_POP(d), 6) AS std FROM t GROUP BY o_orderpriority""",
+    "distinct_values": "SELECT DISTINCT o_orderpriority FROM orders",
+    "drop_incomplete": f"""WITH {DL} SELECT COUNT(*) FILTER (WHERE quality IS NOT NULL AND toxic IS NOT NULL) AS n_kept,
+  COUNT(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) AS n_dropped FROM dl""",
 }
