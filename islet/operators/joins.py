@@ -29,11 +29,13 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame (a scalar subquery) to every
-    row, as an equi-join on a constant key against a broadcast single row."""
-    return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one")
-            .drop("_one"))
+    """Attach the columns of a one-row frame to every row as an
+    uncorrelated scalar subquery (computed once, no join at all; more than
+    one row is an error, none gives NULLs)."""
+    cols = one_row.columns
+    sub = one_row.select(F.struct(*cols).alias("_s")).scalar()
+    return (df.withColumn("_s", sub)
+            .select("*", *[F.col(f"_s.{c}").alias(c) for c in cols]).drop("_s"))
 
 
 def label_join(facts: DataFrame, labels: DataFrame, keys: Sequence[str],
