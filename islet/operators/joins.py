@@ -44,10 +44,12 @@ def label_join(facts: DataFrame, labels: DataFrame, keys: Sequence[str],
     return facts.join(small_side(labels, max_rows), list(keys), "left")
 
 
-def pending_join(labels: DataFrame, facts: DataFrame, keys: Sequence[str],
-                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Labels LEFT JOIN facts (keeps labels with no facts)."""
-    return labels.join(small_side(facts, max_rows), list(keys), "left")
+def pending_join(labels: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Labels LEFT JOIN facts (keeps labels with no facts).  The facts
+    side is derived (not a stored dimension), so its size is not pre-counted
+    (that would run its whole lineage twice); AQE broadcasts it at runtime
+    when the shuffle statistics show it is small."""
+    return labels.join(facts, list(keys), "left")
 
 
 def semi(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:

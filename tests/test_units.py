@@ -152,3 +152,27 @@ def test_label_checks(spark):
         profile.check_accepted(lab, "flag", [0, 1]),
         profile.check_unique(lab, ["key"])]).collect()}
     assert res == {"not_null_where:flag": 0, "accepted_values:flag": 1, "unique:key": 1}
+
+
+SEED = ("media_title string, video_type string, video_subtype string, expected_length_mins int, "
+        "complexity_new int, complexity_media_depth int, complexity_delivery_style int, "
+        "complexity_logistics int, complexity_worklife int, is_complete int")
+
+
+def _seed_fail(spark, row):
+    df = spark.createDataFrame([row], SEED)
+    return {r.check: r.n_failures for r in features.seed_checks(df).collect() if r.n_failures}
+
+
+def test_seed_checks_fixture(spark):
+    # is_complete = 1 with a NULL flag fails; a flag of 2 fails; NULL flag on a planned row passes
+    assert _seed_fail(spark, ("T", "R", "A", 15, None, 0, 0, 0, 0, 1)) == {"not_null_where:complexity_new": 1}
+    assert _seed_fail(spark, ("T", "R", "A", 15, 2, 0, 0, 0, 0, 1)) == {"accepted_values:complexity_new": 1}
+    assert _seed_fail(spark, ("T", "R", "A", 15, None, None, None, None, None, 0)) == {}
+
+
+def test_duplicate_key_fails_before_join(spark):
+    lab = spark.createDataFrame([("T", "R", "A", 15, 1, 0, 0, 0, 0, 1), ("T", "R", "A", 10, 1, 0, 0, 0, 0, 1)], SEED)
+    ent = spark.createDataFrame([("T", "R", "A")], "media_title string, video_type string, video_subtype string")
+    with pytest.raises(ValueError, match="duplicate natural key"):
+        features.feature_table(ent, lab)
