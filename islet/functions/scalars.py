@@ -93,11 +93,11 @@ def _c(col) -> Column:
 def canonical_media_type(col, patterns: Sequence[tuple[str, str]] = MEDIA_TYPE_PATTERNS) -> Column:
     """LIKE patterns on trimmed lower text, else the trimmed raw value."""
     c = _c(col)
-    norm = F.trim(F.lower(c))
+    norm = trim_lower(c)
     out = None
     for pat, label in patterns:
-        out = (F.when(norm.like(pat), F.lit(label)) if out is None
-               else out.when(norm.like(pat), F.lit(label)))
+        out = (F.when(like(norm, pat), F.lit(label)) if out is None
+               else out.when(like(norm, pat), F.lit(label)))
     return out.otherwise(F.trim(c)) if out is not None else F.trim(c)
 
 
@@ -265,3 +265,55 @@ def linear_score(coefficients: Mapping[str, float], intercept: float) -> Column:
     for name, w in coefficients.items():
         out = out + F.col(name).cast("double") * F.lit(float(w))
     return out
+
+
+# -- thin built-ins named for the inventory (F1, F2, F4, F12, F13, F15, F16, X11) --
+
+def trim_lower(col) -> Column:
+    """TRIM(LOWER(x))."""
+    return F.trim(F.lower(_c(col)))
+
+
+def like(col, pattern: str) -> Column:
+    """SQL LIKE with % / _ wildcards."""
+    return _c(col).like(pattern)
+
+
+def starts_with(col, prefix: str) -> Column:
+    """prefix test (e.g. picking dummy columns by name prefix)."""
+    return _c(col).startswith(prefix)
+
+
+def hour_of(col) -> Column:
+    """hour of a timestamp, or of an 'HH:mm:ss' text."""
+    return F.hour(_c(col))
+
+
+def hour_at_most(col, h: int) -> Column:
+    """X11: HOUR(x) <= h (the source's 'midnight to 4 AM' probe is h = 4)."""
+    return F.hour(_c(col)) <= F.lit(h)
+
+
+def round_half_up(col, digits: int) -> Column:
+    """SQL ROUND (half away from zero)."""
+    return F.round(_c(col), digits)
+
+
+def round_half_even(col, digits: int) -> Column:
+    """numpy's rounding (banker's), used when scoring."""
+    return F.bround(_c(col), digits)
+
+
+def log_target(col) -> Column:
+    """natural log of a positive target (log-target models)."""
+    return F.log(_c(col))
+
+
+def exp_back(col) -> Column:
+    """back-transform of a log-scale prediction."""
+    return F.exp(_c(col))
+
+
+def cast_to(col, type_name: str) -> Column:
+    """F16: ::DATE, astype(int / float), to_datetime, ... as a cast."""
+    return _c(col).cast(type_name)

@@ -29,10 +29,9 @@ def not_in(col, values: Sequence) -> Column:
 
 def trim_ne(col, value: str, fold_case: bool = False) -> Column:
     """Inequality on trimmed (optionally lower-cased) text."""
-    c = F.trim(S._c(col))
     if fold_case:
-        return F.lower(c) != F.lit(value.lower())
-    return c != F.lit(value)
+        return S.trim_lower(col) != F.lit(value.lower())
+    return F.trim(S._c(col)) != F.lit(value)
 
 
 def drop_incomplete(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from islet.functions.scalars import linear_score
+from islet.functions.scalars import cast_to, exp_back, linear_score, log_target
 from islet.operators.joins import attach_scalar
 from islet.operators.validate import inner_fold_bounds, indexed, rolling_fold_bounds
 
@@ -88,7 +88,7 @@ def gram_from_row(r, p: int, cx=None, cy: float = 0.0) -> Gram:
 def grams_by(df: DataFrame, by: str, features: Sequence[str], label: str, log: bool = False) -> dict:
     """Two small aggregates -> {segment: Gram}: the means (the shift), then
     the shifted sums per segment; rows with a NULL feature/label dropped."""
-    y = F.log(F.col(label)) if log else F.col(label).cast("double")
+    y = log_target(label) if log else cast_to(label, "double")
     clean = df.dropna(subset=[*features, label])
     m = clean.agg(*[F.avg(F.col(f).cast("double")).alias(f"m{i}") for i, f in enumerate(features)],
                   F.avg(y).alias("my")).first()
@@ -176,7 +176,7 @@ def tune_ridge(df: DataFrame, order: Sequence[str], features: Sequence[str], lab
 
 def predict_expr(model: dict):
     e = linear_score(model["coefficients"], model["intercept"])
-    return F.exp(e) if model.get("log_target") else e
+    return exp_back(e) if model.get("log_target") else e
 
 
 def rolling_cv_ridge(df: DataFrame, order: Sequence[str], features: Sequence[str], label: str,

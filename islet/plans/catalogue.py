@@ -236,7 +236,7 @@ def q_coverage_span(spark, sf):
 
 def q_filtered_counts(spark, sf):
     e = T(spark, sf, "events")
-    return e.agg(rollup.count_where(F.hour("ts") <= 4).alias("midnight_starts"),
+    return e.agg(rollup.count_where(S.hour_at_most("ts", 4)).alias("midnight_starts"),
                  F.count(F.lit(1)).alias("total_rows"),
                  rollup.count_where(F.col("value") > 240).alias("long_rows"),
                  rollup.count_where(F.col("value") < 1).alias("short_rows")).withColumn(
