@@ -28,3 +28,44 @@ def test_event_scan_is_pruned(spark):
     df = E.queries()["entity_rollup"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan  # the unused JSON column is never read
+
+
+BOUNDED = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "TakeOrderedAndProject",
+           "GlobalLimit", "LocalLimit", "CollectLimit")
+
+
+def _children(node):
+    if node.nodeName() == "AdaptiveSparkPlan":
+        return [node.initialPlan()]
+    ch = node.children()
+    return [ch.apply(i) for i in range(ch.size())]
+
+
+def _bounded_below(node):
+    """True when an aggregate / limit sits between this exchange and the
+    next exchange or leaf (so what it gathers is bounded)."""
+    for c in _children(node):
+        name = c.nodeName()
+        if any(name.startswith(b) for b in BOUNDED):
+            return True
+        if "Exchange" in name or not _children(c):
+            return False
+        if not _bounded_below(c):
+            return False
+    return True
+
+
+def _single_partition_exchanges(node, out):
+    if node.nodeName() == "Exchange" and "SinglePartition" in node.toString().split("\n")[0]:
+        out.append(node)
+    for c in _children(node):
+        _single_partition_exchanges(c, out)
+    return out
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_single_partition_only_over_bounded_data(spark, name):
+    df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan()
+    bad = [n.toString().split("\n")[0] for n in _single_partition_exchanges(plan, []) if not _bounded_below(n)]
+    assert not bad, bad
