@@ -14,8 +14,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# rows a dimension may have to be broadcast without Spark's own statistics
+# a dimension is broadcast only below both bounds
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+# per-value width used for the byte bound (strings and nested values
+# are charged generously; fixed-width types at their size)
+_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
+          "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def row_width(df: DataFrame) -> int:
+    """Upper-bound-ish bytes per row from the schema (strings as 64 bytes)."""
+    return 16 + sum(_WIDTH.get(t, 64) for _, t in df.dtypes)
 
 
 def has_at_most(df: DataFrame, n: int) -> bool:
@@ -23,9 +34,14 @@ def has_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint df only when its row count is proven below max_rows."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast-hint a stored dimension only when its size is proven small:
+    at most ``max_rows`` rows and at most ``max_bytes`` at the schema's row
+    width.  Use it on stored tables (the check reads at most n + 1 rows),
+    not on derived frames, whose lineage the count would run again."""
+    n = min(max_rows, max(0, max_bytes // row_width(df)))
+    return F.broadcast(df) if has_at_most(df, n) else df
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:

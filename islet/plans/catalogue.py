@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from islet.functions import scalars as S
 from islet.operators import clean, joins, models, monitor, ordered, profile, rollup, sessions, stats, validate
 from islet.operators.features import one_hot
+from islet.plans import views
 
 R = 6  # decimals kept on computed doubles
 
@@ -621,6 +622,42 @@ def q_forest_grid(spark, sf):
     return models.search_landscape(spark, t["results"])
 
 
+# ------------------------------------------ the log's view chain on events
+
+# event type -> a raw (misspelled / out-of-scope) log category, so the
+# cleaner's spelling fixes and scope rules are exercised on real volumes
+EVENT_RAW_CATEGORY = {"view": "Editing Video", "click": "Writing Scriot", "purchase": "Pictures",
+                      "signup": "Outline", "error": "Stats"}
+
+
+def _raw_log(spark, sf):
+    """A raw work log derived from events: 12-hour text times, a padded media
+    type, raw category spellings, and durations that wrap negative when the
+    session crosses midnight (as in the hand-kept log)."""
+    e = _events(spark, sf)
+    end = S.plus_minutes("ts", "dur")
+    return e.select(
+        F.col("event_id").alias("_seq"), F.lit(" Movies ").alias("media_type"), F.lit("S").alias("media_series"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("media_title"),
+        F.lit("Review").alias("video_type"), F.lit("A").alias("video_subtype"),
+        S.classify("event_type", {raw: [et] for et, raw in EVENT_RAW_CATEGORY.items()}).alias("creation_category"),
+        F.to_date("ts").alias("date"), S.time_24h_to_12h("ts").alias("time_start"),
+        S.time_24h_to_12h(end).alias("time_end"),
+        F.when(F.to_date(end) > F.to_date("ts"), F.col("dur") - 1440).otherwise(F.col("dur")).alias("duration"))
+
+
+def q_log_stg(spark, sf):
+    return views.build_views(_raw_log(spark, sf), None, only=["stg_workload"])["stg_workload"]
+
+
+def q_log_sessions(spark, sf):
+    return views.build_views(_raw_log(spark, sf), None, only=["combined_sessions"])["combined_sessions"]
+
+
+def q_log_dim(spark, sf):
+    return views.build_views(_raw_log(spark, sf), None, only=["dim_videos"])["dim_videos"]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

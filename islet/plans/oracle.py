@@ -6,9 +6,11 @@ DuckDB's HUGEINT sums and window counters cast to BIGINT.
 
 from __future__ import annotations
 
-from islet.functions.scalars import DAY_QUARTER_EDGES, DAY_QUARTER_LABELS, LENGTH_TIERS, TIER_ORDINAL
-from islet.plans.catalogue import (CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_TYPES, M1, M2, PART_CLASSES,
-                                   PART_NAME_PATTERNS, PRIORITY_ORDER, SHIFT_DATE)
+from islet.functions.scalars import (CATEGORY_FIXES, DAY_QUARTER_EDGES, DAY_QUARTER_LABELS, EXCLUDED_CATEGORIES,
+                                    EXCLUDED_MEDIA_TYPE, EXCLUDED_SUBTYPES, EXCLUDED_TITLES, LENGTH_TIERS,
+                                    MEDIA_TYPE_PATTERNS, PHASES, ROLLUP_CATEGORIES, TIER_ORDINAL)
+from islet.plans.catalogue import (CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_RAW_CATEGORY, EVENT_TYPES, M1, M2,
+                                   PART_CLASSES, PART_NAME_PATTERNS, PRIORITY_ORDER, SHIFT_DATE)
 from islet.operators.rollup import snake
 
 
@@ -43,8 +45,8 @@ def classify_sql(col: str, mapping: dict, default: str | None) -> str:
     return "CASE " + " ".join(parts) + tail + " END"
 
 
-def rollup_sql() -> str:
-    ph = classify_sql("event_type", EVENT_PHASES, "Uncategorised")
+def rollup_cols(key: str, cat: str, phases: dict, categories: list, descriptive: list = ()) -> list[str]:
+    """Select list of the entity roll-up over a table p(key, cat, ph, d, duration)."""
     creation = _in(["Pre-Processing", "Processing"])
 
     def hrs(cond):
@@ -53,19 +55,25 @@ def rollup_sql() -> str:
     def span(a, b):
         return f"CAST(DATEDIFF('day', {a}, {b}) + 1 AS INTEGER)"
 
-    cols = ["user_id", "ROUND(SUM(duration) / 60.0, 2) AS total_hours", "MIN(d) AS date_first",
-            "MAX(d) AS date_last", f"{span('MIN(d)', 'MAX(d)')} AS total_day_span",
-            "COUNT(DISTINCT d) AS active_days_worked", f"{hrs(f'ph IN ({creation})')} AS hours_creation",
-            f"{span(f'MIN(CASE WHEN ph IN ({creation}) THEN d END)', f'MAX(CASE WHEN ph IN ({creation}) THEN d END)')}"
-            " AS creation_day_span"]
-    cols += [f"{hrs(f'event_type = {_q(c)}')} AS hours_{snake(c)}" for c in EVENT_TYPES]
-    phases = list(EVENT_PHASES) + ["Uncategorised"]
-    cols += [f"{hrs(f'ph = {_q(p)}')} AS hours_{snake(p)}" for p in phases]
-    for p in EVENT_PHASES:
+    cols = [key] + [f"MIN({c}) AS {c}" for c in descriptive]
+    cols += ["ROUND(SUM(duration) / 60.0, 2) AS total_hours", "MIN(d) AS date_first",
+             "MAX(d) AS date_last", f"{span('MIN(d)', 'MAX(d)')} AS total_day_span",
+             "COUNT(DISTINCT d) AS active_days_worked", f"{hrs(f'ph IN ({creation})')} AS hours_creation",
+             f"{span(f'MIN(CASE WHEN ph IN ({creation}) THEN d END)', f'MAX(CASE WHEN ph IN ({creation}) THEN d END)')}"
+             " AS creation_day_span"]
+    cols += [f"{hrs(f'{cat} = {_q(c)}')} AS hours_{snake(c)}" for c in categories]
+    cols += [f"{hrs(f'ph = {_q(p)}')} AS hours_{snake(p)}" for p in list(phases) + ["Uncategorised"]]
+    for p in phases:
         w = f"CASE WHEN ph = {_q(p)} THEN d END"
         cols += [f"MIN({w}) AS {snake(p)}_date_first", f"MAX({w}) AS {snake(p)}_date_last",
                  f"{span(f'MIN({w})', f'MAX({w})')} AS {snake(p)}_total_day_span",
                  f"COUNT(DISTINCT {w}) AS {snake(p)}_active_days"]
+    return cols
+
+
+def rollup_sql() -> str:
+    ph = classify_sql("event_type", EVENT_PHASES, "Uncategorised")
+    cols = rollup_cols("user_id", "event_type", EVENT_PHASES, EVENT_TYPES)
     return f"""WITH {islands_cte(['user_id', 'event_type'])},
 sess AS (SELECT user_id, event_type, sid, MIN(CAST(ts AS DATE)) AS d, SUM(dur) AS duration
          FROM s GROUP BY user_id, event_type, sid),
@@ -360,3 +368,62 @@ SELECT o_orderpriority, COUNT(d) AS n, ROUND(SQRT(AVG(d * d)), 6) AS rmse, ROUND
     "drop_incomplete": f"""WITH {DL} SELECT COUNT(*) FILTER (WHERE quality IS NOT NULL AND toxic IS NOT NULL) AS n_kept,
   COUNT(*) FILTER (WHERE quality IS NULL OR toxic IS NULL) AS n_dropped FROM dl""",
 }
+
+# ---- the log's view chain on the events-derived raw log ----
+
+def _fixes_sql(col: str) -> str:
+    by_target: dict = {}
+    for raw, target in CATEGORY_FIXES.items():
+        by_target.setdefault(target, []).append(raw)
+    return "CASE " + " ".join(f"WHEN {col} IN ({_in(v)}) THEN {_q(t)}" for t, v in by_target.items()) + f" ELSE TRIM({col}) END"
+
+
+def _media_sql(col: str) -> str:
+    norm = f"TRIM(LOWER({col}))"
+    return "CASE " + " ".join(f"WHEN {norm} LIKE {_q(p)} THEN {_q(l)}" for p, l in MEDIA_TYPE_PATTERNS) + f" ELSE TRIM({col}) END"
+
+
+_RAW_CAT = "CASE " + " ".join(f"WHEN event_type = {_q(et)} THEN {_q(raw)}" for et, raw in EVENT_RAW_CATEGORY.items()) + " END"
+_TIE = "ts0, time_end, duration, media_title, video_type, video_subtype, media_type, media_series"
+
+LOG_STG = f"""raw AS (
+  SELECT event_id AS _seq, ' Movies ' AS media_type, 'S' AS media_series, 'u' || CAST(user_id AS VARCHAR) AS media_title,
+    'Review' AS video_type, 'A' AS video_subtype, {_RAW_CAT} AS creation_category, CAST(ts AS DATE) AS date,
+    strftime(ts, '%-I:%M:%S %p') AS time_start, strftime(ts + to_minutes(dur), '%-I:%M:%S %p') AS time_end,
+    CASE WHEN CAST(ts + to_minutes(dur) AS DATE) > CAST(ts AS DATE) THEN dur - 1440 ELSE dur END AS duration
+  FROM (SELECT *, CAST(FLOOR(value) AS BIGINT) AS dur FROM events)),
+cleaned AS (
+  SELECT _seq, date, duration, media_title, video_type, video_subtype, media_series,
+    {_media_sql('media_type')} AS media_type, {_fixes_sql('creation_category')} AS creation_category,
+    strftime(strptime(time_start, '%I:%M:%S %p'), '%H:%M:%S') AS time_start,
+    strftime(strptime(time_end, '%I:%M:%S %p'), '%H:%M:%S') AS time_end
+  FROM raw
+  WHERE media_series IS NOT NULL AND media_title IS NOT NULL AND media_title NOT IN ({_in(EXCLUDED_TITLES)})
+    AND video_type IS NOT NULL AND video_subtype NOT IN ({_in(EXCLUDED_SUBTYPES)})
+    AND TRIM(media_type) != {_q(EXCLUDED_MEDIA_TYPE)} AND creation_category NOT IN ({_in(EXCLUDED_CATEGORIES)})
+    AND creation_category IS NOT NULL),
+filled AS (SELECT *, LAST_VALUE(date IGNORE NULLS) OVER (ORDER BY _seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+           AS date_workflow FROM cleaned),
+stg AS (SELECT DISTINCT media_title, video_type, video_subtype, creation_category, date_workflow, time_start, time_end,
+          CASE WHEN duration < 0 THEN duration + 1440 ELSE duration END AS duration, media_type, media_series FROM filled),
+stg2 AS (SELECT *, md5(media_title || '|' || video_type || '|' || video_subtype) AS video_id FROM stg)"""
+
+LOG_SESS = f"""{LOG_STG},
+b AS (SELECT *, date_workflow + CAST(time_start AS TIME) AS ts0,
+        date_workflow + CAST(time_start AS TIME) + to_minutes(duration) AS te FROM stg2),
+g AS (SELECT *, DATEDIFF('minute', LAG(te) OVER (PARTITION BY video_id, creation_category ORDER BY {_TIE}), ts0) AS gap FROM b),
+s AS (SELECT *, SUM(CASE WHEN gap IS NULL OR gap > 15 THEN 1 ELSE 0 END) OVER (PARTITION BY video_id, creation_category
+        ORDER BY {_TIE} ROWS UNBOUNDED PRECEDING) AS sid FROM g),
+sess AS (SELECT video_id, creation_category, CAST(sid AS BIGINT) AS session_id, COUNT(*) AS sessions_combined,
+    MIN(date_workflow) AS date_workflow, MIN(media_title) AS media_title, MIN(video_type) AS video_type,
+    MIN(video_subtype) AS video_subtype, MIN(media_type) AS media_type, MIN(media_series) AS media_series,
+    MIN(time_start) AS time_start, MAX(time_end) AS time_end, CAST(SUM(duration) AS BIGINT) AS duration,
+    MIN(ts0) AS ts_start, MAX(te) AS ts_end FROM s GROUP BY video_id, creation_category, sid)"""
+
+SQL["log_stg"] = f"WITH {LOG_STG} SELECT * FROM stg2"
+SQL["log_sessions"] = f"WITH {LOG_SESS} SELECT * FROM sess"
+SQL["log_dim"] = f"""WITH {LOG_SESS},
+p AS (SELECT *, {classify_sql('creation_category', PHASES, 'Uncategorised')} AS ph, date_workflow AS d FROM sess)
+SELECT {', '.join(rollup_cols('video_id', 'creation_category', PHASES, ROLLUP_CATEGORIES,
+                              ['media_title', 'video_type', 'video_subtype', 'media_type', 'media_series']))}
+FROM p GROUP BY video_id"""

@@ -21,7 +21,7 @@ def test_no_cross_product(spark, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert "total_hours" in df.columns
+    assert {"video_id", "total_hours", "hours_creation", "creation_day_span"} <= set(df.columns)
 
 
 def test_event_scan_is_pruned(spark):
