@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from islet.functions import scalars as S
 from islet.operators.clean import drop_incomplete
-from islet.operators.ordered import rolling, with_global_index
+from islet.operators.joins import attach_scalar
+from islet.operators.ordered import rolling
 from islet.operators.profile import group_share, residual_stats
 
 
@@ -141,13 +142,14 @@ def share_over_time(df: DataFrame, date: str, hour: str, month_fmt: str = "yyyy-
 
 
 def regime_view(df: DataFrame, order: Sequence[str], date: str, value: str, klass: str, shift_date: str,
-                k: int = 10, min_periods: int = 5, n_blocks: int | None = None) -> DataFrame:
-    """C11: rolling mean of value over k rows in date order, the first
-    position on/after the shift date, and per-class means before/after."""
+                k: int = 10, min_periods: int = 5, n_blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """C11: (series, summary).  ``series`` is every row with its position and
+    the rolling mean of value over k rows in date order; ``summary`` has the
+    per-class means before / after the shift date and the first position on
+    or after it."""
     r = rolling(df, list(order), value, k, min_periods, aggs=("mean",), index="idx", n_blocks=n_blocks)
     after = F.to_date(date) >= F.to_date(F.lit(shift_date))
     r = r.withColumn("regime", F.when(after, F.lit("after")).otherwise(F.lit("before")))
     first = r.filter(after).agg(F.min("idx").alias("shift_index"))
     means = r.groupBy(klass, "regime").agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n"))
-    from islet.operators.joins import attach_scalar
-    return attach_scalar(means, first)
+    return r, attach_scalar(means, first)

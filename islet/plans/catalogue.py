@@ -549,8 +549,8 @@ def q_tier_mix(spark, sf):
 
 def q_regime_view(spark, sf):
     o = T(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus")
-    r = monitor.regime_view(o, ORDER_KEY, "o_orderdate", "o_totalprice", "o_orderstatus", SHIFT_DATE)
-    return r.withColumn("mean", r6(F.col("mean")))
+    _, summary = monitor.regime_view(o, ORDER_KEY, "o_orderdate", "o_totalprice", "o_orderstatus", SHIFT_DATE)
+    return summary.withColumn("mean", r6(F.col("mean")))
 
 
 # ------------------------------------------------- more profile / sorts / QA

@@ -6,7 +6,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from islet.plans.views import build_views
 from islet.sources.io import read_log, read_seed
