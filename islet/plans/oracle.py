@@ -124,8 +124,8 @@ sp2 AS (SELECT *, CASE WHEN idx >= n - FLOOR(n * 0.25) THEN 'test' ELSE 'train'
 EVH = f"""eh AS (SELECT *, HOUR(ts) AS hour, {day_quarter_sql('HOUR(ts)')} AS day_quarter FROM events)"""
 
 CHI_CELLS = f"""{EVH},
-lv AS (SELECT r.event_type, c.day_quarter FROM (SELECT DISTINCT event_type FROM eh) r
-       CROSS JOIN (SELECT DISTINCT day_quarter FROM eh) c),
+lv AS (SELECT event_type, UNNEST((SELECT list(DISTINCT day_quarter) FROM eh)) AS day_quarter
+       FROM (SELECT DISTINCT event_type FROM eh)),
 cnt AS (SELECT event_type, day_quarter, COUNT(*) AS o FROM eh GROUP BY ALL),
 cells AS (SELECT lv.event_type, lv.day_quarter, COALESCE(cnt.o, 0) AS observed FROM lv LEFT JOIN cnt USING (event_type, day_quarter)),
 ex AS (SELECT *, SUM(observed) OVER (PARTITION BY event_type) * SUM(observed) OVER (PARTITION BY day_quarter)
@@ -183,7 +183,7 @@ SELECT rn, prev_value, value FROM o WHERE value < prev_value""",
     "context_rows": """WITH n AS (SELECT event_id, event_type, value, ROW_NUMBER() OVER (ORDER BY event_id) AS rn FROM events),
 h AS (SELECT rn FROM n WHERE event_type = 'error' AND value > 200)
 SELECT rn, event_id, event_type, value FROM n
-WHERE rn IN (SELECT h.rn + d.delta FROM h CROSS JOIN (VALUES (-1), (0), (1)) AS d(delta))""",
+WHERE rn IN (SELECT h.rn + UNNEST([-1, 0, 1]) FROM h)""",
     "label_left_join": f"WITH {DL} SELECT * FROM dl",
     "pending_left_join": """SELECT l.doc_id, l.toxic, d.lang, d.source, d.n_chars
 FROM labels l LEFT JOIN documents d USING (doc_id) WHERE l.quality = 0""",
@@ -210,8 +210,9 @@ FROM documents GROUP BY text HAVING COUNT(*) > 1""",
   ROUND(quantile_cont(l_extendedprice, 0.5), 6) AS median, ROUND(quantile_cont(l_extendedprice, 0.75), 6) AS q3
 FROM lineitem GROUP BY l_returnflag""",
     "histogram": """WITH r AS (SELECT MIN(l_extendedprice) AS lo, MAX(l_extendedprice) AS hi FROM lineitem),
+y AS (SELECT l_extendedprice, (SELECT lo FROM r) AS lo, (SELECT hi FROM r) AS hi FROM lineitem WHERE l_extendedprice IS NOT NULL),
 x AS (SELECT CAST(CASE WHEN hi - lo = 0 THEN 0 ELSE LEAST(FLOOR((l_extendedprice - lo) / (hi - lo) * 20), 19) END AS INTEGER) AS bin,
-             lo, hi FROM lineitem, r WHERE l_extendedprice IS NOT NULL)
+             lo, hi FROM y)
 SELECT bin, COUNT(*) AS count, ROUND(MIN(lo) + (MIN(hi) - MIN(lo)) * bin / 20, 6) AS bin_lo FROM x GROUP BY bin""",
     "crosstab": """SELECT o_orderpriority, COUNT(*) FILTER (WHERE o_orderstatus = 'F') AS "F",
   COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS "O", COUNT(*) FILTER (WHERE o_orderstatus = 'P') AS "P"
@@ -270,8 +271,9 @@ SELECT ROUND(SUM((observed - expected) * (observed - expected) / expected), 6) A
 SELECT event_type, day_quarter, observed, ROUND(expected, 6) AS expected,
   ROUND((observed - expected) / SQRT(expected), 6) AS residual FROM ex""",
     "normality": """WITH m AS (SELECT AVG(o_totalprice) AS mu, COUNT(o_totalprice) AS n FROM orders),
+om AS (SELECT o_totalprice, (SELECT mu FROM m) AS mu, (SELECT n FROM m) AS n FROM orders),
 c AS (SELECT AVG(POWER(o_totalprice - mu, 2)) AS m2, AVG(POWER(o_totalprice - mu, 3)) AS m3,
-             AVG(POWER(o_totalprice - mu, 4)) AS m4, MIN(n) AS n, MIN(mu) AS mu FROM orders, m),
+             AVG(POWER(o_totalprice - mu, 4)) AS m4, MIN(n) AS n, MIN(mu) AS mu FROM om),
 g AS (SELECT n, mu, m3 / POWER(m2, 1.5) AS g1, m4 / (m2 * m2) - 3 AS g2 FROM c)
 SELECT n, ROUND(mu, 6) AS mean, ROUND(g1, 6) AS skewness, ROUND(g2, 6) AS kurtosis,
   ROUND(n / 6.0 * (g1 * g1 + g2 * g2 / 4.0), 6) AS jarque_bera FROM g""",
@@ -281,25 +283,26 @@ SELECT role, COUNT(*) AS n, MIN(o_orderdate) AS date_min, MAX(o_orderdate) AS da
   ROUND(AVG(o_totalprice), 6) AS target_mean, ROUND(AVG(CAST(o_orderstatus = 'F' AS DOUBLE)) * 100, 6) AS flag_pct, """
     + ", ".join(f"COUNT(*) FILTER (WHERE o_orderpriority = {_q(p)}) AS \"{p}\"" for p in PRIORITY_ORDER)
     + " FROM sp2 GROUP BY role",
-    "rolling_folds": f"""WITH {SPLIT}, fb AS (SELECT f.fold, FLOOR(n * 0.35) AS st, FLOOR((n - FLOOR(n * 0.35)) / 3) AS sz
-  FROM (SELECT MIN(n) AS n FROM sp) CROSS JOIN (VALUES (0), (1), (2)) AS f(fold)),
-x AS (SELECT fb.fold, CASE WHEN idx < st + sz * fb.fold THEN 'train' WHEN idx < st + sz * (fb.fold + 1) THEN 'test' END AS role,
-  o_orderkey, idx FROM sp CROSS JOIN fb)
+    "rolling_folds": f"""WITH {SPLIT}, sf AS (SELECT *, UNNEST([0, 1, 2]) AS fold, FLOOR(n * 0.35) AS st,
+  FLOOR((n - FLOOR(n * 0.35)) / 3) AS sz FROM sp),
+x AS (SELECT fold, CASE WHEN idx < st + sz * fold THEN 'train' WHEN idx < st + sz * (fold + 1) THEN 'test' END AS role,
+  o_orderkey, idx FROM sf)
 SELECT fold, role, o_orderkey, idx FROM x WHERE role IS NOT NULL""",
-    "inner_folds": f"""WITH {SPLIT}, fb AS (SELECT f.fold, n, FLOOR(n / 4) AS ts
-  FROM (SELECT MIN(n) AS n FROM sp) CROSS JOIN (VALUES (0), (1), (2)) AS f(fold)),
-x AS (SELECT fb.fold, CASE WHEN idx < fb.n - ts * (3 - fb.fold) THEN 'train'
-  WHEN idx < fb.n - ts * (2 - fb.fold) THEN 'test' END AS role, o_orderkey, idx FROM sp CROSS JOIN fb)
+    "inner_folds": f"""WITH {SPLIT}, sf AS (SELECT *, UNNEST([0, 1, 2]) AS fold, FLOOR(n / 4) AS ts FROM sp),
+x AS (SELECT fold, CASE WHEN idx < n - ts * (3 - fold) THEN 'train'
+  WHEN idx < n - ts * (2 - fold) THEN 'test' END AS role, o_orderkey, idx FROM sf)
 SELECT fold, role, o_orderkey, idx FROM x WHERE role IS NOT NULL""",
     "baseline_global": f"""WITH {SPLIT}, mu AS (SELECT AVG(o_totalprice) AS pred FROM sp2 WHERE role = 'train')
 SELECT 'B0' AS model, ROUND(SQRT(AVG(POWER(pred - o_totalprice, 2))), 6) AS rmse,
-  COUNT(pred - o_totalprice) AS n_scored, COUNT(*) AS n_test FROM sp2, mu WHERE role = 'test'""",
+  COUNT(pred - o_totalprice) AS n_scored, COUNT(*) AS n_test
+FROM (SELECT o_totalprice, (SELECT pred FROM mu) AS pred FROM sp2 WHERE role = 'test')""",
     "baseline_group": f"""WITH {SPLIT}, mu AS (SELECT o_orderpriority, AVG(o_totalprice) AS pred FROM sp2 WHERE role = 'train' GROUP BY 1)
 SELECT 'B1' AS model, ROUND(SQRT(AVG(POWER(pred - o_totalprice, 2))), 6) AS rmse,
   COUNT(pred - o_totalprice) AS n_scored, COUNT(*) AS n_test FROM sp2 LEFT JOIN mu USING (o_orderpriority) WHERE role = 'test'""",
     "ridge_single": """WITH l AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem),
 m AS (SELECT AVG(x) AS mx, AVG(y) AS my FROM l),
-s AS (SELECT SUM((x - mx) * (y - my)) AS sxy, SUM((x - mx) * (x - mx)) AS sxx, MIN(mx) AS mx, MIN(my) AS my FROM l, m),
+lm AS (SELECT x, y, (SELECT mx FROM m) AS mx, (SELECT my FROM m) AS my FROM l),
+s AS (SELECT SUM((x - mx) * (y - my)) AS sxy, SUM((x - mx) * (x - mx)) AS sxx, MIN(mx) AS mx, MIN(my) AS my FROM lm),
 fit AS (SELECT sxy / (sxx + 10.0) AS coef, my - sxy / (sxx + 10.0) * mx AS intercept FROM s)
 SELECT ROUND(intercept, 6) AS intercept, ROUND(coef, 6) AS coef,
   ROUND((SELECT SQRT(AVG(POWER(y - intercept - coef * x, 2))) FROM l), 6) AS rmse FROM fit""",
