@@ -19,6 +19,7 @@ from islet.operators.clean import clean_log
 from islet.operators.features import feature_table, pending_table
 from islet.operators.rollup import entity_rollup
 from islet.operators.sessions import sessionize
+from islet.sources.io import materialize
 
 VIEWS = ["stg_workload", "combined_sessions", "dim_videos", "dim_videos_ml", "fct_videos_pending"]
 DEPENDS = {"stg_workload": [], "combined_sessions": ["stg_workload"], "dim_videos": ["combined_sessions"],
@@ -39,8 +40,14 @@ def combined_sessions(stg: DataFrame, gap: int = 15, end: str = "max_end", n_blo
 
 
 def build_views(raw: DataFrame, seed: DataFrame, only: Sequence[str] | None = None, gap: int = 15,
-                n_blocks: int | None = None) -> dict[str, DataFrame]:
-    """The five views; ``only`` limits which are built."""
+                n_blocks: int | None = None, materialize_stages: bool = True) -> dict[str, DataFrame]:
+    """The five views; ``only`` limits which are built.
+
+    With ``materialize_stages`` the cleaned log (read twice: skew check and
+    sessions) and ``dim_videos`` when both its readers are built are written
+    once as tables in the shared checkpoint folder instead of being
+    recomputed per reader (the source recomputes its view chain for every
+    reader)."""
     want = set(only or VIEWS)
     need = set()
 
@@ -55,10 +62,14 @@ def build_views(raw: DataFrame, seed: DataFrame, only: Sequence[str] | None = No
     out: dict[str, DataFrame] = {}
     if "stg_workload" in need:
         out["stg_workload"] = clean_log(raw, n_blocks=n_blocks)
+        if materialize_stages and "combined_sessions" in need:
+            out["stg_workload"] = materialize(out["stg_workload"], "stg_workload")
     if "combined_sessions" in need:
         out["combined_sessions"] = combined_sessions(out["stg_workload"], gap, n_blocks=n_blocks)
     if "dim_videos" in need:
         out["dim_videos"] = entity_rollup(out["combined_sessions"])
+        if materialize_stages and {"dim_videos_ml", "fct_videos_pending"} <= need:
+            out["dim_videos"] = materialize(out["dim_videos"], "dim_videos")
     if "dim_videos_ml" in need:
         out["dim_videos_ml"] = feature_table(out["dim_videos"], seed)
     if "fct_videos_pending" in need:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from islet.operators.ordered import with_global_index
+from islet.session import shared_path
 
 RAW_LOG_SCHEMA = T.StructType([
     T.StructField("media_type", T.StringType()),
@@ -77,6 +79,15 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     w.save(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """CREATE TABLE AS for an intermediate stage: written once to the
+    shared checkpoint folder and read back, so several readers (or a skew
+    check and the real work) do not each recompute its lineage."""
+    path = shared_path(df.sparkSession, f"islet-stage-{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def row_count(df: DataFrame) -> int:
     """S4."""
     return df.count()
