@@ -40,6 +40,12 @@ def _cols(order) -> list:
     return [order] if isinstance(order, (str, Column)) else list(order)
 
 
+def sort_keys(order) -> list:
+    """Column names -> ascending NULLS LAST (the order DuckDB and pandas use,
+    and so the source's); Column sort expressions are kept as given."""
+    return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in _cols(order)]
+
+
 def default_blocks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -47,7 +53,7 @@ def default_blocks(df: DataFrame) -> int:
 def range_blocks(df: DataFrame, order, n_blocks: int | None = None) -> DataFrame:
     """Add ``_blk`` (block number, increasing with the order) and ``_pos``
     (0-based position inside the block)."""
-    order = _cols(order)
+    order = sort_keys(order)
     n = n_blocks or default_blocks(df)
     if not 1 <= n <= MAX_BLOCKS:
         raise ValueError(f"n_blocks must be in [1, {MAX_BLOCKS}]")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from islet.functions.scalars import minute_boundaries, plus_minutes
-from islet.operators.ordered import BLK, POS, range_blocks
+from islet.operators.ordered import BLK, POS, range_blocks, sort_keys
 
 
 def _list(x) -> list[str]:
@@ -58,7 +58,7 @@ def plan_blocks(df: DataFrame, keys: list[str], hot_min_rows: int = HOT_MIN_ROWS
 
 
 def _plain_islands(df, keys, start, end, tie, gap, island, gap_col):
-    w = Window.partitionBy(*keys).orderBy(start, *tie)
+    w = Window.partitionBy(*keys).orderBy(*sort_keys([start, *tie]))
     rows = df.withColumn(gap_col, minute_boundaries(F.lag(F.col(end)).over(w), F.col(start)))
     new = F.when(F.col(gap_col).isNull() | (F.col(gap_col) > F.lit(gap)), 1).otherwise(0)
     return rows.withColumn(island, F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))

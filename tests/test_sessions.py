@@ -82,3 +82,17 @@ def test_skew_guard_picks_blocks_for_hot_key(spark, events):
     a = sorted((r.event_id, r.isl) for r in want.collect())
     b = sorted((r.event_id, r.island_id) for r in got.collect())
     assert a == b
+
+
+def test_null_starts_sort_last(spark):
+    t = dt.datetime
+    rows = [("a", 1, t(2024, 1, 1, 9, 0), 10), ("a", 2, None, 10), ("a", 3, t(2024, 1, 1, 9, 15), 10),
+            ("a", 4, None, 5), ("b", 5, None, 5), ("b", 6, t(2024, 1, 2, 8, 0), 5)]
+    df = spark.createDataFrame(rows, "k string, id long, ts timestamp_ntz, dur long")
+    plain = {r.id: r.island_id for r in S.with_islands(df, "k", "ts", duration="dur", gap=15, tie="id").collect()}
+    for nb in (2, 5):
+        blocked = {r.id: r.island_id for r in S.with_islands(df, "k", "ts", duration="dur", gap=15, tie="id",
+                                                             n_blocks=nb).collect()}
+        assert blocked == plain
+    # non-NULL starts first (1 and 3 merge), then each NULL start opens an island
+    assert plain == {1: 1, 3: 1, 2: 2, 4: 3, 6: 1, 5: 2}
