@@ -40,6 +40,7 @@ def _list(x) -> list[str]:
 HOT_MIN_ROWS = 1_000_000
 HOT_FACTOR = 2.0
 BLOCK_TARGET_ROWS = 2_000_000
+MAX_AUTO_BLOCKS = 100_000  # keeps the range shuffle's reducer count sane
 
 
 def plan_blocks(df: DataFrame, keys: list[str], hot_min_rows: int = HOT_MIN_ROWS,
@@ -54,7 +55,7 @@ def plan_blocks(df: DataFrame, keys: list[str], hot_min_rows: int = HOT_MIN_ROWS
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     if st["mx"] <= max(hot_min_rows, hot_factor * st["tot"] / parts):
         return None
-    return max(parts, -(-st["tot"] // BLOCK_TARGET_ROWS))
+    return min(MAX_AUTO_BLOCKS, max(parts, -(-st["tot"] // BLOCK_TARGET_ROWS)))
 
 
 def _plain_islands(df, keys, start, end, tie, gap, island, gap_col):

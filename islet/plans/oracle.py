@@ -103,7 +103,11 @@ FEAT = f"""f AS (SELECT *,
 
 
 def _lin(m) -> str:
-    return " + ".join([repr(m["intercept"])] + [f"{w!r} * {f}" for f, w in m["coefficients"].items()])
+    """The linear score in DOUBLE arithmetic (DuckDB would keep decimal
+    literals exact), summed in the same order as the Spark expression."""
+    terms = [f"CAST({m['intercept']!r} AS DOUBLE)"]
+    terms += [f"CAST({f} AS DOUBLE) * CAST({w!r} AS DOUBLE)" for f, w in m["coefficients"].items()]
+    return " + ".join(terms)
 
 
 SCORED = f"""{FEAT},
@@ -326,7 +330,7 @@ SELECT (SELECT COUNT(*) FROM d2) AS n_rows, l.step, ROUND(l.rm, 6) AS latest_mea
   CAST(ABS(l.rm) > 2.0 OR l.rr > 5.45 AS INTEGER) AS retrain FROM l""",
     "residuals_by_group": f"""WITH {SCORED}
 SELECT o_orderpriority, COUNT(resid_m1) AS n, ROUND(AVG(resid_m1), 6) AS mean, ROUND(SQRT(AVG(resid_m1 * resid_m1)), 6) AS rmse,
-  CAST(COALESCE(list_position([{_in(PRIORITY_ORDER)}], o_orderpriority), 0) AS INTEGER) AS rank FROM sc GROUP BY o_orderpriority""",
+  CAST(COALESCE(list_position([{_in(PRIORITY_ORDER)}], o_orderpriority), 0) AS BIGINT) AS rank FROM sc GROUP BY o_orderpriority""",
     "feature_shift": f"""WITH {SCORED}, m AS (""" + " UNION ALL ".join(
         f"SELECT '{c}' AS feature, AVG(CAST({c} AS DOUBLE)) FILTER (WHERE era = 'train') AS tm, "
         f"AVG(CAST({c} AS DOUBLE)) FILTER (WHERE era = 'post') AS pm FROM sc" for c in ["f_new", "f_depth", "f_delivery"])
