@@ -192,3 +192,17 @@ def bias_std(df: DataFrame, resid: str, by=None) -> DataFrame:
     """M9: mean signed residual and population std (numpy ddof=0)."""
     by = [by] if isinstance(by, str) else list(by or [])
     return df.groupBy(*by).agg(F.avg(resid).alias("bias"), F.stddev_pop(resid).alias("std"))
+
+
+def corr_matrix(df: DataFrame, cols: Sequence[str], method: str = "spearman") -> DataFrame:
+    """M1 / M2 matrix form: Pearson or Spearman correlation of every column
+    pair, long (x, y, r), over rows where all columns are present.  Uses
+    MLlib's distributed ``Correlation`` (Spearman = Pearson of average ranks,
+    ties averaged like pandas)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    base = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(base).select("_v")
+    m = Correlation.corr(vec, "_v", method).first()[0].toArray()  # p x p, bounded by the column count
+    rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "x string, y string, r double")

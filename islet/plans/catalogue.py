@@ -622,6 +622,14 @@ def q_forest_grid(spark, sf):
     return models.search_landscape(spark, t["results"])
 
 
+def q_spearman_matrix(spark, sf):
+    m = stats.corr_matrix(T(spark, sf, "lineitem"), SPEARMAN_COLS, "spearman")
+    return m.withColumn("r", r6(F.col("r")))
+
+
+SPEARMAN_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
 # ------------------------------------------ the log's view chain on events
 
 # event type -> a raw (misspelled / out-of-scope) log category, so the

@@ -9,7 +9,7 @@ from __future__ import annotations
 from islet.functions.scalars import (CATEGORY_FIXES, DAY_QUARTER_EDGES, DAY_QUARTER_LABELS, EXCLUDED_CATEGORIES,
                                     EXCLUDED_MEDIA_TYPE, EXCLUDED_SUBTYPES, EXCLUDED_TITLES, LENGTH_TIERS,
                                     MEDIA_TYPE_PATTERNS, PHASES, ROLLUP_CATEGORIES, TIER_ORDINAL)
-from islet.plans.catalogue import (CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_RAW_CATEGORY, EVENT_TYPES, M1, M2,
+from islet.plans.catalogue import (SPEARMAN_COLS, CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_RAW_CATEGORY, EVENT_TYPES, M1, M2,
                                    PART_CLASSES, PART_NAME_PATTERNS, PRIORITY_ORDER, SHIFT_DATE)
 from islet.operators.rollup import snake
 
@@ -434,3 +434,14 @@ p AS (SELECT *, {classify_sql('creation_category', PHASES, 'Uncategorised')} AS
 SELECT {', '.join(rollup_cols('video_id', 'creation_category', PHASES, ROLLUP_CATEGORIES,
                               ['media_title', 'video_type', 'video_subtype', 'media_type', 'media_series']))}
 FROM p GROUP BY video_id"""
+
+
+def _spearman_matrix_sql(cols) -> str:
+    ranks = ", ".join(f"RANK() OVER (ORDER BY {c}) + (COUNT(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS r_{c}" for c in cols)
+    pairs = " UNION ALL ".join(f"SELECT '{a}' AS x, '{b}' AS y, ROUND(CORR(r_{a}, r_{b}), 6) AS r FROM rk"
+                               for a in cols for b in cols)
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    return f"WITH rk AS (SELECT {ranks} FROM lineitem WHERE {nn}) {pairs}"
+
+
+SQL["spearman_matrix"] = _spearman_matrix_sql(SPEARMAN_COLS)

@@ -176,3 +176,11 @@ def test_duplicate_key_fails_before_join(spark):
     ent = spark.createDataFrame([("T", "R", "A")], "media_title string, video_type string, video_subtype string")
     with pytest.raises(ValueError, match="duplicate natural key"):
         features.feature_table(ent, lab)
+
+
+def test_spearman_matrix_matches_pairwise(spark):
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    m = {(r.x, r.y): r.r for r in stats.corr_matrix(li, ["l_quantity", "l_extendedprice", "l_discount"]).collect()}
+    pair = stats.spearman(li, "l_quantity", "l_extendedprice", tie=["l_orderkey", "l_linenumber"], n_blocks=3).first().rho
+    assert abs(m[("l_quantity", "l_extendedprice")] - pair) < 1e-9
+    assert m[("l_discount", "l_discount")] == 1.0
