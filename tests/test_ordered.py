@@ -91,3 +91,10 @@ def test_no_single_partition_over_rows(spark, seq):
     for line in plan.splitlines():
         if "SinglePartition" in line:
             assert "Exchange" in line
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], "k long, x double")
+    assert O.forward_fill(df, ["k"], ["x"], n_blocks=3).count() == 0
+    assert O.with_global_index(df, ["k"], n_blocks=3).count() == 0
+    assert O.rolling(df, ["k"], "x", 3, 2, n_blocks=3).count() == 0
