@@ -78,9 +78,11 @@ def anti(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(keys_df.select(*keys), list(keys), "left_anti")
 
 
-def rows_of_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the selected groups (groups is a bounded top-k)."""
-    return df.join(F.broadcast(groups), list(keys))
+def rows_of_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str],
+                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Rows of the selected groups; the group list is broadcast only
+    when its size is proven small (a top-k always is)."""
+    return df.join(small_side(groups, max_rows), list(keys))
 
 
 def lookup_mean(test: DataFrame, train: DataFrame, key: str, value: str, name: str = "pred") -> DataFrame:
