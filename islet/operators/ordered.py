@@ -14,7 +14,8 @@ here instead cuts the order into contiguous *blocks*:
    with a partial aggregate, so it is tiny and its size is bounded by the
    block count.  Prefix sums / carries over it run on that tiny table.
 3. The summary is broadcast back (size bound = number of blocks) and combined
-   with a window partitioned by block.
+   with a window partitioned by block.  The block table is bucketed by
+   block, so that window needs no shuffle of its own.
 
 The result equals the single-partition window exactly; tests compare both.
 The order columns must identify rows uniquely (add a tie-break key) so the
@@ -23,13 +24,12 @@ result is deterministic.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from islet.session import shared_path
+from islet.session import scratch_table
 
 BLK = "_blk"
 POS = "_pos"
@@ -66,11 +66,13 @@ def range_blocks(df: DataFrame, order, n_blocks: int | None = None) -> DataFrame
     # different blocks.  The blocked rows are written once as a table in the
     # shared checkpoint folder (spark.checkpoint.dir): every reader sees the
     # same cut, the lineage is cut (survives executor loss), and readers get
-    # parquet column pruning.
+    # parquet column pruning.  The table is bucketed by block, so a scan of
+    # it is already hash-partitioned by block: the per-block windows and
+    # summaries that follow need no further shuffle.
     spark = df.sparkSession
-    path = shared_path(spark, f"islet-blocks-{uuid.uuid4().hex}")
-    b.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    name, path = scratch_table(spark, "blocks")
+    b.write.mode("overwrite").format("parquet").bucketBy(n, BLK).option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 def _block_offsets(blocked: DataFrame) -> DataFrame:

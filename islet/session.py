@@ -53,3 +53,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+SCRATCH_DB = "islet_scratch"
+
+
+def scratch_table(spark: SparkSession, prefix: str) -> tuple[str, str]:
+    """(table name, location) for a scratch table: a database of its own,
+    located in the shared checkpoint folder, so bucketed intermediate tables
+    carry their bucketing to readers and can be dropped in one go."""
+    import uuid
+    db_path = shared_path(spark, SCRATCH_DB)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{db_path}'")
+    name = f"{prefix}_{uuid.uuid4().hex}"
+    return f"{SCRATCH_DB}.{name}", os.path.join(db_path, name)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Forget every scratch table (their files stay in the shared folder,
+    which the cluster's own retention clears)."""
+    spark.sql(f"DROP DATABASE IF EXISTS {SCRATCH_DB} CASCADE")

@@ -85,8 +85,10 @@ def test_no_single_partition_over_rows(spark, seq):
     summary (bounded by the block count) may sit in one partition."""
     got = O.forward_fill(seq, ["k"], ["x"], n_blocks=8)
     plan = got._jdf.queryExecution().executedPlan().toString()
-    # the rows are read from the block table and windowed per block
-    assert "hashpartitioning(_blk" in plan
+    # the rows are read from the bucketed block table and windowed per block
+    # without another shuffle
+    assert "Bucketed: true" in plan
+    assert "hashpartitioning(_blk" not in plan
     # a SinglePartition exchange may only feed the per-block summary window
     for line in plan.splitlines():
         if "SinglePartition" in line:
