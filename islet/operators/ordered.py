@@ -137,47 +137,51 @@ def rolling(df: DataFrame, order, col: str, k: int, min_periods: int | None = No
     ``min_periods`` (NULL until that many non-NULL values are in the frame).
 
     ``aggs`` takes ``mean``, ``rmse`` (sqrt of mean square), ``sum``, ``count``.
-    Each block gets the last k-1 rows before it as a halo; those are found
-    among the per-block tails, a set bounded by n_blocks * (k - 1).
+    All are built from three decomposable sums (sum, non-NULL count, sum of
+    squares): a window inside each block (reading the bucketed block table,
+    no shuffle) plus, for the first k-1 rows of a block, the part of the
+    frame that lies in earlier blocks.  That part comes from the last k-1
+    rows before each block (a set bounded by n_blocks * (k - 1)), summed per
+    (block, position) and broadcast back.
     """
-    order = _cols(order)
     m = k if min_periods is None else min_periods
     blocked = range_blocks(df, order, n_blocks)
     offs = _block_offsets(blocked)
-    rows = (blocked.join(F.broadcast(offs), BLK, "left")
-            .withColumn("_idx", F.col("_off") + F.col(POS)))
-    if k > 1:
-        tail = (rows.filter(F.col(POS) >= F.col("_cnt") - F.lit(k - 1))
-                .withColumn("_tgt", F.explode(F.sequence(F.col("_idx") + 1, F.col("_idx") + F.lit(k - 1)))))
-        starts = offs.filter(F.col("_cnt") > 0).select(F.col(BLK).alias("_hblk"), F.col("_off").alias("_tgt"))
-        halo = (tail.join(F.broadcast(starts), "_tgt")
-                .withColumn(BLK, F.col("_hblk")).drop("_hblk", "_tgt")
-                .withColumn("_halo", F.lit(True)))
-        both = rows.withColumn("_halo", F.lit(False)).unionByName(halo)
-    else:
-        both = rows.withColumn("_halo", F.lit(False))
-    w = Window.partitionBy(BLK).orderBy("_idx").rowsBetween(-(k - 1), 0)
     x = F.col(col).cast("double")
-    enough = F.count(x).over(w) >= F.lit(m)
-    out = both
+    w = Window.partitionBy(BLK).orderBy(POS).rowsBetween(-(k - 1), 0)
+    out = blocked.select("*", F.sum(x).over(w).alias("_s"), F.count(x).over(w).alias("_c"),
+                         F.sum(x * x).over(w).alias("_q"))
+    if k > 1:
+        # rows of a block's tail, sent to the next non-empty blocks they reach
+        tail = (blocked.join(F.broadcast(offs), BLK)
+                .filter(F.col(POS) >= F.col("_cnt") - F.lit(k - 1))
+                .select((F.col("_off") + F.col(POS)).alias("_hi"), x.alias("_hx")))
+        starts = offs.filter(F.col("_cnt") > 0).select(F.col(BLK).alias("_tb"), F.col("_off").alias("_toff"))
+        reach = tail.select("_hi", "_hx", F.explode(F.sequence(F.col("_hi") + 1, F.col("_hi") + F.lit(k - 1))).alias("_toff"))
+        halo = reach.join(F.broadcast(starts), "_toff").withColumn("_d", F.col("_toff") - F.col("_hi"))
+        # a halo row d places before the block start is in the frame of the
+        # block's rows at positions 0 .. k-1-d
+        extra = (halo.select("_tb", "_hx", F.explode(F.sequence(F.lit(0), F.lit(k - 1) - F.col("_d"))).alias("_p"))
+                 .groupBy("_tb", "_p").agg(F.sum("_hx").alias("_es"), F.count("_hx").alias("_ec"),
+                                           F.sum(F.col("_hx") * F.col("_hx")).alias("_eq")))
+        out = (out.join(F.broadcast(extra), (F.col(BLK) == F.col("_tb")) & (F.col(POS) == F.col("_p")), "left")
+               .withColumn("_s", F.when(F.col("_ec") > 0, F.coalesce(F.col("_s"), F.lit(0.0)) + F.col("_es"))
+                           .otherwise(F.col("_s")))
+               .withColumn("_c", F.col("_c") + F.coalesce(F.col("_ec"), F.lit(0)))
+               .withColumn("_q", F.when(F.col("_ec") > 0, F.coalesce(F.col("_q"), F.lit(0.0)) + F.col("_eq"))
+                           .otherwise(F.col("_q")))
+               .drop("_tb", "_p", "_es", "_ec", "_eq"))
+    enough = F.col("_c") >= F.lit(m)
+    exprs = {"mean": F.col("_s") / F.col("_c"), "rmse": F.sqrt(F.col("_q") / F.col("_c")),
+             "sum": F.col("_s"), "count": F.col("_c")}
     for a in aggs:
-        if a == "mean":
-            e = F.avg(x).over(w)
-        elif a == "rmse":
-            e = F.sqrt(F.avg(x * x).over(w))
-        elif a == "sum":
-            e = F.sum(x).over(w)
-        elif a == "count":
-            e = F.count(x).over(w)
-        else:
+        if a not in exprs:
             raise ValueError(a)
-        out = out.withColumn(prefix + a, F.when(enough, e))
-    out = out.filter(~F.col("_halo"))
+        out = out.withColumn(prefix + a, F.when(enough, exprs[a]))
     if index:
-        out = out.withColumnRenamed("_idx", index)
-    else:
-        out = out.drop("_idx")
-    return out.drop(BLK, POS, "_off", "_cnt", "_halo")
+        out = (out.join(F.broadcast(offs.select(BLK, "_off")), BLK, "left")
+               .withColumn(index, F.col("_off") + F.col(POS)).drop("_off"))
+    return out.drop(BLK, POS, "_s", "_c", "_q")
 
 
 def order_violations(df: DataFrame, order, col: str, n_blocks: int | None = None,
