@@ -46,15 +46,31 @@ def sort_keys(order) -> list:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in _cols(order)]
 
 
+BLOCK_TARGET_ROWS = 2_000_000
+
+
 def default_blocks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def resolve_blocks(df: DataFrame, n_blocks) -> int:
+    """``None`` -> spark.sql.shuffle.partitions; ``"auto"`` -> one count of
+    the input, about BLOCK_TARGET_ROWS rows per block (a block is windowed
+    by one task, so this bounds the work and buffer of a task); an int is
+    used as given."""
+    if n_blocks is None:
+        return default_blocks(df)
+    if n_blocks == "auto":
+        rows = df.count()
+        return int(min(MAX_BLOCKS, max(default_blocks(df), -(-rows // BLOCK_TARGET_ROWS))))
+    return int(n_blocks)
+
+
 def range_blocks(df: DataFrame, order, n_blocks: int | None = None) -> DataFrame:
     """Add ``_blk`` (block number, increasing with the order) and ``_pos``
     (0-based position inside the block)."""
     order = sort_keys(order)
-    n = n_blocks or default_blocks(df)
+    n = resolve_blocks(df, n_blocks)
     if not 1 <= n <= MAX_BLOCKS:
         raise ValueError(f"n_blocks must be in [1, {MAX_BLOCKS}]")
     b = (df.repartitionByRange(n, *order)

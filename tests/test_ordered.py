@@ -100,3 +100,9 @@ def test_empty_input(spark):
     assert O.forward_fill(df, ["k"], ["x"], n_blocks=3).count() == 0
     assert O.with_global_index(df, ["k"], n_blocks=3).count() == 0
     assert O.rolling(df, ["k"], "x", 3, 2, n_blocks=3).count() == 0
+
+
+def test_auto_blocks(spark, seq):
+    assert O.resolve_blocks(seq, "auto") == O.default_blocks(seq)
+    got = O.with_global_index(seq, ["k"], "idx", n_blocks="auto")
+    assert _rows(got, ["k", "idx"]) == [(i, i) for i in range(60)]
