@@ -33,6 +33,7 @@ from islet.session import scratch_table
 
 BLK = "_blk"
 POS = "_pos"
+BKT = "_bkt"  # bucket key of a block: hashes to exactly that block's bucket
 MAX_BLOCKS = 1 << 20  # hard bound on the summary tables we broadcast
 
 
@@ -73,27 +74,42 @@ def range_blocks(df: DataFrame, order, n_blocks: int | None = None) -> DataFrame
     n = resolve_blocks(df, n_blocks)
     if not 1 <= n <= MAX_BLOCKS:
         raise ValueError(f"n_blocks must be in [1, {MAX_BLOCKS}]")
+    spark = df.sparkSession
     b = (df.repartitionByRange(n, *order)
          .sortWithinPartitions(*order)
          .withColumn(BLK, F.spark_partition_id())
          .withColumn(POS, F.monotonically_increasing_id() - F.shiftleft(F.col(BLK).cast("long"), 33)))
+    b = (b.join(F.broadcast(bucket_keys(spark, n)), BLK, "left")
+         .withColumn(BKT, F.coalesce(F.col(BKT), F.col(BLK).cast("long"))))
     # Every operator reads the blocks twice (per-block summary + rows).  Spark
     # samples range bounds per exchange instance, so two exchanges could cut
     # different blocks.  The blocked rows are written once as a table in the
     # shared checkpoint folder (spark.checkpoint.dir): every reader sees the
     # same cut, the lineage is cut (survives executor loss), and readers get
-    # parquet column pruning.  The table is bucketed by block, so a scan of
-    # it is already hash-partitioned by block: the per-block windows and
-    # summaries that follow need no further shuffle.
-    spark = df.sparkSession
+    # parquet column pruning.  The table is bucketed on the blocks' bucket
+    # keys, one block per bucket, so a scan of it is already partitioned by
+    # block: the per-block windows that follow need no further shuffle and
+    # no bucket holds two blocks.
     name, path = scratch_table(spark, "blocks")
-    b.write.mode("overwrite").format("parquet").bucketBy(n, BLK).option("path", path).saveAsTable(name)
+    b.write.mode("overwrite").format("parquet").bucketBy(n, BKT).option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
+def bucket_keys(spark, n: int) -> DataFrame:
+    """(_blk, _bkt) for blocks 0..n-1: the smallest integer whose bucket under
+    n-way hash bucketing is exactly that block.  One small job over
+    n * (ln n + 20) candidates (a bucket is then missed with probability
+    below e^-20; a missed one falls back to the block number itself)."""
+    import math
+    c = int(n * (math.log(n + 1) + 20)) + 64
+    ids = spark.range(0, c)
+    return (ids.select(F.pmod(F.hash(F.col("id")), F.lit(n)).cast("int").alias(BLK), F.col("id").alias(BKT))
+            .groupBy(BLK).agg(F.min(BKT).alias(BKT)))
+
+
 def _block_offsets(blocked: DataFrame) -> DataFrame:
     """(blk, cnt, offset): rows before each non-empty block."""
-    counts = blocked.groupBy(BLK).agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = blocked.groupBy(BKT, BLK).agg(F.count(F.lit(1)).alias("_cnt")).drop(BKT)
     w = Window.orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).cast("long"))
 
@@ -105,7 +121,7 @@ def with_global_index(df: DataFrame, order, name: str = "idx", start: int = 0,
     offs = F.broadcast(_block_offsets(blocked).select(BLK, "_off"))
     return (blocked.join(offs, BLK, "left")
             .withColumn(name, F.col("_off") + F.col(POS) + F.lit(start))
-            .drop(BLK, POS, "_off"))
+            .drop(BLK, POS, BKT, "_off"))
 
 
 def forward_fill(df: DataFrame, order, cols, n_blocks: int | None = None,
@@ -119,17 +135,17 @@ def forward_fill(df: DataFrame, order, cols, n_blocks: int | None = None,
     cols = _cols(cols)
     blocked = range_blocks(df, order, n_blocks)
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_last_{c}") for c in cols]
-    summ = blocked.groupBy(BLK).agg(*aggs)
+    summ = blocked.groupBy(BKT, BLK).agg(*aggs).drop(BKT)
     wt = Window.orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(BLK, *[F.last(f"_last_{c}", ignorenulls=True).over(wt).alias(f"_carry_{c}")
                               for c in cols])
     out = blocked.join(F.broadcast(carry), BLK, "left")
-    wb = Window.partitionBy(BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    wb = Window.partitionBy(BKT, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     for c in cols:
         target = c + suffix if suffix else c
         out = out.withColumn(target, F.coalesce(F.last(F.col(c), ignorenulls=True).over(wb),
                                                 F.col(f"_carry_{c}")))
-    return out.drop(BLK, POS, *[f"_carry_{c}" for c in cols])
+    return out.drop(BLK, POS, BKT, *[f"_carry_{c}" for c in cols])
 
 
 def lag_in_order(df: DataFrame, order, col: str, name: str | None = None,
@@ -138,12 +154,12 @@ def lag_in_order(df: DataFrame, order, col: str, name: str | None = None,
     order = _cols(order)
     name = name or f"prev_{col}"
     blocked = range_blocks(df, order, n_blocks)
-    summ = blocked.groupBy(BLK).agg(F.max_by(F.col(col), F.col(POS)).alias("_lastv"))
+    summ = blocked.groupBy(BKT, BLK).agg(F.max_by(F.col(col), F.col(POS)).alias("_lastv")).drop(BKT)
     carry = summ.select(BLK, F.lag("_lastv").over(Window.orderBy(BLK)).alias("_carry"))
-    wb = Window.partitionBy(BLK).orderBy(POS)
+    wb = Window.partitionBy(BKT, BLK).orderBy(POS)
     return (blocked.join(F.broadcast(carry), BLK, "left")
             .withColumn(name, F.when(F.col(POS) == 0, F.col("_carry")).otherwise(F.lag(col).over(wb)))
-            .drop(BLK, POS, "_carry"))
+            .drop(BLK, POS, BKT, "_carry"))
 
 
 def rolling(df: DataFrame, order, col: str, k: int, min_periods: int | None = None,
@@ -164,7 +180,7 @@ def rolling(df: DataFrame, order, col: str, k: int, min_periods: int | None = No
     blocked = range_blocks(df, order, n_blocks)
     offs = _block_offsets(blocked)
     x = F.col(col).cast("double")
-    w = Window.partitionBy(BLK).orderBy(POS).rowsBetween(-(k - 1), 0)
+    w = Window.partitionBy(BKT, BLK).orderBy(POS).rowsBetween(-(k - 1), 0)
     out = blocked.select("*", F.sum(x).over(w).alias("_s"), F.count(x).over(w).alias("_c"),
                          F.sum(x * x).over(w).alias("_q"))
     if k > 1:
@@ -197,7 +213,7 @@ def rolling(df: DataFrame, order, col: str, k: int, min_periods: int | None = No
     if index:
         out = (out.join(F.broadcast(offs.select(BLK, "_off")), BLK, "left")
                .withColumn(index, F.col("_off") + F.col(POS)).drop("_off"))
-    return out.drop(BLK, POS, "_s", "_c", "_q")
+    return out.drop(BLK, POS, BKT, "_s", "_c", "_q")
 
 
 def order_violations(df: DataFrame, order, col: str, n_blocks: int | None = None,

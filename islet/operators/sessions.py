@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from islet.functions.scalars import minute_boundaries, plus_minutes
-from islet.operators.ordered import BLK, POS, range_blocks, sort_keys
+from islet.operators.ordered import BKT, BLK, POS, range_blocks, sort_keys
 
 
 def _list(x) -> list[str]:
@@ -92,22 +92,24 @@ def with_islands(df: DataFrame, keys, start: str, end: str | None = None,
     kk = F.struct(*[F.col(k) for k in keys])
 
     # carry 1: the last row of the previous non-empty block
-    last = b.groupBy(BLK).agg(F.max_by(F.struct(kk.alias("k"), F.col(end).alias("e")), F.col(POS)).alias("_last"))
+    last = (b.groupBy(BKT, BLK).agg(F.max_by(F.struct(kk.alias("k"), F.col(end).alias("e")), F.col(POS)).alias("_last"))
+            .drop(BKT))
     c1 = last.select(BLK, F.col("_last.k").alias("_own_k"),
                      F.lag("_last").over(Window.orderBy(BLK)).alias("_prev"))
     rows = b.join(F.broadcast(c1), BLK, "left")
 
-    wb = Window.partitionBy(BLK).orderBy(POS)
+    wb = Window.partitionBy(BKT, BLK).orderBy(POS)
     prev_end = (F.when(F.col(POS) == 0, F.when(kk.eqNullSafe(F.col("_prev.k")), F.col("_prev.e")))
                 .otherwise(F.when(kk.eqNullSafe(F.lag(kk).over(wb)), F.lag(F.col(end)).over(wb))))
     rows = rows.withColumn(gap_col, minute_boundaries(prev_end, F.col(start)))
     new = F.when(F.col(gap_col).isNull() | (F.col(gap_col) > F.lit(gap)), 1).otherwise(0)
     rows = rows.withColumn("_new", new)
-    wk = Window.partitionBy(BLK, *keys).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    wk = Window.partitionBy(BKT, BLK, *keys).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_local", F.sum("_new").over(wk))
 
     # carry 2: islands the block's first key already opened in earlier blocks
-    opened = rows.groupBy(BLK).agg(F.sum(F.when(kk.eqNullSafe(F.col("_own_k")), F.col("_new"))).alias("_fl"))
+    opened = (rows.groupBy(BKT, BLK).agg(F.sum(F.when(kk.eqNullSafe(F.col("_own_k")), F.col("_new"))).alias("_fl"))
+              .drop(BKT))
     s2 = opened.join(c1.select(BLK, "_own_k"), BLK)
     s2 = s2.withColumn("_cum", F.sum("_fl").over(
         Window.partitionBy("_own_k").orderBy(BLK).rowsBetween(Window.unboundedPreceding, 0)))
@@ -116,7 +118,7 @@ def with_islands(df: DataFrame, keys, start: str, end: str | None = None,
     rows = rows.join(F.broadcast(c2), BLK, "left")
     rows = rows.withColumn(island, (F.col("_local") + F.when(kk.eqNullSafe(F.col("_ck")), F.col("_coff"))
                                     .otherwise(F.lit(0))).cast("long"))
-    return rows.drop(BLK, POS, "_own_k", "_prev", "_new", "_local", "_ck", "_coff")
+    return rows.drop(BLK, POS, BKT, "_own_k", "_prev", "_new", "_local", "_ck", "_coff")
 
 
 def collapse(islands: DataFrame, keys, island: str = "island_id",

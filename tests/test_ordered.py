@@ -88,7 +88,8 @@ def test_no_single_partition_over_rows(spark, seq):
     # the rows are read from the bucketed block table and windowed per block
     # without another shuffle
     assert "Bucketed: true" in plan
-    assert "hashpartitioning(_blk" not in plan
+    # neither the rows nor the per-block summary are re-hashed by block
+    assert "hashpartitioning(_blk" not in plan and "hashpartitioning(_bkt" not in plan
     # a SinglePartition exchange may only feed the per-block summary window
     for line in plan.splitlines():
         if "SinglePartition" in line:
@@ -106,3 +107,10 @@ def test_auto_blocks(spark, seq):
     assert O.resolve_blocks(seq, "auto") == O.default_blocks(seq)
     got = O.with_global_index(seq, ["k"], "idx", n_blocks="auto")
     assert _rows(got, ["k", "idx"]) == [(i, i) for i in range(60)]
+
+
+@pytest.mark.parametrize("n", [1, 7, 64, 500])
+def test_bucket_keys_one_block_per_bucket(spark, n):
+    m = O.bucket_keys(spark, n)
+    rows = m.select(O.BLK, F.pmod(F.hash(F.col(O.BKT)), F.lit(n)).alias("b")).collect()
+    assert len(rows) == n and all(r[0] == r[1] for r in rows)
