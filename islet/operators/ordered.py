@@ -95,16 +95,24 @@ def range_blocks(df: DataFrame, order, n_blocks: int | None = None) -> DataFrame
     return spark.table(name)
 
 
+_BUCKET_KEYS: dict[int, list] = {}
+
+
 def bucket_keys(spark, n: int) -> DataFrame:
     """(_blk, _bkt) for blocks 0..n-1: the smallest integer whose bucket under
-    n-way hash bucketing is exactly that block.  One small job over
-    n * (ln n + 20) candidates (a bucket is then missed with probability
-    below e^-20; a missed one falls back to the block number itself)."""
-    import math
-    c = int(n * (math.log(n + 1) + 20)) + 64
-    ids = spark.range(0, c)
-    return (ids.select(F.pmod(F.hash(F.col("id")), F.lit(n)).cast("int").alias(BLK), F.col("id").alias(BKT))
-            .groupBy(BLK).agg(F.min(BKT).alias(BKT)))
+    n-way hash bucketing is exactly that block.  Found once per n by one
+    small job over n * (ln n + 20) candidates (a bucket is then missed with
+    probability below e^-20; a missed one falls back to the block number),
+    kept as an n-row list (bounded by MAX_BLOCKS) and reused as a local
+    relation."""
+    if n not in _BUCKET_KEYS:
+        import math
+        c = int(n * (math.log(n + 1) + 20)) + 64
+        found = (spark.range(0, c)
+                 .select(F.pmod(F.hash(F.col("id")), F.lit(n)).cast("int").alias(BLK), F.col("id").alias(BKT))
+                 .groupBy(BLK).agg(F.min(BKT).alias(BKT)).collect())
+        _BUCKET_KEYS[n] = sorted((int(r[0]), int(r[1])) for r in found)
+    return spark.createDataFrame(_BUCKET_KEYS[n], f"{BLK} int, {BKT} long")
 
 
 def _block_offsets(blocked: DataFrame) -> DataFrame:
