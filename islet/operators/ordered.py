@@ -248,10 +248,11 @@ def context_rows(df: DataFrame, order, hit: Column, before: int = 1, after: int
     return idx.join(wanted, index, "left_semi")
 
 
-def head_tail(df: DataFrame, order, n: int, tail: bool = False, index: str = "idx",
-                n_blocks: int | None = None) -> DataFrame:
-    """O3: first / last n rows in the order, through the global index (the
-    tail uses the descending order, so no total count is needed)."""
-    order = _cols(order)
-    keys = [F.col(c).desc() for c in order] if tail else order
-    return with_global_index(df, keys, index, n_blocks=n_blocks).filter(F.col(index) < n)
+def head_tail(df: DataFrame, order, n: int, tail: bool = False) -> DataFrame:
+    """O3: first / last n rows in the order.  Planned as
+    TakeOrderedAndProject: every task keeps only its own n best rows, so
+    nothing but n rows per task reaches the final merge."""
+    keys = sort_keys(order)
+    if tail:
+        keys = [F.col(c).desc_nulls_first() if isinstance(c, str) else c for c in _cols(order)]
+    return df.orderBy(*keys).limit(n)

@@ -76,8 +76,10 @@ def test_order_violations(spark):
 
 
 def test_head_tail(spark, seq):
-    assert sorted(r.k for r in O.head_tail(seq, ["k"], 3, n_blocks=4).collect()) == [0, 1, 2]
-    assert sorted(r.k for r in O.head_tail(seq, ["k"], 2, tail=True, n_blocks=4).collect()) == [58, 59]
+    assert sorted(r.k for r in O.head_tail(seq, ["k"], 3).collect()) == [0, 1, 2]
+    assert sorted(r.k for r in O.head_tail(seq, ["k"], 2, tail=True).collect()) == [58, 59]
+    plan = O.head_tail(seq, ["k"], 3)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
 
 
 def test_no_single_partition_over_rows(spark, seq):
