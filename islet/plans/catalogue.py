@@ -560,6 +560,11 @@ def q_top_k(spark, sf):
     return profile.n_largest(li, "l_extendedprice", 10, tie=["l_orderkey", "l_linenumber"])
 
 
+def q_head_tail(spark, sf):
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return ordered.head_tail(o, ORDER_KEY, 5, tail=True)
+
+
 def q_audit(spark, sf):
     e = T(spark, sf, "events").select("event_id", "user_id", "event_type", F.to_date("ts").alias("d"),
                                       F.floor("value").cast("long").alias("dur"))

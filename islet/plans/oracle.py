@@ -445,3 +445,6 @@ def _spearman_matrix_sql(cols) -> str:
 
 
 SQL["spearman_matrix"] = _spearman_matrix_sql(SPEARMAN_COLS)
+
+SQL["head_tail"] = """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 5"""
