@@ -105,18 +105,25 @@ STG_COLUMNS = ["media_title", "video_type", "video_subtype", "creation_category"
                "time_start", "time_end", "duration", "media_type", "media_series"]
 
 
-def clean_log(raw: DataFrame, seq: str = "_seq", n_blocks: int | None = None) -> DataFrame:
+ARRIVAL = ["_src_file", "_src_block", "_src_row"]
+
+
+def clean_log(raw: DataFrame, seq=None, n_blocks: int | None = None) -> DataFrame:
     """C1 (stg_workload): filter on raw values, canonicalise, 12h -> 24h text,
     forward-fill the date in arrival order (after the filter, so a dropped
     row's date is never carried), repair negative durations, DISTINCT, and
-    the md5 surrogate key."""
+    the md5 surrogate key.  ``seq`` is the arrival order: a column or
+    columns; by default ``_seq`` when present, else the scan-time ARRIVAL
+    columns of ``read_log``."""
+    if seq is None:
+        seq = "_seq" if "_seq" in raw.columns else ARRIVAL
     rewritten = filter_raw_then_rewrite(raw, log_scope_predicate(), {
         "media_type": S.canonical_media_type("media_type"),
         "creation_category": S.canonical_category("creation_category"),
         "time_start": S.time_12h_to_24h("time_start"),
         "time_end": S.time_12h_to_24h("time_end"),
     })
-    filled = (forward_fill(rewritten, [seq], ["date"], n_blocks=n_blocks)
+    filled = (forward_fill(rewritten, [seq] if isinstance(seq, str) else list(seq), ["date"], n_blocks=n_blocks)
               .withColumnRenamed("date", "date_workflow"))
     fixed = filled.withColumn("duration", S.repair_wrap("duration"))
     return (fixed.select(*STG_COLUMNS).distinct()

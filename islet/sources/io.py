@@ -48,21 +48,34 @@ SEED_SCHEMA = T.StructType([
 ])
 
 
+# arrival order of file rows: file, split offset, row position in the split
+ARRIVAL = ["_src_file", "_src_block", "_src_row"]
+
+
+def with_arrival_columns(df: DataFrame) -> DataFrame:
+    """H1: the arrival order of rows read from files, captured at scan time
+    with no shuffle (within a split, monotonically_increasing_id grows with
+    the position in the file)."""
+    return df.select("*", F.col("_metadata.file_path").alias(ARRIVAL[0]),
+                     F.col("_metadata.file_block_start").alias(ARRIVAL[1]),
+                     F.monotonically_increasing_id().alias(ARRIVAL[2]))
+
+
 def with_arrival_order(df: DataFrame, seq: str = "_seq", n_blocks: int | None = None) -> DataFrame:
-    """Dense 1-based arrival order of rows read from files."""
-    x = df.select("*", F.col("_metadata.file_path").alias("_f"),
-                  F.col("_metadata.file_block_start").alias("_b"),
-                  F.monotonically_increasing_id().alias("_m"))
-    return with_global_index(x, ["_f", "_b", "_m"], seq, start=1, n_blocks=n_blocks).drop("_f", "_b", "_m")
+    """Dense 1-based ROW_NUMBER() OVER () in arrival order (one range
+    shuffle; only needed when the number itself is reported)."""
+    return with_global_index(with_arrival_columns(df), ARRIVAL, seq, start=1, n_blocks=n_blocks).drop(*ARRIVAL)
 
 
 def read_log(spark: SparkSession, path, schema: T.StructType = RAW_LOG_SCHEMA, date_format: str = "yyyy-MM-dd",
-             seq: str | None = "_seq", n_blocks: int | None = None) -> DataFrame:
+             dense_seq: bool = False, n_blocks: int | None = None) -> DataFrame:
     """CSV with header, explicit schema, empty -> NULL; a missing
-    path raises (``PATH_NOT_FOUND``) before anything is built."""
+    path raises (``PATH_NOT_FOUND``) before anything is built.  Rows carry
+    their arrival order as the ARRIVAL columns (free), or as a dense
+    ``_seq`` with ``dense_seq=True``."""
     df = (spark.read.schema(schema).option("header", True).option("dateFormat", date_format)
           .option("mode", "PERMISSIVE").csv(path))
-    return with_arrival_order(df, seq, n_blocks) if seq else df
+    return with_arrival_order(df, "_seq", n_blocks) if dense_seq else with_arrival_columns(df)
 
 
 def read_seed(spark: SparkSession, path, schema: T.StructType = SEED_SCHEMA) -> DataFrame:

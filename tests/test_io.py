@@ -63,3 +63,24 @@ def test_projections(spark):
     assert clean.ensure_columns(df, ["n", "d1"]).columns == ["t", "n", "d1"]
     long = profile.transpose(df, "t")
     assert {(r.t, r.column, r.value) for r in long.collect()} == {("Playthrough A", "n", "1"), ("Review", "n", "2")}
+
+
+def test_arrival_order_across_splits(spark):
+    d = tempfile.mkdtemp(prefix="islet-arrival-")
+    path = os.path.join(d, "log.csv")
+    n = 3000
+    with open(path, "w") as f:
+        f.write("media_type,media_series,media_title,video_type,video_subtype,creation_category,date,time_start,time_end,duration\n")
+        for i in range(n):
+            f.write(f"Movies,S,T,Review,A,Editing,2024-01-01,9:00:00 AM,9:10:00 AM,{i}\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")  # several splits of one file
+    try:
+        dense = io.read_log(spark, path, dense_seq=True, n_blocks=4)
+        assert [r.duration for r in dense.orderBy("_seq").collect()] == list(range(n))
+        assert dense.agg(F.min("_seq"), F.max("_seq")).first() == (1, n)
+        cols = io.read_log(spark, path)
+        ordered = cols.orderBy(*io.ARRIVAL).collect()
+        assert [r.duration for r in ordered] == list(range(n))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
