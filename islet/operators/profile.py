@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from islet.operators.joins import attach_scalar
+from islet.operators.joins import attach_scalar, small_side
 from islet.operators.ordered import with_global_index
 
 
@@ -51,9 +51,13 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], by=None, names: Se
                      (F.col("_first") + F.floor(h)).alias("_lo"),
                      (F.col("_first") + F.ceil(h)).alias("_hi"),
                      (h - F.floor(h)).alias("_frac"))
-    vals = idx.select(F.col("_i"), F.col(value).alias("_v"))
-    lo = vals.withColumnRenamed("_i", "_lo").withColumnRenamed("_v", "_vlo")
-    hi = vals.withColumnRenamed("_i", "_hi").withColumnRenamed("_v", "_vhi")
+    # the wanted positions (groups x quantiles x 2) are usually few: they are
+    # broadcast when proven small, the rows stream past them once, and only
+    # the picked values take part in the joins that follow
+    need = pos.select(F.explode(F.array("_lo", "_hi")).alias("_i")).distinct()
+    picked = idx.select(F.col("_i"), F.col(value).alias("_v")).join(small_side(need), "_i")
+    lo = picked.select(F.col("_i").alias("_lo"), F.col("_v").alias("_vlo"))
+    hi = picked.select(F.col("_i").alias("_hi"), F.col("_v").alias("_vhi"))
     got = pos.join(lo, "_lo").join(hi, "_hi")
     got = got.withColumn("_val", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
     return (got.groupBy(*by).pivot("_qi", list(range(len(qs)))).agg(F.first("_val"))
