@@ -317,3 +317,12 @@ def exp_back(col) -> Column:
 def cast_to(col, type_name: str) -> Column:
     """F16: ::DATE, astype(int / float), to_datetime, ... as a cast."""
     return _c(col).cast(type_name)
+
+
+def text_digest(col) -> Column:
+    """A fixed-width key for a whole text: md5 and sha-256 of all of it, side
+    by side (a collision would need both to collide at once).  Grouping or
+    de-duplicating on it shuffles ~100 bytes per key instead of whole
+    documents."""
+    c = _c(col)
+    return F.concat(F.md5(c), F.sha2(c, 256))

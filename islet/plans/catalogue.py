@@ -210,14 +210,15 @@ def q_semi_join(spark, sf):
 # -------------------------------------------------------------- aggregation
 
 def q_dedupe_rows(spark, sf):
-    d = clean.dedupe(T(spark, sf, "documents"), ["lang", "source", "text"])
-    return d.select(F.md5("text").alias("text_md5"), "lang", "source")
+    # whole texts are reduced to a fixed-width digest before the shuffle
+    d = T(spark, sf, "documents").select("lang", "source", S.text_digest("text").alias("_k"))
+    return clean.dedupe(d, ["lang", "source", "_k"]).select(F.substring("_k", 1, 32).alias("text_md5"), "lang", "source")
 
 
 def q_duplicate_groups(spark, sf):
-    d = T(spark, sf, "documents")
-    g = d.groupBy("text").agg(F.count(F.lit(1)).alias("n_copies"), F.min("doc_id").alias("first_doc"))
-    return g.filter(F.col("n_copies") > 1).select(F.md5("text").alias("text_md5"), "n_copies", "first_doc")
+    d = T(spark, sf, "documents").select("doc_id", S.text_digest("text").alias("_k"))
+    g = d.groupBy("_k").agg(F.count(F.lit(1)).alias("n_copies"), F.min("doc_id").alias("first_doc"))
+    return g.filter(F.col("n_copies") > 1).select(F.substring("_k", 1, 32).alias("text_md5"), "n_copies", "first_doc")
 
 
 def q_freq_table(spark, sf):
