@@ -101,6 +101,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def to_client(df: DataFrame, max_rows: int = 100_000):
+    """Hand a small result (a report, a coefficient table) to the
+    caller as pandas.  Refuses anything over ``max_rows`` (checked by
+    reading at most max_rows + 1 rows), so row-level data is never pulled
+    onto the driver."""
+    top = df.limit(max_rows + 1).toPandas()
+    if len(top) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; aggregate it first")
+    return top
+
+
 def row_count(df: DataFrame) -> int:
     """S4."""
     return df.count()

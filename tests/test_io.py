@@ -84,3 +84,11 @@ def test_arrival_order_across_splits(spark):
         assert [r.duration for r in ordered] == list(range(n))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_to_client_bounded(spark):
+    import pytest
+    small = spark.range(5)
+    assert len(io.to_client(small, max_rows=10)) == 5
+    with pytest.raises(ValueError):
+        io.to_client(spark.range(50), max_rows=10)
