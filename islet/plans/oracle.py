@@ -391,7 +391,7 @@ def _media_sql(col: str) -> str:
 
 
 _RAW_CAT = "CASE " + " ".join(f"WHEN event_type = {_q(et)} THEN {_q(raw)}" for et, raw in EVENT_RAW_CATEGORY.items()) + " END"
-_TIE = "ts0, time_end, duration, media_title, video_type, video_subtype, media_type, media_series"
+_TIE = "ts0, date_workflow, time_start, time_end, duration, media_title, video_type, video_subtype, media_type, media_series"
 
 LOG_STG = f"""raw AS (
   SELECT event_id AS _seq, ' Movies ' AS media_type, 'S' AS media_series, 'u' || CAST(user_id AS VARCHAR) AS media_title,

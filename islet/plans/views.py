@@ -30,8 +30,10 @@ def combined_sessions(stg: DataFrame, gap: int = 15, end: str = "max_end", n_blo
     """C2 on the cleaned log: key (video_id, creation_category), start =
     date + time_start, gap to the previous row's end in minute boundaries."""
     x = stg.withColumn("_ts", date_plus_time("date_workflow", "time_start"))
-    # rows are DISTINCT in stg, so the full row (minus the start) breaks ties
-    tie = ["time_end", "duration", "media_title", "video_type", "video_subtype", "media_type", "media_series"]
+    # rows are DISTINCT in stg, so the full row breaks ties (the date and
+    # start text too: both are NULL-able, which makes the start NULL)
+    tie = ["date_workflow", "time_start", "time_end", "duration", "media_title", "video_type", "video_subtype",
+           "media_type", "media_series"]
     s = sessionize(x, ["video_id", "creation_category"], "_ts", "duration", gap=gap, tie=tie,
                    date="date_workflow", time_start="time_start", time_end="time_end",
                    carry=["media_title", "video_type", "video_subtype", "media_type", "media_series"],
