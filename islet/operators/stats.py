@@ -36,12 +36,32 @@ def pearson(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
 def avg_rank(df: DataFrame, col: str, tie: Sequence[str], name: str | None = None,
              n_blocks: int | None = None) -> DataFrame:
     """1-based average rank of ``col`` (ties share the mean of their
-    positions); NULLs get no rank.  ``tie`` makes the sort unique."""
+    positions); NULLs get no rank.  ``tie`` makes the sort unique.
+
+    Equal values are contiguous in the sorted block table, so a value's
+    first and last positions come from a window inside its block; a value
+    that crosses block edges can only be a block's first or last value, and
+    those are resolved on a table of at most 2 x blocks rows (broadcast).
+    No row is shuffled after the block table, and a hot value needs no
+    join on value."""
+    from islet.operators.ordered import BKT, BLK, POS, _block_offsets, range_blocks
     name = name or f"rank_{col}"
     base = df.filter(F.col(col).isNotNull())
-    idx = with_global_index(base, [col, *tie], "_i", start=1, n_blocks=n_blocks)
-    per_value = idx.groupBy(col).agg(((F.min("_i") + F.max("_i")) / 2.0).alias(name))
-    return idx.drop("_i").join(per_value, col)
+    b = range_blocks(base, [col, *tie], n_blocks)
+    offs = F.broadcast(_block_offsets(b).select(BLK, "_off", "_cnt"))
+    wv = Window.partitionBy(BKT, BLK, col)
+    rows = (b.join(offs, BLK)
+            .withColumn("_lo", F.min(POS).over(wv) + F.col("_off"))
+            .withColumn("_hi", F.max(POS).over(wv) + F.col("_off")))
+    # runs touching a block edge: the block's first and last value
+    edge = (rows.filter((F.col(POS) == 0) | (F.col(POS) == F.col("_cnt") - 1))
+            .select(F.col(col).alias("_v"), "_lo", "_hi")
+            .groupBy("_v").agg(F.min("_lo").alias("_glo"), F.max("_hi").alias("_ghi")))
+    out = rows.join(F.broadcast(edge), rows[col].eqNullSafe(edge["_v"]), "left")
+    lo = F.coalesce(F.col("_glo"), F.col("_lo"))
+    hi = F.coalesce(F.col("_ghi"), F.col("_hi"))
+    return (out.withColumn(name, (lo + hi) / 2.0 + 1.0)
+            .drop(BLK, POS, BKT, "_off", "_cnt", "_lo", "_hi", "_v", "_glo", "_ghi"))
 
 
 def spearman(df: DataFrame, x: str, y: str, tie: Sequence[str], n_blocks: int | None = None) -> DataFrame:

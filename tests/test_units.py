@@ -184,3 +184,13 @@ def test_spearman_matrix_matches_pairwise(spark):
     pair = stats.spearman(li, "l_quantity", "l_extendedprice", tie=["l_orderkey", "l_linenumber"], n_blocks=3).first().rho
     assert abs(m[("l_quantity", "l_extendedprice")] - pair) < 1e-9
     assert m[("l_discount", "l_discount")] == 1.0
+
+
+@pytest.mark.parametrize("nb", [1, 3, 16])
+def test_avg_rank_matches_pandas(spark, nb):
+    import pandas as pd
+    vals = [5, 1, 5, 5, 2, 2, 9, 5, 5, 5, 5, 1, 7, 7, 7, 7, 7, 7, 3]  # hot value crossing blocks
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "id long, v double")
+    got = {r.id: r.rank_v for r in stats.avg_rank(df, "v", ["id"], n_blocks=nb).collect()}
+    want = pd.Series(vals).rank(method="average").tolist()
+    assert [got[i] for i in range(len(vals))] == want
