@@ -29,6 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from islet.operators.joins import small_side
 from islet.session import scratch_table
 
 BLK = "_blk"
@@ -227,11 +228,21 @@ def rolling(df: DataFrame, order, col: str, k: int, min_periods: int | None = No
 def order_violations(df: DataFrame, order, col: str, n_blocks: int | None = None,
                      index: str = "rn") -> DataFrame:
     """Rows whose ``col`` is smaller than the previous row's, in the
-    given (arrival) order, NULLs of ``col`` removed first."""
-    base = df.filter(F.col(col).isNotNull())
-    idx = with_global_index(base, order, index, start=1, n_blocks=n_blocks)
-    lagged = lag_in_order(idx, [index], col, name=f"prev_{col}", n_blocks=n_blocks)
-    return lagged.filter(F.col(col) < F.col(f"prev_{col}")).select(index, f"prev_{col}", col)
+    given (arrival) order, NULLs of ``col`` removed first.  One block table
+    gives both the 1-based row number and the previous value."""
+    order = _cols(order)
+    names = [c for c in order if isinstance(c, str)]
+    base = df.select(*names, col).filter(F.col(col).isNotNull())
+    b = range_blocks(base, order, n_blocks)
+    offs = _block_offsets(b).select(BLK, "_off")
+    last = b.groupBy(BKT, BLK).agg(F.max_by(F.col(col), F.col(POS)).alias("_lastv")).drop(BKT)
+    carry = last.select(BLK, F.lag("_lastv").over(Window.orderBy(BLK)).alias("_carry"))
+    wb = Window.partitionBy(BKT, BLK).orderBy(POS)
+    prev = f"prev_{col}"
+    out = (b.join(F.broadcast(offs), BLK).join(F.broadcast(carry), BLK, "left")
+           .withColumn(index, F.col("_off") + F.col(POS) + F.lit(1))
+           .withColumn(prev, F.when(F.col(POS) == 0, F.col("_carry")).otherwise(F.lag(col).over(wb))))
+    return out.filter(F.col(col) < F.col(prev)).select(index, prev, col)
 
 
 def context_rows(df: DataFrame, order, hit: Column, before: int = 1, after: int = 1,
@@ -245,7 +256,9 @@ def context_rows(df: DataFrame, order, hit: Column, before: int = 1, after: int
     offsets = F.array(*[F.lit(d) for d in range(-before, after + 1)])
     wanted = (idx.filter(hit).select(F.col(index), F.explode(offsets).alias("_d"))
               .select((F.col(index) + F.col("_d")).alias(index)).distinct())
-    return idx.join(wanted, index, "left_semi")
+    # the wanted positions are (before + after + 1) x hits: broadcast when
+    # proven small, so the rows are only streamed past them
+    return idx.join(small_side(wanted), index, "left_semi")
 
 
 def head_tail(df: DataFrame, order, n: int, tail: bool = False) -> DataFrame:

@@ -182,7 +182,7 @@ def _norm_ppf() -> callable:
 def qq_points(df: DataFrame, value: str, tie: Sequence[str], n_blocks: int | None = None) -> DataFrame:
     """M5: normal Q-Q points with Filliben plotting positions (as scipy's
     probplot), plus the fit R^2 in every row."""
-    base = df.filter(F.col(value).isNotNull())
+    base = df.select(value, *tie).filter(F.col(value).isNotNull())
     idx = with_global_index(base, [value, *tie], "i", start=1, n_blocks=n_blocks)
     n = idx.agg(F.count(F.lit(1)).alias("_n"))
     x = attach_scalar(idx, n)
