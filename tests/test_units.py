@@ -194,3 +194,54 @@ def test_avg_rank_matches_pandas(spark, nb):
     got = {r.id: r.rank_v for r in stats.avg_rank(df, "v", ["id"], n_blocks=nb).collect()}
     want = pd.Series(vals).rank(method="average").tolist()
     assert [got[i] for i in range(len(vals))] == want
+
+
+def _np_ridge(X, y, alpha):
+    xm, ym = X.mean(0), y.mean()
+    w = np.linalg.solve((X - xm).T @ (X - xm) + alpha * np.eye(X.shape[1]), (X - xm).T @ (y - ym))
+    return ym - xm @ w, w
+
+
+def _np_rolling_cv(X, y, alphas, log, n_folds=3, start=0.35, k=3, min_train=10):
+    n = len(y)
+    st = int(n * start)
+    fs = (n - st) // n_folds
+    ok = ~(np.isnan(X).any(1) | np.isnan(y))
+    out = []
+    for f in range(n_folds):
+        lo, hi = st + f * fs, st + (f + 1) * fs
+        tr = np.arange(lo)[ok[:lo]]
+        te = np.arange(lo, hi)[ok[lo:hi]]
+        if len(tr) < min_train or len(te) == 0:
+            continue
+        Xt, yt = X[tr], (np.log(y[tr]) if log else y[tr])
+        m = len(yt)
+        ts = m // (k + 1)
+        scores = []
+        for a in alphas:
+            r = []
+            for j in range(k):
+                s0, s1 = m - (k - j) * ts, m - (k - j - 1) * ts
+                b, w = _np_ridge(Xt[:s0], yt[:s0], a)
+                r.append(np.sqrt(np.mean((yt[s0:s1] - (b + Xt[s0:s1] @ w)) ** 2)))
+            scores.append(np.mean(r))
+        a = alphas[int(np.argmin(scores))]
+        b, w = _np_ridge(Xt, yt, a)
+        p = b + X[te] @ w
+        p = np.exp(p) if log else p
+        out.append((f, a, float(np.sqrt(np.mean((y[te] - p) ** 2)))))
+    return out
+
+
+@pytest.mark.parametrize("log", [False, True])
+def test_rolling_cv_ridge_matches_numpy(spark, log):
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    o = o.withColumns({"f1": F.when(F.col("o_orderkey") % 13 == 0, None).otherwise((F.col("o_orderstatus") == "F").cast("double")),
+                       "f2": (F.col("o_custkey") % 7).cast("double"),
+                       "y": F.col("o_totalprice") / 10000.0})
+    alphas = [0.01, 1.0, 100.0]
+    got = models.rolling_cv_ridge(o, ["o_orderdate", "o_orderkey"], ["f1", "f2"], "y", alphas, log=log, n_blocks=3)
+    pdf = o.orderBy("o_orderdate", "o_orderkey").select("f1", "f2", "y").toPandas()
+    want = _np_rolling_cv(pdf[["f1", "f2"]].to_numpy(dtype=float), pdf["y"].to_numpy(dtype=float), alphas, log)
+    assert [(g["fold"], g["alpha"]) for g in got] == [(f, a) for f, a, _ in want]
+    assert np.allclose([g["rmse"] for g in got], [r for _, _, r in want], rtol=1e-9)
