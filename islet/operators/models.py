@@ -184,23 +184,69 @@ def rolling_cv_ridge(df: DataFrame, order: Sequence[str], features: Sequence[str
                      log: bool = False, min_train: int = 10, n_blocks: int | None = None) -> list[dict]:
     """ML3 + ML6 + ML8: expanding-window CV; inside each fold's train window
     alpha is tuned by the inner time-series split (in log space when
-    ``log``), the fold is scored on the raw scale."""
-    x = indexed(df, order, "_i", n_blocks).cache()
+    ``log``), the fold is scored on the raw scale.
+
+    Fold bounds are positions among all rows; a fold drops its incomplete
+    rows afterwards, and its inner split runs on what is left.  So every
+    train / test / inner segment of every fold is a contiguous range of the
+    rank among complete rows.  One Gram aggregate over the elementary ranges
+    therefore serves every fold and every alpha; the log variant needs one
+    more aggregate for its raw-scale test error."""
+    from islet.operators.ordered import with_global_index
+    x = indexed(df, order, "_i", n_blocks)
     n = x.select("n").first()[0]
-    results = []
-    for fold, (lo, hi) in enumerate(rolling_fold_bounds(n, n_folds, start_frac)):
-        train = x.filter(F.col("_i") < lo)
-        test = x.filter((F.col("_i") >= lo) & (F.col("_i") < hi)).dropna(subset=[*features, label])
-        n_tr = train.dropna(subset=[*features, label]).count()
-        n_te = test.count()
+    bounds = rolling_fold_bounds(n, n_folds, start_frac)
+    complete = x.dropna(subset=[*features, label]).select("_i", *features, label)
+    ranked = with_global_index(complete, ["_i"], "_j", n_blocks=n_blocks)
+    cut_i = sorted({c for lo, hi in bounds for c in (lo, hi)})
+    before = ranked.agg(*[F.count_if(F.col("_i") < c).alias(f"c{c}") for c in cut_i]).first()
+    rank_at = {c: int(before[f"c{c}"]) for c in cut_i}
+    specs, cuts = [], {0}
+    for fold, (lo, hi) in enumerate(bounds):
+        n_tr, n_te = rank_at[lo], rank_at[hi] - rank_at[lo]
         if n_tr < min_train or n_te == 0:
             continue
-        m = tune_ridge(train.drop("_i", "n"), order, features, label, alphas, k, log, n_blocks)
-        d = predict_expr(m) - F.col(label)
-        r = test.agg(F.sqrt(F.avg(d * d)).alias("rmse")).first()["rmse"]
-        results.append({"fold": fold, "test_start": lo, "test_end": hi, "alpha": m["alpha"], "rmse": float(r),
+        inner = inner_fold_bounds(n_tr, k)
+        specs.append((fold, lo, hi, n_tr, n_te, inner))
+        cuts |= {n_tr, n_tr + n_te} | {v for seg in inner for v in seg}
+    if not specs:
+        return []
+    cuts = sorted(cuts)
+    grams = grams_by(ranked.withColumn("_seg", _segment_expr("_j", cuts[1:])), "_seg", features, label, log)
+    p = len(features)
+    any_g = next(iter(grams.values()))
+    zero = Gram(0.0, np.zeros(p), 0.0, np.zeros((p, p)), np.zeros(p), 0.0, any_g.cx, any_g.cy)
+
+    def span(a: int, b: int) -> Gram:
+        g = zero
+        for si in range(len(cuts) - 1):
+            if a <= cuts[si] and cuts[si + 1] <= b:
+                g = g + grams.get(si, zero)
+        return g
+
+    fitted = []
+    for fold, lo, hi, n_tr, n_te, inner in specs:
+        cv = inner_cv([span(s0, s1) for s0, s1 in inner], span(0, inner[0][0]), alphas)
+        alpha = float(alphas[int(np.argmin(cv.mean(axis=1)))])
+        b, w = ridge_solve(span(0, n_tr), alpha)
+        fitted.append((fold, lo, hi, n_tr, n_te, alpha, b, w))
+    if log:  # raw-scale error of exp(prediction): one pass for all folds
+        aggs = []
+        for fold, lo, hi, n_tr, n_te, alpha, b, w in fitted:
+            pred = F.exp(linear_score(dict(zip(features, map(float, w))), b))
+            in_test = (F.col("_j") >= n_tr) & (F.col("_j") < n_tr + n_te)
+            d = F.when(in_test, pred - F.col(label))
+            aggs.append(F.sqrt(F.avg(d * d)).alias(f"r{fold}"))
+        raw = ranked.agg(*aggs).first()
+    results = []
+    for fold, lo, hi, n_tr, n_te, alpha, b, w in fitted:
+        if log:
+            rmse = float(raw[f"r{fold}"])
+        else:
+            t = span(n_tr, n_tr + n_te)
+            rmse = float(np.sqrt(max(sse(t, b, w), 0.0) / t.n))
+        results.append({"fold": fold, "test_start": lo, "test_end": hi, "alpha": alpha, "rmse": rmse,
                         "n_train": n_tr, "n_test": n_te})
-    x.unpersist()
     return results
 
 
