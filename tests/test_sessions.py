@@ -96,3 +96,16 @@ def test_null_starts_sort_last(spark):
         assert blocked == plain
     # non-NULL starts first (1 and 3 merge), then each NULL start opens an island
     assert plain == {1: 1, 3: 1, 2: 2, 4: 3, 6: 1, 5: 2}
+
+
+def test_null_keys_group_together(spark):
+    t = dt.datetime
+    rows = [(None, 1, t(2024, 1, 1, 9, 0), 10), (None, 2, t(2024, 1, 1, 9, 20), 10), ("a", 3, t(2024, 1, 1, 9, 5), 5),
+            (None, 4, t(2024, 1, 1, 12, 0), 10), ("a", 5, t(2024, 1, 1, 9, 12), 5)]
+    df = spark.createDataFrame(rows, "k string, id long, ts timestamp_ntz, dur long")
+    plain = {r.id: r.island_id for r in S.with_islands(df, "k", "ts", duration="dur", gap=15, tie="id").collect()}
+    assert plain == {1: 1, 2: 1, 4: 2, 3: 1, 5: 1}
+    for nb in (2, 4):
+        blocked = {r.id: r.island_id for r in S.with_islands(df, "k", "ts", duration="dur", gap=15, tie="id",
+                                                             n_blocks=nb).collect()}
+        assert blocked == plain
