@@ -134,15 +134,17 @@ def winsorise(df: DataFrame, col: str, mode: str = "cap", q: float = 0.99,
               threshold: float | None = None, out: str | None = None) -> DataFrame:
     """Keep / remove / cap values above a quantile (or fixed threshold).
 
-    The quantile is one exact ``percentile`` aggregate (a single row), joined
-    back by broadcast."""
+    The quantile is exact and distributed (``profile.quantiles``: ranked
+    through range blocks, never one task holding all values); the one-row
+    threshold is attached as a scalar subquery."""
     out = out or col
     if mode == "keep":
         return df.withColumn(out, F.col(col)) if out != col else df
     if threshold is not None:
         thr = df.sparkSession.range(1).select(F.lit(float(threshold)).alias("_thr"))
     else:
-        thr = df.agg(F.percentile(col, q).alias("_thr"))
+        from islet.operators.profile import quantiles
+        thr = quantiles(df, col, [q], names=["_thr"])
     j = attach_scalar(df, thr)
     if mode == "remove":
         return j.filter(F.col(col) <= F.col("_thr")).drop("_thr")
