@@ -7,10 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from islet.llm import decontaminate, setsketch
+from islet.llm import decontaminate, langid, mixing, order_minhash, setsketch
 from islet.llm.common import table
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, their edited texts and their next documents."""
+    d = order_minhash.edits(table(spark, sf_dir, "documents"))
+    own, edited, after = (F.col(f"{x}signature") for x in ("", "edited_", "next_"))
+    return d.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        order_minhash.as_string(own).alias("fingerprint"), order_minhash.as_string(edited).alias("edited_fingerprint"),
+        order_minhash.likeness(own, edited).alias("near_edited"), order_minhash.likeness(own, after).alias("near_next"),
+    )
+
+
+def op4_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, 150% of their words, weights 5, 2, 1 by source."""
+    plan = mixing.mix(table(spark, sf_dir, "documents"), ["doc_id"])
+    return plan.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all benchmark items, windows of ten words."""
     found = decontaminate.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -20,11 +37,19 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, by a model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~langid.held_out()).select("text", "lang"))
+    found = langid.label(docs.select("doc_id", "text"), model)
+    return found.select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score").withColumn("held_out", langid.held_out())
+
+
 def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, five-word shingles, similarity of 0.75 or more."""
     return setsketch.near_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_decontaminate, op10_setsketch_dedup)
+    f.__name__: f for f in (op2_order_minhash, op4_sainte_lague, op5_decontaminate, op6_language_spans, op10_setsketch_dedup)
 }

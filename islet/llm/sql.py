@@ -19,4 +19,41 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op5_decontaminate": OP5}
+OP4 = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    md5(concat_ws(':', '42', CAST(doc_id AS VARCHAR))) AS key
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source
+), w AS (SELECT *, CASE rank % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 2.0::DOUBLE * source_size AS most FROM s
+), fill AS (
+  SELECT *, coalesce(sum(most) OVER o, 0) AS below, sum(weight) OVER (ORDER BY most / weight DESC, rank DESC) AS open,
+    1.5::DOUBLE * sum(source_size) OVER () AS goal
+  FROM w WINDOW o AS (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT (goal - below) / open AS level FROM fill WHERE most >= weight * ((goal - below) / open) ORDER BY most / weight, rank LIMIT 1
+), t AS (
+  SELECT source, rank, source_size, CAST(least(most, weight * level) AS DOUBLE) AS target FROM w, level
+), n AS (SELECT greatest(1, CAST(ceil(count(*) / 200000.0) AS BIGINT)) AS shards, CAST(floor(1.5 * sum(size) / 32 + 0.5) AS BIGINT) AS seats FROM d
+), r AS (
+  SELECT d.*, rank, source_size, target, CAST('0x' || substr(key, 1, 8) AS BIGINT) % shards AS shard
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source, n
+), cells AS (
+  SELECT rank, shard, sum(size) AS words, any_value(target) * sum(size) / any_value(source_size) AS votes FROM r GROUP BY rank, shard HAVING sum(size) > 0
+), won AS (
+  SELECT rank, shard, count(*) AS quota FROM (
+    SELECT rank, shard, row_number() OVER (ORDER BY votes / (2 * k + 1) DESC, rank, shard) AS place
+    FROM (SELECT *, unnest(range(0, CAST(ceil(2.0 * words / 32) AS BIGINT) + 2)) AS k FROM cells)
+  ), n WHERE place <= seats GROUP BY rank, shard
+), give AS (
+  SELECT rank, shard, CAST(words AS BIGINT) AS words, CAST(least(coalesce(quota, 0), floor(2.0 * words / 32)) * 32 AS BIGINT) AS give FROM cells LEFT JOIN won USING (rank, shard)
+), ring AS (
+  SELECT r.*, coalesce(give // words, 0) AS rounds, coalesce(give % words, 0) AS rest,
+    sum(size) OVER (PARTITION BY rank, shard ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start
+  FROM r LEFT JOIN give USING (rank, shard)
+)
+SELECT doc_id, size, source_size, target, CAST(rounds * size + greatest(0, least(size, rest - start)) AS BIGINT) AS taken FROM ring
+"""
+
+SQL: dict[str, str] = {"op4_sainte_lague": OP4, "op5_decontaminate": OP5}
