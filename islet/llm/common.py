@@ -24,12 +24,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     executor never repeats the work before it.  ``drop_staged`` deletes it.
     """
     spark = df.sparkSession
-    path = shared_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
+    path = staged_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted like staged tables."""
+    path = shared_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
+    _staged.append(path)
+    return path
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete the staged tables of earlier calls; their readers must be done."""
     while _staged:

@@ -7,8 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from islet.llm import decontaminate, langid, mixing, order_minhash, setsketch
-from islet.llm.common import table
+from islet.llm import cascade, chat, decontaminate, exact_substrings, langid, mixing, order_minhash, setsketch, templates, warc
+from islet.llm.common import staged_path, table
+
+
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, read back from the archives."""
+    path = staged_path(spark, "warc")
+    pages = table(spark, sf_dir, "pages")
+    warc.write(pages.select(F.col("page_id").alias("key"), F.col("url").alias("uri"), F.col("html").cast("binary").alias("payload")), path)
+    back = warc.restore(warc.read(spark, path, with_payload=False))
+    kind = pages.schema["page_id"].dataType
+    return back.select(
+        F.col("key").cast(kind).alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
 
 
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +35,11 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, strings of 400 bytes."""
+    return exact_substrings.summary(table(spark, sf_dir, "documents"))
+
+
 def op4_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, 150% of their words, weights 5, 2, 1 by source."""
     plan = mixing.mix(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -45,11 +63,40 @@ def op6_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score").withColumn("held_out", langid.held_out())
 
 
+def op7_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, their sites' templates counted over all of them."""
+    found = templates.extract(table(spark, sf_dir, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations with an assistant turn, each against the reply of the
+    next one."""
+    pairs = chat.preference(chat.with_rejected(chat.gather(table(spark, sf_dir, "conversations"))))
+    return pairs.drop("chosen", "rejected")
+
+
+#: The rules (verdict, host, path).
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All page urls by five rules."""
+    found = cascade.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, five-word shingles, similarity of 0.75 or more."""
-    return setsketch.near_dedup(table(spark, sf_dir, "documents"))
+    return setsketch.near_dedup(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_order_minhash, op4_sainte_lague, op5_decontaminate, op6_language_spans, op10_setsketch_dedup)
+    f.__name__: f for f in (op1_warc_revisits, op2_order_minhash, op3_induced_suffixes, op4_sainte_lague, op5_decontaminate, op6_language_spans, op7_site_templates, op8_preference_pairs, op9_bloom_cascade, op10_setsketch_dedup)
 }

@@ -228,7 +228,8 @@ def _rest(rows: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, threshold: int = 75) -> DataFrame:
-    """docs(doc_id, text, ..) -> (doc_id, n_shingles, component_id, kept).
+    """docs(doc_id, text, ..) -> (doc_id, text_key, n_shingles, component_id,
+    kept), a row for each row; text_key is a hash of the text.
 
     Documents whose sets share at least ``threshold`` percent of their union
     are linked; component_id is the smallest doc_id that links reach.  Null
@@ -257,6 +258,14 @@ def near_dedup(docs: DataFrame, threshold: int = 75) -> DataFrame:
     at = classes.select("node", "low_id").join(final, F.col("node") == F.col("id"), "left").select("node", "low_id", F.coalesce("component", "node").alias("component"))
     low = at.groupBy("component").agg(F.min("low_id").alias("component_id"))
     at = at.join(low, "component").select("node", "component_id")
-    out = sk.select("doc_id", "n_shingles", "node").join(at, "node", "left")
+    out = sk.select("doc_id", "text_key", "n_shingles", "node").join(at, "node", "left")
     group = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", group.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "text_key", "n_shingles", group.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame, threshold: int = 75) -> DataFrame:
+    """The rows of docs, all their columns, that near_dedup keeps; of rows that
+    repeat an id and its text, one."""
+    kept = near_dedup(docs, threshold).filter("kept").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k_id"), F.col("text_key").alias("k_key")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k_id"), F.xxhash64("text").alias("k_key"))
+    return rows.join(kept, ["k_id", "k_key"]).dropDuplicates(["k_id", "k_key"]).select("row.*")

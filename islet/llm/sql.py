@@ -19,6 +19,49 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+OP1 = r"""
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+OP8 = r"""
+WITH t AS (
+  SELECT conv_id, list({'role': coalesce(role, 'unknown'), 'text': coalesce(text, '')} ORDER BY turn, coalesce(role, 'unknown'), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), l AS (
+  SELECT conv_id, turns, len(turns) - list_position(list_transform(list_reverse(turns), lambda x: x.role = 'assistant'), true) + 1 AS last
+  FROM t WHERE list_contains(list_transform(turns, lambda x: x.role = 'assistant'), true)
+), r AS (
+  SELECT *, turns[last].text AS reply, coalesce(lead(turns[last].text) OVER (ORDER BY conv_id DESC), first_value(turns[last].text) OVER (ORDER BY conv_id DESC)) AS other FROM l
+), p AS (
+  SELECT conv_id, turns[: last - 1] AS before, reply, other, CASE WHEN reply = other THEN last ELSE last - 1 END AS n_common FROM r
+), x AS (
+  SELECT *, '<|assistant|>' || chr(10) AS h, replace(reply, '<|', '< |') || '<|end|>' || chr(10) AS c, replace(other, '<|', '< |') || '<|end|>' || chr(10) AS o,
+    array_to_string(list_transform(before, lambda x: '<|' || x.role || '|>' || chr(10) || replace(x.text, '<|', '< |') || '<|end|>' || chr(10)), '') AS b
+  FROM p
+)
+SELECT conv_id, CAST(n_common AS BIGINT) AS n_common, CASE WHEN reply = other THEN b || h || c ELSE b END AS prompt,
+  CASE WHEN reply = other THEN '' ELSE h || c END AS chosen_completion, CASE WHEN reply = other THEN '' ELSE h || o END AS rejected_completion,
+  CASE WHEN reply = other THEN '' ELSE '14:0,' || length(c) || ':1' END AS chosen_mask, CASE WHEN reply = other THEN '' ELSE '14:0,' || length(o) || ':1' END AS rejected_mask
+FROM x
+"""
+
+OP9 = r"""
+WITH p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+), r(verdict, rh, rp) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), fit AS (
+  SELECT page_id, host, path, rh || rp AS rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC) AS place
+  FROM p JOIN r ON (host = rh OR suffix(host, '.' || rh)) AND starts_with(path, rp)
+)
+SELECT p.page_id, p.host, p.path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN fit ON p.page_id = fit.page_id AND place = 1
+"""
+
 OP4 = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
@@ -56,4 +99,4 @@ WITH d AS (
 SELECT doc_id, size, source_size, target, CAST(rounds * size + greatest(0, least(size, rest - start)) AS BIGINT) AS taken FROM ring
 """
 
-SQL: dict[str, str] = {"op4_sainte_lague": OP4, "op5_decontaminate": OP5}
+SQL: dict[str, str] = {"op8_preference_pairs": OP8, "op1_warc_revisits": OP1, "op9_bloom_cascade": OP9, "op4_sainte_lague": OP4, "op5_decontaminate": OP5}
