@@ -3,7 +3,8 @@
 1. ``resolve``: headers (key, payload digest, size) shuffle by digest; the
    smallest key of equal payloads becomes the original, the others revisits.
    The digest's aggregate has one row a digest, and the headers join it back
-   as the large side, so AQE can split a payload that very many records share.
+   as the large side.  The aggregate is dealt anew before that join, so both
+   sides are plain shuffles and AQE can split a digest that very many share.
    Payloads stay out of that shuffle.
 2. ``write``: payloads meet their decisions by key and leave as gzip'd WARC/1.1
    files with fresh headers, through Spark's text writer: a record ends with
@@ -49,7 +50,7 @@ def resolve(heads: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     null; then all are responses.
     """
     heads = heads.select("key", "digest", "n_bytes").groupBy("key", "digest").agg(F.first("n_bytes").alias("n_bytes"))
-    first = heads.filter(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
+    first = heads.filter(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first").hint("rebalance")
     joined = heads.join(first, "digest", "left")
     again = F.coalesce(~F.col("first").eqNullSafe(F.col("key")), F.lit(False)) & F.col("first").isNotNull()
     return joined.select("key", "digest", "n_bytes", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
