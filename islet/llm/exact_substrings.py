@@ -141,7 +141,7 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_byte
     docs = docs.select("doc_id", F.col("text"), F.xxhash64("text").alias("text_key"))
     cut = stage(segments(docs, window, gram), "segments")
     each = cut.select("doc_id", "text_key", F.explode(F.arrays_zip("label", "digest", "start", "n")).alias("p")).select("doc_id", "text_key", "p.*")
-    again = each.groupBy("label").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("label")
+    again = each.groupBy("label").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("label").hint("rebalance")  # so the join's sides are plain shuffles, which AQE splits
     places = stage(each.join(again, "label"), "places")
     classes = places.groupBy("label", "digest").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "text_key", "start")).alias("first"), F.first("n").alias("n"))
     classes = stage(classes, "classes")
