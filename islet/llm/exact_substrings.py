@@ -31,7 +31,7 @@ from islet.llm.common import mix64, random_words, stage, text_chunks
 from islet.llm.induced import permuted_prefixes, suffix_array
 
 WINDOW, GRAM = 400, 64
-SHARD_BYTES, HOT_BYTES = 4 << 20, 12 << 20
+SHARD_BYTES, HOT_BYTES = 2 << 20, 4 << 20
 CHUNK = 1 << 19
 
 _T = random_words(256, 77)
