@@ -106,7 +106,8 @@ def _features(data: np.ndarray, offs: np.ndarray):
 def sample(labelled: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """About ``rows`` rows of each lang, by a hash of the text."""
     share = labelled.groupBy("lang").agg((F.lit(float(rows)) / F.count(F.lit(1))).alias("share"))
-    kept = labelled.join(share, "lang").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    # a row for each lang, as the model has a column for each
+    kept = labelled.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     return kept.select("lang", "text")
 
 
