@@ -242,7 +242,7 @@ def near_dedup(docs: DataFrame, threshold: int = 75) -> DataFrame:
     sk = stage(sketch(docs), "sketches")
     classes = stage(sk.filter("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("doc_id").alias("low_id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")).select("node", "first.*", "low_id", "n", "registers"), "classes")
     bands = band_rows(classes)
-    shared = bands.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = bands.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).filter("size > 1").hint("rebalance")  # the join's sides are plain shuffles, which AQE splits
     rows = stage(bands.join(shared, "key"), "buckets")
     members = classes.join(rows.select("node").distinct(), "node", "left_semi")
     sets = stage(_sets(docs, members), "sets")
