@@ -148,8 +148,10 @@ def length_tier_ord(col, tiers: Mapping[str, list[int]] = LENGTH_TIERS,
 
 
 def category_rank(col, order: Sequence[str]) -> Column:
-    """Position of a label in a custom order (1-based; 0 when absent)."""
-    return F.array_position(F.array(*[F.lit(v) for v in order]), _c(col))
+    """Position of a label in a custom order (1-based); labels outside the
+    order come after all others, NULL stays NULL."""
+    at = F.array_position(F.array(*[F.lit(v) for v in order]), _c(col))
+    return F.when(at == 0, F.lit(len(order) + 1).cast("long")).otherwise(at)
 
 
 def binary_flag(col, value) -> Column:
@@ -179,7 +181,9 @@ def plus_minutes(ts_col, minutes_col) -> Column:
 
 def minute_boundaries(a, b) -> Column:
     """number of minute boundaries crossed from a to b (DATEDIFF('minute'))."""
-    return F.timestamp_diff("MINUTE", F.date_trunc("minute", _c(a)), F.date_trunc("minute", _c(b)))
+    a, b = _c(a), _c(b)
+    clock = lambda t: F.hour(t) * 60 + F.minute(t)  # noqa: E731  no cast to the session zone, whose hours can be skipped
+    return (F.datediff(b, a) * 1440 + clock(b) - clock(a)).cast("long")
 
 
 def day_span(first, last) -> Column:

@@ -133,6 +133,7 @@ def clean_log(raw: DataFrame, seq=None, n_blocks: int | None = None) -> DataFram
 def winsorise(df: DataFrame, col: str, mode: str = "cap", q: float = 0.99,
               threshold: float | None = None, out: str | None = None) -> DataFrame:
     """Keep / remove / cap values above a quantile (or fixed threshold).
+    ``remove`` drops values at the threshold too; NULL stays NULL throughout.
 
     The quantile is exact and distributed (``profile.quantiles``: ranked
     through range blocks, never one task holding all values); the one-row
@@ -147,7 +148,7 @@ def winsorise(df: DataFrame, col: str, mode: str = "cap", q: float = 0.99,
         thr = quantiles(df, col, [q], names=["_thr"])
     j = attach_scalar(df, thr)
     if mode == "remove":
-        return j.filter(F.col(col) <= F.col("_thr")).drop("_thr")
+        return j.filter(F.col(col).isNull() | (F.col(col) < F.col("_thr"))).drop("_thr")
     if mode == "cap":
-        return j.withColumn(out, F.least(F.col(col), F.col("_thr"))).drop("_thr")
+        return j.withColumn(out, F.when(F.col(col) > F.col("_thr"), F.col("_thr")).otherwise(F.col(col))).drop("_thr")
     raise ValueError(mode)

@@ -111,22 +111,21 @@ def residuals_by(scored: DataFrame, col: str, resid: str, order: Sequence[str] |
 
 
 def feature_shift(scored: DataFrame, flags: Sequence[str], era_col: str = "era",
-                  threshold: float = S.SHIFT_THRESHOLD) -> DataFrame:
+                  threshold: float = S.SHIFT_THRESHOLD, min_post: int = 5) -> DataFrame:
     """ML21: per flag its train-era and post-era mean, the delta and |delta|
-    > threshold, from one aggregate."""
-    aggs = []
+    > threshold, never flagged on fewer than ``min_post`` post-era rows; one
+    scan, unpivoted."""
+    aggs = [F.count_if(F.col(era_col) == "post").alias("_post")]
     for f in flags:
         x = F.col(f).cast("double")
         aggs += [F.avg(F.when(F.col(era_col) == "train", x)).alias(f"{f}__t"),
                  F.avg(F.when(F.col(era_col) == "post", x)).alias(f"{f}__p")]
     one = scored.agg(*aggs)
-    parts = [one.select(F.lit(f).alias("feature"), F.col(f"{f}__t").alias("train_mean"),
-                        F.col(f"{f}__p").alias("post_mean")) for f in flags]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"{f}__t").alias("train_mean"),
+                                        F.col(f"{f}__p").alias("post_mean")) for f in flags]))
+    out = one.select("_post", each.alias("_f")).select("_post", "_f.*")
     out = out.withColumn("delta", F.col("post_mean") - F.col("train_mean"))
-    return out.withColumn("shifted", S.flag_abs("delta", threshold))
+    return out.withColumn("shifted", S.flag_abs("delta", threshold) & (F.col("_post") >= min_post)).drop("_post")
 
 
 def tier_mix(scored: DataFrame, tier: str, era_col: str = "era") -> DataFrame:

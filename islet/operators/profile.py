@@ -64,6 +64,13 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], by=None, names: Se
             .select(*by, *[F.col(str(i)).alias(n) for i, n in enumerate(names)]))
 
 
+def _join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of two one-row-per-group tables; a NULL group meets itself."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [left[k].eqNullSafe(right[f"_r_{k}"]) for k in keys]
+    return left.join(right, same, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def median(df: DataFrame, value: str, by=None, name: str = "median", n_blocks: int | None = None) -> DataFrame:
     return quantiles(df, value, [0.5], by, [name], n_blocks=n_blocks)
 
@@ -74,7 +81,7 @@ def group_summary(df: DataFrame, keys, value: str, n_blocks: int | None = None)
     agg = df.groupBy(*keys).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
                                 F.count(value).alias("count"))
     med = median(df, value, keys, n_blocks=n_blocks)
-    return agg.join(med, keys, "left") if keys else attach_scalar(agg, med)
+    return _join_groups(agg, med, keys) if keys else attach_scalar(agg, med)
 
 
 def group_means(df: DataFrame, keys, values: Sequence[str]) -> DataFrame:
@@ -89,7 +96,7 @@ def describe(df: DataFrame, value: str, by=None, n_blocks: int | None = None) ->
                               F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
                               F.max(value).alias("max"))
     q = quantiles(df, value, [0.25, 0.5, 0.75], by, ["q25", "q50", "q75"], n_blocks=n_blocks)
-    return agg.join(q, by, "left") if by else attach_scalar(agg, q)
+    return _join_groups(agg, q, by) if by else attach_scalar(agg, q)
 
 
 def box_stats(df: DataFrame, key, value: str, n_blocks: int | None = None) -> DataFrame:
@@ -98,15 +105,16 @@ def box_stats(df: DataFrame, key, value: str, n_blocks: int | None = None) -> Da
 
 
 def crosstab(df: DataFrame, r: str, c: str, levels: Sequence | None = None) -> DataFrame:
-    """Wide counts, absent cells 0 (pivot levels are given or discovered)."""
-    p = df.groupBy(r).pivot(c, list(levels) if levels is not None else None).count()
+    """Wide counts, absent cells 0 (pivot levels are given or discovered).
+    Rows with a NULL level are left out here and in the other crosstabs."""
+    p = df.dropna(subset=[r, c]).groupBy(r).pivot(c, list(levels) if levels is not None else None).count()
     return p.fillna(0)
 
 
 def crosstab_long(df: DataFrame, r: str, c: str, normalize: str | None = None, name: str = "n") -> DataFrame:
     """A17 / A18 in long form: one row per observed cell, share by row,
     column or all (``normalize`` in {None, 'index', 'columns', 'all'})."""
-    cells = df.groupBy(r, c).agg(F.count(F.lit(1)).alias(name))
+    cells = df.dropna(subset=[r, c]).groupBy(r, c).agg(F.count(F.lit(1)).alias(name))
     if normalize is None:
         return cells
     part = {"index": [r], "columns": [c], "all": []}[normalize]
@@ -116,7 +124,7 @@ def crosstab_long(df: DataFrame, r: str, c: str, normalize: str | None = None, n
 
 def crosstab_margins(df: DataFrame, r: str, c: str, label: str = "All", name: str = "n") -> DataFrame:
     """Counts with row, column and grand totals (CUBE + grouping id)."""
-    cube = df.cube(r, c).agg(F.count(F.lit(1)).alias(name), F.grouping_id(r, c).alias("_g"))
+    cube = df.dropna(subset=[r, c]).cube(r, c).agg(F.count(F.lit(1)).alias(name), F.grouping_id(r, c).alias("_g"))
     return cube.select(F.when(F.col("_g").bitwiseAND(2) > 0, F.lit(label)).otherwise(F.col(r).cast("string")).alias(r),
                        F.when(F.col("_g").bitwiseAND(1) > 0, F.lit(label)).otherwise(F.col(c).cast("string")).alias(c),
                        name)
@@ -169,9 +177,10 @@ def range_stats(df: DataFrame, keys, metric: str) -> DataFrame:
 
 
 def share_where(df: DataFrame, keys, pred: Column, name: str = "pct") -> DataFrame:
-    """Percentage of rows meeting pred, with the count."""
+    """Percentage of rows meeting pred, with the count; a NULL pred is
+    a row that does not meet it."""
     return df.groupBy(*_l(keys)).agg(F.count_if(pred).alias("n_true"), F.count(F.lit(1)).alias("n"),
-                                     (F.avg(pred.cast("int")) * 100).alias(name))
+                                     (F.count_if(pred) * 100.0 / F.count(F.lit(1))).alias(name))
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:

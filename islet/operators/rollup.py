@@ -90,7 +90,7 @@ def entity_rollup(sessions: DataFrame, key: str = "video_id", category: str = "c
         has = F.col(f"_n_{snake(p)}") > 0
         l2 += [cond_min(d, has).alias(f"{snake(p)}_date_first"),
                cond_max(d, has).alias(f"{snake(p)}_date_last"),
-               count_where(has).alias(f"{snake(p)}_active_days")]
+               count_where(has & d.isNotNull()).alias(f"{snake(p)}_active_days")]
     out = day.groupBy(key).agg(*l2)
     out = out.withColumn("total_day_span", S.day_span("date_first", "date_last"))
     out = out.withColumn("creation_day_span", S.day_span("_cf", "_cl"))

@@ -73,11 +73,12 @@ def spearman(df: DataFrame, x: str, y: str, tie: Sequence[str], n_blocks: int |
 
 
 def contingency(df: DataFrame, r: str, c: str) -> DataFrame:
-    """Dense r x c counts in long form: absent cells are present with 0 (H8).
+    """Dense r x c counts in long form: absent cells are present with 0 (H8);
+    rows with a NULL level are left out.
 
     Densified through a pivot over the (bounded) level set of ``c``, then
     unpivoted — no cross join."""
-    wide = df.groupBy(r).pivot(c).count().fillna(0)
+    wide = df.dropna(subset=[r, c]).groupBy(r).pivot(c).count().fillna(0)
     levels = [x for x in wide.columns if x != r]
     return wide.unpivot(r, levels, c, "observed")
 

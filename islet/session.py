@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
+_local: str | None = None  # the folder of a local session without a shared one
+
 # Settings every session gets; a cluster's own spark-defaults win for the rest.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -37,14 +40,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only pick a local one when the
-    setting is absent, which only happens in local tests.
+    Without that setting a session on this machine alone (``local[n]``) gets
+    one folder per process; on a cluster it is an error, as executors do not
+    see one another's folders.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="islet-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        global _local
+        d = _local = _local or tempfile.mkdtemp(prefix="islet-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d

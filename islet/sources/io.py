@@ -132,6 +132,7 @@ def write_meta(spark: SparkSession, meta: Mapping, path: str) -> None:
     row = {k: (json.dumps(v) if isinstance(v, (dict, list)) else v) for k, v in meta.items()}
     row["train_cutoff"] = str(meta.get("train_cutoff")) if meta.get("train_cutoff") is not None else None
     fields = [T.StructField(k, T.StringType() if isinstance(v, str) or v is None else
+                            T.BooleanType() if isinstance(v, bool) else
                             T.DoubleType() if isinstance(v, float) else T.LongType()) for k, v in row.items()]
     spark.createDataFrame([tuple(row.values())], T.StructType(fields)).coalesce(1).write.mode("overwrite").json(path)
 
