@@ -1,8 +1,8 @@
 """Joins (J1-J10) with size-checked broadcasts.
 
 A side is broadcast only when its size is proven: either it is built with a
-fixed bound (one row per block, one row total, top-k), or a cheap
-``limit(n + 1).count()`` shows it has at most ``n`` rows.  Otherwise the
+fixed bound (one row per block, one row total, top-k), or a look at no more
+than n + 1 rows shows their number and bytes.  Otherwise the
 join is left to Spark (sort-merge, or AQE's runtime broadcast when the
 shuffle statistics show it is small).
 """
@@ -11,37 +11,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # a dimension is broadcast only below both bounds
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
-# per-value width used for the byte bound (strings and nested values
-# are charged generously; fixed-width types at their size)
+# bytes of fixed-width types; other values are measured
 _WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4,
           "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
 
 
-def row_width(df: DataFrame) -> int:
-    """Upper-bound-ish bytes per row from the schema (strings as 64 bytes)."""
-    return 16 + sum(_WIDTH.get(t, 64) for _, t in df.dtypes)
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: 16, the fixed-width types at their size, and the real
+    length of strings and binaries (decimals and nested values as JSON)."""
+    out = F.lit(16 + sum(_WIDTH.get(t, 0) for _, t in df.dtypes)).cast("long")
+    for c, t in df.dtypes:
+        if t not in _WIDTH:
+            x = F.col(f"`{c}`") if t in ("string", "binary") else F.to_json(F.struct(F.col(f"`{c}`")))
+            out = out + F.lit(16) + F.coalesce(F.octet_length(x), F.lit(0))
+    return out
 
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when df has <= n rows; reads at most n + 1 rows."""
-    return df.limit(n + 1).count() <= n
+def is_small(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """True when df has at most ``max_rows`` rows of ``max_bytes`` in all;
+    reads at most max_rows + 1 rows."""
+    r = df.limit(max_rows + 1).select(row_bytes(df).alias("b")).agg(F.count("b"), F.sum("b")).first()
+    return r[0] <= max_rows and (r[1] or 0) <= max_bytes
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast-hint a stored dimension only when its size is proven small:
-    at most ``max_rows`` rows and at most ``max_bytes`` at the schema's row
-    width.  Use it on stored tables (the check reads at most n + 1 rows),
-    not on derived frames, whose lineage the count would run again."""
-    n = min(max_rows, max(0, max_bytes // row_width(df)))
-    return F.broadcast(df) if has_at_most(df, n) else df
+    at most ``max_rows`` rows and at most ``max_bytes`` by the real length of
+    its values.  Use it on stored tables (the check reads at most n + 1
+    rows), not on derived frames, whose lineage the look would run again."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:

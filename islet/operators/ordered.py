@@ -13,7 +13,8 @@ here instead cuts the order into contiguous *blocks*:
 2. A per-block summary (one row per block: count, last value, ...) is built
    with a partial aggregate, so it is tiny and its size is bounded by the
    block count.  Prefix sums / carries over it run on that tiny table.
-3. The summary is broadcast back (size bound = number of blocks) and combined
+3. The summary is broadcast back (one row per block of about
+   BLOCK_TARGET_ROWS rows) and combined
    with a window partitioned by block.  The block table is bucketed by
    block, so that window needs no shuffle of its own.
 
@@ -34,8 +35,7 @@ from islet.session import scratch_table
 
 BLK = "_blk"
 POS = "_pos"
-BKT = "_bkt"  # bucket key of a block: hashes to exactly that block's bucket
-MAX_BLOCKS = 1 << 20  # hard bound on the summary tables we broadcast
+BKT = "_bkt"  # bucket key of a block: hashes to that block's bucket
 
 
 def _cols(order) -> list:
@@ -56,15 +56,12 @@ def default_blocks(df: DataFrame) -> int:
 
 
 def resolve_blocks(df: DataFrame, n_blocks) -> int:
-    """``None`` -> spark.sql.shuffle.partitions; ``"auto"`` -> one count of
-    the input, about BLOCK_TARGET_ROWS rows per block (a block is windowed
-    by one task, so this bounds the work and buffer of a task); an int is
-    used as given."""
-    if n_blocks is None:
-        return default_blocks(df)
-    if n_blocks == "auto":
-        rows = df.count()
-        return int(min(MAX_BLOCKS, max(default_blocks(df), -(-rows // BLOCK_TARGET_ROWS))))
+    """``None`` or ``"auto"`` -> one count of the input, about BLOCK_TARGET_ROWS rows per
+    block (a block is windowed by one task, so this bounds the work and
+    buffer of a task) and at least spark.sql.shuffle.partitions blocks; an
+    int is used as given."""
+    if n_blocks in (None, "auto"):
+        return max(default_blocks(df), -(-df.count() // BLOCK_TARGET_ROWS))
     return int(n_blocks)
 
 
@@ -73,15 +70,17 @@ def range_blocks(df: DataFrame, order, n_blocks: int | None = None) -> DataFrame
     (0-based position inside the block)."""
     order = sort_keys(order)
     n = resolve_blocks(df, n_blocks)
-    if not 1 <= n <= MAX_BLOCKS:
-        raise ValueError(f"n_blocks must be in [1, {MAX_BLOCKS}]")
+    if n < 1:
+        raise ValueError("n_blocks must be at least 1")
     spark = df.sparkSession
+    buckets = min(n, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
     b = (df.repartitionByRange(n, *order)
          .sortWithinPartitions(*order)
          .withColumn(BLK, F.spark_partition_id())
          .withColumn(POS, F.monotonically_increasing_id() - F.shiftleft(F.col(BLK).cast("long"), 33)))
-    b = (b.join(F.broadcast(bucket_keys(spark, n)), BLK, "left")
-         .withColumn(BKT, F.coalesce(F.col(BKT), F.col(BLK).cast("long"))))
+    b = (b.withColumn("_slot", F.col(BLK) % F.lit(buckets))
+         .join(F.broadcast(bucket_keys(spark, buckets).withColumnRenamed(BLK, "_slot")), "_slot", "left")
+         .withColumn(BKT, F.coalesce(F.col(BKT), F.col("_slot").cast("long"))).drop("_slot"))
     # Every operator reads the blocks twice (per-block summary + rows).  Spark
     # samples range bounds per exchange instance, so two exchanges could cut
     # different blocks.  The blocked rows are written once as a table in the
@@ -89,10 +88,10 @@ def range_blocks(df: DataFrame, order, n_blocks: int | None = None) -> DataFrame
     # same cut, the lineage is cut (survives executor loss), and readers get
     # parquet column pruning.  The table is bucketed on the blocks' bucket
     # keys, one block per bucket, so a scan of it is already partitioned by
-    # block: the per-block windows that follow need no further shuffle and
-    # no bucket holds two blocks.
+    # block: the per-block windows that follow need no further shuffle.
+    # Beyond Spark's bucket limit the blocks go round the buckets.
     name, path = scratch_table(spark, "blocks")
-    b.write.mode("overwrite").format("parquet").bucketBy(n, BKT).option("path", path).saveAsTable(name)
+    b.write.mode("overwrite").format("parquet").bucketBy(buckets, BKT).option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
@@ -104,8 +103,8 @@ def bucket_keys(spark, n: int) -> DataFrame:
     n-way hash bucketing is exactly that block.  Found once per n by one
     small job over n * (ln n + 20) candidates (a bucket is then missed with
     probability below e^-20; a missed one falls back to the block number),
-    kept as an n-row list (bounded by MAX_BLOCKS) and reused as a local
-    relation."""
+    kept as an n-row list (at most Spark's bucket limit) and reused as a
+    local relation."""
     if n not in _BUCKET_KEYS:
         import math
         c = int(n * (math.log(n + 1) + 20)) + 64

@@ -1,9 +1,9 @@
 """Profiling, grouping and cross-tabulation.
 
-Exact quantiles never gather a group's values into one buffer: the rows are
-sorted by (group, value) over range blocks, given a global position, and the
-two rows around each wanted position are picked out (linear interpolation,
-as pandas and DuckDB's ``quantile_cont`` do).
+Exact quantiles never gather a group's values into one buffer: counts per
+(group, value) are sorted over range blocks, and the two values around each
+wanted position are picked out (linear interpolation, as pandas and DuckDB's
+``quantile_cont`` do).
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from islet.operators.joins import attach_scalar, small_side
-from islet.operators.ordered import with_global_index
+from islet.operators.joins import attach_scalar
+from islet.operators.ordered import BKT, BLK, POS, range_blocks
 
 
 def _l(x) -> list:
@@ -38,30 +38,35 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], name: str = "n_copies",
 def quantiles(df: DataFrame, value: str, qs: Sequence[float], by=None, names: Sequence[str] | None = None,
               n_blocks: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group
-    (NULLs ignored), one row per group with a column per quantile."""
+    (NULLs ignored), one row per group with a column per quantile.
+
+    Rows are counted per (group, value) first, so a repeated value is one
+    row however often it occurs; cumulative counts over the blocks of these
+    give each value the run of positions it fills, and a partial aggregate
+    picks the values whose runs hold the wanted positions."""
     by = _l(by)
     names = list(names) if names else [f"q{int(round(q * 100)):02d}" for q in qs]
-    base = df.select(*by, value).filter(F.col(value).isNotNull())
-    idx = with_global_index(base, by + [value], "_i", n_blocks=n_blocks)
-    grp = idx.groupBy(*by).agg(F.min("_i").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    pos = grp.select(*by, "_first", "_n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)])).alias("_q"))
-    h = (F.col("_n") - 1) * F.col("_q.q")
-    pos = pos.select(*by, F.col("_q.qi").alias("_qi"),
-                     (F.col("_first") + F.floor(h)).alias("_lo"),
-                     (F.col("_first") + F.ceil(h)).alias("_hi"),
-                     (h - F.floor(h)).alias("_frac"))
-    # the wanted positions (groups x quantiles x 2) are usually few: they are
-    # broadcast when proven small, the rows stream past them once, and only
-    # the picked values take part in the joins that follow
-    need = pos.select(F.explode(F.array("_lo", "_hi")).alias("_i")).distinct()
-    picked = idx.select(F.col("_i"), F.col(value).alias("_v")).join(small_side(need), "_i")
-    lo = picked.select(F.col("_i").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = picked.select(F.col("_i").alias("_hi"), F.col("_v").alias("_vhi"))
-    got = pos.join(lo, "_lo").join(hi, "_hi")
-    got = got.withColumn("_val", F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
-    return (got.groupBy(*by).pivot("_qi", list(range(len(qs)))).agg(F.first("_val"))
-            .select(*by, *[F.col(str(i)).alias(n) for i, n in enumerate(names)]))
+    vals = (df.select(*by, value).filter(F.col(value).isNotNull())
+            .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c")))
+    b = range_blocks(vals, by + [value], n_blocks)
+    sums = b.groupBy(BKT, BLK).agg(F.sum("_c").alias("_bc")).drop(BKT)
+    before = Window.orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    offs = sums.select(BLK, F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(BKT, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    runs = (b.join(F.broadcast(offs), BLK)
+            .select(*by, F.col(value).alias("_v"), "_c", (F.col("_off") + F.sum("_c").over(inside)).alias("_end")))
+    grp = runs.groupBy(*by).agg(F.min(F.col("_end") - F.col("_c")).alias("_first"), F.sum("_c").alias("_n"))
+    runs = _join_groups(runs, grp, by) if by else attach_scalar(runs, grp)
+    start, end = F.col("_end") - F.col("_c") - F.col("_first"), F.col("_end") - F.col("_first")
+    aggs = []
+    for i, q in enumerate(qs):
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        for side, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.max(F.when((start <= at) & (at < end), F.col("_v"))).alias(f"_{side}{i}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_frac{i}"))
+    got = runs.groupBy(*by).agg(*aggs)
+    return got.select(*by, *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_frac{i}")).alias(n)
+                             for i, n in enumerate(names)])
 
 
 def _join_groups(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

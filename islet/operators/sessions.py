@@ -7,12 +7,10 @@ from the *previous row's* end (not the running maximum end) to its start is
 above ``gap``.  Overlaps give negative gaps and merge.
 
 Scale: partitioning the window by key alone puts a hot key (say a third of
-all rows) into one task.  A skew guard (one partially aggregated count per
-key) checks for that first.  When a key is hot, rows are range-partitioned
-on ``(keys, start, tie)`` into balanced blocks, so a hot key spans many
-blocks and a block may hold many small keys.  Two carries fix the block edges, both
-computed on one-row-per-block summaries (bounded by the block count, so they
-are broadcast):
+all rows) into one task.  Rows are range-partitioned on ``(keys, start,
+tie)`` into balanced blocks instead, so a hot key spans many blocks and a
+block may hold many small keys.  Two carries fix the block edges, both
+computed on one-row-per-block summaries (broadcast):
 
 * the previous row's end for a block's first row (when the key continues);
 * the number of islands the key already opened in earlier blocks.
@@ -35,58 +33,21 @@ def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-# A key is hot when it alone holds more rows than this and more than
-# HOT_FACTOR times the average rows per shuffle partition.
-HOT_MIN_ROWS = 1_000_000
-HOT_FACTOR = 2.0
-BLOCK_TARGET_ROWS = 2_000_000
-MAX_AUTO_BLOCKS = 100_000  # keeps the range shuffle's reducer count sane
-
-
-def plan_blocks(df: DataFrame, keys: list[str], hot_min_rows: int = HOT_MIN_ROWS,
-                hot_factor: float = HOT_FACTOR) -> int | None:
-    """Skew guard: one partially aggregated pass over the key columns.
-    Returns None (plain per-key window is safe) or the number of balanced
-    range blocks to use because some key is hot."""
-    st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
-        F.max("_n").alias("mx"), F.sum("_n").alias("tot")).first()
-    if st is None or st["tot"] is None:
-        return None
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    if st["mx"] <= max(hot_min_rows, hot_factor * st["tot"] / parts):
-        return None
-    return min(MAX_AUTO_BLOCKS, max(parts, -(-st["tot"] // BLOCK_TARGET_ROWS)))
-
-
-def _plain_islands(df, keys, start, end, tie, gap, island, gap_col):
-    w = Window.partitionBy(*keys).orderBy(*sort_keys([start, *tie]))
-    rows = df.withColumn(gap_col, minute_boundaries(F.lag(F.col(end)).over(w), F.col(start)))
-    new = F.when(F.col(gap_col).isNull() | (F.col(gap_col) > F.lit(gap)), 1).otherwise(0)
-    return rows.withColumn(island, F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
-
-
 def with_islands(df: DataFrame, keys, start: str, end: str | None = None,
                  duration: str | None = None, gap: int = 15, tie=None,
                  island: str = "island_id", gap_col: str = "gap_from_prev_minutes",
-                 end_col: str = "ts_end_computed", n_blocks: int | None = None,
-                 hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+                 end_col: str = "ts_end_computed", n_blocks: int | None = None) -> DataFrame:
     """Every row with its gap from the previous row of the same
     key and its 1-based island number within the key.
 
-    ``n_blocks=None`` runs the skew guard (``plan_blocks``): without a hot key
-    the plain per-key window is used (one shuffle); with one, the rows go
-    through balanced range blocks.  An explicit ``n_blocks`` always uses
-    blocks."""
+    Rows always go through balanced range blocks, however the keys are
+    spread (``n_blocks`` as in ``ordered.resolve_blocks``)."""
     keys, tie = _list(keys), _list(tie)
     if end is None:
         if duration is None:
             raise ValueError("give end or duration")
         df = df.withColumn(end_col, plus_minutes(start, duration))
         end = end_col
-    if n_blocks is None:
-        n_blocks = plan_blocks(df, keys, hot_min_rows)
-        if n_blocks is None:
-            return _plain_islands(df, keys, start, end, tie, gap, island, gap_col)
     order = keys + [start] + tie
     b = range_blocks(df, order, n_blocks)
     kk = F.struct(*[F.col(k) for k in keys])
@@ -139,7 +100,7 @@ def collapse(islands: DataFrame, keys, island: str = "island_id",
 def sessionize(df: DataFrame, keys, start: str, duration: str, gap: int = 15, tie=None,
                date: str | None = None, time_start: str | None = None, time_end: str | None = None,
                carry: Sequence[str] = (), end: str = "max_end", island: str = "session_id",
-               n_blocks: int | None = None, hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+               n_blocks: int | None = None) -> DataFrame:
     """The log's combined sessions.
 
     ``end="max_end"`` keeps MAX(time_end) (the view); ``"last_start"`` keeps
@@ -148,7 +109,7 @@ def sessionize(df: DataFrame, keys, start: str, duration: str, gap: int = 15, ti
     given alongside.
     """
     isl = with_islands(df, keys, start, duration=duration, gap=gap, tie=tie, island=island,
-                       n_blocks=n_blocks, hot_min_rows=hot_min_rows)
+                       n_blocks=n_blocks)
     aggs = [F.count(F.lit(1)).alias("sessions_combined")]
     if date:
         aggs.append(F.min(date).alias(date))

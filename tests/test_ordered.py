@@ -116,3 +116,38 @@ def test_bucket_keys_one_block_per_bucket(spark, n):
     m = O.bucket_keys(spark, n)
     rows = m.select(O.BLK, F.pmod(F.hash(F.col(O.BKT)), F.lit(n)).alias("b")).collect()
     assert len(rows) == n and all(r[0] == r[1] for r in rows)
+
+
+def test_more_blocks_than_buckets(spark, seq):
+    key = "spark.sql.sources.bucketing.maxBuckets"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "4")
+    try:
+        got = O.with_global_index(seq, ["k"], "idx", n_blocks=11)
+        assert _rows(got, ["k", "idx"]) == [(i, i) for i in range(60)]
+        filled = O.forward_fill(seq, ["k"], ["x"], n_blocks=11)
+        assert _rows(filled, ["k", "x"]) == _rows(O.forward_fill(seq, ["k"], ["x"], n_blocks=1), ["k", "x"])
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_blocks_follow_the_rows(spark, seq, monkeypatch):
+    monkeypatch.setattr(O, "BLOCK_TARGET_ROWS", 2)
+    assert O.resolve_blocks(seq, None) == max(30, O.default_blocks(seq))
+
+
+def test_quantiles_of_a_repeated_value(spark):
+    import numpy as np
+    from islet.operators import profile
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("g"),
+        F.when(F.col("id") % 10 != 0, F.lit(7.0)).otherwise(F.col("id") * 1.5).alias("v"))
+    rows = df.collect()
+    for nb in (1, 8):
+        got = {r.g: r for r in profile.quantiles(df, "v", [0.0, 0.04, 0.5, 0.93, 1.0], "g", list("abcde"), n_blocks=nb).collect()}
+        assert set(got) == {None, 0, 1}
+        for g, r in got.items():
+            want = np.quantile([x.v for x in rows if x.g == g], [0.0, 0.04, 0.5, 0.93, 1.0])
+            assert np.allclose([r.a, r.b, r.c, r.d, r.e], want)
+    empty = profile.quantiles(df.filter("v < 0"), "v", [0.5], names=["m"]).collect()
+    assert [r.m for r in empty] == [None]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from islet.functions.scalars import minute_boundaries, plus_minutes
 from islet.operators import sessions as S
+from islet.operators.ordered import range_blocks
 from tests.conftest import SF
 
 
@@ -72,16 +73,19 @@ def test_hist_and_topk(spark, events):
     assert sizes.count() == 3 and all(r.n == r.s for r in sizes.collect())
 
 
-def test_skew_guard_picks_blocks_for_hot_key(spark, events):
-    # user 0 holds a third of the rows: with a low threshold the guard must
-    # switch to blocks, and the result must still equal the plain window
-    assert S.plan_blocks(events, ["user_id"], hot_min_rows=100) is not None
-    assert S.plan_blocks(events, ["user_id"], hot_min_rows=10**9) is None
-    want = _plain(events, ["user_id"], "ts", "dur", 360, ["event_id"])
-    got = S.with_islands(events, ["user_id"], "ts", duration="dur", gap=360, tie="event_id", hot_min_rows=100)
-    a = sorted((r.event_id, r.isl) for r in want.collect())
-    b = sorted((r.event_id, r.island_id) for r in got.collect())
-    assert a == b
+def test_hot_key_is_split(spark, events):
+    # 95% of the rows on one key: no block holds over twice its share, and
+    # the result still equals the plain window
+    hot = events.withColumn("user_id", F.when(F.col("event_id") % 20 != 0, F.lit(0)).otherwise(F.col("user_id")))
+    rows, n = hot.count(), 16
+    blocks = range_blocks(hot, ["user_id", "ts", "event_id"], n).groupBy("_blk").count().collect()
+    assert max(r["count"] for r in blocks) <= 2 * rows / n
+    want = _plain(hot, ["user_id"], "ts", "dur", 360, ["event_id"])
+    for blocks in (None, n):
+        got = S.with_islands(hot, ["user_id"], "ts", duration="dur", gap=360, tie="event_id", n_blocks=blocks)
+        a = sorted((r.event_id, r.isl) for r in want.collect())
+        b = sorted((r.event_id, r.island_id) for r in got.collect())
+        assert a == b
 
 
 def test_null_starts_sort_last(spark):
