@@ -72,17 +72,19 @@ def pending_table(labels: DataFrame, entities: DataFrame, keys: Sequence[str] =
 
 
 def one_hot(train: DataFrame, df: DataFrame, col: str, prefix: str | None = None,
-            drop_first: bool = True, max_levels: int = 1000) -> tuple[DataFrame, list[str]]:
-    """Dummies from the levels seen in ``train`` (sorted, the first
-    dropped as reference).  A level absent from train gets no column, so its
-    rows score as the reference level.  The level list is a bounded driver
-    parameter (at most ``max_levels``)."""
+            drop_first: bool = True, reference: str | None = None) -> tuple[DataFrame, list[str]]:
+    """Dummies from the levels seen in ``train``, sorted.  The level
+    left out is ``reference``, or else the first.  A level absent from train
+    gets no column, so its rows score as the reference level.  The level
+    list, as long as the result is wide, comes to the driver."""
     prefix = prefix or col
-    levels = [r[0] for r in train.select(col).filter(F.col(col).isNotNull()).distinct()
-              .orderBy(col).limit(max_levels + 1).collect()]
-    if len(levels) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels")
-    kept = levels[1:] if drop_first else levels
+    levels = [r[0] for r in train.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col).collect()]
+    if reference is not None:
+        if reference not in levels:
+            raise ValueError(f"{col} has no level {reference}")
+        kept = [lv for lv in levels if lv != reference]
+    else:
+        kept = levels[1:] if drop_first else levels
     names = [f"{prefix}_{lv}" for lv in kept]
     out = df.withColumns({n: F.when(F.col(col) == F.lit(lv), 1).otherwise(0) for n, lv in zip(names, kept)})
     return out, names

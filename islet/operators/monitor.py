@@ -59,13 +59,10 @@ def rmse_report(scored: DataFrame, model_ids: Sequence[str], era_col: str = "era
         post = F.when(F.col(era_col) == "post", r)
         aggs += [F.sqrt(F.avg(r * r)).alias(f"{m}__all"), F.sqrt(F.avg(post * post)).alias(f"{m}__post"),
                  F.count(r).alias(f"{m}__n"), F.count(post).alias(f"{m}__npost")]
-    one = scored.agg(*aggs)
-    parts = [one.select(F.lit(m).alias("model_id"), F.col(f"{m}__all").alias("overall_rmse"),
-                        F.col(f"{m}__post").alias("post_rmse"), F.col(f"{m}__n").alias("n_total"),
-                        F.col(f"{m}__npost").alias("n_post")) for m in model_ids]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    rows = [F.struct(F.lit(m).alias("model_id"), F.col(f"{m}__all").alias("overall_rmse"),
+                     F.col(f"{m}__post").alias("post_rmse"), F.col(f"{m}__n").alias("n_total"),
+                     F.col(f"{m}__npost").alias("n_post")) for m in model_ids]
+    out = scored.agg(*aggs).select(F.inline(F.array(*rows)))
     return out.withColumn("verdict", S.verdict("overall_rmse", holdout, b1))
 
 

@@ -239,28 +239,41 @@ def transpose(df: DataFrame, id_col: str) -> DataFrame:
         id_col, vals, "column", "value")
 
 
-# -- data-quality checks (Q1-Q5): each returns one row (check, n_failures) --
+# -- data-quality checks (Q1-Q5): one row (check, n_failures) per check --
 
-def _check(df: DataFrame, name: str, fail: Column) -> DataFrame:
-    return df.agg(F.count_if(fail).alias("n_failures")).select(F.lit(name).alias("check"), "n_failures")
+def not_null(col: str, where: Column | None = None) -> tuple[str, Column]:
+    """Q1 / Q2 as a rule for ``row_checks``: (name, failing condition)."""
+    if where is None:
+        return f"not_null:{col}", F.col(col).isNull()
+    return f"not_null_where:{col}", where & F.col(col).isNull()
+
+
+def accepted(col: str, values: Sequence) -> tuple[str, Column]:
+    """Q3 as a rule: NULL passes, like dbt's accepted_values."""
+    return f"accepted_values:{col}", F.col(col).isNotNull() & ~F.col(col).isin(list(values))
+
+
+def row_checks(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
+    """Failing rows of every rule, in one aggregate over one scan."""
+    one = df.agg(*[F.count_if(fail).alias(f"_{i}") for i, (_, fail) in enumerate(rules)])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"_{i}").alias("n_failures"))
+                                         for i, (name, _) in enumerate(rules)])))
 
 
 def check_not_null(df: DataFrame, col: str, where: Column | None = None) -> DataFrame:
     """Q1 / Q2."""
-    fail = F.col(col).isNull() if where is None else (where & F.col(col).isNull())
-    suffix = "" if where is None else "_where"
-    return _check(df, f"not_null{suffix}:{col}", fail)
+    return row_checks(df, [not_null(col, where)])
 
 
 def check_accepted(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    """Q3: NULL passes, like dbt's accepted_values."""
-    return _check(df, f"accepted_values:{col}", F.col(col).isNotNull() & ~F.col(col).isin(list(values)))
+    """Q3."""
+    return row_checks(df, [accepted(col, values)])
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Q4: number of key values that occur more than once."""
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return _check(dup, "unique:" + ",".join(keys), F.col("_n") > 1)
+    return row_checks(dup, [("unique:" + ",".join(keys), F.col("_n") > 1)])
 
 
 def run_checks(checks: Sequence[DataFrame]) -> DataFrame:

@@ -24,13 +24,8 @@ def pearson(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
         both = F.col(c).isNotNull() & F.col(target).isNotNull()
         aggs += [F.corr(F.when(both, F.col(c)), F.when(both, F.col(target))).alias(f"r_{c}"),
                  F.count_if(both).alias(f"n_{c}")]
-    one = df.agg(*aggs)
-    parts = [one.select(F.lit(c).alias("feature"), F.col(f"r_{c}").alias("r"), F.col(f"n_{c}").alias("n"))
-             for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = [F.struct(F.lit(c).alias("feature"), F.col(f"r_{c}").alias("r"), F.col(f"n_{c}").alias("n")) for c in cols]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def avg_rank(df: DataFrame, col: str, tie: Sequence[str], name: str | None = None,
@@ -72,35 +67,57 @@ def spearman(df: DataFrame, x: str, y: str, tie: Sequence[str], n_blocks: int |
     return rxy.agg(F.corr("_rx", "_ry").alias("rho"), F.count(F.lit(1)).alias("n"))
 
 
+def _cells(df: DataFrame, r: str, c: str) -> DataFrame:
+    """Observed cells with their totals: (r, c, observed, _rt, _ct, _n); rows
+    with a NULL level are left out.  Row data is only counted per cell; the
+    rest works on one row per cell."""
+    cells = df.dropna(subset=[r, c]).groupBy(r, c).agg(F.count(F.lit(1)).alias("observed"))
+    rt = cells.groupBy(r).agg(F.sum("observed").alias("_rt"))
+    ct = cells.groupBy(c).agg(F.sum("observed").alias("_ct"))
+    n = cells.agg(F.sum("observed").alias("_n"))
+    return attach_scalar(cells.join(rt, r).join(ct, c), n).select(r, c, "observed", "_rt", "_ct", "_n")
+
+
 def contingency(df: DataFrame, r: str, c: str) -> DataFrame:
     """Dense r x c counts in long form: absent cells are present with 0 (H8);
     rows with a NULL level are left out.
 
-    Densified through a pivot over the (bounded) level set of ``c``, then
-    unpivoted — no cross join."""
-    wide = df.dropna(subset=[r, c]).groupBy(r).pivot(c).count().fillna(0)
-    levels = [x for x in wide.columns if x != r]
-    return wide.unpivot(r, levels, c, "observed")
+    Every level of ``r`` takes the levels of ``c`` it lacks from one array of
+    all of them, which is no larger than that level's own part of the
+    result, so neither a pivot's level limit nor a cross join is needed."""
+    cells = df.dropna(subset=[r, c]).groupBy(r, c).agg(F.count(F.lit(1)).alias("observed"))
+    levels = cells.agg(F.collect_set(c).alias("_levels"))
+    every = attach_scalar(cells.select(r).distinct(), levels).select(r, F.explode("_levels").alias(c))
+    return every.join(cells, [r, c], "left").fillna(0, ["observed"]).select(r, c, "observed")
 
 
 def chi2_cells(df: DataFrame, r: str, c: str) -> DataFrame:
     """M4: per cell observed, expected = row * col / total, and the Pearson
     residual (o - e) / sqrt(e)."""
     cells = contingency(df, r, c)
-    rt = F.sum("observed").over(Window.partitionBy(r))
-    ct = F.sum("observed").over(Window.partitionBy(c))
-    tot = F.sum("observed").over(Window.partitionBy(F.lit(0)))
-    e = cells.withColumn("expected", rt * ct / tot)
-    return e.withColumn("residual", (F.col("observed") - F.col("expected")) / F.sqrt("expected"))
+    rt = cells.groupBy(r).agg(F.sum("observed").alias("_rt"))
+    ct = cells.groupBy(c).agg(F.sum("observed").alias("_ct"))
+    both = attach_scalar(cells.join(rt, r).join(ct, c), cells.agg(F.sum("observed").alias("_n")))
+    e = both.withColumn("expected", F.col("_rt") * F.col("_ct") / F.col("_n"))
+    return (e.withColumn("residual", (F.col("observed") - F.col("expected")) / F.sqrt("expected"))
+            .select(r, c, "observed", "expected", "residual"))
 
 
 def chi2(df: DataFrame, r: str, c: str) -> DataFrame:
-    """M3: chi-square statistic of independence and its degrees of freedom
-    (no continuity correction, which the source applies only at dof 1)."""
-    cells = chi2_cells(df, r, c)
-    return cells.agg(F.sum((F.col("observed") - F.col("expected")) ** 2 / F.col("expected")).alias("chi2"),
-                     ((F.countDistinct(r) - 1) * (F.countDistinct(c) - 1)).alias("dof"),
-                     F.sum("observed").alias("n"))
+    """M3: one row: chi-square statistic of independence (``chi2``), the same
+    with Yates' continuity correction where the source applies it, at dof 1
+    (``chi2_corrected``, else equal), degrees of freedom and n.
+
+    Absent cells add e each to the statistic and all e sum to n, so it is
+    sum(o^2 / e) - n over the observed cells alone.  In a 2 x 2 table
+    |o - e| is the same in all cells, so the correction is one factor."""
+    x = _cells(df, r, c).withColumn("_e", F.col("_rt") * F.col("_ct") / F.col("_n"))
+    d = F.col("_d")
+    return (x.agg((F.sum(F.col("observed") * F.col("observed") / F.col("_e")) - F.sum("observed")).alias("chi2"),
+                  ((F.countDistinct(r) - 1) * (F.countDistinct(c) - 1)).alias("dof"),
+                  F.sum("observed").alias("n"), F.max(F.abs(F.col("observed") - F.col("_e"))).alias("_d"))
+            .select("chi2", F.when((F.col("dof") == 1) & (d > 0), F.col("chi2") * F.pow((d - F.least(F.lit(0.5), d)) / d, F.lit(2)))
+                    .otherwise(F.col("chi2")).alias("chi2_corrected"), "dof", "n"))
 
 
 def chi2_pvalue(stat: float, dof: int) -> float:

@@ -332,12 +332,14 @@ def q_null_profile(spark, sf):
 def q_dq_checks(spark, sf):
     lab = T(spark, sf, "labels")
     return profile.run_checks([
-        profile.check_not_null(lab, "doc_id"),
-        profile.check_not_null(lab, "quality"),
-        profile.check_accepted(lab, "quality", [0, 1]),
-        profile.check_accepted(lab, "toxic", [0, 1]),
+        profile.row_checks(lab, [
+            profile.not_null("doc_id"),
+            profile.not_null("quality"),
+            profile.accepted("quality", [0, 1]),
+            profile.accepted("toxic", [0, 1]),
+            profile.not_null("toxic", where=F.col("quality") == 1),
+        ]),
         profile.check_unique(lab, ["doc_id"]),
-        profile.check_not_null(lab, "toxic", where=F.col("quality") == 1),
     ])
 
 
@@ -355,7 +357,14 @@ def q_spearman(spark, sf):
 
 def q_chi2_independence(spark, sf):
     c = stats.chi2(_events_hour(spark, sf), "event_type", "day_quarter")
-    return c.withColumn("chi2", r6(F.col("chi2")))
+    return c.withColumn("chi2", r6(F.col("chi2"))).drop("chi2_corrected")
+
+
+def q_chi2_yates(spark, sf):
+    """A 2 x 2 table with NULL levels, which take no part."""
+    x = _docs_labels(spark, sf).select(F.when(F.col("lang").isNotNull(), F.col("lang") == "en").alias("is_en"), "toxic")
+    c = stats.chi2(x, "is_en", "toxic")
+    return c.select(r6(F.col("chi2")).alias("chi2"), r6(F.col("chi2_corrected")).alias("chi2_corrected"), "dof", "n")
 
 
 def q_chi2_residuals(spark, sf):

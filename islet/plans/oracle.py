@@ -271,6 +271,15 @@ SELECT ROUND(CORR(rx, ry), 6) AS rho, COUNT(*) AS n FROM r""",
 SELECT ROUND(SUM((observed - expected) * (observed - expected) / expected), 6) AS chi2,
   CAST((COUNT(DISTINCT event_type) - 1) * (COUNT(DISTINCT day_quarter) - 1) AS BIGINT) AS dof,
   CAST(SUM(observed) AS BIGINT) AS n FROM ex""",
+    "chi2_yates": f"""WITH {DL}, t AS (SELECT lang = 'en' AS r, toxic AS c FROM dl WHERE lang IS NOT NULL AND toxic IS NOT NULL),
+o AS (SELECT r, c, COUNT(*) AS observed FROM t GROUP BY r, c),
+d AS (SELECT r, c, COALESCE(observed, 0) AS observed FROM (SELECT DISTINCT r FROM t) CROSS JOIN (SELECT DISTINCT c FROM t)
+  LEFT JOIN o USING (r, c)),
+e AS (SELECT *, ABS(observed - expected) AS gap FROM (SELECT *, SUM(observed) OVER (PARTITION BY r)
+  * SUM(observed) OVER (PARTITION BY c) / SUM(observed) OVER () AS expected FROM d)),
+f AS (SELECT SUM(gap * gap / expected) AS plain, SUM(POWER(gap - LEAST(0.5, gap), 2) / expected) AS yates,
+  CAST((COUNT(DISTINCT r) - 1) * (COUNT(DISTINCT c) - 1) AS BIGINT) AS dof, CAST(SUM(observed) AS BIGINT) AS n FROM e)
+SELECT ROUND(plain, 6) AS chi2, ROUND(CASE WHEN dof = 1 THEN yates ELSE plain END, 6) AS chi2_corrected, dof, n FROM f""",
     "chi2_residuals": f"""WITH {CHI_CELLS}
 SELECT event_type, day_quarter, observed, ROUND(expected, 6) AS expected,
   ROUND((observed - expected) / SQRT(expected), 6) AS residual FROM ex""",

@@ -75,3 +75,35 @@ def test_null_date_is_no_active_day(spark):
     df = spark.createDataFrame([("v", None, "Edit", 60), ("v", day, "Edit", 60)], "k string, d date, c string, n long")
     got = rollup.entity_rollup(df, "k", "c", "d", "n", descriptive=[], phases={"work": ["Edit"]}, categories=[], creation_phases=["work"])
     assert got.first()["work_active_days"] == 1 and got.first()["active_days_worked"] == 1
+
+
+def test_chi2_yates_and_empty_cells(spark):
+    # 2 x 2 with an empty cell: 6, 2 / 4, 0; every |o - e| is 2/3
+    rows = [("a", "x")] * 6 + [("a", "y")] * 2 + [("b", "x")] * 4 + [(None, "x"), ("b", None)]
+    got = stats.chi2(spark.createDataFrame(rows, "r string, c string"), "r", "c").first()
+    inv = 12 / 80 + 12 / 16 + 12 / 40 + 12 / 8
+    assert (got["dof"], got["n"]) == (1, 12)
+    assert got["chi2"] == pytest.approx((2 / 3) ** 2 * inv)
+    assert got["chi2_corrected"] == pytest.approx((2 / 3 - 0.5) ** 2 * inv)
+
+
+def test_one_hot_reference_level(spark):
+    from islet.operators import features
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,), ("z",)], "k string")
+    train = df.filter("k in ('a', 'b', 'c')")
+    out, names = features.one_hot(train, df, "k", reference="b")
+    assert names == ["k_a", "k_c"]
+    assert [(r.k_a, r.k_c) for r in out.collect()] == [(1, 0), (0, 0), (0, 1), (0, 0), (0, 0)]
+    with pytest.raises(ValueError):
+        features.one_hot(train, df, "k", reference="z")
+
+
+def test_reports_scan_once(spark):
+    from islet.operators import monitor, profile
+    from tests.conftest import SF
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    scored = li.select(F.lit("post").alias("era"), F.col("l_tax").alias("resid_a"), F.col("l_discount").alias("resid_b"))
+    for df in (stats.pearson(li, ["l_quantity", "l_tax"], "l_extendedprice"), monitor.rmse_report(scored, ["a", "b"]),
+               profile.row_checks(li, [profile.not_null("l_tax"), profile.accepted("l_linenumber", [1, 2])])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1
