@@ -268,12 +268,13 @@ def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], label: str, n_trees: int = 200, depth: int = 2,
-               min_leaf: int = 2, seed: int = 42):
+               min_leaf: int = 2, seed: int = 42, bootstrap: bool = True):
     """ML9: random forest; every tree sees all features like the source's
     default (featureSubsetStrategy='all'); min samples per leaf -> minInstancesPerNode."""
     from pyspark.ml.regression import RandomForestRegressor
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_trees, maxDepth=depth,
-                               minInstancesPerNode=min_leaf, featureSubsetStrategy="all", seed=seed)
+                               minInstancesPerNode=min_leaf, featureSubsetStrategy="all", seed=seed,
+                               bootstrap=bootstrap)
     return rf.fit(_assemble(df.dropna(subset=[*features, label]), features))
 
 
@@ -286,6 +287,17 @@ def fit_gbt(df: DataFrame, features: Sequence[str], label: str, rounds: int = 10
     return gbt.fit(_assemble(df.dropna(subset=[*features, label]), features))
 
 
+def predict_tree(df: DataFrame, model, features: Sequence[str], name: str) -> DataFrame:
+    """Add a fitted tree model's prediction; NULL where a feature is NULL."""
+    from pyspark.ml.feature import VectorAssembler
+    inputs = [f"_x{i}" for i in range(len(features))]
+    x = df.withColumns({c: F.col(f).cast("double") for c, f in zip(inputs, features)})
+    x = VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep").transform(x)
+    out = model.copy({model.featuresCol: "_features", model.predictionCol: name}).transform(x)
+    absent = F.exists(F.array(*inputs), lambda v: v.isNull())
+    return out.withColumn(name, F.when(~absent, F.col(name))).drop("_features", *inputs)
+
+
 def tree_rmse(model, df: DataFrame, features: Sequence[str], label: str) -> float:
     pred = model.transform(_assemble(df.dropna(subset=[*features, label]), features))
     d = F.col("prediction") - F.col(label)

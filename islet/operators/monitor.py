@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from islet.functions import scalars as S
 from islet.operators.clean import drop_incomplete
 from islet.operators.joins import attach_scalar
+from islet.operators.models import predict_tree
 from islet.operators.ordered import rolling
 from islet.operators.profile import group_share, residual_stats
 
@@ -34,18 +35,22 @@ def era(df: DataFrame, date: str, cutoff: str, name: str = "era") -> DataFrame:
 
 
 def score_many(df: DataFrame, models: Sequence[Mapping], label: str, fill_missing: bool = False) -> DataFrame:
-    """ML16: pred_<id> and resid_<id> (= label - pred) per linear model.
+    """ML16: pred_<id> and resid_<id> (= label - pred) per model: a linear one
+    (``coefficients``, ``intercept``) or a fitted tree model (``model``, ``features``).
     ``fill_missing`` zero-fills absent feature columns (the source's
     behaviour, SURVEY D3); by default absent features are an error."""
     out = df
     for m in models:
-        feats = list(m["coefficients"])
+        feats = list(m["features"] if "model" in m else m["coefficients"])
         missing = [f for f in feats if f not in out.columns]
         if missing:
             if not fill_missing:
                 raise ValueError(f"model {m['id']} needs {missing}")
             out = out.withColumns({f: F.lit(0) for f in missing})
-        out = out.withColumn(f"pred_{m['id']}", S.linear_score(m["coefficients"], m["intercept"]))
+        if "model" in m:
+            out = predict_tree(out, m["model"], feats, f"pred_{m['id']}")
+        else:
+            out = out.withColumn(f"pred_{m['id']}", S.linear_score(m["coefficients"], m["intercept"]))
         out = out.withColumn(f"resid_{m['id']}", F.col(label) - F.col(f"pred_{m['id']}"))
     return out
 

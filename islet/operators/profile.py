@@ -8,7 +8,7 @@ wanted position are picked out (linear interpolation, as pandas and DuckDB's
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,9 +30,12 @@ def freq(df: DataFrame, cols, keep_null: bool = True, name: str = "count") -> Da
     return base.groupBy(*cols).agg(F.count(F.lit(1)).alias(name))
 
 
-def duplicate_groups(df: DataFrame, keys: Sequence[str], name: str = "n_copies", at_least: int = 2) -> DataFrame:
-    """Groups of identical keys with HAVING count >= at_least."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).filter(F.col(name) >= at_least)
+def duplicate_groups(df: DataFrame, keys: Sequence[str], name: str = "n_copies", at_least: int = 2,
+                     firsts: Mapping[str, str] | None = None) -> DataFrame:
+    """Groups of identical keys with HAVING count >= at_least;
+    ``firsts`` adds the smallest value of a column under a name."""
+    more = [F.min(c).alias(n) for n, c in (firsts or {}).items()]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name), *more).filter(F.col(name) >= at_least)
 
 
 def quantiles(df: DataFrame, value: str, qs: Sequence[float], by=None, names: Sequence[str] | None = None,

@@ -67,13 +67,13 @@ def q_islands_rows(spark, sf):
 
 
 def q_sessionize_last_start(spark, sf):
-    isl = (_islands(spark, sf, ["user_id", "event_type"])
-           .withColumn("date", F.to_date("ts")).withColumn("month_year", F.date_format("ts", "yyyy_MM"))
-           .withColumn("time_start", F.date_format("ts", "HH:mm:ss")))
-    return isl.groupBy("user_id", "event_type", "island_id").agg(
-        F.count(F.lit(1)).alias("sessions_combined"), F.min("date").alias("date"),
-        F.min("month_year").alias("month_year"), F.min("time_start").alias("time_start"),
-        F.max("time_start").alias("time_end"), F.sum("dur").alias("duration"))
+    e = (_events(spark, sf).withColumn("date", F.to_date("ts")).withColumn("month_year", F.date_format("ts", "yyyy_MM"))
+         .withColumn("time_start", F.date_format("ts", "HH:mm:ss")))
+    out = sessions.sessionize(e, ["user_id", "event_type"], "ts", "dur", gap=EVENT_GAP, tie="event_id", date="date",
+                              time_start="time_start", time_end="time_end", carry=["month_year"], end="last_start",
+                              island="island_id")
+    return out.select("user_id", "event_type", "island_id", "sessions_combined", "date", "month_year",
+                      "time_start", "time_end", F.col("dur").alias("duration"))
 
 
 def q_island_size_hist(spark, sf):
@@ -183,7 +183,8 @@ def q_context_rows(spark, sf):
 # --------------------------------------------------------------------- joins
 
 def q_label_left_join(spark, sf):
-    return _docs_labels(spark, sf)
+    d = T(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return joins.label_join(d, T(spark, sf, "labels"), ["doc_id"])
 
 
 def q_pending_left_join(spark, sf):
@@ -217,8 +218,8 @@ def q_dedupe_rows(spark, sf):
 
 def q_duplicate_groups(spark, sf):
     d = T(spark, sf, "documents").select("doc_id", S.text_digest("text").alias("_k"))
-    g = d.groupBy("_k").agg(F.count(F.lit(1)).alias("n_copies"), F.min("doc_id").alias("first_doc"))
-    return g.filter(F.col("n_copies") > 1).select(F.substring("_k", 1, 32).alias("text_md5"), "n_copies", "first_doc")
+    g = profile.duplicate_groups(d, ["_k"], firsts={"first_doc": "doc_id"})
+    return g.select(F.substring("_k", 1, 32).alias("text_md5"), "n_copies", "first_doc")
 
 
 def q_freq_table(spark, sf):
@@ -481,6 +482,14 @@ def q_forest(spark, sf):
     return spark.createDataFrame([("forest", models.tree_rmse(m, te, FEATS, "y"))], "model string, holdout_rmse double")
 
 
+def q_score_stump(spark, sf):
+    """ML9 / ML16: one tree of depth 1 on all rows, scored like any model."""
+    x = _orders_features(spark, sf)
+    stump = models.fit_forest(x, FEATS, "y", n_trees=1, depth=1, min_leaf=1, bootstrap=False)
+    out = monitor.score_many(x, [{"id": "stump", "model": stump, "features": FEATS}], "y")
+    return out.select("o_orderkey", r6(F.col("pred_stump")).alias("pred_stump"), r6(F.col("resid_stump")).alias("resid_stump"))
+
+
 def q_boosted(spark, sf):
     tr, te = _tree_split(spark, sf)
     m = models.fit_gbt(tr, FEATS, "y", rounds=20, depth=2, rate=0.1)

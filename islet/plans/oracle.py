@@ -271,6 +271,18 @@ SELECT ROUND(CORR(rx, ry), 6) AS rho, COUNT(*) AS n FROM r""",
 SELECT ROUND(SUM((observed - expected) * (observed - expected) / expected), 6) AS chi2,
   CAST((COUNT(DISTINCT event_type) - 1) * (COUNT(DISTINCT day_quarter) - 1) AS BIGINT) AS dof,
   CAST(SUM(observed) AS BIGINT) AS n FROM ex""",
+    "score_stump": """WITH x AS (SELECT o_orderkey, o_totalprice / 10000.0 AS y,
+  CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 2 WHEN o_orderpriority = '3-MEDIUM' THEN 1 ELSE 0 END AS f_tier,
+  CAST(o_orderstatus = 'O' AS INTEGER) AS f_new, CAST(o_orderstatus = 'F' AS INTEGER) AS f_depth,
+  CAST(o_totalprice > 250000 AS INTEGER) AS f_delivery FROM orders),
+l AS (UNPIVOT x ON f_tier, f_new, f_depth, f_delivery INTO NAME f VALUE v),
+cut AS (SELECT f, t.t AS t, AVG(y) FILTER (WHERE v <= t.t) AS lo, AVG(y) FILTER (WHERE v > t.t) AS hi,
+  COUNT(*) FILTER (WHERE v <= t.t) AS nlo, COUNT(*) FILTER (WHERE v > t.t) AS nhi
+  FROM l, (VALUES (0), (1)) t(t) GROUP BY f, t.t),
+best AS (SELECT * FROM cut WHERE nlo > 0 AND nhi > 0
+  ORDER BY CAST(nlo AS DOUBLE) * nhi / (nlo + nhi) * (lo - hi) * (lo - hi) DESC LIMIT 1),
+p AS (SELECT l.o_orderkey, l.y, CASE WHEN l.v <= best.t THEN lo ELSE hi END AS pred FROM l JOIN best ON l.f = best.f)
+SELECT o_orderkey, ROUND(pred, 6) AS pred_stump, ROUND(y - pred, 6) AS resid_stump FROM p""",
     "chi2_yates": f"""WITH {DL}, t AS (SELECT lang = 'en' AS r, toxic AS c FROM dl WHERE lang IS NOT NULL AND toxic IS NOT NULL),
 o AS (SELECT r, c, COUNT(*) AS observed FROM t GROUP BY r, c),
 d AS (SELECT r, c, COALESCE(observed, 0) AS observed FROM (SELECT DISTINCT r FROM t) CROSS JOIN (SELECT DISTINCT c FROM t)

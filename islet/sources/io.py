@@ -160,14 +160,38 @@ def load_linear_model(spark: SparkSession, path: str) -> dict:
     return read_meta(spark, path)
 
 
+def save_model(spark: SparkSession, model: Mapping, path: str) -> None:
+    """A linear model, or a tree model (``model`` fitted by MLlib,
+    ``features``) as MLlib's own files beside its metadata."""
+    if "model" not in model:
+        return save_linear_model(spark, model, path)
+    model["model"].write().overwrite().save(f"{path}/model")
+    kept = {k: v for k, v in model.items() if k not in ("model", "features")}
+    write_meta(spark, {**kept, "features": list(model["features"]), "kind": type(model["model"]).__name__}, f"{path}/meta")
+
+
+def load_model(spark: SparkSession, path: str) -> dict:
+    """What ``save_model`` saved."""
+    if not path_exists(spark, f"{path}/meta"):
+        return load_linear_model(spark, path)
+    from pyspark.ml import regression
+    meta = read_meta(spark, f"{path}/meta")
+    return {**meta, "model": getattr(regression, meta["kind"]).load(f"{path}/model")}
+
+
 def check_round_trip(spark: SparkSession, model: Mapping, path: str, df: DataFrame, label: str,
                      tol: float = 1e-6) -> bool:
     """Q6: save, load, re-score; RMSE must agree within tol."""
-    from islet.operators.models import predict_expr
-    save_linear_model(spark, model, path)
-    back = load_linear_model(spark, path)
-    d1 = predict_expr(model) - F.col(label)
-    d2 = predict_expr(back) - F.col(label)
+    from islet.operators.models import predict_expr, predict_tree
+    save_model(spark, model, path)
+    back = load_model(spark, path)
+    if "model" in model:
+        df = predict_tree(df, model["model"], model["features"], "_p1")
+        df = predict_tree(df, back["model"], back["features"], "_p2")
+        p1, p2 = F.col("_p1"), F.col("_p2")
+    else:
+        p1, p2 = predict_expr(model), predict_expr(back)
+    d1, d2 = p1 - F.col(label), p2 - F.col(label)
     r = df.agg(F.sqrt(F.avg(d1 * d1)).alias("a"), F.sqrt(F.avg(d2 * d2)).alias("b")).first()
     return abs(r["a"] - r["b"]) < tol
 
@@ -197,7 +221,7 @@ def score_models(spark: SparkSession, df: DataFrame, model_paths: Mapping[str, s
     found, skipped = [], []
     for mid, p in model_paths.items():
         if path_exists(spark, p):
-            found.append({**load_linear_model(spark, p), "id": mid})
+            found.append({**load_model(spark, p), "id": mid})
         else:
             skipped.append(mid)
     return (score_many(df, found, label) if found else df), skipped

@@ -92,3 +92,24 @@ def test_to_client_bounded(spark):
     assert len(io.to_client(small, max_rows=10)) == 5
     with pytest.raises(ValueError):
         io.to_client(spark.range(50), max_rows=10)
+
+
+def test_tree_models_round_trip(spark, tmp_path):
+    from islet.operators import models, monitor
+    df = spark.range(200).select((F.col("id") % 7).alias("a"), F.when(F.col("id") != 5, F.col("id") % 3).alias("b"),
+                                 ((F.col("id") % 7) * 2.0 + F.col("id") % 3).alias("y"))
+    forest = {"model": models.fit_forest(df, ["a", "b"], "y", n_trees=5), "features": ["a", "b"]}
+    gbt = {"model": models.fit_gbt(df, ["a", "b"], "y", rounds=3), "features": ["a", "b"]}
+    linear = {"intercept": 0.5, "coefficients": {"a": 2.0, "b": 1.0}, "log_target": False}
+    for name, m in (("forest", forest), ("gbt", gbt), ("linear", linear)):
+        assert io.check_round_trip(spark, m, str(tmp_path / name), df, "y")
+    paths = {n: str(tmp_path / n) for n in ("forest", "gbt", "linear", "gone")}
+    scored, skipped = io.score_models(spark, df, paths, "y")
+    assert skipped == ["gone"]
+    # a NULL feature gives no prediction, for trees as for linear models
+    row = scored.filter("b IS NULL").first()
+    assert row.pred_forest is None and row.pred_gbt is None and row.pred_linear is None
+    assert scored.filter("pred_forest IS NULL").count() == 1
+    assert set(df.columns) | {f"{k}_{n}" for k in ("pred", "resid") for n in ("forest", "gbt", "linear")} == set(scored.columns)
+    assert [r.model_id for r in monitor.rmse_report(scored.withColumn("era", F.lit("post")), ["forest", "gbt"]).collect()] \
+        == ["forest", "gbt"]
