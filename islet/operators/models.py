@@ -147,16 +147,36 @@ def inner_cv(grams: list[Gram], head: Gram, alphas: Sequence[float]) -> np.ndarr
     return out
 
 
+def _raw_cv(x: DataFrame, tests: list[Gram], head: Gram, alphas: Sequence[float], features: Sequence[str],
+            label: str) -> np.ndarray:
+    """RMSE[alpha, fold] on the label's own scale of log models: every
+    (alpha, fold) model is one conditional aggregate of a single pass."""
+    aggs = []
+    for alpha in alphas:
+        train = head
+        for j, test in enumerate(tests):
+            b, w = ridge_solve(train, alpha)
+            pred = exp_back(linear_score(dict(zip(features, map(float, w))), b))
+            d = F.when(F.col("_seg") == j + 1, pred - F.col(label))
+            aggs.append(F.sqrt(F.avg(d * d)))
+            train = train + test
+    row = x.agg(*[a.alias(f"r{i}") for i, a in enumerate(aggs)]).first()
+    return np.array([np.nan if v is None else v for v in row], dtype=float).reshape(len(alphas), len(tests))
+
+
 def tune_ridge(df: DataFrame, order: Sequence[str], features: Sequence[str], label: str,
                alphas: Sequence[float], k: int = 3, log: bool = False, n_blocks: int | None = None) -> dict:
     """ML6 / ML7: pick alpha by mean inner-CV RMSE, refit on all rows; also
-    returns the validation curve (mean and population std per alpha)."""
+    returns the validation curve (mean and population std per alpha).  With
+    ``log`` alpha is picked on the log scale, and the curve is the error of
+    the back-transformed prediction (one more pass for all its points)."""
     clean = df.dropna(subset=[*features, label])
     x = indexed(clean, order, "_i", n_blocks)
     n = x.select("n").first()[0]
     bounds = inner_fold_bounds(n, k)
     cuts = [bounds[0][0]] + [hi for _, hi in bounds[:-1]]
-    segs = grams_by(x.withColumn("_seg", _segment_expr("_i", cuts)), "_seg", features, label, log)
+    x = x.withColumn("_seg", _segment_expr("_i", cuts))
+    segs = grams_by(x, "_seg", features, label, log)
     any_g = next(iter(segs.values()))
     p = len(features)
     empty = Gram(0.0, np.zeros(p), 0.0, np.zeros((p, p)), np.zeros(p), 0.0, any_g.cx, any_g.cy)
@@ -169,7 +189,8 @@ def tune_ridge(df: DataFrame, order: Sequence[str], features: Sequence[str], lab
     for g in tests:
         total = total + g
     b, w = ridge_solve(total, alphas[best])
-    curve = [(float(a), float(m), float(s)) for a, m, s in zip(alphas, mean, cv.std(axis=1))]
+    shown = _raw_cv(x, tests, head, alphas, features, label) if log else cv
+    curve = [(float(a), float(m), float(s)) for a, m, s in zip(alphas, shown.mean(axis=1), shown.std(axis=1))]
     return {"alpha": float(alphas[best]), "intercept": b, "coefficients": dict(zip(features, map(float, w))),
             "curve": curve, "features": list(features), "log_target": log, "train_n": int(total.n)}
 
@@ -339,7 +360,11 @@ def tune_trees(df: DataFrame, order: Sequence[str], features: Sequence[str], lab
     loop is explicit), refit of the best point on all rows.  Every fit is a
     distributed MLlib job; the grid and folds are small driver loops."""
     x = indexed(df.dropna(subset=[*features, label]), order, "_i", n_blocks)
-    n = x.select("n").first()[0]
+    return _tune_upto(x, x.select("n").first()[0], features, label, grid, kind, k)
+
+
+def _tune_upto(x: DataFrame, n: int, features: Sequence[str], label: str, grid: Sequence[dict], kind: str, k: int) -> dict:
+    """``tune_trees`` on the first n rows of indexed rows."""
     fit = fit_forest if kind == "forest" else fit_gbt
     rows = []
     for params in grid:
@@ -353,4 +378,20 @@ def tune_trees(df: DataFrame, order: Sequence[str], features: Sequence[str], lab
     best_key = min(means, key=lambda s: float(np.mean(means[s])))
     best = json.loads(best_key)
     return {"best_params": best, "cv_rmse": float(np.mean(means[best_key])), "results": rows,
-            "model": fit(x, features, label, **best)}
+            "model": fit(x.filter(F.col("_i") < n), features, label, **best)}
+
+
+def rolling_cv_trees(df: DataFrame, order: Sequence[str], features: Sequence[str], label: str, grid: Sequence[dict],
+                     kind: str = "forest", folds: int = 3, start: float = 0.35, k: int = 3,
+                     n_blocks: int | None = None) -> list[dict]:
+    """ML9-ML11 nested: in every expanding fold the grid is searched by the
+    inner time-series split of the rows before the test window, and the best
+    point, refitted on all of these, is scored on the window."""
+    x = indexed(df.dropna(subset=[*features, label]), order, "_i", n_blocks)
+    out = []
+    for fold, (lo, hi) in enumerate(rolling_fold_bounds(x.select("n").first()[0], folds, start)):
+        t = _tune_upto(x, lo, features, label, grid, kind, k)
+        window = x.filter((F.col("_i") >= lo) & (F.col("_i") < hi))
+        out.append({"fold": fold, "params": t["best_params"], "cv_rmse": t["cv_rmse"],
+                    "rmse": tree_rmse(t["model"], window, features, label), "n_train": lo, "n_test": hi - lo})
+    return out

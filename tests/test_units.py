@@ -245,3 +245,28 @@ def test_rolling_cv_ridge_matches_numpy(spark, log):
     want = _np_rolling_cv(pdf[["f1", "f2"]].to_numpy(dtype=float), pdf["y"].to_numpy(dtype=float), alphas, log)
     assert [(g["fold"], g["alpha"]) for g in got] == [(f, a) for f, a, _ in want]
     assert np.allclose([g["rmse"] for g in got], [r for _, _, r in want], rtol=1e-9)
+
+
+def test_log_ridge_curve_is_on_the_raw_scale(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=40)
+    y = np.exp(0.4 * x + 1 + rng.normal(scale=0.2, size=40))
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(x, y))], "i long, x double, y double")
+    m = models.tune_ridge(df, ["i"], ["x"], "y", [1.0, 10.0], k=3, log=True)
+    for alpha, mean, std in m["curve"]:
+        errs = []
+        for lo in (10, 20, 30):
+            a, t = x[:lo], np.log(y[:lo])
+            w = ((a - a.mean()) * (t - t.mean())).sum() / (((a - a.mean()) ** 2).sum() + alpha)
+            pred = np.exp(t.mean() + w * (x[lo:lo + 10] - a.mean()))
+            errs.append(np.sqrt(((pred - y[lo:lo + 10]) ** 2).mean()))
+        assert (mean, std) == (pytest.approx(np.mean(errs)), pytest.approx(np.std(errs)))
+
+
+def test_nested_tree_cv_never_sees_later_rows(spark):
+    # the label jumps in the last quarter: folds before it fit exactly
+    df = spark.range(100).select(F.col("id").alias("i"), (F.col("id") % 2).alias("x"),
+                                 F.when(F.col("id") < 75, F.col("id") % 2).otherwise(50).alias("y"))
+    got = models.rolling_cv_trees(df, ["i"], ["x"], "y", [{"n_trees": 3, "depth": 1}, {"n_trees": 3, "depth": 2}])
+    assert [r["n_train"] for r in got] == [r["n_test"] * j + got[0]["n_train"] for j, r in enumerate(got)]
+    assert got[0]["rmse"] == pytest.approx(0, abs=1e-9) and got[-1]["rmse"] > 10
