@@ -68,14 +68,18 @@ def with_islands(df: DataFrame, keys, start: str, end: str | None = None,
     wk = Window.partitionBy(BKT, BLK, *keys).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_local", F.sum("_new").over(wk))
 
-    # carry 2: islands the block's first key already opened in earlier blocks
-    opened = (rows.groupBy(BKT, BLK).agg(F.sum(F.when(kk.eqNullSafe(F.col("_own_k")), F.col("_new"))).alias("_fl"))
+    # carry 2: islands the block's first key already opened in earlier
+    # blocks.  Blocks with the same last key are neighbours, so the count
+    # restarts where the last key changes.
+    opened = (rows.groupBy(BKT, BLK).agg(F.first("_own_k").alias("_own_k"),
+                                         F.sum(F.when(kk.eqNullSafe(F.col("_own_k")), F.col("_new"))).alias("_fl"))
               .drop(BKT))
-    s2 = opened.join(c1.select(BLK, "_own_k"), BLK)
-    s2 = s2.withColumn("_cum", F.sum("_fl").over(
-        Window.partitionBy("_own_k").orderBy(BLK).rowsBetween(Window.unboundedPreceding, 0)))
     wt = Window.orderBy(BLK)
-    c2 = s2.select(BLK, F.lag("_own_k").over(wt).alias("_ck"), F.lag("_cum").over(wt).alias("_coff"))
+    upto = wt.rowsBetween(Window.unboundedPreceding, 0)
+    s2 = opened.select(BLK, "_own_k", "_fl", F.lag("_own_k").over(wt).alias("_ck"), F.sum("_fl").over(upto).alias("_run"))
+    restart = F.when(~F.col("_own_k").eqNullSafe(F.col("_ck")), F.col("_run") - F.col("_fl"))
+    s2 = s2.withColumn("_cum", F.col("_run") - F.max(restart).over(upto))
+    c2 = s2.select(BLK, "_ck", F.lag("_cum").over(wt).alias("_coff"))
     rows = rows.join(F.broadcast(c2), BLK, "left")
     rows = rows.withColumn(island, (F.col("_local") + F.when(kk.eqNullSafe(F.col("_ck")), F.col("_coff"))
                                     .otherwise(F.lit(0))).cast("long"))
