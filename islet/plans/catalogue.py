@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from islet.functions import scalars as S
@@ -662,28 +662,67 @@ SPEARMAN_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
 
 # ------------------------------------------ the log's view chain on events
 
-# event type -> a raw (misspelled / out-of-scope) log category, so the
-# cleaner's spelling fixes and scope rules are exercised on real volumes
-EVENT_RAW_CATEGORY = {"view": "Editing Video", "click": "Writing Scriot", "purchase": "Pictures",
-                      "signup": "Outline", "error": "Stats"}
+# event type -> raw log categories, taken in turn by event_id: misspelled,
+# padded, out of scope, missing and unknown ones
+EVENT_RAW_CATEGORY = {"view": ["Editing Video", "Watching and Edits", "Editing", " Editing "],
+                      "click": ["Writing Scriot", "Outline", "Video notes", "Processing Raw Video"],
+                      "purchase": ["Pictures", "Picture", "Thumbnail", "Subtitles"],
+                      "signup": ["Uploading Video", "Recording Audip", "Recordinng Video", "Recording  Video"],
+                      "error": ["Stats", "SEO", None, "Dancing"]}
+RAW_MEDIA_TYPES = [" Movies ", "Old MOVIE", "Video Games", " Books ", "my video  game", " Channel "]  # by user_id
+
+
+def _in_turn(n, values) -> Column:
+    """values[n mod their number]."""
+    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (F.pmod(n, F.lit(len(values))) + 1).cast("int"))
+
+
+def _every(n: int, value: str | None, otherwise) -> Column:
+    """A fault in each n-th event."""
+    return F.when(F.col("event_id") % n == 0, F.lit(value)).otherwise(otherwise)
 
 
 def _raw_log(spark, sf):
-    """A raw work log derived from events: 12-hour text times, a padded media
-    type, raw category spellings, and durations that wrap negative when the
-    session crosses midnight (as in the hand-kept log)."""
+    """A raw work log derived from events: 12-hour text times, raw spellings
+    of categories and media types, rows out of scope by every rule, dates
+    missing at the start and now and then later, and durations that wrap
+    negative when the session crosses midnight (as in the hand-kept log)."""
     e = _events(spark, sf)
     end = S.plus_minutes("ts", "dur")
+    title = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    raw = None
+    for et, names in EVENT_RAW_CATEGORY.items():
+        is_type, name = F.col("event_type") == et, _in_turn(F.col("event_id"), names)
+        raw = F.when(is_type, name) if raw is None else raw.when(is_type, name)
+    undated = (F.col("event_id") < 20) | (F.col("event_id") % 7 == 3)
     return e.select(
-        F.col("event_id").alias("_seq"), F.lit(" Movies ").alias("media_type"), F.lit("S").alias("media_series"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("media_title"),
-        F.lit("Review").alias("video_type"), F.lit("A").alias("video_subtype"),
-        S.classify("event_type", {raw: [et] for et, raw in EVENT_RAW_CATEGORY.items()}).alias("creation_category"),
-        F.to_date("ts").alias("date"), S.time_24h_to_12h("ts").alias("time_start"),
+        F.col("event_id").alias("_seq"), _every(89, None, _in_turn(F.col("user_id"), RAW_MEDIA_TYPES)).alias("media_type"),
+        _every(83, None, F.lit("S")).alias("media_series"),
+        _every(53, "None", _every(59, "Entire Channel", _every(61, None, title))).alias("media_title"),
+        _every(67, None, _in_turn(F.col("user_id"), ["Review", "Essay"])).alias("video_type"),
+        _every(71, "Multiple", _every(73, "N/A", _every(79, None, _in_turn(F.col("event_id"), ["A", "B", "A"])))).alias("video_subtype"),
+        raw.alias("creation_category"),
+        F.when(~undated, F.to_date("ts")).alias("date"), S.time_24h_to_12h("ts").alias("time_start"),
         S.time_24h_to_12h(end).alias("time_end"),
         F.when(F.to_date(end) > F.to_date("ts"), F.col("dur") - 1440).otherwise(F.col("dur")).alias("duration"))
 
 
+def _seed(spark, sf):
+    """A label seed derived from customer: one row a natural key, lengths with
+    and without a tier, a quarter of the rows planned."""
+    c, key = T(spark, sf, "customer"), F.col("c_custkey")
+    return c.select(
+        F.concat(F.lit("u"), key.cast("string")).alias("media_title"), _in_turn(key, ["Review", "Essay"]).alias("video_type"),
+        _in_turn(key, ["A", "A", "B"]).alias("video_subtype"),
+        _in_turn(key, [7, 10, 15, 20, 25, 30, 12, None]).cast("int").alias("expected_length_mins"),
+        (F.col("c_acctbal") > 0).cast("int").alias("complexity_new"),
+        (F.col("c_nationkey") % 2).cast("int").alias("complexity_media_depth"),
+        (F.col("c_nationkey") > 12).cast("int").alias("complexity_delivery_style"),
+        (F.col("c_acctbal") > 5000).cast("int").alias("complexity_logistics"),
+        F.when(F.col("c_nationkey") > 2, (F.col("c_nationkey") % 3 == 0).cast("int")).alias("complexity_worklife"),
+        (key % 4 != 0).cast("int").alias("is_complete"))
+
+
 def q_log_stg(spark, sf):
     return views.build_views(_raw_log(spark, sf), None, only=["stg_workload"])["stg_workload"]
 
@@ -696,6 +735,14 @@ def q_log_dim(spark, sf):
     return views.build_views(_raw_log(spark, sf), None, only=["dim_videos"])["dim_videos"]
 
 
+def q_log_ml(spark, sf):
+    return views.build_views(_raw_log(spark, sf), _seed(spark, sf), only=["dim_videos_ml"])["dim_videos_ml"]
+
+
+def q_log_pending(spark, sf):
+    return views.build_views(_raw_log(spark, sf), _seed(spark, sf), only=["fct_videos_pending"])["fct_videos_pending"]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

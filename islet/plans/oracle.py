@@ -6,10 +6,8 @@ DuckDB's HUGEINT sums and window counters cast to BIGINT.
 
 from __future__ import annotations
 
-from islet.functions.scalars import (CATEGORY_FIXES, DAY_QUARTER_EDGES, DAY_QUARTER_LABELS, EXCLUDED_CATEGORIES,
-                                    EXCLUDED_MEDIA_TYPE, EXCLUDED_SUBTYPES, EXCLUDED_TITLES, LENGTH_TIERS,
-                                    MEDIA_TYPE_PATTERNS, PHASES, ROLLUP_CATEGORIES, TIER_ORDINAL)
-from islet.plans.catalogue import (SPEARMAN_COLS, CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_RAW_CATEGORY, EVENT_TYPES, M1, M2,
+from islet.functions.scalars import DAY_QUARTER_EDGES, DAY_QUARTER_LABELS, LENGTH_TIERS, TIER_ORDINAL
+from islet.plans.catalogue import (SPEARMAN_COLS, CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_TYPES, M1, M2,
                                    PART_CLASSES, PART_NAME_PATTERNS, PRIORITY_ORDER, SHIFT_DATE)
 from islet.operators.rollup import snake
 
@@ -399,37 +397,35 @@ SELECT o_orderpriority, COUNT(d) AS n, ROUND(SQRT(AVG(d * d)), 6) AS rmse, ROUND
 
 # ---- the log's view chain on the events-derived raw log ----
 
-def _fixes_sql(col: str) -> str:
-    by_target: dict = {}
-    for raw, target in CATEGORY_FIXES.items():
-        by_target.setdefault(target, []).append(raw)
-    return "CASE " + " ".join(f"WHEN {col} IN ({_in(v)}) THEN {_q(t)}" for t, v in by_target.items()) + f" ELSE TRIM({col}) END"
+#: What the cleaner has to make of the raw log, stated by event and not by the
+#: library's vocabularies: each type's categories in turn (None: out of scope).
+CLEAN_CATEGORY = {"view": ["Editing"] * 4, "click": ["Script", "Script", "Script", "Processing Raw Video"],
+                  "purchase": ["Thumbnail", "Thumbnail", "Thumbnail", "Subtitles"],
+                  "signup": ["Uploading", "Recording Audio", "Recording Video", "Recording Video"],
+                  "error": [None, None, None, "Dancing"]}
+CLEAN_MEDIA_TYPE = ["Movies", "Movies", "Video Games", "Books", "Video Games", None]
+CLEAN_PHASE = {"Pre-Processing": ["Processing Raw Video", "Script"], "Processing": ["Editing", "Recording Audio", "Recording Video"],
+               "Post-Processing": ["Thumbnail", "Subtitles", "Uploading"]}
+OUT_OF_SCOPE = [89, 83, 53, 59, 61, 67, 71, 73, 79]  # each n-th event breaks a rule
 
 
-def _media_sql(col: str) -> str:
-    norm = f"TRIM(LOWER({col}))"
-    return "CASE " + " ".join(f"WHEN {norm} LIKE {_q(p)} THEN {_q(l)}" for p, l in MEDIA_TYPE_PATTERNS) + f" ELSE TRIM({col}) END"
+def _list(values) -> str:
+    return "[" + ", ".join("NULL" if v is None else _q(v) if isinstance(v, str) else str(v) for v in values) + "]"
 
 
-_RAW_CAT = "CASE " + " ".join(f"WHEN event_type = {_q(et)} THEN {_q(raw)}" for et, raw in EVENT_RAW_CATEGORY.items()) + " END"
-_TIE = "ts0, date_workflow, time_start, time_end, duration, media_title, video_type, video_subtype, media_type, media_series"
+_CAT = "CASE " + " ".join(f"WHEN event_type = {_q(t)} THEN ({_list(v)})[event_id % 4 + 1]" for t, v in CLEAN_CATEGORY.items()) + " END"
+_TIE = ", ".join(f"{c} NULLS LAST" for c in "ts0 date_workflow time_start time_end duration media_title video_type video_subtype media_type media_series".split())
 
 LOG_STG = f"""raw AS (
-  SELECT event_id AS _seq, ' Movies ' AS media_type, 'S' AS media_series, 'u' || CAST(user_id AS VARCHAR) AS media_title,
-    'Review' AS video_type, 'A' AS video_subtype, {_RAW_CAT} AS creation_category, CAST(ts AS DATE) AS date,
-    strftime(ts, '%-I:%M:%S %p') AS time_start, strftime(ts + to_minutes(dur), '%-I:%M:%S %p') AS time_end,
+  SELECT event_id AS _seq, ({_list(CLEAN_MEDIA_TYPE)})[user_id % 6 + 1] AS media_type, 'S' AS media_series,
+    'u' || CAST(user_id AS VARCHAR) AS media_title, (['Review', 'Essay'])[user_id % 2 + 1] AS video_type,
+    (['A', 'B', 'A'])[event_id % 3 + 1] AS video_subtype, {_CAT} AS creation_category,
+    CASE WHEN event_id >= 20 AND event_id % 7 <> 3 THEN CAST(ts AS DATE) END AS date,
+    strftime(ts, '%H:%M:%S') AS time_start, strftime(ts + to_minutes(dur), '%H:%M:%S') AS time_end,
     CASE WHEN CAST(ts + to_minutes(dur) AS DATE) > CAST(ts AS DATE) THEN dur - 1440 ELSE dur END AS duration
-  FROM (SELECT *, CAST(FLOOR(value) AS BIGINT) AS dur FROM events)),
-cleaned AS (
-  SELECT _seq, date, duration, media_title, video_type, video_subtype, media_series,
-    {_media_sql('media_type')} AS media_type, {_fixes_sql('creation_category')} AS creation_category,
-    strftime(strptime(time_start, '%I:%M:%S %p'), '%H:%M:%S') AS time_start,
-    strftime(strptime(time_end, '%I:%M:%S %p'), '%H:%M:%S') AS time_end
-  FROM raw
-  WHERE media_series IS NOT NULL AND media_title IS NOT NULL AND media_title NOT IN ({_in(EXCLUDED_TITLES)})
-    AND video_type IS NOT NULL AND video_subtype NOT IN ({_in(EXCLUDED_SUBTYPES)})
-    AND TRIM(media_type) != {_q(EXCLUDED_MEDIA_TYPE)} AND creation_category NOT IN ({_in(EXCLUDED_CATEGORIES)})
-    AND creation_category IS NOT NULL),
+  FROM (SELECT *, CAST(FLOOR(value) AS BIGINT) AS dur FROM events)
+  WHERE {' AND '.join(f'event_id % {n} <> 0' for n in OUT_OF_SCOPE)}),
+cleaned AS (SELECT * FROM raw WHERE media_type IS NOT NULL AND creation_category IS NOT NULL),
 filled AS (SELECT *, LAST_VALUE(date IGNORE NULLS) OVER (ORDER BY _seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
            AS date_workflow FROM cleaned),
 stg AS (SELECT DISTINCT media_title, video_type, video_subtype, creation_category, date_workflow, time_start, time_end,
@@ -450,11 +446,29 @@ sess AS (SELECT video_id, creation_category, CAST(sid AS BIGINT) AS session_id,
 
 SQL["log_stg"] = f"WITH {LOG_STG} SELECT * FROM stg2"
 SQL["log_sessions"] = f"WITH {LOG_SESS} SELECT * FROM sess"
-SQL["log_dim"] = f"""WITH {LOG_SESS},
-p AS (SELECT *, {classify_sql('creation_category', PHASES, 'Uncategorised')} AS ph, date_workflow AS d FROM sess)
-SELECT {', '.join(rollup_cols('video_id', 'creation_category', PHASES, ROLLUP_CATEGORIES,
-                              ['media_title', 'video_type', 'video_subtype', 'media_type', 'media_series']))}
-FROM p GROUP BY video_id"""
+LOG_DIM = f"""{LOG_SESS},
+p AS (SELECT *, {classify_sql('creation_category', CLEAN_PHASE, 'Uncategorised')} AS ph, date_workflow AS d FROM sess),
+dim AS (SELECT {', '.join(rollup_cols('video_id', 'creation_category', CLEAN_PHASE, [
+    "Editing", "Processing Raw Video", "Recording Audio", "Recording Video", "Script", "Subtitles", "Thumbnail", "Uploading"],
+    ['media_title', 'video_type', 'video_subtype', 'media_type', 'media_series']))}
+  FROM p GROUP BY video_id),
+seed AS (SELECT 'u' || CAST(c_custkey AS VARCHAR) AS media_title, (['Review', 'Essay'])[c_custkey % 2 + 1] AS video_type,
+    (['A', 'A', 'B'])[c_custkey % 3 + 1] AS video_subtype,
+    CAST(([7, 10, 15, 20, 25, 30, 12, NULL])[c_custkey % 8 + 1] AS INTEGER) AS expected_length_mins,
+    CAST(c_acctbal > 0 AS INTEGER) AS complexity_new, CAST(c_nationkey % 2 AS INTEGER) AS complexity_media_depth,
+    CAST(c_nationkey > 12 AS INTEGER) AS complexity_delivery_style, CAST(c_acctbal > 5000 AS INTEGER) AS complexity_logistics,
+    CASE WHEN c_nationkey > 2 THEN CAST(c_nationkey % 3 = 0 AS INTEGER) END AS complexity_worklife,
+    CAST(c_custkey % 4 <> 0 AS INTEGER) AS is_complete,
+    (['Short', 'Short', 'Average', 'Long', 'Long', 'Long', NULL, NULL])[c_custkey % 8 + 1] AS length_tier,
+    CAST(([0, 0, 1, 2, 2, 2, NULL, NULL])[c_custkey % 8 + 1] AS INTEGER) AS length_tier_ord FROM customer)"""
+
+SQL["log_dim"] = f"WITH {LOG_DIM} SELECT * FROM dim"
+SQL["log_ml"] = f"""WITH {LOG_DIM} SELECT d.*, l.* EXCLUDE (media_title, video_type, video_subtype)
+FROM dim d LEFT JOIN seed l ON d.media_title = l.media_title AND d.video_type = l.video_type AND d.video_subtype = l.video_subtype"""
+SQL["log_pending"] = f"""WITH {LOG_DIM} SELECT md5(l.media_title || '|' || l.video_type || '|' || l.video_subtype) AS video_id,
+  l.* EXCLUDE (is_complete), d.media_type, d.date_first FROM seed l
+LEFT JOIN dim d ON d.media_title = l.media_title AND d.video_type = l.video_type AND d.video_subtype = l.video_subtype
+WHERE l.is_complete = 0"""
 
 
 def _spearman_matrix_sql(cols) -> str:
