@@ -192,9 +192,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 def _rest(rows: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links between the components of a bucket.
 
-    rows(key, node, component) of buckets that hold several components.  A
-    bucket is cut into blocks by hash; each pair of blocks is one group, so no
-    task holds more than two blocks.
+    rows(key, node, component, blocks) of buckets that hold several
+    components.  A bucket is cut into ``blocks`` by hash; each pair of blocks
+    is one group, so no task holds more than two blocks.
     """
 
     def run(_, frame):
@@ -220,8 +220,7 @@ def _rest(rows: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
                     comp[comp == comp[y]] = comp[x]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    size = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(size, "key").join(sets, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.join(sets, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = pairs.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
     return pairs.groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
@@ -252,7 +251,8 @@ def near_dedup(docs: DataFrame, threshold: int = 75) -> DataFrame:
     placed = rows.filter("size > 2").join(first, rows["node"] == first["id"], "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark")).filter("lo <> hi")
     mixed = mixed.groupBy("size", "mark").agg(F.min("key").alias("key"))  # equal buckets once
-    more = stage(_rest(placed.join(mixed.select("key"), "key"), sets, threshold), "rest")
+    mixed = mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    more = stage(_rest(placed.join(mixed, "key"), sets, threshold), "rest")
     final = components(links.union(more)) if more.head(1) else first
 
     at = classes.select("node", "low_id").join(final, F.col("node") == F.col("id"), "left").select("node", "low_id", F.coalesce("component", "node").alias("component"))
