@@ -7,7 +7,9 @@ stands for election with votes in proportion to its words and its source's
 target.  The budget's blocks of equally many words go to the highest quotients
 votes / (2k + 1), which gives integer quotas per shard.  A cell's documents,
 in seeded order, form a ring of words cut into blocks; the cell gives its
-first blocks, all the way round as often as its quota asks.
+first blocks, all the way round as often as its quota asks.  A source has
+shards by its own rows, and what its cells cannot give of their quotas its
+other cells give, so that a source gives its whole blocks however it is dealt.
 
 Only built-in functions.  The rows shuffle once as (id, size), the driver sees
 a few sums a round.
@@ -33,15 +35,15 @@ def n_words(text: Column) -> Column:
 
 
 def rank_sources(sources: DataFrame, weights=WEIGHTS) -> DataFrame:
-    """sources(source, source_size) -> also rank from 0, by code point, null
-    last, and weight.  Sorted by ranges, with an offset per range."""
+    """sources(source, ..) -> also rank from 0, by code point, null last, and
+    weight.  Sorted by ranges, with an offset per range."""
     parts = 8
     cut = sources.repartitionByRange(parts, F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id())
     cut = stage(cut, "sources")
     before = cut.groupBy("part").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("part")) - F.col("n"))
     own = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last())) - 1
     pick = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
-    return cut.withColumn("own", own).join(before.select("part", "before"), "part").select("source", "source_size", (F.col("own") + F.col("before")).cast("long").alias("rank")).withColumn("weight", pick)
+    return cut.withColumn("own", own).join(before.select("part", "before"), "part").select(*sources.columns, (F.col("own") + F.col("before")).cast("long").alias("rank")).withColumn("weight", pick)
 
 
 def with_targets(sources: DataFrame, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
@@ -99,6 +101,24 @@ def sainte_lague(cells: DataFrame, seats: int, order: list[str]) -> DataFrame:
     return cells.join(last, order, "left").withColumn("quota", (above(hi) + F.coalesce("more", F.lit(0))).cast("long")).drop("more")
 
 
+def words_to_give(quotas: DataFrame, cap: float = CAP, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """quotas(rank, shard, words, quota) -> also give, in words.
+
+    A source gives its cells' blocks, at most the whole blocks in ``cap`` times
+    its words.  A cell gives its quota up to ``cap`` times its words; the rest
+    goes to the source's other cells in order of their (seeded) shards, a cell
+    after the other up to that bound, so a cell's last block can be partial."""
+    of = Window.partitionBy("rank")
+    before = of.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    whole = F.least(F.sum("quota").over(of), F.floor(F.sum("words").over(of) * float(cap) / block_words)) * block_words
+    room = F.floor(F.col("words") * float(cap))
+    first = quotas.withColumn("whole", whole).withColumn("room", room).withColumn("own", F.least(F.col("quota") * block_words, "room"))
+    # own sums to less than whole if cells are full, to more by rounding
+    left = first.withColumn("left", F.col("whole") - F.sum("own").over(of)).withColumn("spare", F.when(F.col("left") < 0, F.col("own")).otherwise(F.col("room") - F.col("own")))
+    share = F.greatest(F.lit(0), F.least("spare", F.abs("left") - (F.sum("spare").over(before) - F.col("spare"))))
+    return left.withColumn("give", (F.col("own") + F.signum("left") * share).cast("long")).drop("whole", "room", "own", "left", "spare")
+
+
 def mix(docs: DataFrame, carry: list[str], text: str = "text", source: str = "source", doc_id: str = "doc_id", weights=WEIGHTS, budget: float = BUDGET, cap: float = CAP, block_words: int = BLOCK_WORDS, shard_docs: int = SHARD_DOCS, seed: int = SEED) -> DataFrame:
     """docs -> (row, size, source_size, target, taken).
 
@@ -110,17 +130,15 @@ def mix(docs: DataFrame, carry: list[str], text: str = "text", source: str = "so
     """
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(doc_id).cast("string")))
     sized = stage(docs.select(F.struct(*carry).alias("row"), F.col(doc_id).alias("id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"), key.alias("key")), "sizes")
-    sources = rank_sources(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")).drop("n"), weights)
+    sources = rank_sources(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")), weights)
     sources = stage(with_targets(stage(sources, "ranked"), budget, cap), "targets")
-    total, n = sized.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    shards = max(1, -(-n // shard_docs))
-    named = sources.withColumnRenamed("source", "of")
+    total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    named = sources.select(F.col("source").alias("of"), "source_size", "rank", "target", F.ceil(F.col("n") / shard_docs).alias("shards"))
     rows = sized.join(named, sized["source"].eqNullSafe(named["of"])).drop("of", "source")
-    rows = rows.withColumn("shard", F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % shards)
+    rows = rows.withColumn("shard", F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % F.col("shards"))
     cells = stage(rows.groupBy("rank", "shard").agg(F.sum("size").alias("words"), F.first("target").alias("target"), F.first("source_size").alias("source_size")).withColumn("votes", F.when(F.col("source_size") > 0, F.col("target") * F.col("words") / F.col("source_size")).otherwise(0.0)), "cells")
     quotas = sainte_lague(cells, int(budget * total / block_words + 0.5), ["rank", "shard"])
-    most = F.floor(F.col("words") * float(cap) / block_words)
-    quotas = quotas.select("rank", "shard", "words", (F.least("quota", most) * block_words).alias("give"))
+    quotas = words_to_give(quotas.select("rank", "shard", "words", "quota"), cap, block_words)
     ring = Window.partitionBy("rank", "shard").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.join(quotas, ["rank", "shard"]).withColumn("start", F.sum("size").over(ring) - F.col("size"))
     rounds = F.when(F.col("words") > 0, F.floor(F.col("give") / F.col("words"))).otherwise(0)

@@ -69,6 +69,18 @@ def test_mix_of_edge_rows(spark, shard_docs):
     assert sorted(map(key, got)) == sorted(map(key, again.select("row.doc_id", "size", "taken").collect()))
 
 
+@pytest.mark.parametrize("shard_docs", [2, 80, 200_000])
+def test_a_small_source_gives_its_target_beside_a_huge_one(spark, shard_docs):
+    rows = [(i, prose(i, 15), "en", "a" if i < 50 else "b", 0) for i in range(6000)]
+    got = mixing.mix(documents(spark, rows), ["doc_id", "source"], shard_docs=shard_docs).select("row.doc_id", "row.source", "size", "target", "taken").collect()
+    small = [r for r in got if r["source"] == "a"]
+    assert small[0]["target"] == 1500 and sum(r["taken"] for r in small) == 1500 // 32 * 32
+    assert all(0 <= r["taken"] <= 2 * r["size"] for r in got)
+    alone = mixing.mix(documents(spark, rows[:50] + rows[3000:]), ["doc_id", "source"], shard_docs=80).filter("row.source = 'a'")
+    if shard_docs == 80:
+        assert {(r["doc_id"], r["taken"]) for r in small} == {(r["row"]["doc_id"], r["taken"]) for r in alone.collect()}, "not by the other sources' rows"
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(documents(spark, []), ["doc_id"]).count() == 0
     assert [r["taken"] for r in mixing.mix(documents(spark, [(1, "", None, None, 0)]), ["doc_id"]).collect()] == [0]
