@@ -1,9 +1,11 @@
 """Main text of web pages with site templates removed.
 
 1. One pass hashes the subtrees of each page's boxes (tag, text and
-   children); Spark counts each hash per host, once for each different page.
-2. A subtree on ``MIN_PAGES`` or more different pages of a host is part of its
-   template.
+   children); Spark counts each hash per host, once for each different body:
+   pages that differ in their chrome or a few words count as one.
+2. A subtree in at least ``MIN_PAGES`` different bodies' pages and at least
+   ``MIN_SHARE`` of the host's is part of its template, unless it holds half
+   of its page's (inside an article: the article's) words.
 3. A second pass deletes a page's template subtrees and those that are no
    article by their tag or class, and joins the blocks that remain.
 
@@ -17,6 +19,7 @@ import html
 import re
 from collections.abc import Iterator
 from hashlib import blake2b
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +29,8 @@ from islet.llm.cascade import host
 from islet.llm.common import stage
 
 MIN_PAGES = 5
+MIN_SHARE = 0.5  # of the host's different bodies
+SHINGLE = 5  # words
 
 #: Elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,7 +60,7 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "marks", "named", "hidden", "parts", "digest")
+    __slots__ = ("tag", "marks", "named", "hidden", "parts", "digest", "words")
 
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.marks, self.named, self.hidden, self.parts = tag, (), False, False, []
@@ -139,13 +144,21 @@ def _walk(root: Node) -> list[tuple[Node, bool]]:
 
 
 def digests(root: Node) -> list[tuple[Node, bool]]:
-    """Sets each element's digest, from its tag, words and children."""
+    """Sets each element's digest, from its tag, words and children, and its
+    number of words."""
     nodes = _walk(root)
     for node, _ in reversed(nodes):
         h = blake2b(node.tag.encode(), digest_size=8)
+        node.words = 0
         if node.tag != "script":
             for p in node.parts:
-                h.update(p.digest if isinstance(p, Node) else " ".join(p.split()).encode("utf-8", "replace"))
+                if isinstance(p, Node):
+                    h.update(p.digest)
+                    node.words += p.words
+                else:
+                    own = p.split()
+                    h.update(" ".join(own).encode("utf-8", "replace"))
+                    node.words += len(own)
         node.digest = h.digest()
     return nodes
 
@@ -156,18 +169,38 @@ def number(digest: bytes) -> int:
 
 def boxes(nodes: list[tuple[Node, bool]]) -> list[Node]:
     """Elements that can be template: blocks outside the article that do not
-    hold it, and named blocks inside."""
+    hold it, and named blocks inside; none with half of the page's or the
+    articles' words."""
     holds: set[int] = set()
     for node, _ in reversed(nodes):
         if node.tag in KEPT or any(isinstance(p, Node) and id(p) in holds for p in node.parts):
             holds.add(id(node))
-    return [n for n, inside in nodes if n.tag in BLOCK and id(n) not in holds and n.parts and (n.named and n.tag not in ("p", *HEADINGS) if inside else True)]
+    page = nodes[0][0].words
+    articles = sum(n.words for n, inside in nodes if n.tag in ("article", "main") and not inside)
+    return [n for n, inside in nodes if n.tag in BLOCK and 2 * n.words < max(1, articles if inside else page) and id(n) not in holds and n.parts and (n.named and n.tag not in ("p", *HEADINGS) if inside else True)]
 
 
 def blocks(root: Node, template: frozenset[int] = frozenset()) -> list[str]:
     """The article's blocks in page order, without template and boilerplate.
     The page has an article if an article or main element (that stands in no
-    boilerplate) has words; else all of the body counts."""
+    boilerplate) has words; else all of the body counts.  An article of
+    template alone stays whole."""
+    out = _lines(root, template)
+    article = [line for inside, line in out if inside]
+    if template and not article:
+        article = [line for inside, line in _lines(root) if inside]
+    return article or [line for _, line in out]
+
+
+def body(root: Node) -> int:
+    """A key of the page's text without boilerplate: the least hash of its
+    shingles, so near copies have the same one as likely as they share one."""
+    words = " ".join(blocks(root)).split()
+    return min((crc32(" ".join(words[k : k + SHINGLE]).encode("utf-8", "replace")) for k in range(max(1, len(words) - SHINGLE + 1))), default=0)
+
+
+def _lines(root: Node, template: frozenset[int] = frozenset()) -> list[tuple[bool, str]]:
+    """(inside the article, block) without template, then boilerplate."""
     out: list[tuple[bool, str]] = []
     text: list[str] = []
 
@@ -190,7 +223,7 @@ def blocks(root: Node, template: frozenset[int] = frozenset()) -> list[str]:
                 text.append(item)
         elif item.tag == "br":
             text.append(" ")
-        elif item.boilerplate() or item.tag == "header" and not inside or template and id(item) in may_go and number(item.digest) in template:
+        elif template and id(item) in may_go and number(item.digest) in template or item.boilerplate() or item.tag == "header" and not inside:
             if item.tag in BLOCK:
                 flush(inside)
         else:
@@ -203,8 +236,7 @@ def blocks(root: Node, template: frozenset[int] = frozenset()) -> list[str]:
             for p in reversed(item.parts):
                 stack.append((p, inner, headed))
     flush(False)
-    article = [line for inside, line in out if inside]
-    return article or [line for _, line in out]
+    return out
 
 
 def _parsed(batch: pa.RecordBatch) -> Iterator[Node]:
@@ -213,30 +245,32 @@ def _parsed(batch: pa.RecordBatch) -> Iterator[Node]:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """pages(url, html) -> (host, page, hashes): the page's digest and those of
-    its boxes, a row for each page."""
+    """pages(url, html) -> (host, page, body, hashes): the page's digest, its
+    body's key and the digests of its boxes, a row for each page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            page, hashes = [], []
+            page, bodies, hashes = [], [], []
             for root in _parsed(batch):
                 nodes = digests(root)
                 page.append(number(root.digest))
+                bodies.append(body(root))
                 hashes.append(sorted({number(n.digest) for n in boxes(nodes)}))
-            yield pa.RecordBatch.from_arrays([batch["host"], pa.array(page, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], names=["host", "page", "hashes"])
+            yield pa.RecordBatch.from_arrays([batch["host"], pa.array(page, pa.int64()), pa.array(bodies, pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], names=["host", "page", "body", "hashes"])
 
-    return pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, page long, hashes array<long>")
+    return pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, page long, body long, hashes array<long>")
 
 
-def site_templates(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, page, hashes) -> (host, hash) of subtrees on at least
-    ``min_pages`` different pages of the host; equal pages count once."""
-    once = found.groupBy("host", "page").agg(F.first("hashes").alias("hashes"))
-    each = once.select("host", F.explode("hashes").alias("hash"))
-    return each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages).select("host", "hash")
+def site_templates(found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(host, body, hashes) -> (host, hash) of subtrees on pages of at least
+    ``min_pages`` different bodies of the host and ``min_share`` of them."""
+    each = found.select("host", "body", F.explode("hashes").alias("hash")).distinct()
+    often = each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
+    hosts = found.select("host", "body").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all"))
+    return often.join(hosts, "host").filter(F.col("pages") >= min_share * F.col("all")).select("host", "hash")
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, carry: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, carry: tuple[str, ...] = ("page_id", "url"), min_share: float = MIN_SHARE) -> DataFrame:
     """pages(url, html, ..) -> (row, text): the main text, blocks joined by
     line breaks; ``row`` is a struct of the columns named by ``carry``.
 
@@ -244,7 +278,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, carry: tuple[str, ...]
     (empty) host.  Repeated pages have a row each and one template.
     """
     found = stage(subtrees(pages), "subtrees")
-    sites = site_templates(found, min_pages)
+    sites = site_templates(found, min_pages, min_share)
     own = found.groupBy("host", "page").agg(F.first("hashes").alias("hashes")).select("host", "page", F.explode("hashes").alias("hash"))
     template = own.join(sites, ["host", "hash"]).groupBy("host", "page").agg(F.sort_array(F.collect_list("hash")).alias("template"))
 

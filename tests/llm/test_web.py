@@ -89,6 +89,22 @@ def test_template_goes_only_where_it_recurs(spark):
     assert extracted(spark, []) == {}
 
 
+def test_template_is_a_share_of_the_hosts_bodies(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(20))
+    page = lambda i: (i, f"http://h.com/{i}", f"<body><div><p>menu words here</p></div><p>{own(i)}</p>{'<blockquote>some quote</blockquote>' if i < 8 else ''}</body>")
+    got = extracted(spark, [page(i) for i in range(40)])
+    assert got[3] == own(3) + "\nsome quote" and got[9] == own(9)
+    article = "".join(f"<p>{own(i)}</p>" for i in range(3))
+    chrome = lambda i: f"<div>chrome {own(100 + i)}</div>"
+    copies = [(i, f"http://h.com/{i}", f"<body>{chrome(i)}<article><div class=entry-content>{article}</div></article></body>") for i in range(8)]
+    assert set(extracted(spark, copies).values()) == {"\n".join(own(i) for i in range(3))}, "a wrapper of the article's words"
+    parts = [(i, f"http://h.com/{i}", f"<body>{chrome(i)}<article>{article.replace('<p>', '<div class=x>').replace('</p>', '</div>')}</article></body>") for i in range(8)]
+    assert set(extracted(spark, parts).values()) == {"\n".join(own(i) for i in range(3))}, "near copies count once"
+    notices = [(i, f"http://h.com/{i}", f"<body>{chrome(i)}<article><div class=x>{own(1)}</div><div class=x>{own(2)}</div><div class=x>{own(3)}</div>{f'<p>{own(50 + i)}</p>' if i else ''}</article></body>") for i in range(40)]
+    got = extracted(spark, notices)
+    assert got[0] == "\n".join(own(i) for i in (1, 2, 3)) and "chrome" not in "".join(got.values()), "an article of template alone stays"
+
+
 # ---------------------------------------------------------------- op 8
 
 def test_common_prefix_and_masks(spark):
