@@ -6,11 +6,9 @@
 2. A subtree in at least ``MIN_PAGES`` different bodies' pages and at least
    ``MIN_SHARE`` of the host's is part of its template, unless it holds half
    of its page's (inside an article: the article's) words.
-3. A second pass deletes a page's template subtrees and those that are no
-   article by their tag or class, and joins the blocks that remain.
-
-Words inside ``article`` or ``main`` are never template by recurrence alone
-(pages may quote one another); boxes there that carry a class or id can be.
+3. A second pass deletes a page's template subtrees, inside its article too,
+   then those that are no article by their tag or class, and joins the blocks
+   that remain.
 """
 
 from __future__ import annotations
@@ -60,15 +58,14 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "marks", "named", "hidden", "parts", "digest", "words")
+    __slots__ = ("tag", "marks", "hidden", "parts", "digest", "words")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.marks, self.named, self.hidden, self.parts = tag, (), False, False, []
+        self.tag, self.marks, self.hidden, self.parts = tag, (), False, []
         if attrs.strip():
             found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
             label = f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower()
-            self.named = bool(label.strip())
-            self.marks = _WORD.findall(label) if self.named else ()
+            self.marks = _WORD.findall(label)
             self.hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
 
     def boilerplate(self) -> bool:
@@ -168,16 +165,15 @@ def number(digest: bytes) -> int:
 
 
 def boxes(nodes: list[tuple[Node, bool]]) -> list[Node]:
-    """Elements that can be template: blocks outside the article that do not
-    hold it, and named blocks inside; none with half of the page's or the
-    articles' words."""
+    """Elements that can be template: blocks that do not hold an article, with
+    less than half of the page's or (inside) the articles' words."""
     holds: set[int] = set()
     for node, _ in reversed(nodes):
         if node.tag in KEPT or any(isinstance(p, Node) and id(p) in holds for p in node.parts):
             holds.add(id(node))
     page = nodes[0][0].words
     articles = sum(n.words for n, inside in nodes if n.tag in ("article", "main") and not inside)
-    return [n for n, inside in nodes if n.tag in BLOCK and 2 * n.words < max(1, articles if inside else page) and id(n) not in holds and n.parts and (n.named and n.tag not in ("p", *HEADINGS) if inside else True)]
+    return [n for n, inside in nodes if n.tag in BLOCK and 2 * n.words < max(1, articles if inside else page) and id(n) not in holds and n.parts]
 
 
 def blocks(root: Node, template: frozenset[int] = frozenset()) -> list[str]:

@@ -89,6 +89,13 @@ def test_template_goes_only_where_it_recurs(spark):
     assert extracted(spark, []) == {}
 
 
+def test_template_goes_inside_articles(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(20))
+    page = lambda i: (i, f"http://h.com/{i}", f"<body><article><h1>title {i}</h1><p>{own(i)}</p>{'<p>a quote</p>' if i < 6 else ''}<div><p>read our notice</p><ul><li>share<li>print</ul></div></article></body>")
+    got = extracted(spark, [page(i) for i in range(20)])
+    assert all(got[i] == f"title {i}\n{own(i)}" + ("\na quote" if i < 6 else "") for i in range(20))
+
+
 def test_template_is_a_share_of_the_hosts_bodies(spark):
     own = lambda i: " ".join(f"w{i}x{k}" for k in range(20))
     page = lambda i: (i, f"http://h.com/{i}", f"<body><div><p>menu words here</p></div><p>{own(i)}</p>{'<blockquote>some quote</blockquote>' if i < 8 else ''}</body>")
