@@ -27,7 +27,7 @@ UNKNOWN = "und"
 BUCKETS = 1 << 15  # of hashed trigrams
 SMOOTH = 0.5
 SWITCH = 16.0
-#: Rows of each language, at about this number, that a model is fitted on.
+#: Different texts of each language, at about this number, that a model is fitted on.
 FIT_ROWS = 5000
 #: A language uses a script from this share of its letters on.
 USES = 0.01
@@ -104,17 +104,20 @@ def _features(data: np.ndarray, offs: np.ndarray):
 
 
 def sample(labelled: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """About ``rows`` rows of each lang, by a hash of the text."""
-    share = labelled.groupBy("lang").agg((F.lit(float(rows)) / F.count(F.lit(1))).alias("share"))
+    """About ``rows`` different texts of each lang, by a hash of the text, one
+    row for each; at least one text of each lang."""
+    draw = F.shiftrightunsigned(F.xxhash64("text"), 12)
+    texts = labelled.select("lang", draw.alias("draw")).distinct()
+    share = texts.groupBy("lang").agg((F.lit(float(rows)) / F.count(F.lit(1)) * (1 << 52)).alias("below"), F.min("draw").alias("least"))
     # a row for each lang, as the model has a column for each
-    kept = labelled.join(F.broadcast(share), "lang").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
-    return kept.select("lang", "text")
+    kept = labelled.withColumn("draw", draw).join(F.broadcast(share), "lang").filter((F.col("draw") < F.col("below")) | (F.col("draw") == F.col("least")))
+    return kept.select("lang", "draw", "text").dropDuplicates(["lang", "draw"]).select("lang", "text")
 
 
 def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> Model:
     """A model of labelled(text, lang); null texts and langs teach nothing.
 
-    Fitted on a sample of about ``rows`` rows a language.  What reaches the
+    Fitted on a sample of about ``rows`` different texts a language.  What reaches the
     driver is a table of BUCKETS counts a language.
     """
     labelled = labelled.select(F.lower("text").alias("text"), F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")

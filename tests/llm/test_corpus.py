@@ -165,6 +165,17 @@ def test_many_texts_at_once_take_the_same_paths():
             assert value(labels[lo:hi]) == pytest.approx(value(own))
 
 
+def test_copies_count_once_in_the_sample(spark):
+    few = [(prose(i, 30), f"few{j}") for j in range(8) for i in (j, 100 + j) for _ in range(300)]
+    many = [(prose(1000 + i, 30), "many") for i in range(1000)] + [(prose(5, 30), "many")] * 2000
+    docs = spark.createDataFrame(few + many, "text string, lang string").repartition(5)
+    got = [(r["lang"], r["text"]) for r in langid.sample(docs, 50).collect()]
+    assert len(set(got)) == len(got), "one row for each text"
+    assert all(sum(x == f"few{j}" for x, _ in got) == 2 for j in range(8)) and 20 <= sum(x == "many" for x, _ in got) <= 100
+    assert {x for x, _ in (tuple(r) for r in langid.sample(docs.select("lang", "text"), 0).collect())} == {"many", *(f"few{j}" for j in range(8))}
+    assert set(langid.fit(docs, 1).langs) == {"many", *(f"few{j}" for j in range(8))}
+
+
 def test_held_out_accuracy_and_mixed_text(spark):
     sf = "/root/testdata/sf0.01"
     out = queries.op6_language_spans(spark, sf)
