@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from islet.llm import cascade, chat, decontaminate, exact_substrings, langid, mixing, order_minhash, setsketch, templates, warc
+from islet.llm import cascade, chat, decontaminate, exact_substrings, infill, langid, mixing, order_minhash, packing, prefix_trie, setsketch, templates, warc
 from islet.llm.common import staged_path, table
 
 
@@ -97,6 +97,27 @@ def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_dedup(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as fill-in-middle texts, and back."""
+    found = infill.fill_in_middle(table(spark, sf_dir, "documents"), ["doc_id"])
+    digest = lambda x: F.sha2(x.cast("binary"), 256)
+    return found.select(
+        "row.doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+def op12_tournament_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+def op13_centroid_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, rebuilt on the first turns of each hundred's first."""
+    turns = prefix_trie.rebuilt(prefix_trie.numbered(table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(turns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_revisits, op2_order_minhash, op3_induced_suffixes, op4_sainte_lague, op5_decontaminate, op6_language_spans, op7_site_templates, op8_preference_pairs, op9_bloom_cascade, op10_setsketch_dedup)
+    f.__name__: f for f in (op1_warc_revisits, op2_order_minhash, op3_induced_suffixes, op4_sainte_lague, op5_decontaminate, op6_language_spans, op7_site_templates, op8_preference_pairs, op9_bloom_cascade, op10_setsketch_dedup, op11_infill, op12_tournament_packing, op13_centroid_trie)
 }

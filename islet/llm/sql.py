@@ -99,4 +99,53 @@ WITH d AS (
 SELECT doc_id, size, source_size, target, CAST(rounds * size + greatest(0, least(size, rest - start)) AS BIGINT) AS taken FROM ring
 """
 
-SQL: dict[str, str] = {"op8_preference_pairs": OP8, "op1_warc_revisits": OP1, "op9_bloom_cascade": OP9, "op4_sainte_lague": OP4, "op5_decontaminate": OP5}
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), c AS (
+  SELECT *, len(w) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(w) + 1) AS x, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(w) + 1) AS y,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), p AS (
+  SELECT *, array_to_string(w[1 : least(x, y)], '') AS pre, array_to_string(w[least(x, y) + 1 : greatest(x, y)], '') AS mid, array_to_string(w[greatest(x, y) + 1 :], '') AS suf FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+OP13 = r"""
+WITH RECURSIVE bits(i, v, k) AS (
+  SELECT i, i, 0 FROM range(256) t(i) UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8
+), tab AS (SELECT list(v ORDER BY i) AS c FROM bits WHERE k = 8
+), ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL
+), crc(conv_id, s, v) AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR), CAST(4294967295 AS BIGINT) FROM ids
+  UNION ALL SELECT conv_id, substr(s, 2), xor(v >> 8, CAST(c[xor(v & 255, ascii(s)) + 1] AS BIGINT)) FROM crc, tab WHERE s <> ''
+), convs AS (SELECT conv_id, xor(v, 4294967295) % 6 AS h, conv_id - conv_id % 100 AS base FROM crc WHERE s = ''
+), t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), r AS (
+  SELECT c.conv_id, t.role, t.text, t.i FROM convs c JOIN t ON t.conv_id = c.base AND t.i <= c.h
+  UNION ALL SELECT c.conv_id, t.role, t.text, t.i FROM convs c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h
+), whole AS (
+  SELECT c.conv_id, coalesce(x.turns, []) AS turns
+  FROM convs c LEFT JOIN (SELECT conv_id, list({'role': role, 'text': text} ORDER BY i) AS turns FROM r GROUP BY conv_id) x ON x.conv_id = c.conv_id
+), mem AS (SELECT conv_id, len(turns) AS n, d, turns[1 : d] AS node, turns[1 : d - 1] AS parent FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM whole)
+), nodes AS (
+  SELECT node, d, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '') AS ends, CASE WHEN d = 0 THEN 0 ELSE length(node[d].text) END AS chars
+  FROM mem GROUP BY node, d
+), kids AS (SELECT parent, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent, d
+), own AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.parent = n.node AND k.d = n.d
+), up AS (SELECT node[1 : e] AS top, e, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * chars AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM own)
+), total AS (SELECT top, e, CAST(sum(leaf) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM up GROUP BY top, e)
+SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves, saved_tokens, sha256(o.ends) AS ends_sha256
+FROM own o JOIN total ON total.top = o.node AND total.e = o.d LEFT JOIN nodes p ON o.d > 0 AND p.node = o.parent AND p.d = o.d - 1
+"""
+
+SQL: dict[str, str] = {"op8_preference_pairs": OP8, "op1_warc_revisits": OP1, "op9_bloom_cascade": OP9, "op4_sainte_lague": OP4, "op5_decontaminate": OP5, "op11_infill": OP11, "op13_centroid_trie": OP13}
