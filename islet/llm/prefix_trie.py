@@ -179,6 +179,7 @@ def rollup(nodes: DataFrame, paths: DataFrame, values: list[str], local_rows: in
     """
     rest = nodes.select("a", "b", "pa", "pb", "depth", "conv_id", "weight", *values, F.lit(0).cast("long").alias("ta"), F.lit(0).cast("long").alias("tb"), *[F.lit(0).cast("long").alias(f"found_{v}") for v in values])
     names = rest.columns
+    rest = stage(rest, "components")  # else the joins' keys are constants
     small, done = [], []
     while True:
         tops = stage(rest.groupBy("ta", "tb").agg(F.max("weight").alias("total")), "tops")
