@@ -7,9 +7,10 @@
    No string of ``WINDOW`` bytes stands in one segment twice.
 2. Only labels that occur again can hold repeats.  Of their segments, equal
    ones become a class with a count; texts leave for the shards once a class.
-3. A shard is a set of whole labels of about ``SHARD_BYTES``.  Its suffix array
-   (``induced``) and permuted common prefixes show which windows stand in it
-   twice, or in a class with a count of two.
+3. All windows of a class with a count of two are repeated.  The labels that
+   also have a class with a count of one go to shards, sets of whole labels of
+   about ``SHARD_BYTES``.  A shard's suffix array (``induced``) and permuted
+   common prefixes show which windows stand in it twice.
 4. A label with more bytes than ``HOT_BYTES`` would outgrow a shard; the digests
    of its single windows are counted instead, which tells the same.
 5. The windows found go back to all places of their class, and their union is
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import mix64, random_words, stage, text_chunks
+from islet.llm.common import WHITE, mix64, random_words, stage, text_chunks
 from islet.llm.induced import permuted_prefixes, suffix_array
 
 WINDOW, GRAM = 400, 64
@@ -130,9 +131,25 @@ def repeated(texts: list[bytes], counts: list[int], window: int) -> list[np.ndar
     return [flags[a : a + max(n - window + 1, 0)] for a, n in zip(starts, size)]
 
 
-def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
+def _settled(gone: np.ndarray, data: np.ndarray, min_words: int) -> np.ndarray:
+    """Removed bytes, less code points cut in half and runs of fewer words."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], gone, [False])).astype(np.int8)))
+    out = np.zeros_like(gone)
+    for a, b in edge.reshape(-1, 2).tolist():
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while a < b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        inside = ~WHITE[data[a:b]]
+        if int(inside[:1].sum()) + int((inside[1:] & ~inside[:-1]).sum()) >= min_words:
+            out[a:b] = True
+    return out
+
+
+def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_bytes: int = SHARD_BYTES, hot_bytes: int = HOT_BYTES, min_words: int | None = None) -> DataFrame:
     """docs(doc_id, text, ..) -> (doc_id, text_key, kept, n_removed, n_spans)
-    of the texts that lose bytes: ``kept`` is what stays, as bytes.
+    of the texts that lose bytes: ``kept`` is what stays, as bytes.  With
+    ``min_words`` runs of fewer words stay, and runs end at whole code points.
 
     A byte goes if a string of ``window`` bytes that covers it also starts
     elsewhere, in any row; strings are judged on the input.  Null, empty and
@@ -146,7 +163,10 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_byte
     classes = places.groupBy("label", "digest").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc_id", "text_key", "start")).alias("first"), F.first("n").alias("n"))
     classes = stage(classes, "classes")
     length = F.sum(F.col("n") + F.lit(window - 1))
-    load = stage(classes.groupBy("label").agg(length.alias("bytes"), F.count(F.lit(1)).alias("classes")), "load")
+    # labels whose classes all have copies, or that have one class, are settled by the counts
+    open_ = (F.count(F.lit(1)) > 1) & (F.min("times") == 1)
+    load = classes.groupBy("label").agg(length.alias("bytes"), open_.alias("open")).filter("open").drop("open")
+    load = stage(load, "load")
     total = load.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     shards = int(total // shard_bytes) + 1
     mine = classes.join(load, "label").select(
@@ -179,13 +199,14 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_byte
 
         flags = repeated(frame["bytes"].tolist(), frame["times"].to_numpy(), window)
         spans = [_spans(f, window) for f in flags]
-        return pd.DataFrame({"label": frame["label"], "digest": frame["digest"], "spans": spans})[[bool(x) for x in spans]]
+        return pd.DataFrame({"label": frame["label"], "digest": frame["digest"], "spans": spans})[[bool(x) and n == 1 for x, n in zip(spans, frame["times"])]]
 
     kind = "label long, digest long, spans array<long>"
     found = out.filter("bytes is not null").withColumn("shard", F.pmod(F.xxhash64("label"), F.lit(shards))).groupBy("shard").applyInPandas(in_shard, kind)
     if load.filter(F.col("bytes") > hot_bytes).head(1):
         found = found.union(_by_windows(out.filter("windows is not null"), window))
-    found = stage(found, "found")
+    copied = classes.filter("times > 1").select("label", "digest", F.array(F.lit(0).cast("long"), F.col("n") + F.lit(window - 1).cast("long")).alias("spans"))
+    found = stage(found.union(copied), "found")
 
     at = places.select("label", "digest", F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key"), "start")
     spans = at.join(found, ["label", "digest"]).select("c_id", "c_key", F.transform("spans", lambda x: x + F.col("start")).alias("spans")).groupBy("c_id", "c_key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
@@ -199,6 +220,8 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_byte
                     np.add.at(keep, x[0::2], 1)
                     np.add.at(keep, x[1::2], -1)
                     out_ = np.cumsum(keep[:-1]) > 0
+                    if min_words is not None:
+                        out_ = _settled(out_, own, min_words)
                     kept.append(own[~out_].tobytes())
                     gone.append(int(out_.sum()))
                     runs.append(int((out_ & ~np.concatenate(([False], out_[:-1]))).sum()))
@@ -213,7 +236,7 @@ def _by_windows(hot: DataFrame, window: int) -> DataFrame:
     """found rows of hot labels, by counting their windows' digests."""
     each = hot.select("label", "digest", "times", F.posexplode("windows").alias("i", "w"))
     twice = each.groupBy("label", "w").agg(F.sum("times").alias("times")).filter("times > 1").select("label", "w")
-    flagged = each.join(twice, ["label", "w"]).groupBy("label", "digest").agg(F.sort_array(F.collect_list("i")).alias("at"))
+    flagged = each.filter("times = 1").join(twice, ["label", "w"]).groupBy("label", "digest").agg(F.sort_array(F.collect_list("i")).alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,10 +261,10 @@ def summary(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return both.select("doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("kept_sha256", "own").alias("kept_sha256"))
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs with repeated strings cut from ``text`` (code points cut in half
-    become U+FFFD); other columns stay as they are."""
-    lost = removals(docs, window).select(F.col("doc_id").alias("l_id"), F.col("text_key").alias("l_key"), "kept").dropDuplicates(["l_id", "l_key"])
+def deduplicated(docs: DataFrame, window: int = WINDOW, min_words: int = 0) -> DataFrame:
+    """docs with repeated strings cut from ``text``, at whole code points, in
+    runs of ``min_words`` words or more; other columns stay as they are."""
+    lost = removals(docs, window, min_words=min_words).select(F.col("doc_id").alias("l_id"), F.col("text_key").alias("l_key"), "kept").dropDuplicates(["l_id", "l_key"])
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
     both = rows.join(lost, F.col("row.doc_id").eqNullSafe(F.col("l_id")) & (F.col("key") == F.col("l_key")), "left")
     kept = F.when(F.col("kept").isNull(), F.col("row.text")).otherwise(F.make_valid_utf8(F.col("kept").cast("string")))

@@ -70,6 +70,10 @@ def near_components(rows: list[tuple]) -> list:
 
 def removed(texts: list, window: int) -> list[tuple]:
     """(bytes removed, runs, bytes kept) of each text by counting all windows."""
+    return [x[:3] for x in _marked(texts, window)]
+
+
+def _marked(texts: list, window: int) -> list[tuple]:
     raw = [(t or "").encode() for t in texts]
     seen: dict = {}
     for b in raw:
@@ -82,5 +86,33 @@ def removed(texts: list, window: int) -> list[tuple]:
             if seen[b[k : k + window]] > 1:
                 gone[k : k + window] = b"\1" * window
         runs = sum(1 for k, g in enumerate(gone) if g and (k == 0 or not gone[k - 1]))
-        out.append((sum(gone), runs, bytes(x for x, g in zip(b, gone) if not g)))
+        out.append((sum(gone), runs, bytes(x for x, g in zip(b, gone) if not g), gone))
+    return out
+
+
+def long_runs_removed(texts: list, window: int, min_words: int) -> list[str]:
+    """Texts without their runs of repeated bytes that hold ``min_words``
+    words or more, in whole code points."""
+    out = []
+    for t, (_, _, _, gone) in zip(texts, _marked(texts, window)):
+        raw, left, k = (t or "").encode(), bytearray(), 0
+        while k < len(raw):
+            if not gone[k]:
+                left.append(raw[k])
+                k += 1
+                continue
+            end = k
+            while end < len(raw) and gone[end]:
+                end += 1
+            a, b = k, end
+            while a < b and raw[a] & 0xC0 == 0x80:
+                a += 1
+            while a < b < len(raw) and raw[b] & 0xC0 == 0x80:
+                b -= 1
+            if len(re.findall(rb"[^\x20\x09-\x0D]+", raw[a:b])) >= min_words:
+                left += raw[k:a] + raw[b:end]
+            else:
+                left += raw[k:end]
+            k = end
+        out.append(left.decode())
     return out
