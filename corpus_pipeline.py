@@ -19,6 +19,9 @@ from islet.session import shared_path
 
 #: A document stays if one language holds at least this share of its letters.
 MIN_SHARE = 0.5
+#: A run of bytes goes if all of it is in strings of so many bytes that stand
+#: anywhere else, and it holds so many words.
+REPEAT_BYTES, REPEAT_WORDS = 200, 51
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +43,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that stand anywhere else are cut from the texts."""
+    """Passages of over 50 words that stand anywhere else are cut from the texts."""
     drop_staged(spark)
-    return exact_substrings.deduplicated(docs)
+    return exact_substrings.deduplicated(docs, REPEAT_BYTES, REPEAT_WORDS)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
