@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from islet.functions import scalars as S
-from islet.operators import clean, joins, models, monitor, ordered, profile, rollup, sessions, stats, validate
+from islet.operators import cells, clean, joins, models, monitor, ordered, profile, rollup, sessions, stats, validate
 from islet.operators.features import one_hot
 from islet.plans import views
 
@@ -462,17 +462,53 @@ def q_alpha_curve(spark, sf):
     return spark.createDataFrame(m["curve"], "alpha double, mean_rmse double, std_rmse double")
 
 
+ALL_FEATS = [*FEATS, "f_odd", "f_late"]
+
+
+def _tree_features(spark, sf):
+    """The six features of the tree models, all flags or ordinals."""
+    return _orders_features(spark, sf).withColumns({"f_odd": (F.col("o_custkey") % 2).cast("int"), "f_late": (F.month("o_orderdate") > 6).cast("int")})
+
+
+def _tree_train(spark, sf):
+    split = validate.time_split(_tree_features(spark, sf), ORDER_KEY, frac_test=0.25)
+    return split.filter(F.col("role") == "train").select("o_orderkey", "o_orderdate", "o_orderpriority", *ALL_FEATS, "y")
+
+
+FOREST_POINT, BOOSTED_POINT = ["n_trees", "depth", "min_leaf"], ["rounds", "depth", "rate", "subsample"]
+
+
 def q_compare_models(spark, sf):
-    """Rolling CV over the train rows; the baseline's error is the holdout's."""
-    split = validate.time_split(_orders_features(spark, sf), ORDER_KEY, frac_test=0.25)
-    tr = split.filter(F.col("role") == "train").select("o_orderkey", "o_orderdate", *FEATS, "y")
-    cv = {"ridge_raw": models.rolling_cv_ridge(tr, ORDER_KEY, FEATS, "y", ALPHAS),
-          "ridge_log": models.rolling_cv_ridge(tr, ORDER_KEY, FEATS, "y", ALPHAS, log=True),
-          "forest": models.rolling_cv_trees(tr, ORDER_KEY, FEATS, "y", [{"n_trees": 20, "depth": d} for d in (2, 3)])}
+    """All seven variants by nested rolling CV over the train rows, full grids;
+    the baseline's error is the holdout's."""
+    split = validate.time_split(_tree_features(spark, sf), ORDER_KEY, frac_test=0.25)
+    tr = _tree_train(spark, sf)
+    dummies, types = one_hot(tr, tr, "o_orderpriority", prefix="t")
+    types = ["f_tier", *types]
+    cv = {"M1-raw": models.rolling_cv_ridge(tr, ORDER_KEY, FEATS, "y", ALPHAS),
+          "M1-log": models.rolling_cv_ridge(tr, ORDER_KEY, FEATS, "y", ALPHAS, log=True),
+          "M2-raw": models.rolling_cv_ridge(dummies, ORDER_KEY, types, "y", ALPHAS),
+          "M2-log": models.rolling_cv_ridge(dummies, ORDER_KEY, types, "y", ALPHAS, log=True)}
+    for name, feats, kind, point in (("M3", ALL_FEATS, "forest", FOREST_POINT), ("M3b", FEATS, "forest", FOREST_POINT), ("M4", ALL_FEATS, "boosted", BOOSTED_POINT)):
+        cv[name] = [r.asDict() for r in cells.nested_cv(cells.search(tr, ORDER_KEY, feats, "y", kind), point).collect()]
     b1 = models.baseline_rmse(split, "y", ["f_tier"], "B1").first()["rmse"]
     return models.compare_models(spark, cv, float(b1))
 
 
+def q_tree_cells(spark, sf):
+    """The cube behind all tree fits of the train rows."""
+    rows, n, outer = cells.ranked(_tree_train(spark, sf), ORDER_KEY, ALL_FEATS, "y")
+    got = cells.cube(cells.with_segment(rows, cells.cuts_of([*outer, (n, n)])), ALL_FEATS, "y")
+    return got.select("segment", *ALL_FEATS, "n", r6(F.col("sum_y")).alias("sum_y"), r6(F.col("sum_yy")).alias("sum_yy"))
+
+
+def q_forest_stumps(spark, sf):
+    """A bagged forest of 200 stumps from one scan of all orders."""
+    rows = _tree_features(spark, sf).withColumn("segment", F.lit(0))
+    got = cells.stumps(cells.replicate_cube(rows, ALL_FEATS, "y", ["o_orderkey"], 200), ALL_FEATS)
+    return got.select("replicate", "feature", "threshold", *[r6(F.col(c)).alias(c) for c in ("left_mean", "right_mean")])
+
+
 def _tree_split(spark, sf):
     s = validate.time_split(_orders_features(spark, sf), ORDER_KEY, frac_test=0.25)
     return s.filter(F.col("role") == "train"), s.filter(F.col("role") == "test")
@@ -480,7 +516,7 @@ def _tree_split(spark, sf):
 
 def q_forest(spark, sf):
     tr, te = _tree_split(spark, sf)
-    m = models.fit_forest(tr, FEATS, "y", n_trees=50, depth=2, min_leaf=2)
+    m = models.fit_forest(tr, FEATS, "y", n_trees=200, depth=2, min_leaf=2)
     return spark.createDataFrame([("forest", models.tree_rmse(m, te, FEATS, "y"))], "model string, holdout_rmse double")
 
 
@@ -493,29 +529,29 @@ def q_score_stump(spark, sf):
 
 
 def q_boosted(spark, sf):
-    tr, te = _tree_split(spark, sf)
-    m = models.fit_gbt(tr, FEATS, "y", rounds=20, depth=2, rate=0.1)
-    return spark.createDataFrame([("gbt", models.tree_rmse(m, te, FEATS, "y"))], "model string, holdout_rmse double")
+    """M4: nested rolling CV over all 54 grid points."""
+    return cells.nested_cv(cells.search(_tree_train(spark, sf), ORDER_KEY, ALL_FEATS, "y", "boosted"), BOOSTED_POINT)
 
 
 def q_search_landscape(spark, sf):
-    tr = _tree_split(spark, sf)[0].select("o_orderkey", "o_orderdate", *FEATS, "y")
-    f = validate.indexed(tr, ORDER_KEY, "_i")
-    n = f.select("n").first()[0]
-    res = []
-    for depth in (2, 3):
-        for leaf in (2, 5):
-            for fold, (lo, hi) in enumerate(validate.rolling_fold_bounds(n, 3, 0.35)):
-                m = models.fit_forest(f.filter(F.col("_i") < lo), FEATS, "y", n_trees=20, depth=depth, min_leaf=leaf)
-                te = f.filter((F.col("_i") >= lo) & (F.col("_i") < hi))
-                res.append({"params": {"n_trees": 20, "depth": depth, "min_leaf": leaf}, "fold": fold,
-                            "rmse": models.tree_rmse(m, te, FEATS, "y")})
-    return models.search_landscape(spark, res)
+    """All 24 forest points on the whole train set, and for each cell of the
+    heat map the point that wins it."""
+    scores = cells.search(_tree_train(spark, sf), ORDER_KEY, ALL_FEATS, "y", "forest", folds=0, whole=True)
+    scape = cells.landscape(scores, FOREST_POINT)
+    best = cells.best_per_cell(scape, ["depth", "min_leaf"]).select("depth", "min_leaf", F.col("n_trees").alias("best_n_trees"))
+    return scape.join(best, ["depth", "min_leaf"])
+
+
+def q_landscape_heat(spark, sf):
+    """The heat map's data: depth down, least leaf across, best means."""
+    scores = cells.search(_tree_train(spark, sf), ORDER_KEY, ALL_FEATS, "y", "forest", folds=0, whole=True)
+    best = cells.best_per_cell(cells.landscape(scores, FOREST_POINT), ["depth", "min_leaf"])
+    return best.groupBy("depth").pivot("min_leaf", cells.FOREST_GRID["min_leaf"]).agg(F.first("mean_rmse").alias("mean"), F.first("std_rmse").alias("std"))
 
 
 def q_importances(spark, sf):
     tr, _ = _tree_split(spark, sf)
-    return models.importances(spark, models.fit_forest(tr, FEATS, "y", n_trees=50, depth=3, min_leaf=2), FEATS)
+    return models.importances(spark, models.fit_forest(tr, FEATS, "y", n_trees=200, depth=3, min_leaf=2), FEATS)
 
 
 # ------------------------------------------------------------------- scoring
@@ -646,10 +682,8 @@ def q_drop_incomplete(spark, sf):
 
 
 def q_forest_grid(spark, sf):
-    grid = [{"n_trees": 20, "depth": d, "min_leaf": m} for d in (2, 3) for m in (2, 5)]
-    tr = _tree_split(spark, sf)[0].select("o_orderkey", "o_orderdate", *FEATS, "y")
-    t = models.tune_trees(tr, ORDER_KEY, FEATS, "y", grid, kind="forest")
-    return models.search_landscape(spark, t["results"])
+    """M3: nested rolling CV over all 24 grid points."""
+    return cells.nested_cv(cells.search(_tree_train(spark, sf), ORDER_KEY, ALL_FEATS, "y", "forest"), FOREST_POINT)
 
 
 def q_spearman_matrix(spark, sf):
@@ -749,4 +783,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # queries with no SQL equivalent (iterative fits, approximations) -> rows-only check
 ROWS_ONLY = {"qq_points", "ridge_multi", "alpha_curve", "compare_models", "forest", "boosted",
-             "search_landscape", "importances", "forest_grid"}
+             "search_landscape", "landscape_heat", "importances", "forest_grid"}

@@ -6,6 +6,8 @@ DuckDB's HUGEINT sums and window counters cast to BIGINT.
 
 from __future__ import annotations
 
+import math
+
 from islet.functions.scalars import DAY_QUARTER_EDGES, DAY_QUARTER_LABELS, LENGTH_TIERS, TIER_ORDINAL
 from islet.plans.catalogue import (SPEARMAN_COLS, CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_TYPES, M1, M2,
                                    PART_CLASSES, PART_NAME_PATTERNS, PRIORITY_ORDER, SHIFT_DATE)
@@ -100,6 +102,13 @@ FEAT = f"""f AS (SELECT *,
   FROM orders)"""
 
 
+# the tree models' features, the prime of the draws and the steps of a Poisson(1) distribution
+TREE_FEATS = ["f_tier", "f_new", "f_depth", "f_delivery", "f_odd", "f_late"]
+TREE = f"{FEAT}, tf AS (SELECT *, CAST(o_custkey % 2 AS INTEGER) AS f_odd, CAST(month(o_orderdate) > 6 AS INTEGER) AS f_late FROM f)"
+DRAW_PRIME = 2**31 - 1
+BOOTSTRAP_STEPS = [int(sum(math.exp(-1) / math.factorial(i) for i in range(k + 1)) * DRAW_PRIME) for k in range(12)]
+
+
 def _lin(m) -> str:
     """The linear score in DOUBLE arithmetic (DuckDB would keep decimal
     literals exact), summed in the same order as the Spark expression."""
@@ -322,6 +331,25 @@ FROM (SELECT o_totalprice, (SELECT pred FROM mu) AS pred FROM sp2 WHERE role = '
     "baseline_group": f"""WITH {SPLIT}, mu AS (SELECT o_orderpriority, AVG(o_totalprice) AS pred FROM sp2 WHERE role = 'train' GROUP BY 1)
 SELECT 'B1' AS model, ROUND(SQRT(AVG(POWER(pred - o_totalprice, 2))), 6) AS rmse,
   COUNT(pred - o_totalprice) AS n_scored, COUNT(*) AS n_test FROM sp2 LEFT JOIN mu USING (o_orderpriority) WHERE role = 'test'""",
+    "tree_cells": f"""WITH {TREE}, x AS (SELECT *, ROW_NUMBER() OVER ({ORD}) - 1 AS i, COUNT(*) OVER () AS nn FROM tf),
+t AS (SELECT * FROM x WHERE i < nn - FLOOR(nn * 0.25)), n AS (SELECT COUNT(*) AS n, CAST(FLOOR(COUNT(*) * 0.35) AS BIGINT) AS st FROM t),
+b AS (SELECT n, st, (n - st) // 3 AS size FROM n), l AS (SELECT unnest([st, st + size, st + 2 * size, n]) AS lo FROM b),
+c AS (SELECT DISTINCT cut FROM (SELECT unnest([lo - 3 * (lo // 4), lo - 2 * (lo // 4), lo - lo // 4, lo]) AS cut FROM l UNION ALL SELECT st + 3 * size FROM b UNION ALL SELECT 0)),
+cl AS (SELECT list(cut) AS cuts FROM c)
+SELECT CAST(len(list_filter(cuts, lambda v: v <= i)) AS INTEGER) AS segment, {", ".join(TREE_FEATS)}, COUNT(*) AS n, ROUND(SUM(y), 6) AS sum_y, ROUND(SUM(y * y), 6) AS sum_yy
+FROM t, cl GROUP BY ALL""",
+    "forest_stumps": f"""WITH {TREE}, h AS (SELECT *, md5(CAST(o_orderkey AS VARCHAR)) AS h FROM tf),
+r AS (SELECT *, unnest(range(200)) AS replicate FROM h),
+u AS (SELECT *, (CAST('0x' || substr(h, 1, 8) AS BIGINT) % {DRAW_PRIME} + CAST('0x' || substr(h, 9, 8) AS BIGINT) % {DRAW_PRIME} * replicate
+  + CAST('0x' || substr(h, 17, 8) AS BIGINT) % {DRAW_PRIME} * replicate * replicate) % {DRAW_PRIME} AS u FROM r),
+w AS (SELECT *, {" + ".join(f"CAST(u >= {v} AS BIGINT)" for v in BOOTSTRAP_STEPS)} AS w FROM u),
+k AS (SELECT replicate, {", ".join(TREE_FEATS)}, COUNT(*) AS n, SUM(w) AS w, SUM(w * y) AS s FROM w WHERE w > 0 GROUP BY ALL),
+v AS ({" UNION ALL ".join(f"SELECT replicate, {i} AS place, '{f}' AS feature, CAST({f} AS DOUBLE) AS value, SUM(n) AS n, SUM(w) AS w, SUM(s) AS s FROM k GROUP BY ALL" for i, f in enumerate(TREE_FEATS))}),
+q AS (SELECT *, SUM(n) OVER o AS ln, SUM(w) OVER o AS lw, SUM(s) OVER o AS ls, SUM(n) OVER p AS tn, SUM(w) OVER p AS tw, SUM(s) OVER p AS ts, LEAD(value) OVER o AS nxt
+  FROM v WINDOW o AS (PARTITION BY replicate, place ORDER BY value), p AS (PARTITION BY replicate, place)),
+g AS (SELECT *, ls * ls / lw + (ts - ls) * (ts - ls) / (tw - lw) - ts * ts / tw AS gain FROM q WHERE ln >= 2 AND tn - ln >= 2)
+SELECT replicate, feature, (value + nxt) / 2 AS threshold, ROUND(ls / lw, 6) AS left_mean, ROUND((ts - ls) / (tw - lw), 6) AS right_mean
+FROM g QUALIFY ROW_NUMBER() OVER (PARTITION BY replicate ORDER BY gain DESC, place, value) = 1""",
     "ridge_single": """WITH l AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem),
 m AS (SELECT AVG(x) AS mx, AVG(y) AS my FROM l),
 lm AS (SELECT x, y, (SELECT mx FROM m) AS mx, (SELECT my FROM m) AS my FROM l),
