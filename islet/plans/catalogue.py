@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from islet.functions import scalars as S
-from islet.operators import cells, clean, joins, models, monitor, ordered, profile, rollup, sessions, stats, validate
+from islet.operators import cells, clean, joins, models, monitor, ordered, profile, ridge, rollup, sessions, stats, validate
 from islet.operators.features import one_hot
 from islet.plans import views
 
@@ -432,15 +432,10 @@ def q_baseline_group(spark, sf):
 
 
 def q_ridge_single(spark, sf, alpha: float = 10.0):
-    """ML5 with one feature as pure aggregates: w = Sxy / (Sxx + alpha)."""
+    """ML5 with one feature."""
     li = T(spark, sf, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
-    means = li.agg(F.avg("x").alias("mx"), F.avg("y").alias("my"))
-    c = joins.attach_scalar(li, means)
-    s = c.agg(F.sum((F.col("x") - F.col("mx")) * (F.col("y") - F.col("my"))).alias("sxy"),
-              F.sum((F.col("x") - F.col("mx")) ** 2).alias("sxx"), F.first("mx").alias("mx"),
-              F.first("my").alias("my"))
-    fit = s.select((F.col("sxy") / (F.col("sxx") + F.lit(alpha))).alias("coef"), "mx", "my")
-    fit = fit.withColumn("intercept", F.col("my") - F.col("coef") * F.col("mx"))
+    value = lambda term: F.max(F.when(F.col("term") == term, F.col("value")))
+    fit = ridge.fit(li, ["x"], "y", alpha).agg(value("intercept").alias("intercept"), value("x").alias("coef"))
     res = joins.attach_scalar(li, fit.select("coef", "intercept"))
     d = F.col("y") - F.col("intercept") - F.col("coef") * F.col("x")
     rm = res.agg(F.sqrt(F.avg(d * d)).alias("rmse"))
@@ -452,14 +447,30 @@ FEATS = ["f_tier", "f_new", "f_depth", "f_delivery"]
 
 
 def q_ridge_multi(spark, sf):
-    m = models.tune_ridge(_orders_features(spark, sf), ORDER_KEY, FEATS, "y", ALPHAS, k=3)
-    rows = [("intercept", m["intercept"], m["alpha"])] + [(f, m["coefficients"][f], m["alpha"]) for f in FEATS]
-    return spark.createDataFrame(rows, "term string, value double, alpha double")
+    return ridge.tuned(_orders_features(spark, sf), ORDER_KEY, FEATS, "y", ALPHAS)
 
 
 def q_alpha_curve(spark, sf):
-    m = models.tune_ridge(_orders_features(spark, sf), ORDER_KEY, FEATS, "y", ALPHAS, k=3)
-    return spark.createDataFrame(m["curve"], "alpha double, mean_rmse double, std_rmse double")
+    return ridge.curve(_orders_features(spark, sf), ORDER_KEY, FEATS, "y", ALPHAS)
+
+
+TWO = ["f_tier", "f_delivery"]  # two features, so that SQL can solve the system in closed form
+TWO_ALPHAS = [0.01, 1.0, 100.0, 10000.0]
+
+
+def q_ridge_two(spark, sf):
+    m = ridge.fit(_orders_features(spark, sf), TWO, "y", 50.0)
+    return m.select("term", r6(F.col("value")).alias("value"), "alpha")
+
+
+def q_ridge_two_curve(spark, sf):
+    c = ridge.curve(_orders_features(spark, sf), ORDER_KEY, TWO, "y", TWO_ALPHAS)
+    return c.select("alpha", r6(F.col("mean_rmse")).alias("mean_rmse"), r6(F.col("std_rmse")).alias("std_rmse"))
+
+
+def q_ridge_two_rolling(spark, sf):
+    c = ridge.rolling_cv(_orders_features(spark, sf), ORDER_KEY, TWO, "y", TWO_ALPHAS)
+    return c.withColumn("rmse", r6(F.col("rmse")))
 
 
 ALL_FEATS = [*FEATS, "f_odd", "f_late"]
@@ -485,9 +496,10 @@ def q_compare_models(spark, sf):
     tr = _tree_train(spark, sf)
     dummies, types = one_hot(tr, tr, "o_orderpriority", prefix="t")
     types = ["f_tier", *types]
-    cv = {"M1-raw": models.rolling_cv_ridge(tr, ORDER_KEY, FEATS, "y", ALPHAS),
+    raw = lambda df, feats: [r.asDict() for r in ridge.rolling_cv(df, ORDER_KEY, feats, "y", ALPHAS).collect()]
+    cv = {"M1-raw": raw(tr, FEATS),
           "M1-log": models.rolling_cv_ridge(tr, ORDER_KEY, FEATS, "y", ALPHAS, log=True),
-          "M2-raw": models.rolling_cv_ridge(dummies, ORDER_KEY, types, "y", ALPHAS),
+          "M2-raw": raw(dummies, types),
           "M2-log": models.rolling_cv_ridge(dummies, ORDER_KEY, types, "y", ALPHAS, log=True)}
     for name, feats, kind, point in (("M3", ALL_FEATS, "forest", FOREST_POINT), ("M3b", FEATS, "forest", FOREST_POINT), ("M4", ALL_FEATS, "boosted", BOOSTED_POINT)):
         cv[name] = [r.asDict() for r in cells.nested_cv(cells.search(tr, ORDER_KEY, feats, "y", kind), point).collect()]

@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 from islet.functions.scalars import DAY_QUARTER_EDGES, DAY_QUARTER_LABELS, LENGTH_TIERS, TIER_ORDINAL
-from islet.plans.catalogue import (SPEARMAN_COLS, CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_TYPES, M1, M2,
+from islet.plans.catalogue import (SPEARMAN_COLS, TWO_ALPHAS, CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_TYPES, M1, M2,
                                    PART_CLASSES, PART_NAME_PATTERNS, PRIORITY_ORDER, SHIFT_DATE)
 from islet.operators.rollup import snake
 
@@ -102,6 +102,14 @@ FEAT = f"""f AS (SELECT *,
   FROM orders)"""
 
 
+# the errors e(outer_, p, alpha, rmse) of ridge on two features over the splits s, by the closed 2 x 2 solution
+RIDGE_TWO = f"""g AS (SELECT s.outer_, s.p, s.a, s.b, AVG(f_tier) AS ma, AVG(f_delivery) AS mb, AVG(y) AS my, COUNT(*) AS n_train, VAR_POP(f_tier) * COUNT(*) AS aa, VAR_POP(f_delivery) * COUNT(*) AS bb,
+  COVAR_POP(f_tier, f_delivery) * COUNT(*) AS ab, COVAR_POP(f_tier, y) * COUNT(*) AS ay, COVAR_POP(f_delivery, y) * COUNT(*) AS bxy FROM s JOIN x ON x.j < s.a GROUP BY ALL),
+al AS (SELECT CAST(unnest({TWO_ALPHAS}) AS DOUBLE) AS alpha),
+w AS (SELECT *, ((bb + alpha) * ay - ab * bxy) / ((aa + alpha) * (bb + alpha) - ab * ab) AS wa, ((aa + alpha) * bxy - ab * ay) / ((aa + alpha) * (bb + alpha) - ab * ab) AS wb FROM g, al),
+e AS (SELECT outer_, p, alpha, n_train, COUNT(*) AS n_test, SQRT(AVG(POWER(x.y - (my - wa * ma - wb * mb) - wa * f_tier - wb * f_delivery, 2))) AS rmse FROM w JOIN x ON x.j >= w.a AND x.j < w.b GROUP BY ALL)"""
+
+
 # the tree models' features, the prime of the draws and the steps of a Poisson(1) distribution
 TREE_FEATS = ["f_tier", "f_new", "f_depth", "f_delivery", "f_odd", "f_late"]
 TREE = f"{FEAT}, tf AS (SELECT *, CAST(o_custkey % 2 AS INTEGER) AS f_odd, CAST(month(o_orderdate) > 6 AS INTEGER) AS f_late FROM f)"
@@ -350,6 +358,21 @@ q AS (SELECT *, SUM(n) OVER o AS ln, SUM(w) OVER o AS lw, SUM(s) OVER o AS ls, S
 g AS (SELECT *, ls * ls / lw + (ts - ls) * (ts - ls) / (tw - lw) - ts * ts / tw AS gain FROM q WHERE ln >= 2 AND tn - ln >= 2)
 SELECT replicate, feature, (value + nxt) / 2 AS threshold, ROUND(ls / lw, 6) AS left_mean, ROUND((ts - ls) / (tw - lw), 6) AS right_mean
 FROM g QUALIFY ROW_NUMBER() OVER (PARTITION BY replicate ORDER BY gain DESC, place, value) = 1""",
+    "ridge_two": f"""WITH {FEAT}, g AS (SELECT AVG(f_tier) AS ma, AVG(f_delivery) AS mb, AVG(y) AS my, VAR_POP(f_tier) * COUNT(*) + 50.0 AS aa, VAR_POP(f_delivery) * COUNT(*) + 50.0 AS bb,
+  COVAR_POP(f_tier, f_delivery) * COUNT(*) AS ab, COVAR_POP(f_tier, y) * COUNT(*) AS ay, COVAR_POP(f_delivery, y) * COUNT(*) AS bxy FROM f),
+w AS (SELECT *, (bb * ay - ab * bxy) / (aa * bb - ab * ab) AS wa, (aa * bxy - ab * ay) / (aa * bb - ab * ab) AS wb FROM g)
+SELECT 'intercept' AS term, ROUND(my - wa * ma - wb * mb, 6) AS value, CAST(50.0 AS DOUBLE) AS alpha FROM w
+UNION ALL SELECT 'f_tier', ROUND(wa, 6), 50.0 FROM w UNION ALL SELECT 'f_delivery', ROUND(wb, 6), 50.0 FROM w""",
+    "ridge_two_curve": f"""WITH {FEAT}, x AS (SELECT *, ROW_NUMBER() OVER ({ORD}) - 1 AS j, COUNT(*) OVER () AS n FROM f),
+s AS (SELECT DISTINCT 0 AS outer_, p, n - (n // 4) * (3 - p) AS a, n - (n // 4) * (2 - p) AS b FROM x, (SELECT unnest([0, 1, 2]) AS p)),
+{RIDGE_TWO}
+SELECT alpha, ROUND(AVG(rmse), 6) AS mean_rmse, ROUND(STDDEV_POP(rmse), 6) AS std_rmse FROM e GROUP BY alpha""",
+    "ridge_two_rolling": f"""WITH {FEAT}, x AS (SELECT *, ROW_NUMBER() OVER ({ORD}) - 1 AS j, COUNT(*) OVER () AS n FROM f),
+m AS (SELECT DISTINCT n, CAST(FLOOR(n * 0.35) AS BIGINT) AS st FROM x), o AS (SELECT outer_, st + ((n - st) // 3) * outer_ AS lo, st + ((n - st) // 3) * (outer_ + 1) AS hi FROM m, (SELECT unnest([0, 1, 2]) AS outer_)),
+s AS (SELECT outer_, p, lo - (lo // 4) * (3 - p) AS a, lo - (lo // 4) * (2 - p) AS b FROM o, (SELECT unnest([0, 1, 2]) AS p) UNION ALL SELECT outer_, -1, lo, hi FROM o),
+{RIDGE_TWO},
+best AS (SELECT outer_, alpha FROM (SELECT outer_, alpha, AVG(rmse) AS m FROM e WHERE p >= 0 GROUP BY ALL) QUALIFY ROW_NUMBER() OVER (PARTITION BY outer_ ORDER BY m, alpha) = 1)
+SELECT CAST(e.outer_ AS INTEGER) AS fold, e.alpha, ROUND(rmse, 6) AS rmse, n_train, n_test FROM e JOIN best USING (outer_, alpha) WHERE p = -1""",
     "ridge_single": """WITH l AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem),
 m AS (SELECT AVG(x) AS mx, AVG(y) AS my FROM l),
 lm AS (SELECT x, y, (SELECT mx FROM m) AS mx, (SELECT my FROM m) AS my FROM l),
