@@ -130,6 +130,12 @@ def clean_log(raw: DataFrame, seq=None, n_blocks: int | None = None) -> DataFram
             .withColumn("video_id", S.hash_key("media_title", "video_type", "video_subtype")))
 
 
+def relabel(df: DataFrame, col: str, labels: dict, name: str | None = None) -> DataFrame:
+    """Values replaced by their labels; values without one, NULL too, stay."""
+    pairs = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv]) if labels else None
+    return df.withColumn(name or col, F.coalesce(F.element_at(pairs, F.col(col)), F.col(col)) if labels else F.col(col))
+
+
 def winsorise(df: DataFrame, col: str, mode: str = "cap", q: float = 0.99,
               threshold: float | None = None, out: str | None = None) -> DataFrame:
     """Keep / remove / cap values above a quantile (or fixed threshold).

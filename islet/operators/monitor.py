@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from islet.functions import scalars as S
 from islet.operators.clean import drop_incomplete
 from islet.operators.joins import attach_scalar
 from islet.operators.models import predict_tree
-from islet.operators.ordered import rolling
+from islet.operators.ordered import rolling, with_global_index
 from islet.operators.profile import group_share, residual_stats
 
 
@@ -108,7 +108,7 @@ def residuals_by(scored: DataFrame, col: str, resid: str, order: Sequence[str] |
     if order:
         s = s.withColumn("rank", S.category_rank(col, order))
     else:
-        s = s.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), F.col(col))))
+        s = with_global_index(s, [F.col("n").desc(), F.col(col).asc()], "rank", start=1)
     return s
 
 
@@ -131,9 +131,14 @@ def feature_shift(scored: DataFrame, flags: Sequence[str], era_col: str = "era",
 
 
 def tier_mix(scored: DataFrame, tier: str, era_col: str = "era") -> DataFrame:
-    """ML21 / A26: share (%) of each tier within each era."""
-    return (group_share(scored, [era_col], [tier], "n")
-            .withColumn("pct", F.col("proportion") * 100).drop("proportion"))
+    """ML21 / A26: share (%) of each tier within each era; a tier that an era
+    lacks has a row of 0%."""
+    cells = group_share(scored, [era_col], [tier], "n").withColumn("pct", F.col("proportion") * 100).drop("proportion")
+    level = F.struct(F.col(tier).alias("level"))  # so that a NULL level is in the set
+    every = attach_scalar(cells.select(era_col).distinct(), cells.agg(F.collect_set(level).alias("_levels")))
+    every = every.select(F.col(era_col).alias("_era"), F.explode("_levels").alias("_l"))
+    met = every.join(cells, F.col("_era").eqNullSafe(F.col(era_col)) & F.col("_l.level").eqNullSafe(F.col(tier)), "left")
+    return met.select(F.col("_era").alias(era_col), F.col("_l.level").alias(tier), F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("pct", F.lit(0.0)).alias("pct"))
 
 
 def share_over_time(df: DataFrame, date: str, hour: str, month_fmt: str = "yyyy-MM") -> DataFrame:

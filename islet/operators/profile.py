@@ -107,6 +107,18 @@ def describe(df: DataFrame, value: str, by=None, n_blocks: int | None = None) ->
     return _join_groups(agg, q, by) if by else attach_scalar(agg, q)
 
 
+def describe_many(df: DataFrame, cols: Sequence[str], qs: Sequence[float] = (0.25, 0.5, 0.75), n_blocks: int | None = None) -> DataFrame:
+    """A16 over several columns: a row for each with count, mean, std, min, the
+    quantiles and max.  The columns are stacked into one (column, value) table
+    that is counted by value inside the scan, so all of them share one row
+    shuffle.  A column without values has count 0 and NULLs."""
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]))
+    long = df.select(stacked.alias("_s")).select("_s.*")
+    v = F.col("value")
+    agg = long.groupBy("column").agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    return _join_groups(agg, quantiles(long, "value", qs, ["column"], n_blocks=n_blocks), ["column"])
+
+
 def box_stats(df: DataFrame, key, value: str, n_blocks: int | None = None) -> DataFrame:
     """q1 / median / q3 per category."""
     return quantiles(df, value, [0.25, 0.5, 0.75], key, ["q1", "median", "q3"], n_blocks=n_blocks)
@@ -125,9 +137,10 @@ def crosstab_long(df: DataFrame, r: str, c: str, normalize: str | None = None, n
     cells = df.dropna(subset=[r, c]).groupBy(r, c).agg(F.count(F.lit(1)).alias(name))
     if normalize is None:
         return cells
-    part = {"index": [r], "columns": [c], "all": []}[normalize]
-    w = Window.partitionBy(*part) if part else Window.partitionBy(F.lit(0))
-    return cells.withColumn("share", F.col(name) / F.sum(name).over(w))
+    if normalize == "all":
+        total = cells.agg(F.sum(name).alias("_total"))
+        return attach_scalar(cells, total).withColumn("share", F.col(name) / F.col("_total")).drop("_total")
+    return cells.withColumn("share", F.col(name) / F.sum(name).over(Window.partitionBy({"index": r, "columns": c}[normalize])))
 
 
 def crosstab_margins(df: DataFrame, r: str, c: str, label: str = "All", name: str = "n") -> DataFrame:
@@ -205,21 +218,46 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
             .drop("_lo", "_hi"))
 
 
-def group_trend(df: DataFrame, key, date: str, value: str) -> DataFrame:
-    """Least-squares line of value on day number per group."""
+def histogram_auto(df: DataFrame, value: str, n_blocks: int | None = None) -> DataFrame:
+    """A27 with bins chosen by the data: the narrower of the Freedman-Diaconis
+    width (2 IQR / n^(1/3)) and Sturges' (range / (log2 n + 1)), the latter
+    alone without spread between the quartiles; one bin without any spread.
+    Columns bin, count, bin_lo, n_bins; empty bins are left out."""
+    x = df.select(F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    facts = attach_scalar(x.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("_v").alias("_n")), quantiles(x, "_v", [0.25, 0.75], n_blocks=n_blocks))
+    spread = F.col("_hi") - F.col("_lo")
+    fd = 2 * (F.col("q75") - F.col("q25")) / F.pow(F.col("_n").cast("double"), F.lit(1 / 3))
+    sturges = spread / (F.log2(F.col("_n").cast("double")) + 1)
+    width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
+    facts = facts.select("_lo", "_hi", F.when(spread > 0, F.ceil(spread / width)).otherwise(1).cast("long").alias("n_bins"))
+    x = attach_scalar(x, facts)
+    at = F.when(spread > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / spread * F.col("n_bins")), F.col("n_bins") - 1)).otherwise(0)
+    out = x.groupBy(at.cast("long").alias("bin"), "_lo", "_hi", "n_bins").agg(F.count(F.lit(1)).alias("count"))
+    return out.select("bin", "count", (F.col("_lo") + spread * F.col("bin") / F.col("n_bins")).alias("bin_lo"), "n_bins")
+
+
+def group_trend(df: DataFrame, key, date: str, value: str, min_n: int = 5) -> DataFrame:
+    """Least-squares line of value on day number per group;
+    groups of fewer than ``min_n`` values have no line."""
     x = F.unix_date(F.to_date(date)).cast("double")
     y = F.col(value).cast("double")
-    return df.groupBy(*_l(key)).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
+    line = lambda v: F.when(F.count(y) >= min_n, v)
+    return df.groupBy(*_l(key)).agg(line(F.regr_slope(y, x)).alias("slope"), line(F.regr_intercept(y, x)).alias("intercept"),
                                     F.count(y).alias("n"))
 
 
-def summary_with_without(df: DataFrame, value: str, outlier: Column) -> DataFrame:
-    """Mean / std with and without flagged rows, one pass."""
+def summary_with_without(df: DataFrame, value: str, outlier: Column, n_blocks: int | None = None) -> DataFrame:
+    """Mean / median / std with and without flagged rows; both medians
+    come from one table of value counts."""
     v = F.col(value)
     kept = F.when(~outlier, v)
-    return df.agg(F.avg(v).alias("mean_all"), F.stddev_samp(v).alias("std_all"),
-                  F.avg(kept).alias("mean_without"), F.stddev_samp(kept).alias("std_without"),
-                  F.count_if(outlier).alias("n_outliers"))
+    both = df.select(F.explode(F.array(F.struct(F.lit("all").alias("side"), v.alias("v")), F.struct(F.lit("without").alias("side"), kept.alias("v")))).alias("_s"))
+    med = median(both.select("_s.*"), "v", ["side"], n_blocks=n_blocks)
+    med = med.agg(*[F.max(F.when(F.col("side") == s, F.col("median"))).alias(f"median_{s}") for s in ("all", "without")])
+    one = df.agg(F.avg(v).alias("mean_all"), F.stddev_samp(v).alias("std_all"),
+                 F.avg(kept).alias("mean_without"), F.stddev_samp(kept).alias("std_without"),
+                 F.count_if(outlier).alias("n_outliers"))
+    return attach_scalar(one, med)
 
 
 def null_profile(df: DataFrame) -> DataFrame:

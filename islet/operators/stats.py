@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from islet.operators.joins import attach_scalar
@@ -106,18 +106,48 @@ def chi2_cells(df: DataFrame, r: str, c: str) -> DataFrame:
 def chi2(df: DataFrame, r: str, c: str) -> DataFrame:
     """M3: one row: chi-square statistic of independence (``chi2``), the same
     with Yates' continuity correction where the source applies it, at dof 1
-    (``chi2_corrected``, else equal), degrees of freedom and n.
+    (``chi2_corrected``, else equal), degrees of freedom, n, and the p-value
+    ``p`` of the corrected statistic (NULL without a degree of freedom).
 
     Absent cells add e each to the statistic and all e sum to n, so it is
     sum(o^2 / e) - n over the observed cells alone.  In a 2 x 2 table
     |o - e| is the same in all cells, so the correction is one factor."""
     x = _cells(df, r, c).withColumn("_e", F.col("_rt") * F.col("_ct") / F.col("_n"))
     d = F.col("_d")
-    return (x.agg((F.sum(F.col("observed") * F.col("observed") / F.col("_e")) - F.sum("observed")).alias("chi2"),
+    one = (x.agg((F.sum(F.col("observed") * F.col("observed") / F.col("_e")) - F.sum("observed")).alias("chi2"),
                   ((F.countDistinct(r) - 1) * (F.countDistinct(c) - 1)).alias("dof"),
                   F.sum("observed").alias("n"), F.max(F.abs(F.col("observed") - F.col("_e"))).alias("_d"))
             .select("chi2", F.when((F.col("dof") == 1) & (d > 0), F.col("chi2") * F.pow((d - F.least(F.lit(0.5), d)) / d, F.lit(2)))
                     .otherwise(F.col("chi2")).alias("chi2_corrected"), "dof", "n"))
+    return one.withColumn("p", F.when(F.col("dof") > 0, chi2_upper(F.col("chi2_corrected"), F.col("dof"))))
+
+
+def erfc(z: Column) -> Column:
+    """The complementary error function of z >= 0: a series below 3, a
+    continued fraction of 60 steps from there on."""
+    square = z * z
+    grow = F.aggregate(F.sequence(F.lit(1), F.lit(60)), F.struct(z.alias("term"), z.alias("sum")),
+                       lambda a, k: F.struct((a["term"] * 2 * square / (2 * k + 1)).alias("term"), (a["sum"] + a["term"] * 2 * square / (2 * k + 1)).alias("sum")), lambda a: a["sum"])
+    tail = F.aggregate(F.sequence(F.lit(60), F.lit(1)), F.lit(0.0), lambda t, k: k / 2 / (z + t))
+    root = F.lit(math.sqrt(math.pi))
+    return F.when(z < 3, 1 - 2 / root * F.exp(-square) * grow).otherwise(F.exp(-square) / root / (z + tail))
+
+
+def chi2_upper(stat: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution as a column: Q(a, x) with
+    x = stat / 2 is stepped from a = 1 (even dof) or 1/2 (odd) up to dof / 2,
+    a positive term a step, in logs so that no step underflows."""
+    x, odd = F.greatest(stat, F.lit(0.0)) / 2, dof % 2 == 1
+    first = F.when(odd, F.lit(0.5)).otherwise(1.0)
+    start = F.when(odd, erfc(F.sqrt(x))).otherwise(F.exp(-x))
+    log_term = first * F.log(x) - x - F.when(odd, F.lit(math.lgamma(1.5))).otherwise(0.0)
+    steps = F.floor((dof - 1) / 2).cast("int")
+
+    def step(acc, k):
+        return F.struct((acc["log"] + F.log(x) - F.log(first + k)).alias("log"), (acc["sum"] + F.exp(acc["log"])).alias("sum"))
+
+    more = F.aggregate(F.sequence(F.lit(1), steps), F.struct(log_term.alias("log"), F.lit(0.0).alias("sum")), step, lambda a: a["sum"])
+    return F.when(x <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), start + F.when(steps > 0, more).otherwise(0.0)))
 
 
 def chi2_pvalue(stat: float, dof: int) -> float:
@@ -234,13 +264,17 @@ def bias_std(df: DataFrame, resid: str, by=None) -> DataFrame:
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], method: str = "spearman") -> DataFrame:
     """M1 / M2 matrix form: Pearson or Spearman correlation of every column
-    pair, long (x, y, r), over rows where all columns are present.  Uses
-    MLlib's distributed ``Correlation`` (Spearman = Pearson of average ranks,
-    ties averaged like pandas)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+    pair, long (x, y, r), over rows where all columns are present.  Spearman
+    is Pearson of average ranks, ties averaged like pandas: one block table
+    for each column, and one aggregate for all pairs.  A column without
+    spread has no r."""
     base = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(base).select("_v")
-    m = Correlation.corr(vec, "_v", method).first()[0].toArray()  # p x p, bounded by the column count
-    rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "x string, y string, r double")
+    names = list(cols)
+    if method == "spearman":
+        names = [f"_r{i}" for i in range(len(cols))]
+        for c, n in zip(cols, names):
+            base = avg_rank(base, c, [], n)
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    one = base.agg(*[F.corr(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs])
+    each = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("r")) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return one.select(F.inline(F.array(*each)))

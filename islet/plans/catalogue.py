@@ -16,6 +16,8 @@ from islet.functions import scalars as S
 from islet.operators import cells, clean, joins, models, monitor, ordered, profile, ridge, rollup, sessions, stats, validate
 from islet.operators.features import one_hot
 from islet.plans import views
+from islet.session import shared_path
+from islet.sources import io
 
 R = 6  # decimals kept on computed doubles
 
@@ -358,7 +360,7 @@ def q_spearman(spark, sf):
 
 def q_chi2_independence(spark, sf):
     c = stats.chi2(_events_hour(spark, sf), "event_type", "day_quarter")
-    return c.withColumn("chi2", r6(F.col("chi2"))).drop("chi2_corrected")
+    return c.select(r6(F.col("chi2")).alias("chi2"), "dof", "n")
 
 
 def q_chi2_yates(spark, sf):
@@ -650,10 +652,53 @@ def q_group_means(spark, sf):
 
 def q_summary_with_without(spark, sf):
     s = profile.summary_with_without(T(spark, sf, "orders"), "o_totalprice", F.col("o_totalprice") > 400000)
-    return s.select(*[r6(F.col(c)).alias(c) for c in ("mean_all", "std_all", "mean_without", "std_without")],
+    return s.select(*[r6(F.col(c)).alias(c) for c in ("mean_all", "median_all", "std_all", "mean_without", "median_without", "std_without")],
                     "n_outliers")
 
 
+def q_describe_columns(spark, sf):
+    d = profile.describe_many(T(spark, sf, "lineitem"), DESCRIBE_COLS, [0.1, 0.25, 0.5, 0.9])
+    return d.select("column", "count", *[r6(F.col(c)).alias(c) for c in d.columns if c not in ("column", "count")])
+
+
+DESCRIBE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def q_histogram_auto(spark, sf):
+    h = profile.histogram_auto(T(spark, sf, "orders"), "o_totalprice")
+    return h.withColumn("bin_lo", r6(F.col("bin_lo")))
+
+
+def q_crosstab_all(spark, sf):
+    c = profile.crosstab_long(T(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", "all")
+    return c.withColumn("share", r6(F.col("share")))
+
+
+def q_chi2_p(spark, sf):
+    c = stats.chi2(_events_hour(spark, sf), "event_type", "day_quarter")
+    return c.select("dof", F.round("p", 9).alias("p"))
+
+
+STATUS_LABELS = {"O": "open", "F": "filled"}
+
+
+def q_relabel(spark, sf):
+    o = clean.relabel(T(spark, sf, "orders"), "o_orderstatus", STATUS_LABELS, "label")
+    return o.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_run_history(spark, sf):
+    """Two runs, one of them logged twice, read back wide."""
+    from uuid import uuid4
+
+    path = shared_path(spark, f"runs-{uuid4().hex}")
+    o = T(spark, sf, "orders")
+    steps = o.groupBy(F.year("o_orderdate").alias("step")).agg(F.avg("o_totalprice").alias("value")).select(F.lit("mean_price").alias("key"), "step", r6(F.col("value")).alias("value"))
+    for run, alpha in (("r1", 0.1), ("r2", 0.5), ("r1", 0.9)):
+        io.append_run(spark, path, "orders", run, f"alpha {alpha}", {"alpha": alpha}, {"n_folds": 3}, steps)
+    return io.read_runs(spark, path, ["alpha"], ["n_folds", "mean_price"])
+
+
 def q_sparse_levels(spark, sf):
     return stats.sparse_levels(T(spark, sf, "part"), "p_brand", k=50)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 from islet.functions.scalars import DAY_QUARTER_EDGES, DAY_QUARTER_LABELS, LENGTH_TIERS, TIER_ORDINAL
-from islet.plans.catalogue import (SPEARMAN_COLS, TWO_ALPHAS, CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_TYPES, M1, M2,
+from islet.plans.catalogue import (SPEARMAN_COLS, TWO_ALPHAS, DESCRIBE_COLS, STATUS_LABELS, CUTOFF, EVENT_GAP, EVENT_PHASES, EVENT_TYPES, M1, M2,
                                    PART_CLASSES, PART_NAME_PATTERNS, PRIORITY_ORDER, SHIFT_DATE)
 from islet.operators.rollup import snake
 
@@ -424,7 +424,22 @@ SELECT * FROM (VALUES
   ('out_of_order', (SELECT COUNT(*) FROM o WHERE d < p))) AS t("check", n)""",
     "group_means": """SELECT l_returnflag, ROUND(AVG(l_quantity), 6) AS mean_l_quantity, ROUND(AVG(l_discount), 6) AS mean_l_discount,
   ROUND(AVG(l_tax), 6) AS mean_l_tax FROM lineitem GROUP BY l_returnflag""",
-    "summary_with_without": """SELECT ROUND(AVG(o_totalprice), 6) AS mean_all, ROUND(STDDEV_SAMP(o_totalprice), 6) AS std_all,
+    "describe_columns": " UNION ALL ".join(f"""SELECT '{c}' AS "column", COUNT({c}) AS count, ROUND(AVG({c}), 6) AS mean, ROUND(STDDEV_SAMP({c}), 6) AS std, ROUND(CAST(MIN({c}) AS DOUBLE), 6) AS min,
+  {", ".join(f"ROUND(quantile_cont(CAST({c} AS DOUBLE), {q}), 6) AS q{int(q * 100)}" for q in (0.1, 0.25, 0.5, 0.9))}, ROUND(CAST(MAX({c}) AS DOUBLE), 6) AS max FROM lineitem""" for c in DESCRIBE_COLS),
+    "histogram_auto": """WITH s AS (SELECT CAST(o_totalprice AS DOUBLE) AS v FROM orders WHERE o_totalprice IS NOT NULL),
+f AS (SELECT MIN(v) AS lo, MAX(v) AS hi, COUNT(*) AS n, 2 * (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) / POWER(COUNT(*), 1.0 / 3) AS fd, (MAX(v) - MIN(v)) / (LOG2(COUNT(*)) + 1) AS st FROM s),
+b AS (SELECT lo, hi, CAST(CASE WHEN hi > lo THEN CEIL((hi - lo) / CASE WHEN fd > 0 THEN LEAST(fd, st) ELSE st END) ELSE 1 END AS BIGINT) AS n_bins FROM f),
+x AS (SELECT CAST(CASE WHEN hi > lo THEN LEAST(FLOOR((v - lo) / (hi - lo) * n_bins), n_bins - 1) ELSE 0 END AS BIGINT) AS bin, lo, hi, n_bins FROM s, b)
+SELECT bin, COUNT(*) AS count, ROUND(lo + (hi - lo) * bin / n_bins, 6) AS bin_lo, n_bins FROM x GROUP BY bin, lo, hi, n_bins""",
+    "crosstab_all": """WITH c AS (SELECT o_orderpriority, o_orderstatus, COUNT(*) AS n FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderstatus IS NOT NULL GROUP BY ALL)
+SELECT o_orderpriority, o_orderstatus, n, ROUND(n / SUM(n) OVER (), 6) AS share FROM c""",
+    "chi2_p": f"""WITH {CHI_CELLS}, x AS (SELECT SUM((observed - expected) * (observed - expected) / expected) / 2 AS x,
+  CAST((COUNT(DISTINCT event_type) - 1) * (COUNT(DISTINCT day_quarter) - 1) AS BIGINT) AS dof FROM ex)
+SELECT dof, ROUND(list_sum(list_transform(range(dof // 2), lambda k: EXP(-x + k * LN(x) - LGAMMA(k + 1)))), 9) AS p FROM x""",
+    "relabel": f"""SELECT CASE {" ".join(f"WHEN o_orderstatus = '{k}' THEN '{v}'" for k, v in STATUS_LABELS.items())} ELSE o_orderstatus END AS label, COUNT(*) AS n FROM orders GROUP BY ALL""",
+    "run_history": """WITH m AS (SELECT ROUND(AVG(o_totalprice), 6) AS v FROM orders WHERE year(o_orderdate) = (SELECT MAX(year(o_orderdate)) FROM orders))
+SELECT 'orders' AS experiment, r AS run_id, 'alpha ' || a AS run_name, a AS alpha, CAST(3 AS DOUBLE) AS n_folds, CAST(v AS DOUBLE) AS mean_price FROM m, (VALUES ('r1', '0.9'), ('r2', '0.5')) t(r, a)""",
+    "summary_with_without": """SELECT ROUND(median(o_totalprice), 6) AS median_all, ROUND(median(o_totalprice) FILTER (WHERE NOT (o_totalprice > 400000)), 6) AS median_without, ROUND(AVG(o_totalprice), 6) AS mean_all, ROUND(STDDEV_SAMP(o_totalprice), 6) AS std_all,
   ROUND(AVG(o_totalprice) FILTER (WHERE NOT (o_totalprice > 400000)), 6) AS mean_without,
   ROUND(STDDEV_SAMP(o_totalprice) FILTER (WHERE NOT (o_totalprice > 400000)), 6) AS std_without,
   COUNT(*) FILTER (WHERE o_totalprice > 400000) AS n_outliers FROM orders""",

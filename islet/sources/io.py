@@ -199,8 +199,10 @@ def check_round_trip(spark: SparkSession, model: Mapping, path: str, df: DataFra
 def append_run(spark: SparkSession, path: str, experiment: str, run_id: str, run_name: str,
                params: Mapping | None = None, metrics: Mapping | None = None,
                step_metrics: DataFrame | None = None) -> None:
-    """Append params, scalar metrics and step metrics (a DataFrame with
-    ``key, step, value``) to a long run table partitioned by experiment."""
+    """Params, scalar metrics and step metrics (a DataFrame with ``key,
+    step, value``) of a run, in a long run table partitioned by experiment and
+    run.  The run id is its identity: a repeated run replaces itself, other
+    runs stay."""
     ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = [(experiment, run_id, run_name, "param", k, 0, str(v), ts) for k, v in (params or {}).items()]
     rows += [(experiment, run_id, run_name, "metric", k, 0, str(v), ts) for k, v in (metrics or {}).items()]
@@ -211,7 +213,26 @@ def append_run(spark: SparkSession, path: str, experiment: str, run_id: str, run
             F.lit(experiment).alias("experiment"), F.lit(run_id).alias("run_id"), F.lit(run_name).alias("run_name"),
             F.lit("metric").alias("kind"), F.col("key"), F.col("step").cast("int"), F.col("value").cast("string"),
             F.lit(ts).cast("timestamp_ntz").alias("ts")))
-    out.write.mode("append").partitionBy("experiment").parquet(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("experiment", "run_id").parquet(path)
+
+
+RUN_SCHEMA = "run_name string, kind string, key string, step int, value string, ts timestamp_ntz, experiment string, run_id string"
+
+
+def read_runs(spark: SparkSession, path: str, params: Sequence[str] = (), metrics: Sequence[str] = ()) -> DataFrame:
+    """S12, read side: a row for each run with its named params (text) and the
+    last value, by step, of its named metrics (double)."""
+    rows = spark.read.schema(RUN_SCHEMA).parquet(path)
+    value = lambda kind, key: F.when((F.col("kind") == kind) & (F.col("key") == key), F.col("value"))
+    cols = [F.max(value("param", k)).alias(k) for k in params]
+    cols += [F.max_by(value("metric", k).cast("double"), F.when(value("metric", k).isNotNull(), F.struct("step", "ts"))).alias(k) for k in metrics]
+    return rows.groupBy("experiment", "run_id").agg(F.max("run_name").alias("run_name"), *cols)
+
+
+def metric_series(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """S12, read side: (experiment, run_id, step, value) of one metric."""
+    rows = spark.read.schema(RUN_SCHEMA).parquet(path)
+    return rows.filter((F.col("kind") == "metric") & (F.col("key") == key)).select("experiment", "run_id", "step", F.col("value").cast("double").alias("value"))
 
 
 def score_models(spark: SparkSession, df: DataFrame, model_paths: Mapping[str, str], label: str) -> tuple[DataFrame, list[str]]:
