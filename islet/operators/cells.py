@@ -13,16 +13,20 @@ the number of rows; continuous features belong in ``models.tune_trees``.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from itertools import product
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from islet.operators.ordered import with_global_index
 from islet.operators.validate import indexed, inner_fold_bounds, rolling_fold_bounds
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the fits travel with their jobs
+
 #: The source's search grids (a depth of 0 is an open depth).
 FOREST_GRID = {"n_trees": [100, 200], "depth": [2, 3, 5, 0], "min_leaf": [2, 4, 6]}
 BOOSTED_GRID = {"rounds": [50, 100, 200], "depth": [2, 3, 4], "rate": [0.05, 0.1, 0.2], "subsample": [0.7, 1.0]}
@@ -241,15 +245,14 @@ def search(df: DataFrame, order: Sequence[str], features: Sequence[str], label:
             bag = replicate_cube(rows, features, label, order, replicates, share).withColumn("sum_yy", F.lit(0.0))
             cells = cells.unionByName(bag.select(*names).withColumn("task", F.explode(own)))
     features, n_segments = list(features), len(cuts)
+    parts = [[(part, a, b) for part, (a, b) in [*enumerate(inner_fold_bounds(lo, k)), (-1, (lo, hi))] if 0 < a < b] for lo, hi in outer]
 
     def fit(frame):
         import pandas as pd
 
         o, depth, share = tasks[int(frame["task"].iloc[0])]
         held = _Held(frame, features, n_segments, replicates)
-        lo, hi = outer[o]
-        out = []
-        splits = [(part, a, b) for part, (a, b) in [*enumerate(inner_fold_bounds(lo, k)), (-1, (lo, hi))] if 0 < a < b]
+        out, splits = [], parts[o]
         ends = [seg[a] for _, a, _ in splits]
         points = _forest_points(held, grid, depth, ends) if kind == "forest" else _boosted_points(held, grid, depth, share, ends)
         for point, i, pred in points if splits else ():
