@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import mix64, stage
+from islet.llm.common import mix64, share, stage
 
 MAX_BITS = 1 << 33  # 1 GB a level: a list of some 10**9 keys
 
@@ -90,11 +90,12 @@ def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
 
 
 def _passing(keys: DataFrame, level: Level) -> DataFrame:
-    shared = keys.sparkSession.sparkContext.broadcast(level)
+    shared = share(keys.sparkSession, level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared()
         for batch in batches:
-            yield batch.filter(pa.array(shared.value.has(_uint(batch, "a"), _uint(batch, "b"))))
+            yield batch.filter(pa.array(own.has(_uint(batch, "a"), _uint(batch, "b"))))
 
     return keys.mapInArrow(run, keys.schema)
 
@@ -164,18 +165,19 @@ def judge(urls: DataFrame, rules: list[tuple[str, str, str]], url: str = "url")
     universe = stage(universe.distinct(), "keys")
     chosen = {h.lower() + p: verdict for verdict, h, p in rules}
     built = [(v, build(spark.createDataFrame([(k,) for k, x in chosen.items() if x == v], "key string"), universe)) for v in sorted(set(chosen.values()))]
-    shared = spark.sparkContext.broadcast(built)
+    shared = share(spark, built)
     rows = rows.withColumn("a", F.transform("keys", lambda k: F.xxhash64(k))).withColumn("b", F.transform("keys", lambda k: F.xxhash64(k, F.lit(1))))
     out = rows.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit("")).select("row", "host", "path", "rule", "verdict")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = shared()
         for batch in batches:
             keys = batch["keys"].flatten()
             n = batch["keys"].value_lengths().to_numpy(zero_copy_only=False)
             of = np.repeat(np.arange(batch.num_rows), n)
             a, b = (batch[c].flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for c in "ab")
             rule, verdict, best = [None] * batch.num_rows, ["allow"] * batch.num_rows, np.zeros(batch.num_rows, np.int64) - 1
-            for v, cascade in shared.value:
+            for v, cascade in lists:
                 for i in np.flatnonzero(cascade.has(a, b)):
                     key = keys[i].as_py()
                     if len(key) > best[of[i]]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import text_chunks, words
+from islet.llm.common import share, text_chunks, words
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -157,14 +157,14 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int
     out = out.withColumns({"n_words": F.lit(0).cast("long"), "hits": F.expr("cast(null as array<bigint>)"), "n_hit": F.lit(0).cast("long"), "items": F.expr("cast(array() as array<string>)"), "matches": F.expr("cast(array() as array<struct<item_id: string, item_word: bigint, word: bigint, n_words: bigint>>)")})
     for b in range(blocks):
         rows = [(r[0], r[1]) for r in items.filter(part == b).collect()]  # at most BLOCK_WORDS words
-        suffixes = spark.sparkContext.broadcast(Suffixes(rows, window))
+        suffixes = share(spark, Suffixes(rows, window))
         out = out.mapInArrow(_pass(suffixes, b == blocks - 1, b > 0), out.schema)
     return out.select("row", "n_words", "n_hit", F.array_sort("items").alias("items"), "matches")
 
 
 def _pass(suffixes, last: bool, more: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = suffixes.value
+        s = suffixes()
         for batch in batches:
             for lo, hi, data, offs in text_chunks(batch["text"]):
                 starts, _, h = words(data, offs, APART)
