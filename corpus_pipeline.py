@@ -56,10 +56,21 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix, with ``taken``: how many of their words (all,
-    repeatedly or in part) it takes."""
+    repeatedly or in part) it takes.  Columns of docs that have the name of one
+    of the plan's (in any case) get ``doc_`` before it, as often as needed."""
     drop_staged(spark)
     plan = mixing.mix(docs, docs.columns)
-    return plan.filter("taken > 0").select("row.*", "size", "source_size", "target", "taken")
+    own = ["size", "source_size", "target", "taken"]
+    used = {c.lower() for c in docs.columns} | set(own)
+    names = []
+    for c in docs.columns:
+        if c.lower() in own:
+            while c.lower() in used:
+                c = f"doc_{c}"
+            used.add(c.lower())
+        names.append(c)
+    row = [F.col(f"row.`{c}`").alias(new) for c, new in zip(docs.columns, names)]
+    return plan.filter("taken > 0").select(*row, *own)
 
 
 STAGES = [

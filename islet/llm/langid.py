@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import text_chunks
+from islet.llm.common import share, text_chunks
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15  # of hashed trigrams
@@ -60,7 +60,7 @@ def _script_table() -> np.ndarray:
         for second in range(0x80, 0xC0):
             lo = ((lead & 31) << 6) | (second & 63) if lead < 0xE0 else ((lead & 15) << 12) | ((second & 63) << 6) if lead < 0xF0 else 0x10000
             known = [i + 1 for i, ranges in enumerate(SCRIPTS.values()) for a, b in ranges if a <= lo + (0 if lead < 0xE0 else 63) and lo <= b]
-            plain = lead == 0xC2 or 0x2000 <= lo < 0x2E00 or 0x3000 <= lo < 0x3040  # signs and punctuation
+            plain = lead == 0xC2 or 0x2000 <= lo < 0x2C00 or 0x2E00 <= lo < 0x2E80 or 0x3000 <= lo < 0x3040  # signs and punctuation
             out[(lead << 8) | second] = known[0] if known else COMMON if plain else OTHER
     return out
 
@@ -203,14 +203,15 @@ def label(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ``row`` is a struct of all columns of docs.  lang_pred labels most letters
     (the first in order of langs, if several), score is its share of the
     letters, ``spans`` the labelled runs of words (start, end: code points of
-    the lower-cased text).  Texts that are null or without letters, or any
+    the lower-cased text).  If all letters are among signs (such as letterlike
+    symbols), lang_pred is the first of langs and score 0.  Texts that are null or without letters, or any
     text under a model without langs, are ``und`` with score 0 and no spans.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     rows = docs.select(F.struct("*").alias("row"), F.when(F.col(text).rlike(r"\p{L}"), F.lower(text)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = shared()
         for batch in batches:
             for lo, hi, data, offs in text_chunks(batch["text"], 1 << 20):
                 pred, score, spans = [UNKNOWN] * (hi - lo), np.zeros(hi - lo), [[] for _ in range(hi - lo)]
@@ -225,7 +226,7 @@ def label(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     some = np.flatnonzero(total)
                     score[some] = held.max(1)[some] / total[some]
                     best = held.argmax(1)
-                    for d in some:
+                    for d in np.flatnonzero(batch["text"][lo:hi].is_valid().to_numpy(zero_copy_only=False)):
                         pred[d] = m.langs[best[d]]
                     chars = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
                     new = np.ones(len(labels), bool)
