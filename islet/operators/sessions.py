@@ -9,11 +9,10 @@ above ``gap``.  Overlaps give negative gaps and merge.
 Scale: partitioning the window by key alone puts a hot key (say a third of
 all rows) into one task.  Rows are range-partitioned on ``(keys, start,
 tie)`` into balanced blocks instead, so a hot key spans many blocks and a
-block may hold many small keys.  Two carries fix the block edges, both
-computed on one-row-per-block summaries (broadcast):
-
-* the previous row's end for a block's first row (when the key continues);
-* the number of islands the key already opened in earlier blocks.
+block may hold many small keys.  One carry over one-row-per-block summaries
+(broadcast) fixes the block edges: the previous row's end tells whether a
+block's first row opens an island when its key goes on, and so how many
+islands that key opened in earlier blocks.
 """
 
 from __future__ import annotations
@@ -52,38 +51,46 @@ def with_islands(df: DataFrame, keys, start: str, end: str | None = None,
     b = range_blocks(df, order, n_blocks)
     kk = F.struct(*[F.col(k) for k in keys])
 
-    # carry 1: the last row of the previous non-empty block
-    last = (b.groupBy(BKT, BLK).agg(F.max_by(F.struct(kk.alias("k"), F.col(end).alias("e")), F.col(POS)).alias("_last"))
-            .drop(BKT))
-    c1 = last.select(BLK, F.col("_last.k").alias("_own_k"),
-                     F.lag("_last").over(Window.orderBy(BLK)).alias("_prev"))
-    rows = b.join(F.broadcast(c1), BLK, "left")
-
+    # in a block: its rows are sorted by key, so islands of a key are counted
+    # from the key's first row by running sums over one sort
     wb = Window.partitionBy(BKT, BLK).orderBy(POS)
-    prev_end = (F.when(F.col(POS) == 0, F.when(kk.eqNullSafe(F.col("_prev.k")), F.col("_prev.e")))
-                .otherwise(F.when(kk.eqNullSafe(F.lag(kk).over(wb)), F.lag(F.col(end)).over(wb))))
-    rows = rows.withColumn(gap_col, minute_boundaries(prev_end, F.col(start)))
-    new = F.when(F.col(gap_col).isNull() | (F.col(gap_col) > F.lit(gap)), 1).otherwise(0)
-    rows = rows.withColumn("_new", new)
-    wk = Window.partitionBy(BKT, BLK, *keys).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_local", F.sum("_new").over(wk))
-
-    # carry 2: islands the block's first key already opened in earlier
-    # blocks.  Blocks with the same last key are neighbours, so the count
-    # restarts where the last key changes.
-    opened = (rows.groupBy(BKT, BLK).agg(F.first("_own_k").alias("_own_k"),
-                                         F.sum(F.when(kk.eqNullSafe(F.col("_own_k")), F.col("_new"))).alias("_fl"))
-              .drop(BKT))
+    upto = wb.rowsBetween(Window.unboundedPreceding, 0)
+    same = kk.eqNullSafe(F.lag(kk).over(wb))
+    rows = b.withColumn("_same", same).withColumn(gap_col, minute_boundaries(F.when(same, F.lag(F.col(end)).over(wb)), F.col(start)))
+    # whether a block's first row opens an island is left to the carry
+    rows = rows.withColumn("_new", F.when(F.col(POS) == 0, 0).when(_opens(F.col(gap_col), gap), 1).otherwise(0))
+    rows = rows.withColumn("_run", F.sum("_new").over(upto))
+    rows = rows.withColumn("_local", F.col("_run") - F.max(F.when((F.col(POS) == 0) | ~F.col("_same"), F.col("_run") - F.col("_new"))).over(upto))
+
+    # the carry: one row a block tells its first key and start, its last key
+    # and end, and the islands its last key opened after the block's first row
+    edges = rows.groupBy(BKT, BLK).agg(
+        F.min_by(F.struct(kk.alias("k"), F.col(start).alias("s")), F.col(POS)).alias("_first"),
+        F.max_by(F.struct(kk.alias("k"), F.col(end).alias("e"), F.col("_local").alias("n")), F.col(POS)).alias("_last")).drop(BKT)
     wt = Window.orderBy(BLK)
-    upto = wt.rowsBetween(Window.unboundedPreceding, 0)
-    s2 = opened.select(BLK, "_own_k", "_fl", F.lag("_own_k").over(wt).alias("_ck"), F.sum("_fl").over(upto).alias("_run"))
-    restart = F.when(~F.col("_own_k").eqNullSafe(F.col("_ck")), F.col("_run") - F.col("_fl"))
-    s2 = s2.withColumn("_cum", F.col("_run") - F.max(restart).over(upto))
-    c2 = s2.select(BLK, "_ck", F.lag("_cum").over(wt).alias("_coff"))
-    rows = rows.join(F.broadcast(c2), BLK, "left")
-    rows = rows.withColumn(island, (F.col("_local") + F.when(kk.eqNullSafe(F.col("_ck")), F.col("_coff"))
-                                    .otherwise(F.lit(0))).cast("long"))
-    return rows.drop(BLK, POS, BKT, "_own_k", "_prev", "_new", "_local", "_ck", "_coff")
+    goes_on = F.col("_first.k").eqNullSafe(F.col("_prev.k"))
+    edges = edges.withColumn("_prev", F.lag("_last").over(wt)).withColumn("_on", F.coalesce(goes_on, F.lit(False)))
+    edges = edges.withColumn("_gap", minute_boundaries(F.when(F.col("_on"), F.col("_prev.e")), F.col("_first.s")))
+    edges = edges.withColumn("_opens", F.when(_opens(F.col("_gap"), gap), 1).otherwise(0))
+    # islands of the last key up to the block's end; blocks with the same last
+    # key are neighbours, so the count restarts where that key changes
+    edges = edges.withColumn("_n", F.col("_last.n") + F.when(F.col("_first.k").eqNullSafe(F.col("_last.k")), F.col("_opens")).otherwise(0))
+    edges = edges.withColumn("_sum", F.sum("_n").over(wt.rowsBetween(Window.unboundedPreceding, 0)))
+    restart = F.when(~F.col("_last.k").eqNullSafe(F.col("_prev.k")), F.col("_sum") - F.col("_n"))
+    edges = edges.withColumn("_cum", F.col("_sum") - F.max(restart).over(wt.rowsBetween(Window.unboundedPreceding, 0)))
+    carry = edges.select(BLK, F.col("_first.k").alias("_k"), F.col("_gap").alias("_first_gap"),
+                         (F.col("_opens") + F.when(F.col("_on"), F.lag("_cum").over(wt)).otherwise(0)).alias("_before"))
+
+    rows = rows.join(F.broadcast(carry), BLK, "left")
+    rows = rows.withColumn(gap_col, F.when(F.col(POS) == 0, F.col("_first_gap")).otherwise(F.col(gap_col)))
+    rows = rows.withColumn(island, (F.col("_local") + F.when(kk.eqNullSafe(F.col("_k")), F.col("_before")).otherwise(0)).cast("long"))
+    return rows.drop(BLK, POS, BKT, "_same", "_new", "_run", "_local", "_k", "_first_gap", "_before")
+
+
+def _opens(gap_col, gap: int):
+    """Whether a row opens an island: without a gap from the same key's row
+    before, or with a larger one."""
+    return gap_col.isNull() | (gap_col > F.lit(gap))
 
 
 def collapse(islands: DataFrame, keys, island: str = "island_id",
