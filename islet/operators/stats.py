@@ -196,6 +196,37 @@ def moments(df: DataFrame, value: str) -> DataFrame:
     return one.withColumn("jarque_bera", F.col("n") / 6.0 * (F.col("skewness") ** 2 + F.col("kurtosis") ** 2 / 4.0))
 
 
+def normal_cdf(z: Column) -> Column:
+    """The standard normal distribution function as a column."""
+    tail = erfc(F.abs(z) / math.sqrt(2.0)) / 2
+    return F.when(z > 0, 1 - tail).otherwise(tail)
+
+
+def normal_distance(df: DataFrame, value: str, n_blocks: int | None = None) -> DataFrame:
+    """M7: one row (n, mean, std, distance): the Kolmogorov-Smirnov distance
+    between the values and the normal distribution of their mean and sample
+    std.  NULL and NaN are left out; without spread the distance is NULL.
+
+    The empirical distribution is a running count over the different values:
+    they are counted inside the scan and cut into blocks, each block gives its
+    largest gap once it knows the rows before it, and the largest of these is
+    the distance."""
+    from islet.operators.ordered import BKT, BLK, POS, range_blocks
+    v = F.col(value).cast("double")
+    base = df.select(v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    b = range_blocks(base.groupBy("_v").agg(F.count(F.lit(1)).alias("_c")), ["_v"], n_blocks)
+    before = Window.orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    offs = (b.groupBy(BKT, BLK).agg(F.sum("_c").alias("_bc"))
+            .select(BLK, F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off")))
+    moments_ = base.agg(F.count("_v").alias("n"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"))
+    upto = Window.partitionBy(BKT, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    runs = b.join(F.broadcast(offs), BLK).select("_v", "_c", (F.col("_off") + F.sum("_c").over(upto)).alias("_end"))
+    at = attach_scalar(runs, moments_)
+    p = normal_cdf(F.when(F.col("std") > 0, (F.col("_v") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))))
+    gap = F.greatest(F.abs(F.col("_end") / F.col("n") - p), F.abs(p - (F.col("_end") - F.col("_c")) / F.col("n")))
+    return attach_scalar(moments_, at.filter("std > 0").agg(F.max(gap).alias("distance")))
+
+
 def _norm_ppf() -> callable:
     """Inverse standard normal CDF as a column expression (Acklam's rational
     approximation, |error| < 1.2e-9), so Q-Q points stay in the JVM."""

@@ -18,6 +18,7 @@ from islet.operators.features import one_hot
 from islet.plans import views
 from islet.session import shared_path
 from islet.sources import io
+from islet.sources.stages import Stages
 
 R = 6  # decimals kept on computed doubles
 
@@ -381,6 +382,11 @@ def q_normality(spark, sf):
     return m.select("n", *[r6(F.col(c)).alias(c) for c in ("mean", "skewness", "kurtosis", "jarque_bera")])
 
 
+def q_normality_distance(spark, sf):
+    m = stats.normal_distance(T(spark, sf, "orders"), "o_totalprice")
+    return m.select("n", *[r6(F.col(c)).alias(c) for c in ("mean", "std", "distance")])
+
+
 def q_qq_points(spark, sf):
     return stats.qq_points(T(spark, sf, "orders"), "o_totalprice", tie=["o_orderkey"])
 
@@ -834,6 +840,35 @@ def q_log_pending(spark, sf):
     return views.build_views(_raw_log(spark, sf), _seed(spark, sf), only=["fct_videos_pending"])["fct_videos_pending"]
 
 
+def q_log_dim_staged(spark, sf):
+    """The chain twice through one handle: the second build reads the stages
+    of the first."""
+    stages = Stages(spark)
+    for _ in range(2):
+        out = views.build_views(_raw_log(spark, sf), None, only=["dim_videos"], stages=stages)
+    if stages.reused != ["dim_videos"]:
+        raise RuntimeError(f"built again: {stages.written}")
+    return out["dim_videos"]
+
+
+def q_load_report(spark, sf):
+    """The raw log as CSV lines, some of them cut short and some with times
+    that are none, loaded with counts; accepted and rejected rows by reason."""
+    from uuid import uuid4
+
+    raw = _raw_log(spark, sf)
+    seq = F.col("_seq")
+    times = {c: F.when(seq % m == 1, F.lit("25:99:00 XM")).otherwise(F.col(c)) for c, m in (("time_start", 101), ("time_end", 103))}
+    fields = [F.coalesce(times.get(c, F.col(c)).cast("string"), F.lit("")) for c in io.RAW_LOG_SCHEMA.names]
+    line = F.when(seq % 97 == 1, F.concat_ws(",", *fields[:4])).otherwise(F.concat_ws(",", *fields))
+    to = shared_path(spark, f"load-{uuid4().hex}")
+    raw.select(line.alias("value")).write.text(f"{to}/csv")
+    load = io.load_log(spark, f"{to}/csv", f"{to}/table", header=False)
+    got = load.rows.select(F.lit("accepted").alias("reason"), "duration").unionByName(load.rejects.select("reason", F.lit(None).cast("long").alias("duration")))
+    seen = F.create_map(*[F.lit(x) for k in ("accepted", io.BAD_LINE, io.BAD_TIME) for x in (k, load.counts[k])])
+    return got.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("duration").alias("minutes")).withColumn("observed", F.try_element_at(seen, F.col("reason")).cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

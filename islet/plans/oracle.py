@@ -436,6 +436,12 @@ SELECT o_orderpriority, o_orderstatus, n, ROUND(n / SUM(n) OVER (), 6) AS share
     "chi2_p": f"""WITH {CHI_CELLS}, x AS (SELECT SUM((observed - expected) * (observed - expected) / expected) / 2 AS x,
   CAST((COUNT(DISTINCT event_type) - 1) * (COUNT(DISTINCT day_quarter) - 1) AS BIGINT) AS dof FROM ex)
 SELECT dof, ROUND(list_sum(list_transform(range(dof // 2), lambda k: EXP(-x + k * LN(x) - LGAMMA(k + 1)))), 9) AS p FROM x""",
+    "normality_distance": """WITH s AS (SELECT COUNT(o_totalprice) AS n, AVG(CAST(o_totalprice AS DOUBLE)) AS mean, STDDEV_SAMP(CAST(o_totalprice AS DOUBLE)) AS std FROM orders),
+v AS (SELECT CAST(o_totalprice AS DOUBLE) AS v, COUNT(*) AS c FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1),
+r AS (SELECT v, c, SUM(c) OVER (ORDER BY v) AS upto FROM v),
+z AS (SELECT c, upto, n, (v - mean) / std AS z FROM r, s),
+p AS (SELECT c, upto, n, 0.5 + SIGN(z) / 2 * CASE WHEN z = 0 THEN 0 ELSE list_sum(list_transform(range(200), lambda k: EXP((2 * k + 1) * LN(ABS(z) / SQRT(2.0)) - z * z / 2 - LGAMMA(k + 1.5)))) END AS p FROM z)
+SELECT MAX(s.n) AS n, ROUND(MAX(mean), 6) AS mean, ROUND(MAX(std), 6) AS std, ROUND(MAX(GREATEST(ABS(upto / p.n - p), ABS(p - (upto - c) / p.n))), 6) AS distance FROM p, s""",
     "relabel": f"""SELECT CASE {" ".join(f"WHEN o_orderstatus = '{k}' THEN '{v}'" for k, v in STATUS_LABELS.items())} ELSE o_orderstatus END AS label, COUNT(*) AS n FROM orders GROUP BY ALL""",
     "run_history": """WITH m AS (SELECT ROUND(AVG(o_totalprice), 6) AS v FROM orders WHERE year(o_orderdate) = (SELECT MAX(year(o_orderdate)) FROM orders))
 SELECT 'orders' AS experiment, r AS run_id, 'alpha ' || a AS run_name, a AS alpha, CAST(3 AS DOUBLE) AS n_folds, CAST(v AS DOUBLE) AS mean_price FROM m, (VALUES ('r1', '0.9'), ('r2', '0.5')) t(r, a)""",
@@ -529,6 +535,11 @@ seed AS (SELECT 'u' || CAST(c_custkey AS VARCHAR) AS media_title, (['Review', 'E
     CAST(([0, 0, 1, 2, 2, 2, NULL, NULL])[c_custkey % 8 + 1] AS INTEGER) AS length_tier_ord FROM customer)"""
 
 SQL["log_dim"] = f"WITH {LOG_DIM} SELECT * FROM dim"
+SQL["log_dim_staged"] = SQL["log_dim"]
+SQL["load_report"] = """WITH e AS (SELECT event_id, ts, CAST(FLOOR(value) AS BIGINT) AS dur FROM events),
+r AS (SELECT CASE WHEN event_id % 97 = 1 THEN 'line' WHEN event_id % 101 = 1 OR event_id % 103 = 1 THEN 'time' ELSE 'accepted' END AS reason,
+  CASE WHEN CAST(ts + to_minutes(dur) AS DATE) > CAST(ts AS DATE) THEN dur - 1440 ELSE dur END AS duration FROM e)
+SELECT reason, COUNT(*) AS n, CAST(SUM(duration) FILTER (WHERE reason = 'accepted') AS BIGINT) AS minutes, COUNT(*) AS observed FROM r GROUP BY reason"""
 SQL["log_ml"] = f"""WITH {LOG_DIM} SELECT d.*, l.* EXCLUDE (media_title, video_type, video_subtype)
 FROM dim d LEFT JOIN seed l ON d.media_title = l.media_title AND d.video_type = l.video_type AND d.video_subtype = l.video_subtype"""
 SQL["log_pending"] = f"""WITH {LOG_DIM} SELECT md5(l.media_title || '|' || l.video_type || '|' || l.video_subtype) AS video_id,

@@ -20,6 +20,7 @@ from islet.operators.features import feature_table, pending_table
 from islet.operators.rollup import entity_rollup
 from islet.operators.sessions import sessionize
 from islet.sources.io import materialize
+from islet.sources.stages import Stages
 
 VIEWS = ["stg_workload", "combined_sessions", "dim_videos", "dim_videos_ml", "fct_videos_pending"]
 DEPENDS = {"stg_workload": [], "combined_sessions": ["stg_workload"], "dim_videos": ["combined_sessions"],
@@ -42,10 +43,14 @@ def combined_sessions(stg: DataFrame, gap: int = 15, end: str = "max_end", n_blo
 
 
 def build_views(raw: DataFrame, seed: DataFrame, only: Sequence[str] | None = None, gap: int = 15,
-                n_blocks: int | None = None, materialize_stages: bool = True) -> dict[str, DataFrame]:
+                n_blocks: int | None = None, materialize_stages: bool = True, stages: Stages | None = None) -> dict[str, DataFrame]:
     """The five views; ``only`` limits which are built.
 
-    With ``materialize_stages`` the cleaned log (read twice: skew check and
+    ``stages`` holds ``stg_workload``, ``combined_sessions`` and ``dim_videos``
+    as its tables: those whose raw log is unchanged are read again, the others
+    replaced, and its owner deletes them.
+
+    Else, with ``materialize_stages``, the cleaned log (counted and read by the
     sessions) and ``dim_videos`` when both its readers are built are written
     once as tables in the shared checkpoint folder instead of being
     recomputed per reader (the source recomputes its view chain for every
@@ -62,13 +67,20 @@ def build_views(raw: DataFrame, seed: DataFrame, only: Sequence[str] | None = No
     for v in want:
         add(v)
     out: dict[str, DataFrame] = {}
-    if "stg_workload" in need:
+    if stages is not None:
+        steps = {"stg_workload": lambda: clean_log(raw, n_blocks=n_blocks),
+                 "combined_sessions": lambda: combined_sessions(out["stg_workload"], gap, n_blocks=n_blocks),
+                 "dim_videos": lambda: entity_rollup(out["combined_sessions"])}
+        for name in need & set(steps):  # a fresh stage needs none before it
+            if (name in want or {"dim_videos_ml", "fct_videos_pending"} & want and name == "dim_videos"):
+                _staged(name, steps, out, raw, (gap, n_blocks), stages)
+    elif "stg_workload" in need:
         out["stg_workload"] = clean_log(raw, n_blocks=n_blocks)
         if materialize_stages and "combined_sessions" in need:
             out["stg_workload"] = materialize(out["stg_workload"], "stg_workload")
-    if "combined_sessions" in need:
+    if stages is None and "combined_sessions" in need:
         out["combined_sessions"] = combined_sessions(out["stg_workload"], gap, n_blocks=n_blocks)
-    if "dim_videos" in need:
+    if stages is None and "dim_videos" in need:
         out["dim_videos"] = entity_rollup(out["combined_sessions"])
         if materialize_stages and {"dim_videos_ml", "fct_videos_pending"} <= need:
             out["dim_videos"] = materialize(out["dim_videos"], "dim_videos")
@@ -79,6 +91,18 @@ def build_views(raw: DataFrame, seed: DataFrame, only: Sequence[str] | None = No
     return {k: v for k, v in out.items() if k in want}
 
 
+def _staged(name: str, steps: dict, out: dict[str, DataFrame], raw: DataFrame, params: tuple, stages: Stages) -> DataFrame:
+    """A stage of the chain and, if it has to be built, those before it."""
+    def build():
+        for before in DEPENDS[name]:
+            _staged(before, steps, out, raw, params, stages)
+        return steps[name]()
+
+    if name not in out:
+        out[name] = stages.put(name, build, [raw], (name, *params))
+    return out[name]
+
+
 def register(views: dict[str, DataFrame]) -> None:
     for name, df in views.items():
         df.createOrReplaceTempView(name)

@@ -62,6 +62,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 SCRATCH_DB = "islet_scratch"
+_scratch: list[tuple[str, str]] = []
 
 
 def scratch_table(spark: SparkSession, prefix: str) -> tuple[str, str]:
@@ -72,7 +73,27 @@ def scratch_table(spark: SparkSession, prefix: str) -> tuple[str, str]:
     db_path = shared_path(spark, SCRATCH_DB)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{db_path}'")
     name = f"{prefix}_{uuid.uuid4().hex}"
-    return f"{SCRATCH_DB}.{name}", os.path.join(db_path, name)
+    _scratch.append((f"{SCRATCH_DB}.{name}", os.path.join(db_path, name)))
+    return _scratch[-1]
+
+
+def scratch_since(mark: int = 0) -> list[tuple[str, str]]:
+    """(table name, location) of the scratch tables made after ``mark`` others."""
+    return _scratch[mark:]
+
+
+def drop_tables(spark: SparkSession, tables: list[tuple[str, str]]) -> None:
+    """Drop scratch tables and their files; their readers must be done."""
+    for name, path in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete_path(spark, path)
+        if (name, path) in _scratch:
+            _scratch.remove((name, path))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def drop_scratch(spark: SparkSession) -> None:

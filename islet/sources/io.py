@@ -12,14 +12,17 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from islet.functions.scalars import time_12h_to_24h
 from islet.operators.ordered import with_global_index
-from islet.session import shared_path
+from islet.session import delete_path, shared_path
 
 RAW_LOG_SCHEMA = T.StructType([
     T.StructField("media_type", T.StringType()),
@@ -78,6 +81,57 @@ def read_log(spark: SparkSession, path, schema: T.StructType = RAW_LOG_SCHEMA, d
     return with_arrival_order(df, "_seq", n_blocks) if dense_seq else with_arrival_columns(df)
 
 
+BAD_LINE, BAD_TIME = "line", "time"
+_RAW_LINE = "_raw_line"
+
+
+@dataclass(frozen=True)
+class Load:
+    """What ``load_log`` loaded: the accepted rows, the rejected ones with
+    ``reason`` and the line as it stands in the file, and counts of both."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+class RejectedRows(ValueError):
+    """A strict load met rows that it can't accept."""
+
+
+def load_log(spark: SparkSession, path, to: str, schema: T.StructType = RAW_LOG_SCHEMA, date_format: str = "yyyy-MM-dd",
+             times: Sequence[str] = ("time_start", "time_end"), strict: bool = False, header: bool = True) -> Load:
+    """Load a CSV log into the table ``to`` in one pass that also
+    counts and sets apart what it can't accept.
+
+    A line is rejected as ``line`` if it has too few or too many fields or a
+    value that is none of its column's type, else as ``time`` if one of
+    ``times`` is present but no 12-hour clock time.  Empty fields are NULL and
+    accepted.  ``counts`` (rows, accepted, line, time) are observed while the
+    rows are written, so no other pass counts them.  ``strict`` stops at any
+    rejected row: the table is not there then, as the source loads nothing."""
+    text = T.StructType([*schema.fields, T.StructField(_RAW_LINE, T.StringType())])
+    df = (spark.read.schema(text).option("header", header).option("dateFormat", date_format)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RAW_LINE).csv(path))
+    wrong = [F.col(c).isNotNull() & time_12h_to_24h(c).isNull() for c in times]
+    bad_time = reduce(lambda a, b: a | b, wrong, F.lit(False))
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in schema.names])
+    reason = F.when(F.col(_RAW_LINE).isNotNull(), BAD_LINE).when(bad_time, BAD_TIME)
+    df = with_arrival_columns(df).withColumn("reason", reason)
+    df = df.withColumn(_RAW_LINE, F.when(F.col("reason").isNotNull(), F.coalesce(_RAW_LINE, line)))
+    seen = Observation(f"load-{uuid.uuid4().hex}")
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").isNull()).alias("accepted"),
+                    F.count_if(F.col("reason") == BAD_LINE).alias(BAD_LINE), F.count_if(F.col("reason") == BAD_TIME).alias(BAD_TIME))
+    df.withColumn("rejected", F.col("reason").isNotNull()).write.mode("overwrite").partitionBy("rejected").parquet(to)
+    counts = {k: int(v) for k, v in seen.get.items()}
+    if strict and counts["accepted"] < counts["rows"]:
+        delete_path(spark, to)
+        raise RejectedRows(f"{path}: {counts[BAD_LINE]} malformed lines and {counts[BAD_TIME]} rows with unreadable times of {counts['rows']}")
+    table = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("rejected", T.BooleanType())])).parquet(to)
+    return Load(table.filter("not rejected").drop("rejected", "reason", _RAW_LINE),
+                table.filter("rejected").select("reason", F.col(_RAW_LINE).alias("line"), *ARRIVAL), counts)
+
+
 def read_seed(spark: SparkSession, path, schema: T.StructType = SEED_SCHEMA) -> DataFrame:
     """The small label dimension."""
     return spark.read.schema(schema).option("header", True).csv(path)

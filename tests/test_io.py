@@ -113,3 +113,45 @@ def test_tree_models_round_trip(spark, tmp_path):
     assert set(df.columns) | {f"{k}_{n}" for k in ("pred", "resid") for n in ("forest", "gbt", "linear")} == set(scored.columns)
     assert [r.model_id for r in monitor.rmse_report(scored.withColumn("era", F.lit("post")), ["forest", "gbt"]).collect()] \
         == ["forest", "gbt"]
+
+
+LOG_LINES = ["media_type,media_series,media_title,video_type,video_subtype,creation_category,date,time_start,time_end,duration",
+             "Video,S,t,Essay,A,Editing,2024-01-01,9:05:00 PM,9:15:00 PM,10",
+             "Video,S,t,Essay,A,Editing,,9:05:00 PM,,10",            # empty fields are NULL, not wrong
+             "Video,S,t,Essay,A,Editing,2024-01-02,21:05:00,9:15:00 PM,10",   # no 12-hour time
+             "Video,S,t,Essay,A,Editing,2024-01-02,9:05:00 PM,13:00:00 PM,10",
+             "Video,S,t,Essay",                                       # too few fields
+             "Video,S,t,Essay,A,Editing,2024-01-02,9:05:00 PM,9:15:00 PM,ten",  # no number
+             "Video,S,t,Essay,A,Editing,not a day,9:05:00 PM,9:15:00 PM,10",
+             "Video,S,t,Essay,A,Editing,2024-01-03,9:05:00 PM,9:15:00 PM,10,more"]
+
+
+def _log(tmp_path, lines):
+    (tmp_path / "log.csv").write_text("\n".join(lines) + "\n")
+    return str(tmp_path / "log.csv")
+
+
+def test_load_counts_and_sets_rejects_apart(spark, tmp_path):
+    load = io.load_log(spark, _log(tmp_path, LOG_LINES), str(tmp_path / "table"))
+    assert load.counts == {"rows": 8, "accepted": 2, "line": 4, "time": 2}
+    assert [(str(r.date), r.time_end) for r in load.rows.orderBy(*io.ARRIVAL).collect()] == [("2024-01-01", "9:15:00 PM"), ("None", None)]
+    assert load.rows.columns == [*io.RAW_LOG_SCHEMA.names, *io.ARRIVAL]
+    bad = [(r.reason, r.line) for r in load.rejects.orderBy(*io.ARRIVAL).collect()]
+    assert bad == [("time", LOG_LINES[3]), ("time", LOG_LINES[4]), *[("line", x) for x in LOG_LINES[5:]]]
+
+
+def test_strict_load_stops_and_leaves_no_table(spark, tmp_path):
+    import pytest
+
+    path = _log(tmp_path, LOG_LINES)
+    with pytest.raises(io.RejectedRows, match="4 malformed lines and 2 rows"):
+        io.load_log(spark, path, str(tmp_path / "table"), strict=True)
+    assert not (tmp_path / "table").exists()
+    load = io.load_log(spark, _log(tmp_path, LOG_LINES[:3]), str(tmp_path / "table"), strict=True)
+    assert load.rows.count() == 2 == load.counts["accepted"] and load.rejects.count() == 0
+
+
+def test_load_of_an_empty_log(spark, tmp_path):
+    load = io.load_log(spark, _log(tmp_path, LOG_LINES[:1]), str(tmp_path / "table"))
+    assert load.counts == {"rows": 0, "accepted": 0, "line": 0, "time": 0}
+    assert load.rows.count() == 0 == load.rejects.count()

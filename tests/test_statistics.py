@@ -112,3 +112,31 @@ def test_a_repeated_run_replaces_itself(spark, tmp_path):
     got = {(r["experiment"], r["run_id"]): r for r in io.read_runs(spark, path, ["alpha"], ["mae", "rmse"]).collect()}
     assert len(got) == 3 and got["e", "r1"]["alpha"] == "1" and got["e", "r1"]["rmse"] == 2.5 and got["e", "r2"]["rmse"] is None and got["other", "r1"]["alpha"] == "9"
     assert sorted((r["step"], r["value"]) for r in io.metric_series(spark, path, "rmse").filter("run_id = 'r1'").collect()) == [(0, 3.0), (1, 2.5)]
+
+
+def test_normal_distance_is_the_largest_gap(spark):
+    import math
+
+    import numpy as np
+
+    from islet.operators import stats
+
+    rng = np.random.default_rng(5)
+    for values, nb in (([*rng.normal(3, 2, 300), *[3.5] * 120], 7), (list(rng.exponential(1, 200)), 1), ([-40.0, *range(30), 400.0], 64)):
+        x = np.sort(np.array(values, float))
+        z = (x - x.mean()) / x.std(ddof=1)
+        p = np.array([0.5 * math.erfc(-v / math.sqrt(2)) for v in z])
+        n = len(x)
+        upto, below = np.searchsorted(x, x, "right") / n, np.searchsorted(x, x, "left") / n
+        want = max(np.abs(upto - p).max(), np.abs(p - below).max())
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double")
+        r = stats.normal_distance(df, "v", n_blocks=nb).first()
+        assert r["n"] == n and abs(r["distance"] - want) < 1e-12 and abs(r["std"] - x.std(ddof=1)) < 1e-9
+
+
+def test_normal_distance_without_spread(spark):
+    from islet.operators import stats
+
+    for rows in ([], [(None,)], [(1.0,)], [(2.0,), (2.0,)]):
+        r = stats.normal_distance(spark.createDataFrame(rows, "v double"), "v").first()
+        assert r["distance"] is None and r["n"] == sum(v is not None for v, in rows)
