@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -42,6 +43,16 @@ def drop_staged(spark: SparkSession) -> None:
     while _staged:
         path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    free_shuffles(spark)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing holds any more,
+    such as those of a table just staged.  It learns of them only when the
+    driver's JVM collects garbage, which with few tasks can take as long as
+    ``spark.cleaner.periodicGC.interval``."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def share(spark: SparkSession, value) -> Callable[[], object]:
@@ -103,7 +114,17 @@ FOLD[ord("A") : ord("Z") + 1] += 32
 _TABLE = random_words(256, 11)[FOLD]
 _R = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 _RI = pow(_R, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
+
+
+class _Powers(dict):
+    """A process's own table of powers.  Functions travel with their globals;
+    this one goes empty, as it would add up to 67 MB to each job."""
+
+    def __reduce__(self):
+        return _Powers, ()
+
+
+_powers: dict[int, np.ndarray] = _Powers()
 
 
 def _power(base: int, n: int) -> np.ndarray:

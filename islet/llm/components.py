@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import stage
+from islet.llm.common import free_shuffles, stage
+
+#: Links that a task of a round holds.
+TASK_LINKS = 1 << 18
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,7 +19,9 @@ def components(links: DataFrame) -> DataFrame:
     (large star), then every smaller (small star).  Rounds end once the links
     stay the same: logarithmic in the longest path.  A node with very many
     neighbours is an aggregate with partial sums and the large side of a join,
-    which AQE splits.  Null ids and loops are ignored.
+    which AQE splits.  A round has a task for each ``TASK_LINKS`` of its links
+    (at most; the last rounds of many small ones would be all overhead), so few
+    links need no shuffle at all.  Null ids and loops are ignored.
     """
     spark = links.sparkSession
     edges = stage(links.select("a", "b").filter("a <> b").distinct(), "links")
@@ -26,13 +31,16 @@ def components(links: DataFrame) -> DataFrame:
         if new == mark or not new[0]:
             break
         mark = new
-        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tasks = -(-new[0] // TASK_LINKS)
+        edges = edges.coalesce(tasks)
+        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks)
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").coalesce(tasks).distinct()
         # every link now points from a larger to a smaller id
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        edges = stage(small.filter("a <> b").distinct(), "links")
+        edges = stage(small.filter("a <> b").coalesce(tasks).distinct(), "links")
+        free_shuffles(spark)
     roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component"))
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots).groupBy("id").agg(F.min("component").alias("component"))
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from islet.llm.common import WHITE, mix64, random_words, stage, text_chunks, words
+from islet.llm.common import WHITE, free_shuffles, mix64, random_words, stage, text_chunks, words
 from islet.llm.components import components
 
 SHINGLE = 5
@@ -245,7 +245,9 @@ def near_dedup(docs: DataFrame, threshold: int = 75) -> DataFrame:
     rows = stage(bands.join(shared, "key"), "buckets")
     members = classes.join(rows.select("node").distinct(), "node", "left_semi")
     sets = stage(_sets(docs, members), "sets")
+    free_shuffles(docs.sparkSession)
     links = stage(_confirm(rows.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets, threshold), "confirmed")
+    free_shuffles(docs.sparkSession)
     first = stage(components(links), "components")
 
     placed = rows.filter("size > 2").join(first, rows["node"] == first["id"], "left").select("key", "node", F.coalesce("component", "node").alias("component"))
@@ -253,6 +255,7 @@ def near_dedup(docs: DataFrame, threshold: int = 75) -> DataFrame:
     mixed = mixed.groupBy("size", "mark").agg(F.min("key").alias("key"))  # equal buckets once
     mixed = mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     more = stage(_rest(placed.join(mixed, "key"), sets, threshold), "rest")
+    free_shuffles(docs.sparkSession)
     final = components(links.union(more)) if more.head(1) else first
 
     at = classes.select("node", "low_id").join(final, F.col("node") == F.col("id"), "left").select("node", "low_id", F.coalesce("component", "node").alias("component"))
