@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from islet.llm import decontaminate, exact_substrings, langid, mixing, setsketch
-from islet.llm.common import drop_staged, table
+from islet.llm.common import drop_staged, stage, table
 from islet.session import shared_path
 
 #: A document stays if one language holds at least this share of its letters.
@@ -59,7 +59,10 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     repeatedly or in part) it takes.  Columns of docs that have the name of one
     of the plan's (in any case) get ``doc_`` before it, as often as needed."""
     drop_staged(spark)
-    plan = mixing.mix(docs, docs.columns)
+    rows = stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "rows")
+    # whole texts meet only the finished plan, by the row's number
+    plan = mixing.mix(rows.select("at", "row.doc_id", "row.source", "row.text"), ["at"])
+    plan = plan.filter("taken > 0").select(F.col("row.at").alias("at"), "size", "source_size", "target", "taken")
     own = ["size", "source_size", "target", "taken"]
     used = {c.lower() for c in docs.columns} | set(own)
     names = []
@@ -70,7 +73,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             used.add(c.lower())
         names.append(c)
     row = [F.col(f"row.`{c}`").alias(new) for c, new in zip(docs.columns, names)]
-    return plan.filter("taken > 0").select(*row, *own)
+    return rows.join(plan, "at").select(*row, *own)
 
 
 STAGES = [

@@ -264,6 +264,10 @@ def test_pipeline_decisions(spark):
         if not any(tuple(w[k : k + n]) in grams for n in {len(g) for g in grams} for k in range(len(w) - n + 1)):
             clean.add(i)
     assert set(kept["benchmark"]) == clean
+    plan = mixing.mix(spark.read.parquet(f"{to}/benchmark"), ["doc_id"]).filter("taken > 0").collect()
+    assert {i: (r["size"], r["target"], r["taken"], r["text"]) for i, r in kept["mixture"].items()} == {
+        r["row"]["doc_id"]: (r["size"], r["target"], r["taken"], kept["benchmark"][r["row"]["doc_id"]]["text"]) for r in plan
+    }
     assert set(kept["mixture"]) <= clean and all(0 < r["taken"] <= 2 * r["size"] for r in kept["mixture"].values())
 
 
