@@ -39,7 +39,8 @@ REGISTERS = ROWS * BANDS
 #: A pair at the threshold differs from its estimate by this much with a
 #: probability under 1e-6 (REGISTERS Bernoulli trials).
 MARGIN = 0.17
-BLOCK = 4096  # classes of a block in step 4
+#: Classes, and bytes of their full sets, of a block in step 4.
+BLOCK, BLOCK_BYTES = 4096, 32 << 20
 
 _C = random_words(SHINGLE, 5) | np.uint64(1)
 _A = (random_words(REGISTERS, 101) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -193,8 +194,9 @@ def _rest(rows: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links between the components of a bucket.
 
     rows(key, node, component, blocks) of buckets that hold several
-    components.  A bucket is cut into ``blocks`` by hash; each pair of blocks
-    is one group, so no task holds more than two blocks.
+    components.  A bucket is cut into ``blocks`` by hash, as many as its classes
+    and the bytes of their sets ask for; each pair of blocks is one group, so
+    no task holds more than two blocks.
     """
 
     def run(_, frame):
@@ -253,8 +255,10 @@ def near_dedup(docs: DataFrame, threshold: int = 75) -> DataFrame:
     placed = rows.filter("size > 2").join(first, rows["node"] == first["id"], "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark")).filter("lo <> hi")
     mixed = mixed.groupBy("size", "mark").agg(F.min("key").alias("key"))  # equal buckets once
-    mixed = mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    more = stage(_rest(placed.join(mixed, "key"), sets, threshold), "rest")
+    mixed = stage(placed.join(mixed.select("key"), "key"), "mixed")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
+    cut = mixed.join(classes.select("node", "n"), "node").groupBy("key").agg(blocks.alias("blocks"))
+    more = stage(_rest(mixed.join(cut, "key"), sets, threshold), "rest")
     free_shuffles(docs.sparkSession)
     final = components(links.union(more)) if more.head(1) else first
 

@@ -152,9 +152,10 @@ def near_rows():
     return rows + [(i, t) for i, t, *_ in edge_rows()]
 
 
-@pytest.mark.parametrize("block", [4, 4096])
-def test_components_are_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, size", [(4, 32 << 20), (4096, 32 << 20), (4096, 5000)])
+def test_components_are_brute_force(spark, monkeypatch, block, size):
     monkeypatch.setattr(setsketch, "BLOCK", block)
+    monkeypatch.setattr(setsketch, "BLOCK_BYTES", size)
     rows = [(1000 + i if k > 80 else i, t) for k, (i, t) in enumerate(near_rows()) if i is not None] + [(None, prose(3, 60))]
     df = with_clashes(spark.createDataFrame(rows, "doc_id long, text string"))
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in setsketch.near_dedup(df).collect())
