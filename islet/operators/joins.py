@@ -36,8 +36,8 @@ def row_bytes(df: DataFrame) -> Column:
 
 def is_small(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
     """True when df has at most ``max_rows`` rows of ``max_bytes`` in all;
-    reads at most max_rows + 1 rows."""
-    r = df.limit(max_rows + 1).select(row_bytes(df).alias("b")).agg(F.count("b"), F.sum("b")).first()
+    reads at most max_rows + 1 rows, of which only the sizes leave their tasks."""
+    r = df.select(row_bytes(df).alias("b")).limit(max_rows + 1).agg(F.count("b"), F.sum("b")).first()
     return r[0] <= max_rows and (r[1] or 0) <= max_bytes
 
 

@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from islet.operators.joins import small_side
+from islet.operators.joins import BROADCAST_MAX_ROWS, small_side
 from islet.session import scratch_table
 
 BLK = "_blk"
@@ -180,31 +180,42 @@ def rolling(df: DataFrame, order, col: str, k: int, min_periods: int | None = No
     All are built from three decomposable sums (sum, non-NULL count, sum of
     squares): a window inside each block (reading the bucketed block table,
     no shuffle) plus, for the first k-1 rows of a block, the part of the
-    frame that lies in earlier blocks.  That part comes from the last k-1
-    rows before each block (a set bounded by n_blocks * (k - 1)), summed per
-    (block, position) and broadcast back.
+    frame that lies in earlier blocks.  Each of the k-1 rows before a block
+    is sent there once; running sums over them, the nearest first, are what
+    the block's first rows lack.  These are at most n_blocks * (k - 1) rows,
+    broadcast back while that is below ``BROADCAST_MAX_ROWS`` and joined
+    by Spark's choice beyond it.
     """
     m = k if min_periods is None else min_periods
-    blocked = range_blocks(df, order, n_blocks)
+    n = resolve_blocks(df, n_blocks)
+    blocked = range_blocks(df, order, n)
     offs = _block_offsets(blocked)
     x = F.col(col).cast("double")
     w = Window.partitionBy(BKT, BLK).orderBy(POS).rowsBetween(-(k - 1), 0)
     out = blocked.select("*", F.sum(x).over(w).alias("_s"), F.count(x).over(w).alias("_c"),
                          F.sum(x * x).over(w).alias("_q"))
     if k > 1:
-        # rows of a block's tail, sent to the next non-empty blocks they reach
-        tail = (blocked.join(F.broadcast(offs), BLK)
+        # blocks whose start lies at most k-1 rows after a row of this one:
+        # the next, and those after it if the ones between are short
+        by_end = Window.orderBy("_end")
+        ends = offs.withColumn("_end", F.col("_off") + F.col("_cnt")).withColumn("_next", F.lead(BLK).over(by_end))
+        to = F.collect_list(F.struct(F.col("_next").alias("_tb"), F.col("_end").alias("_toff")))
+        ends = ends.withColumn("_to", to.over(by_end.rangeBetween(0, k - 2)))
+        tail = (blocked.join(F.broadcast(ends), BLK)
                 .filter(F.col(POS) >= F.col("_cnt") - F.lit(k - 1))
-                .select((F.col("_off") + F.col(POS)).alias("_hi"), x.alias("_hx")))
-        starts = offs.filter(F.col("_cnt") > 0).select(F.col(BLK).alias("_tb"), F.col("_off").alias("_toff"))
-        reach = tail.select("_hi", "_hx", F.explode(F.sequence(F.col("_hi") + 1, F.col("_hi") + F.lit(k - 1))).alias("_toff"))
-        halo = reach.join(F.broadcast(starts), "_toff").withColumn("_d", F.col("_toff") - F.col("_hi"))
-        # a halo row d places before the block start is in the frame of the
-        # block's rows at positions 0 .. k-1-d
-        extra = (halo.select("_tb", "_hx", F.explode(F.sequence(F.lit(0), F.lit(k - 1) - F.col("_d"))).alias("_p"))
-                 .groupBy("_tb", "_p").agg(F.sum("_hx").alias("_es"), F.count("_hx").alias("_ec"),
-                                           F.sum(F.col("_hx") * F.col("_hx")).alias("_eq")))
-        out = (out.join(F.broadcast(extra), (F.col(BLK) == F.col("_tb")) & (F.col(POS) == F.col("_p")), "left")
+                .select((F.col("_off") + F.col(POS)).alias("_hi"), x.alias("_hx"), F.explode("_to").alias("_t"))
+                .select("_hi", "_hx", "_t.*").withColumn("_d", F.col("_toff") - F.col("_hi"))
+                .filter((F.col("_d") < k) & F.col("_tb").isNotNull()))
+        near = Window.partitionBy("_tb").orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
+        # the frame at position p reaches k-1-p rows before the block, or up
+        # to the first row of all
+        last = F.lit(k - 1) - F.col("_d")
+        extra = tail.select("_tb", F.sum("_hx").over(near).alias("_es"), F.count("_hx").over(near).alias("_ec"),
+                            F.sum(F.col("_hx") * F.col("_hx")).over(near).alias("_eq"),
+                            F.explode(F.sequence(F.when(F.col("_hi") == 0, F.lit(0).cast("long")).otherwise(last), last)).alias("_p"))
+        if n * (k - 1) <= BROADCAST_MAX_ROWS:
+            extra = F.broadcast(extra)
+        out = (out.join(extra, (F.col(BLK) == F.col("_tb")) & (F.col(POS) == F.col("_p")), "left")
                .withColumn("_s", F.when(F.col("_ec") > 0, F.coalesce(F.col("_s"), F.lit(0.0)) + F.col("_es"))
                            .otherwise(F.col("_s")))
                .withColumn("_c", F.col("_c") + F.coalesce(F.col("_ec"), F.lit(0)))

@@ -76,15 +76,16 @@ def inner_folds(df: DataFrame, order: Sequence[str], k: int = 3, index: str = "i
 
 
 def split_summary(split: DataFrame, date: str, target: str, flag: str | None = None,
-                  klass: str | None = None) -> DataFrame:
+                  klass: str | None = None, levels: Sequence | None = None) -> DataFrame:
     """ML23: per role its size, date range, target mean, flag percentage and
-    class mix (one column per class, counted)."""
+    class mix (one column per class of ``levels``, counted; without levels they
+    are looked up first, which Spark refuses above ``spark.sql.pivotMaxValues``)."""
     aggs = [F.count(F.lit(1)).alias("n"), F.min(date).alias("date_min"), F.max(date).alias("date_max"),
             F.avg(target).alias("target_mean")]
     if flag:
         aggs.append((F.avg(F.col(flag).cast("double")) * 100).alias("flag_pct"))
     out = split.groupBy("role").agg(*aggs)
     if klass:
-        mix = split.groupBy("role").pivot(klass).count().fillna(0)
+        mix = split.groupBy("role").pivot(klass, list(levels) if levels is not None else None).count().fillna(0)
         out = out.join(mix, "role")
     return out

@@ -42,7 +42,7 @@ def test_lag_matches_window(spark, seq, nb):
 
 
 @pytest.mark.parametrize("nb", [1, 2, 7, 64])
-@pytest.mark.parametrize("k,m", [(3, 2), (5, 3), (1, 1)])
+@pytest.mark.parametrize("k,m", [(3, 2), (5, 3), (1, 1), (2, 1), (150, 4)])
 def test_rolling_matches_window(spark, seq, nb, k, m):
     w = Window.orderBy("k").rowsBetween(-(k - 1), 0)
     enough = F.count("x").over(w) >= m
@@ -55,6 +55,15 @@ def test_rolling_matches_window(spark, seq, nb, k, m):
     assert rnd(_rows(got, cols)) == rnd(_rows(want, cols))
 
 
+def test_rolling_halo_is_broadcast_only_below_its_bound(spark, seq, monkeypatch):
+    def kept():
+        return _rows(O.rolling(seq, ["k"], "x", 30, 3, aggs=("sum", "count"), n_blocks=20), ["k", "rolling_sum", "rolling_count"])
+    small = kept()
+    monkeypatch.setattr(O, "BROADCAST_MAX_ROWS", 20 * 29 - 1)
+    monkeypatch.setattr(O.F, "broadcast", (lambda f: lambda df: pytest.fail("halo") if "_es" in df.columns else f(df))(F.broadcast))
+    assert [(a, b and round(b, 9), c) for a, b, c in kept()] == [(a, b and round(b, 9), c) for a, b, c in small]
+
+
 def test_rolling_fixture(spark):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([1, 2, 4, 8, 16, 32])], "k long, x double")
     got = O.rolling(df, ["k"], "x", 3, 2, n_blocks=4).orderBy("k").collect()
