@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from islet.operators.joins import attach_scalar
+from islet.operators.joins import attach_scalar, small_side
 from islet.operators.ordered import with_global_index
 
 
@@ -59,6 +59,23 @@ def avg_rank(df: DataFrame, col: str, tie: Sequence[str], name: str | None = Non
             .drop(BLK, POS, BKT, "_off", "_cnt", "_lo", "_hi", "_v", "_glo", "_ghi"))
 
 
+def running_counts(base: DataFrame, col: str, n_blocks: int | None = None) -> DataFrame:
+    """(_v, _c, _end) of every different value of ``col``: its rows, and the
+    rows up to and with it.  Values are counted inside the scan, so blocks hold
+    different values and one with very many rows is a single row of its block."""
+    from islet.operators.ordered import BKT, BLK, POS, range_blocks
+    from islet.session import scratch_table
+    spark = base.sparkSession
+    name, path = scratch_table(spark, "values")  # counted once, not at each look of range_blocks
+    base.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c")).write.format("parquet").option("path", path).saveAsTable(name)
+    b = range_blocks(spark.table(name), ["_v"], n_blocks)
+    before = Window.orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    offs = (b.groupBy(BKT, BLK).agg(F.sum("_c").alias("_bc"))
+            .select(BLK, F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off")))
+    upto = Window.partitionBy(BKT, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    return b.join(F.broadcast(offs), BLK).select("_v", "_c", (F.col("_off") + F.sum("_c").over(upto)).alias("_end"))
+
+
 def spearman(df: DataFrame, x: str, y: str, tie: Sequence[str], n_blocks: int | None = None) -> DataFrame:
     """M2: Spearman rho = Pearson r of average ranks (rows with both present)."""
     base = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*tie, x, y)
@@ -296,16 +313,18 @@ def bias_std(df: DataFrame, resid: str, by=None) -> DataFrame:
 def corr_matrix(df: DataFrame, cols: Sequence[str], method: str = "spearman") -> DataFrame:
     """M1 / M2 matrix form: Pearson or Spearman correlation of every column
     pair, long (x, y, r), over rows where all columns are present.  Spearman
-    is Pearson of average ranks, ties averaged like pandas: one block table
-    for each column, and one aggregate for all pairs.  A column without
-    spread has no r."""
+    is Pearson of average ranks, ties averaged like pandas: a rank for each
+    different value of each column, joined to the rows, and one aggregate for
+    all pairs.  So a column of few values puts no more rows into a task than
+    one of many.  A column without spread has no r."""
     base = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    names = list(cols)
+    names, rows = list(cols), base
     if method == "spearman":
         names = [f"_r{i}" for i in range(len(cols))]
-        for c, n in zip(cols, names):
-            base = avg_rank(base, c, [], n)
+        for i, c in enumerate(cols):
+            ranks = running_counts(base, c).select(F.col("_v").alias(f"_v{i}"), (F.col("_end") - (F.col("_c") - 1) / 2.0).alias(f"_r{i}"))
+            rows = rows.join(small_side(ranks), rows[c] == F.col(f"_v{i}"))
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    one = base.agg(*[F.corr(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs])
+    one = rows.agg(*[F.corr(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs])
     each = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("r")) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return one.select(F.inline(F.array(*each)))

@@ -140,3 +140,16 @@ def test_normal_distance_without_spread(spark):
     for rows in ([], [(None,)], [(1.0,)], [(2.0,), (2.0,)]):
         r = stats.normal_distance(spark.createDataFrame(rows, "v double"), "v").first()
         assert r["distance"] is None and r["n"] == sum(v is not None for v, in rows)
+
+
+def test_ranks_take_a_row_for_each_value(spark, monkeypatch):
+    from islet.operators import joins, ordered
+
+    d = pd.DataFrame({"a": [float(i % 3) for i in range(300)], "b": [float(i * i % 17) for i in range(300)]})
+    seen, blocks = [], ordered.range_blocks
+    monkeypatch.setattr(ordered, "range_blocks", lambda df, *a, **k: seen.append(df.count()) or blocks(df, *a, **k))
+    for most in (joins.BROADCAST_MAX_ROWS, 2):  # broadcast ranks, and joined ones
+        monkeypatch.setattr(stats, "small_side", lambda x, most=most: joins.small_side(x, most), raising=False)
+        got = {(r["x"], r["y"]): r["r"] for r in stats.corr_matrix(frame(spark, d), ["a", "b"], "spearman").collect()}
+        assert got["a", "b"] == pytest.approx(d.corr("spearman").loc["a", "b"]) and got["a", "a"] == pytest.approx(1)
+    assert max(seen) == d.b.nunique()
