@@ -32,6 +32,7 @@ FOREST_GRID = {"n_trees": [100, 200], "depth": [2, 3, 5, 0], "min_leaf": [2, 4,
 BOOSTED_GRID = {"rounds": [50, 100, 200], "depth": [2, 3, 4], "rate": [0.05, 0.1, 0.2], "subsample": [0.7, 1.0]}
 
 PRIME = 2147483647  # draws are uniform below it
+HELD = 1 << 20  # cells x replicates that a task sums before it sends them on
 SEGMENT, REPLICATE = "segment", "replicate"
 
 
@@ -87,25 +88,89 @@ def draw(a: Column, b: Column, c: Column, replicate: Column) -> Column:
 
 def poisson(u: Column) -> Column:
     """Poisson(1) weight of a draw: how often a bootstrap takes the row."""
+    return _reached(u, poisson_steps())
+
+
+def poisson_steps() -> list[int]:
+    """The draws from which on the weight is 1, 2, .."""
     steps, p, total = [], float(np.exp(-1)), 0.0
     for k in range(12):
         total += p
         steps.append(int(total * PRIME))
         p /= k + 1
-    return _reached(u, steps)
+    return steps
 
 
 def replicate_cube(df: DataFrame, features: Sequence[str], label: str, key: Sequence[str], replicates: int, share: float | None = None) -> DataFrame:
     """Rows with a segment -> (segment, replicate, features.., n: rows drawn,
     weight, sum_y: weighted).  Weights are Poisson(1), or 1 for ``share`` of
-    the rows.  Rows are spread to replicates inside the scan and summed
-    before any shuffle."""
-    # the coefficients stand below the explode, so a row's key is hashed once
-    x = df.select(SEGMENT, *features, F.col(label).cast("double").alias("_y"), *[c.alias(f"_k{i}") for i, c in enumerate(coefficients(key))])
-    x = x.withColumn(REPLICATE, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(replicates - 1).cast("long"))))
-    x = x.withColumn("_u", draw(F.col("_k0"), F.col("_k1"), F.col("_k2"), F.col(REPLICATE)))
-    x = x.withColumn("_w", poisson(F.col("_u")) if share is None else (F.col("_u") < int(share * PRIME)).cast("long")).filter("_w > 0")
-    return x.groupBy(SEGMENT, REPLICATE, *features).agg(F.count(F.lit(1)).alias("n"), F.sum("_w").alias("weight"), F.sum(F.col("_w") * F.col("_y")).alias("sum_y"))
+    the rows.  A task draws its rows' weights replicate by replicate and sums
+    them by cell as it reads; Spark adds up the sums of all tasks."""
+    keys = [SEGMENT, *features]
+    x = df.select(*keys, F.col(label).cast("double").alias("_y"), *[c.alias(f"_k{i}") for i, c in enumerate(coefficients(key))])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in x.select(*keys).schema)
+
+    def run(batches):
+        held: dict = {}  # a cell's key -> its sums, a row each of n, weight, sum_y and rows with a y
+
+        def sums():
+            import pyarrow as pa
+
+            vectors, (n, w, s, known) = list(held), np.stack(list(held.values()), 1)
+            at, rep = np.nonzero(n)
+            columns = [pa.array([v[i] for v in vectors], t).take(pa.array(at)) for i, t in enumerate(types)]
+            held.clear()
+            return pa.RecordBatch.from_arrays([*columns, pa.array(rep, pa.int64()), pa.array(n[at, rep].astype(np.int64)), pa.array(w[at, rep].astype(np.int64)), pa.array(s[at, rep], mask=known[at, rep] == 0)], names=[*keys, REPLICATE, "n", "weight", "sum_y"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            types = [batch[c].type for c in keys]
+            for vector, own in _drawn(batch, keys, replicates, share):
+                held[vector] = held[vector] + own if vector in held else own
+            if len(held) * replicates > HELD:
+                yield sums()
+        if held:
+            yield sums()
+
+    drawn = x.mapInArrow(run, f"{kinds}, {REPLICATE} long, n long, weight long, sum_y double")
+    return drawn.groupBy(SEGMENT, REPLICATE, *features).agg(*[F.sum(c).alias(c) for c in ("n", "weight", "sum_y")])
+
+
+def _drawn(batch, keys: Sequence[str], replicates: int, share: float | None):
+    """(key, sums) of each cell of a batch with columns ``_y`` and ``_k0.._k2``;
+    sums has a column for each replicate.  ``draw`` is stepped from a replicate
+    to the next by its differences, all below twice ``PRIME``, so in 32 bits."""
+    code = np.zeros(batch.num_rows, np.int64)
+    for c in keys:
+        own = batch[c].dictionary_encode(null_encoding="encode").indices.to_numpy()
+        code = np.unique(code * (int(own.max()) + 1) + own, return_inverse=True)[1].reshape(-1)
+    order = np.argsort(code, kind="stable")
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(code[order])) + 1))
+    a, b, c = (batch[f"_k{i}"].to_numpy()[order].astype(np.uint32) for i in range(3))
+    known = ~batch["_y"].is_null().to_numpy(zero_copy_only=False)[order]
+    y = np.where(known, batch["_y"].to_numpy(zero_copy_only=False)[order], 0.0)
+    p, steps = np.uint32(PRIME), np.array(poisson_steps(), np.uint32)
+    below = lambda v: np.minimum(v, v - p)  # noqa: E731  v modulo PRIME: less than PRIME wraps round
+    u, step, twice = a, below(b + c), below(c + c)
+    plain = np.isfinite(y).all()
+    out = np.empty((4, replicates, len(starts)))
+    for r in range(replicates):
+        if share is None:
+            count = np.zeros(len(u), np.uint8)
+            for s in steps[steps <= u.max()]:
+                count += (u >= s).view(np.uint8)
+            w = count.astype(float)
+        else:
+            w = (u < np.uint32(int(share * PRIME))).astype(float)
+        taken = w > 0
+        product = w * y if plain else np.where(taken, w * np.where(taken, y, 0.0), 0.0)
+        out[0, r], out[1, r], out[2, r] = (np.add.reduceat(v, starts) for v in (taken.astype(float), w, product))
+        out[3, r] = out[0, r] if known.all() else np.add.reduceat((taken & known).astype(float), starts)
+        u, step = below(u + step), below(step + twice)
+    first = order[starts]
+    vectors = zip(*[batch[c].take(first).to_pylist() for c in keys])
+    return [(v, out[:, :, i]) for i, v in enumerate(vectors)]
 
 
 # ------------------------------------------------------------ trees on cells

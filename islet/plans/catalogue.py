@@ -489,8 +489,11 @@ def _tree_features(spark, sf):
     return _orders_features(spark, sf).withColumns({"f_odd": (F.col("o_custkey") % 2).cast("int"), "f_late": (F.month("o_orderdate") > 6).cast("int")})
 
 
-def _tree_train(spark, sf):
-    split = validate.time_split(_tree_features(spark, sf), ORDER_KEY, frac_test=0.25)
+def _tree_split_all(spark, sf):
+    return validate.time_split(_tree_features(spark, sf), ORDER_KEY, frac_test=0.25)
+
+
+def _tree_train(split):
     return split.filter(F.col("role") == "train").select("o_orderkey", "o_orderdate", "o_orderpriority", *ALL_FEATS, "y")
 
 
@@ -500,8 +503,8 @@ FOREST_POINT, BOOSTED_POINT = ["n_trees", "depth", "min_leaf"], ["rounds", "dept
 def q_compare_models(spark, sf):
     """All seven variants by nested rolling CV over the train rows, full grids;
     the baseline's error is the holdout's."""
-    split = validate.time_split(_tree_features(spark, sf), ORDER_KEY, frac_test=0.25)
-    tr = _tree_train(spark, sf)
+    split = _tree_split_all(spark, sf)
+    tr = _tree_train(split)
     dummies, types = one_hot(tr, tr, "o_orderpriority", prefix="t")
     types = ["f_tier", *types]
     raw = lambda df, feats: [r.asDict() for r in ridge.rolling_cv(df, ORDER_KEY, feats, "y", ALPHAS).collect()]
@@ -517,7 +520,7 @@ def q_compare_models(spark, sf):
 
 def q_tree_cells(spark, sf):
     """The cube behind all tree fits of the train rows."""
-    rows, n, outer = cells.ranked(_tree_train(spark, sf), ORDER_KEY, ALL_FEATS, "y")
+    rows, n, outer = cells.ranked(_tree_train(_tree_split_all(spark, sf)), ORDER_KEY, ALL_FEATS, "y")
     got = cells.cube(cells.with_segment(rows, cells.cuts_of([*outer, (n, n)])), ALL_FEATS, "y")
     return got.select("segment", *ALL_FEATS, "n", r6(F.col("sum_y")).alias("sum_y"), r6(F.col("sum_yy")).alias("sum_yy"))
 
@@ -550,13 +553,13 @@ def q_score_stump(spark, sf):
 
 def q_boosted(spark, sf):
     """M4: nested rolling CV over all 54 grid points."""
-    return cells.nested_cv(cells.search(_tree_train(spark, sf), ORDER_KEY, ALL_FEATS, "y", "boosted"), BOOSTED_POINT)
+    return cells.nested_cv(cells.search(_tree_train(_tree_split_all(spark, sf)), ORDER_KEY, ALL_FEATS, "y", "boosted"), BOOSTED_POINT)
 
 
 def q_search_landscape(spark, sf):
     """All 24 forest points on the whole train set, and for each cell of the
     heat map the point that wins it."""
-    scores = cells.search(_tree_train(spark, sf), ORDER_KEY, ALL_FEATS, "y", "forest", folds=0, whole=True)
+    scores = cells.search(_tree_train(_tree_split_all(spark, sf)), ORDER_KEY, ALL_FEATS, "y", "forest", folds=0, whole=True)
     scape = cells.landscape(scores, FOREST_POINT)
     best = cells.best_per_cell(scape, ["depth", "min_leaf"]).select("depth", "min_leaf", F.col("n_trees").alias("best_n_trees"))
     return scape.join(best, ["depth", "min_leaf"])
@@ -564,7 +567,7 @@ def q_search_landscape(spark, sf):
 
 def q_landscape_heat(spark, sf):
     """The heat map's data: depth down, least leaf across, best means."""
-    scores = cells.search(_tree_train(spark, sf), ORDER_KEY, ALL_FEATS, "y", "forest", folds=0, whole=True)
+    scores = cells.search(_tree_train(_tree_split_all(spark, sf)), ORDER_KEY, ALL_FEATS, "y", "forest", folds=0, whole=True)
     best = cells.best_per_cell(cells.landscape(scores, FOREST_POINT), ["depth", "min_leaf"])
     return best.groupBy("depth").pivot("min_leaf", cells.FOREST_GRID["min_leaf"]).agg(F.first("mean_rmse").alias("mean"), F.first("std_rmse").alias("std"))
 
@@ -746,7 +749,7 @@ def q_drop_incomplete(spark, sf):
 
 def q_forest_grid(spark, sf):
     """M3: nested rolling CV over all 24 grid points."""
-    return cells.nested_cv(cells.search(_tree_train(spark, sf), ORDER_KEY, ALL_FEATS, "y", "forest"), FOREST_POINT)
+    return cells.nested_cv(cells.search(_tree_train(_tree_split_all(spark, sf)), ORDER_KEY, ALL_FEATS, "y", "forest"), FOREST_POINT)
 
 
 def q_spearman_matrix(spark, sf):

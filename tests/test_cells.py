@@ -181,3 +181,37 @@ def test_boosting_fits_residuals(spark):
 def test_search_of_nothing(spark):
     none = spark.createDataFrame([], "i long, a int, b int, y double")
     assert cells.search(none, ["i"], FEATS, "y").count() == 0
+
+
+def test_replicates_keep_null_features_and_labels(spark):
+    d, _ = table(spark, 150, nulls=False)
+    rows = [(int(i), None if i % 7 == 0 else int(a), int(b), None if i % 5 == 0 else float(y)) for i, a, b, y in d.itertuples(index=False)]
+    df = spark.createDataFrame([(*r, 0) for r in rows] + [(1000, 99, 1, None, 0)], "i long, a int, b int, y double, segment int")
+    got = cells.replicate_cube(df, FEATS, "y", ["i"], 20)
+    got = {(r["replicate"], r["a"], r["b"]): (r["n"], r["weight"], r["sum_y"]) for r in got.collect()}
+    w = draws(pd.DataFrame({"i": [r[0] for r in rows] + [1000]}), 20)
+    want = {}
+    for at, (_, a, b, y) in enumerate([*rows, (1000, 99, 1, None)]):
+        for r in np.flatnonzero(w[:, at]):
+            n, weight, total = want.get((r, a, b), (0, 0, None))
+            want[r, a, b] = n + 1, weight + w[r, at], total if y is None else (total or 0.0) + w[r, at] * y
+    assert got == {k: (n, weight, total if total is None else pytest.approx(total)) for k, (n, weight, total) in want.items()}
+
+
+def test_replicates_make_no_row_for_each_draw(spark, capsys):
+    _, df = table(spark)
+    cells.replicate_cube(df.withColumn("segment", F.lit(0)), FEATS, "y", ["i"], 30).explain("formatted")
+    assert "Generate" not in capsys.readouterr().out
+
+
+def test_replicates_of_many_cells_are_sent_on(spark, monkeypatch):
+    d, df = table(spark, nulls=False)
+    df = df.withColumn("segment", F.lit(0))
+    read = lambda: {(r["replicate"], r["a"], r["b"]): (r["n"], r["weight"], r["sum_y"]) for r in cells.replicate_cube(df, FEATS, "y", ["i"], 9).collect()}
+    want = read()
+    monkeypatch.setattr(cells, "HELD", 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        assert read() == {k: (n, w, pytest.approx(s)) for k, (n, w, s) in want.items()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
