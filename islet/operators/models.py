@@ -282,6 +282,20 @@ def compare_models(spark, cv: dict[str, list[dict]], baseline_rmse_value: float)
 
 # --------------------------------------------------------------------- trees
 
+#: Bytes of bagged rows in a partition that MLlib holds, at most.
+BAG_BYTES = 128 << 20
+
+
+def _spread(df: DataFrame, n_trees: int, features: int) -> DataFrame:
+    """The rows in partitions of about ``BAG_BYTES`` once they are bagged.
+    MLlib caches every row with a draw for each tree (4 bytes each, beside
+    objects and binned features), and each round reads a partition whole.
+    Rows stay where they are while no partition is larger."""
+    most = BAG_BYTES // (4 * n_trees + 4 * features + 200)
+    sizes = df.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    return df.repartition(-(-sizes[1] // most)) if (sizes[0] or 0) > most else df
+
+
 def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(
@@ -296,7 +310,7 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, n_trees: int
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=n_trees, maxDepth=depth,
                                minInstancesPerNode=min_leaf, featureSubsetStrategy="all", seed=seed,
                                bootstrap=bootstrap)
-    return rf.fit(_assemble(df.dropna(subset=[*features, label]), features))
+    return rf.fit(_assemble(_spread(df.select(*features, label).dropna(), n_trees, len(features)), features))
 
 
 def fit_gbt(df: DataFrame, features: Sequence[str], label: str, rounds: int = 100, depth: int = 2,
@@ -305,7 +319,7 @@ def fit_gbt(df: DataFrame, features: Sequence[str], label: str, rounds: int = 10
     from pyspark.ml.regression import GBTRegressor
     gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=depth,
                        stepSize=rate, subsamplingRate=subsample, seed=seed)
-    return gbt.fit(_assemble(df.dropna(subset=[*features, label]), features))
+    return gbt.fit(_assemble(_spread(df.select(*features, label).dropna(), 1, len(features)), features))
 
 
 def predict_tree(df: DataFrame, model, features: Sequence[str], name: str) -> DataFrame:

@@ -215,3 +215,15 @@ def test_replicates_of_many_cells_are_sent_on(spark, monkeypatch):
         assert read() == {k: (n, w, pytest.approx(s)) for k, (n, w, s) in want.items()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_bagged_rows_are_in_bounded_partitions(spark, monkeypatch):
+    _, df = table(spark, 400, nulls=False)
+    given, assemble = [], models._assemble
+    monkeypatch.setattr(models, "_assemble", lambda x, f: given.append(x) or assemble(x, f))
+    models.fit_forest(df.coalesce(1), FEATS, "y", n_trees=3, depth=1)
+    assert given[-1].rdd.getNumPartitions() == 1
+    monkeypatch.setattr(models, "BAG_BYTES", 50 * 220, raising=False)  # 50 rows of 3 trees and 2 features
+    models.fit_forest(df.coalesce(1), FEATS, "y", n_trees=3, depth=1)
+    sizes = [r["count"] for r in given[-1].groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 400 and max(sizes) <= 51
