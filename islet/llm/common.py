@@ -38,10 +38,18 @@ def staged_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete the staged tables of earlier calls; their readers must be done."""
-    while _staged:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+def staged_count() -> int:
+    """How many staged tables there are."""
+    return len(_staged)
+
+
+def drop_staged(spark: SparkSession, first: int = 0, end: int | None = None) -> None:
+    """Delete the staged tables of earlier calls, or those between two counts
+    of them; their readers must be done."""
+    gone = _staged[first:end]
+    del _staged[first:end]
+    for name in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     free_shuffles(spark)
 

@@ -106,14 +106,13 @@ def _ranks(names: np.ndarray) -> np.ndarray:
         if not len(at):
             return order
         own = order[at]
-        after = np.full(len(own), -1, np.int64)
+        key = rank[own] << 32  # a text has fewer than 2**31 names
         inside = own + k < n
-        after[inside] = rank[own[inside] + k]
-        sub = np.lexsort((after, rank[own]))
-        own, after = own[sub], after[sub]
+        key[inside] += rank[own[inside] + k] + 1
+        sub = np.argsort(key)
+        own, key = own[sub], key[sub]
         order[at] = own
-        base = rank[own]
-        fresh = np.concatenate(([True], (base[1:] != base[:-1]) | (after[1:] != after[:-1])))
+        fresh = np.concatenate(([True], key[1:] != key[:-1]))
         new[at] = fresh
         rank[own] = np.maximum.accumulate(np.where(fresh, at, 0))
         k *= 2

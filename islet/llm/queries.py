@@ -36,7 +36,8 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, strings of 400 bytes."""
+    """All documents, strings of 400 bytes; besides, passages of over 50 words
+    that stand anywhere else, which can be shorter."""
     return exact_substrings.summary(table(spark, sf_dir, "documents"))
 
 
